@@ -1,0 +1,8 @@
+"""Streaming: nothing to build.
+
+The modelled warehouse has no stream, watermark, trigger or state anywhere:
+every job is a bounded batch (wide-file cleaning, star-schema build, report
+marts, notes parsing).  Incremental type-2 history is applied one snapshot at
+a time by ``claimspark.operators.scd2.apply_snapshot``, which a caller can
+drive from ``foreachBatch`` if snapshots ever arrive as a stream.
+"""
