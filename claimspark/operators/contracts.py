@@ -55,7 +55,16 @@ FACT_CLAIMS = _schema(("claim_key", L), ("policy_key", L), ("policyholder_key",
                       ("total_claim_amount", DEC15), ("injury_claim", DEC15), ("property_claim", DEC15),
                       ("vehicle_claim", DEC15), ("fraud_reported", S))
 
+RAW_CLAIMS = _schema(("claim_id", L), ("policy_number", S), ("policyholder_id", S), ("incident_date", D),
+                     ("incident_type", S), ("collision_type", S), ("incident_severity", S),
+                     ("number_of_vehicles_involved", I), ("total_claim_amount", DEC15), ("injury_claim", DEC15),
+                     ("property_claim", DEC15), ("vehicle_claim", DEC15), ("fraud_reported", S),
+                     ("auto_make", S), ("auto_model", S), ("auto_year", I), ("policy_state", S),
+                     ("policy_csl", S), ("policy_deductable", DEC12), ("policy_annual_premium", DEC12),
+                     ("umbrella_limit", DEC15), ("policy_bind_date", D))
+
 CONTRACTS: dict[str, T.StructType] = {
+    "raw_claims": RAW_CLAIMS,
     "dim_date": DIM_DATE,
     "dim_policy": DIM_POLICY,
     "dim_vehicle": DIM_VEHICLE,
@@ -106,13 +115,15 @@ def conform_rejects(df: DataFrame, contract: str | T.StructType) -> DataFrame:
     return counts.selectExpr(f"stack({len(present)}, {stack}) as (column, rejects)")
 
 
-def drift_report(spark: SparkSession, df: DataFrame, expected: Iterable[str] | T.StructType) -> DataFrame:
+def drift_report(df: DataFrame, expected: Iterable[str] | T.StructType) -> DataFrame:
     """Compare actual columns with expected ones; never fails.
 
-    Reads only ``df.schema`` on the driver, so no job runs.  One row per
-    column of either side: status ``missing`` (expected, absent), ``new``
-    (present, unexpected) or ``ok``.  With a ``StructType`` contract, ``ok``
-    rows whose type differs get status ``type_changed``.
+    One row per column of either side: status ``missing`` (expected,
+    absent), ``new`` (present, unexpected) or ``ok``; with a ``StructType``
+    contract an ``ok`` column of another type is ``type_changed``.  The
+    statuses come from ``df.schema`` alone; ``non_null`` adds, for present
+    columns, how many rows carry a value (one aggregate pass), so a column
+    that arrives empty is visible too.
     """
     actual = {f.name: f.dataType for f in df.schema.fields}
     if isinstance(expected, T.StructType):
@@ -130,4 +141,9 @@ def drift_report(spark: SparkSession, df: DataFrame, expected: Iterable[str] | T
         else:
             status = "ok"
         rows.append((name, status, actual[name].simpleString() if name in actual else None))
-    return spark.createDataFrame(rows, "column string, status string, actual_type string")
+    present = [n for n in sorted(actual)]
+    counts = df.agg(*[F.count(F.col(f"`{n}`")).alias(n) for n in present])
+    stack = ", ".join(f"'{n}', `{n}`" for n in present)
+    long = counts.selectExpr(f"stack({len(present)}, {stack}) AS (column, non_null)")
+    statuses = df.sparkSession.createDataFrame(rows, "column string, status string, actual_type string")
+    return statuses.join(F.broadcast(long), "column", "left")

@@ -141,3 +141,27 @@ def multiple_current(dim: DataFrame, natural_key: str = "policyholder_id") -> Da
         .agg(F.count(F.lit(1)).alias("current_version_count"))
         .where(F.col("current_version_count") > 1)
     )
+
+
+def apply_snapshots(
+    dim: DataFrame,
+    snapshots: DataFrame,
+    mode: str = "null_as_empty",
+    cut_lineage_every: int = 4,
+    **kw,
+) -> DataFrame:
+    """Fold ``apply_snapshot`` over the snapshot dates of ``snapshots`` in order.
+
+    Only the distinct dates reach the driver (one per snapshot).  Every
+    ``cut_lineage_every`` steps the history is checkpointed to the shared
+    checkpoint folder so the plan does not grow without bound.
+    """
+    from claimspark.session import checkpoint_dir
+
+    dates = [r[0] for r in snapshots.select("snapshot_date").distinct().orderBy("snapshot_date").collect()]
+    for i, d in enumerate(dates, 1):
+        dim = apply_snapshot(dim, snapshots.where(F.col("snapshot_date") == F.lit(d)), mode=mode, **kw)
+        if cut_lineage_every and i % cut_lineage_every == 0 and i < len(dates):
+            checkpoint_dir(dim.sparkSession)
+            dim = dim.checkpoint(eager=True)
+    return dim

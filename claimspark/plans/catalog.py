@@ -200,3 +200,349 @@ FROM monthly ORDER BY year, month""")
 def q_r14(spark, sf):
     s = star_for(spark, sf)
     return R.r14_monthly_trend(s.fact(), s.dim_date)
+
+
+# ------------------------------------------------------------------ contracts
+from pyspark.sql import functions as F  # noqa: E402
+
+from claimspark.operators import checks as V  # noqa: E402
+from claimspark.operators import contracts as C  # noqa: E402
+from claimspark.operators import dims as Dm  # noqa: E402
+from claimspark.operators import facts as Fc  # noqa: E402
+from claimspark.operators import notes as N  # noqa: E402
+from claimspark.operators import profile as P  # noqa: E402
+from claimspark.operators import quality as Q  # noqa: E402
+from claimspark.operators import scd2 as H  # noqa: E402
+from claimspark.operators.joins import point_in_time_join  # noqa: E402
+from claimspark.sources import stand_ins as SI  # noqa: E402
+from claimspark.sources.tables import read_table  # noqa: E402
+
+
+def _drift_sql() -> str:
+    expected = set(C.EXPECTED_WIDE_COLUMNS)
+    actual = ["id", "target", "ps_ind_01", "ps_ind_02_cat", "ps_reg_01", "ps_car_01_cat", "ps_car_11",
+              "ps_calc_01", "note"]
+    types = {"id": "bigint", "target": "int", "ps_ind_01": "int", "ps_ind_02_cat": "int", "ps_reg_01": "double",
+             "ps_car_01_cat": "int", "ps_car_11": "bigint", "ps_calc_01": "double", "note": "string"}
+    parts = []
+    for name in sorted(expected | set(actual)):
+        if name in actual:
+            status = "ok" if name in expected else "new"
+            parts.append(f"SELECT '{name}' AS column, '{status}' AS status, '{types[name]}' AS actual_type, "
+                         f"COUNT({name}) AS non_null FROM wide_claims")
+        else:
+            parts.append(f"SELECT '{name}' AS column, 'missing' AS status, CAST(NULL AS VARCHAR) AS actual_type, "
+                         f"CAST(NULL AS BIGINT) AS non_null")
+    return "\nUNION ALL ".join(parts)
+
+
+@register("drift_report", _drift_sql())
+def q_drift(spark, sf):
+    return C.drift_report(SI.wide_claims(spark, sf), C.EXPECTED_WIDE_COLUMNS)
+
+
+@register("conform_claims", """
+SELECT claim_id, CAST(policy_number AS VARCHAR) AS policy_number, policyholder_id, incident_date, incident_type,
+       collision_type, incident_severity, number_of_vehicles_involved, total_claim_amount, injury_claim,
+       property_claim, vehicle_claim, fraud_reported, auto_make, auto_model, auto_year, policy_state, policy_csl,
+       CAST(NULL AS DECIMAL(12,2)) AS policy_deductable, policy_annual_premium,
+       CAST(NULL AS DECIMAL(15,2)) AS umbrella_limit, CAST(NULL AS DATE) AS policy_bind_date
+FROM claims""")
+def q_conform(spark, sf):
+    return C.conform(SI.claims(spark, sf), "raw_claims", safe=True)
+
+
+# ------------------------------------------------------------------ quality
+@register("sentinel_clean", "SELECT * FROM sentinel_clean")
+def q_sentinel(spark, sf):
+    return Q.replace_sentinel_with_null(SI.wide_claims(spark, sf))
+
+
+@register("null_density", "SELECT * FROM null_density")
+def q_null_density(spark, sf):
+    cleaned = Q.replace_sentinel_with_null(SI.wide_claims(spark, sf))
+    return Q.add_null_density(cleaned, Q.completeness_columns(cleaned))
+
+
+@register("risk_bucket", "SELECT * FROM risk_bucket")
+def q_risk_bucket(spark, sf):
+    return Q.clean_wide(SI.wide_claims(spark, sf))
+
+
+@register("bucket_distribution", "SELECT risk_bucket, COUNT(*) AS count FROM risk_bucket GROUP BY risk_bucket")
+def q_bucket_distribution(spark, sf):
+    return Q.bucket_distribution(Q.clean_wide(SI.wide_claims(spark, sf)))
+
+
+# ------------------------------------------------------------------ profiling
+def _profile_sql(threshold: float | None = None) -> str:
+    cols = ["id", "target", "ps_ind_01", "ps_ind_02_cat", "ps_reg_01", "ps_car_01_cat", "ps_car_11", "ps_calc_01", "note"]
+    parts = []
+    for c in cols:
+        g = P.column_group(c)
+        gsql = f"'{g}'" if g else "CAST(NULL AS VARCHAR)"
+        nulls = f"COUNT(*) FILTER (WHERE {c} IS NULL)"
+        parts.append(f"SELECT '{c}' AS column, {gsql} AS \"group\", {nulls} AS null_count, COUNT(*) AS rows, "
+                     f"{O.exact_bround(nulls, 'COUNT(*)', 100, 2, 'DECIMAL(7,2)')} AS null_pct FROM sentinel_clean")
+    sql = "SELECT * FROM (" + "\nUNION ALL ".join(parts) + ") p"
+    if threshold is not None:
+        sql += f" WHERE null_pct > {threshold}"
+    return sql
+
+
+def _profiled(spark, sf):
+    cleaned = Q.replace_sentinel_with_null(SI.wide_claims(spark, sf))
+    groups = P.classify_columns(spark, cleaned)
+    return P.null_profile(cleaned).join(F.broadcast(groups), "column", "left").select(
+        "column", "group", "null_count", "rows", "null_pct")
+
+
+@register("column_profile", _profile_sql())
+def q_column_profile(spark, sf):
+    return _profiled(spark, sf)
+
+
+@register("high_null_columns", _profile_sql(20))
+def q_high_null(spark, sf):
+    return P.high_null_columns(_profiled(spark, sf))
+
+
+def _imbalance_sql(table: str, col: str) -> str:
+    pos = f"COUNT(*) FILTER (WHERE {col} = 1)"
+    neg = f"COUNT(*) FILTER (WHERE {col} = 0)"
+    return f"""
+SELECT COUNT(*) AS total_rows, {pos} AS positive_count, {neg} AS negative_count,
+       {O.exact_bround(pos, 'COUNT(*)', 100, 3, 'DECIMAL(10,3)')} AS positive_rate_pct,
+       {O.exact_bround(neg, f'GREATEST({pos}, 1)', 1, 1, 'DECIMAL(21,1)')} AS imbalance_ratio
+FROM {table}"""
+
+
+@register("imbalance", _imbalance_sql("wide_claims", "target"))
+def q_imbalance(spark, sf):
+    return P.imbalance_report(SI.wide_claims(spark, sf), "target")
+
+
+@register("imbalance_labels", _imbalance_sql("labels", "toxic"))
+def q_imbalance_labels(spark, sf):
+    return P.imbalance_report(read_table(spark, sf, "labels"), "toxic")
+
+
+def _inventory_sql() -> str:
+    cols = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+    tokens = ", ".join(f"'{t}'" for t in P.NULL_TOKENS)
+    parts = []
+    for i, c in enumerate(cols, 1):
+        txt = f"replace(CAST({c} AS VARCHAR), '\"', '')"
+        parts.append(
+            f"SELECT {i} AS ordinal, '{c}' AS column, "
+            f"(SELECT string_agg(COALESCE({txt}, ''), '|' ORDER BY c_custkey) FROM "
+            f"(SELECT * FROM customer ORDER BY c_custkey LIMIT 5)) AS samples, "
+            f"(SELECT COUNT(*) FILTER (WHERE {c} IS NULL OR trim({txt}) IN ({tokens})) FROM customer) AS null_tokens")
+    return "\nUNION ALL ".join(parts)
+
+
+@register("column_inventory", _inventory_sql())
+def q_inventory(spark, sf):
+    return P.column_inventory(read_table(spark, sf, "customer"), ["c_custkey"])
+
+
+# ------------------------------------------------------------------ holder base and snapshots
+@register("holder_base", "SELECT * FROM holder_base")
+def q_holder_base(spark, sf):
+    return Dm.create_policyholder_base(SI.holder_claims(spark, sf), sample_size=None, order=("claim_id",))
+
+
+@register("holder_snapshot_changed", """
+WITH last AS (
+  SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY policyholder_id ORDER BY snapshot_date DESC) AS rn
+                 FROM holder_snapshots) WHERE rn = 1)
+SELECT b.policyholder_id, b.age, b.sex, b.education_level,
+       CASE WHEN l.policyholder_id IS NULL THEN b.occupation ELSE l.occupation END AS occupation,
+       b.hobbies,
+       CASE WHEN l.policyholder_id IS NULL THEN b.relationship ELSE l.relationship END AS relationship,
+       CASE WHEN l.policyholder_id IS NULL THEN b.zip_code ELSE l.zip_code END AS zip_code,
+       DATE '2002-01-01' AS snapshot_date
+FROM holder_base b LEFT JOIN last l ON b.policyholder_id = l.policyholder_id""")
+def q_holder_snapshot_changed(spark, sf):
+    """Base holders re-dated, with the tracked values of each holder's latest
+    quarterly snapshot applied as a change table (D8)."""
+    base = Dm.create_policyholder_base(SI.holder_claims(spark, sf), sample_size=None, order=("claim_id",))
+    snaps = star_for(spark, sf).holder_snapshots
+    last = _latest(snaps)
+    changes = last.selectExpr(
+        "policyholder_id",
+        "stack(3, 'occupation', occupation, 'relationship', relationship, 'zip_code', zip_code) AS (column, value)")
+    return Dm.create_snapshot(base, "2002-01-01", changes)
+
+
+def _latest(snaps):
+    from pyspark.sql import Window
+    w = Window.partitionBy("policyholder_id").orderBy(F.col("snapshot_date").desc())
+    return snaps.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+
+
+# ------------------------------------------------------------------ type-2 history variants
+@register("scd2_history_null_as_empty", "SELECT * FROM dim_policyholder_nae")
+def q_scd2_nae(spark, sf):
+    return H.build_history(star_for(spark, sf).holder_snapshots, mode="null_as_empty")
+
+
+@register("scd2_apply", "SELECT * FROM dim_policyholder_nae")
+def q_scd2_apply(spark, sf):
+    """History of the snapshots before 2001, then each later snapshot applied
+    incrementally in date order; must equal the batch history (same mode)."""
+    snaps = star_for(spark, sf).holder_snapshots
+    cut = F.lit("2001-01-01").cast("date")
+    dim = H.build_history(snaps.where(F.col("snapshot_date") < cut), mode="null_as_empty")
+    return H.apply_snapshots(dim, snaps.where(F.col("snapshot_date") >= cut), mode="null_as_empty")
+
+
+@register("scd2_versions", """
+SELECT policyholder_id, COUNT(*) AS version_count FROM dim_policyholder GROUP BY policyholder_id""")
+def q_scd2_versions(spark, sf):
+    return H.version_counts(star_for(spark, sf).dim_policyholder)
+
+
+@register("scd2_version_distribution", """
+SELECT version_count, COUNT(*) AS holders
+FROM (SELECT policyholder_id, COUNT(*) AS version_count FROM dim_policyholder GROUP BY policyholder_id)
+GROUP BY version_count""")
+def q_scd2_distribution(spark, sf):
+    return H.version_distribution(star_for(spark, sf).dim_policyholder)
+
+
+@register("scd2_single_current", """
+SELECT policyholder_id, COUNT(*) AS current_version_count FROM dim_policyholder
+WHERE is_current GROUP BY policyholder_id HAVING COUNT(*) > 1""")
+def q_scd2_single_current(spark, sf):
+    return H.multiple_current(star_for(spark, sf).dim_policyholder)
+
+
+@register("pit_lookup", """
+SELECT r.claim_id, r.policyholder_id, r.incident_date, ph.policyholder_key, ph.valid_from, ph.valid_to
+FROM claims r JOIN dim_policyholder ph ON r.policyholder_id = ph.policyholder_id
+ AND r.incident_date >= ph.valid_from AND (r.incident_date < ph.valid_to OR ph.valid_to IS NULL)""")
+def q_pit(spark, sf):
+    s = star_for(spark, sf)
+    holder = s.dim_policyholder.select("policyholder_key", F.col("policyholder_id").alias("_hid"),
+                                       "valid_from", "valid_to")
+    fact = s.claims.select("claim_id", "policyholder_id", "incident_date")
+    return point_in_time_join(fact, holder, "policyholder_id", "_hid", "incident_date").select(
+        "claim_id", "policyholder_id", "incident_date", "policyholder_key", "valid_from", "valid_to")
+
+
+# ------------------------------------------------------------------ staging and flat mart
+@register("stg_claims", """
+SELECT policy_number, incident_date, incident_type, collision_type, incident_severity, total_claim_amount,
+       injury_claim, property_claim, vehicle_claim, fraud_reported
+FROM claims WHERE total_claim_amount IS NOT NULL""")
+def q_stg(spark, sf):
+    return Fc.stage_claims(SI.claims(spark, sf))
+
+
+@register("claims_flat", """
+SELECT CAST(ROW_NUMBER() OVER (ORDER BY incident_date, claim_id) AS BIGINT) AS claim_key, policy_number,
+       incident_date, incident_type, total_claim_amount, injury_claim, property_claim, vehicle_claim, fraud_reported
+FROM claims WHERE total_claim_amount IS NOT NULL""")
+def q_flat(spark, sf):
+    return Fc.claims_flat(Fc.stage_claims(SI.claims(spark, sf), keep=("claim_id",)))
+
+
+# ------------------------------------------------------------------ data-quality checks
+def _check_sql(check: str, target: str, failures_sql: str) -> str:
+    return (f"SELECT '{check}' AS \"check\", '{target}' AS target, CAST(({failures_sql}) AS BIGINT) AS failures, "
+            f"({failures_sql}) = 0 AS passed")
+
+
+FLAT_CTE = """(SELECT ROW_NUMBER() OVER (ORDER BY incident_date, claim_id) AS claim_key, total_claim_amount
+               FROM claims WHERE total_claim_amount IS NOT NULL)"""
+
+
+@register("dq_report", "\nUNION ALL ".join([
+    _check_sql("unique", "claims_flat.claim_key",
+               f"SELECT COALESCE(SUM(n), 0) FROM (SELECT COUNT(*) AS n FROM {FLAT_CTE} WHERE claim_key IS NOT NULL "
+               "GROUP BY claim_key HAVING COUNT(*) > 1)"),
+    _check_sql("not_null", "claims_flat.claim_key", f"SELECT COUNT(*) FROM {FLAT_CTE} WHERE claim_key IS NULL"),
+    _check_sql("not_null", "claims_flat.total_claim_amount",
+               f"SELECT COUNT(*) FROM {FLAT_CTE} WHERE total_claim_amount IS NULL"),
+    _check_sql("unique", "fact_claims.claim_key",
+               "SELECT COALESCE(SUM(n), 0) FROM (SELECT COUNT(*) AS n FROM fact_claims WHERE claim_key IS NOT NULL "
+               "GROUP BY claim_key HAVING COUNT(*) > 1)"),
+    _check_sql("single_current", "dim_policyholder.policyholder_id",
+               "SELECT COUNT(*) FROM (SELECT policyholder_id FROM dim_policyholder WHERE is_current "
+               "GROUP BY policyholder_id HAVING COUNT(*) > 1)"),
+]))
+def q_dq(spark, sf):
+    s = star_for(spark, sf)
+    flat = q_flat(spark, sf)
+    fact = s.fact()
+    return V.report([
+        V.unique(flat, ["claim_key"], "claims_flat"),
+        V.not_null(flat, ["claim_key", "total_claim_amount"], "claims_flat"),
+        V.unique(fact, ["claim_key"], "fact_claims"),
+        V.single_current(s.dim_policyholder),
+    ])
+
+
+FKS = (("policy_key", "dim_policy", "policy_key"), ("policyholder_key", "dim_policyholder", "policyholder_key"),
+       ("vehicle_key", "dim_vehicle", "vehicle_key"), ("incident_date_key", "dim_date", "date_key"))
+
+
+@register("null_fk_report", "\nUNION ALL ".join(
+    _check_sql("not_null", f"fact_claims_left.{fk}", f"SELECT COUNT(*) FROM fact_claims_left WHERE {fk} IS NULL")
+    for fk, _, _ in FKS))
+def q_null_fk(spark, sf):
+    return V.not_null(star_for(spark, sf).fact("left_keys"), [fk for fk, _, _ in FKS], "fact_claims_left")
+
+
+@register("orphan_fk_report", "\nUNION ALL ".join(
+    _check_sql("relationships", f"fact_claims_left.{fk}",
+               f"SELECT COUNT(*) FROM fact_claims_left f WHERE f.{fk} IS NOT NULL AND NOT EXISTS "
+               f"(SELECT 1 FROM {dim} d WHERE d.{pk} = f.{fk})")
+    for fk, dim, pk in FKS))
+def q_orphan_fk(spark, sf):
+    s = star_for(spark, sf)
+    fact = s.fact("left_keys")
+    dims = {"dim_policy": s.dim_policy, "dim_policyholder": s.dim_policyholder, "dim_vehicle": s.dim_vehicle,
+            "dim_date": s.dim_date}
+    return V.report([V.relationships(fact, fk, dims[d], pk, "fact_claims_left") for fk, d, pk in FKS])
+
+
+# ------------------------------------------------------------------ notes
+def _sql_text(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+@register("note_prompt", f"""
+SELECT conv_id, turn, {_sql_text(N.PROMPT_HEAD)} || COALESCE(text, 'nan') || {_sql_text(N.PROMPT_TAIL)} AS prompt
+FROM conversations""")
+def q_note_prompt(spark, sf):
+    conv = read_table(spark, sf, "conversations")
+    return conv.select("conv_id", "turn", N.render_prompt(F.col("text")).alias("prompt"))
+
+
+def _parse_sql() -> str:
+    r = "regexp_replace(props, '^\\s+|\\s+$', '', 'g')"
+    obj = f"(props IS NOT NULL AND json_valid({r}) AND json_type({r}) = 'OBJECT')"
+    fields = {f: f"json_extract_string({r}, '$.{f}')" for f in ("incident_category", "at_fault_party", "severity_hint")}
+    inj_type = f"json_type({r}, '$.injury_mentioned')"
+    inj_present = f"({inj_type} IS NOT NULL AND {inj_type} <> 'NULL')"
+    inj = f"CASE WHEN {inj_type} = 'BOOLEAN' THEN CAST(json_extract_string({r}, '$.injury_mentioned') AS BOOLEAN) END"
+    bad = " OR ".join(
+        [f"({fields[f]} IS NOT NULL AND {fields[f]} NOT IN ({', '.join(_sql_text(v) for v in vals)}))"
+         for f, vals in N.ENUM_FIELDS.items()] + [f"({inj_present} AND {inj_type} <> 'BOOLEAN')"])
+    missing = " OR ".join([f"{fields[f]} IS NULL" for f in fields] + [f"NOT {inj_present}"])
+    status = (f"CASE WHEN NOT COALESCE({obj}, FALSE) THEN 'parse_failed' WHEN {bad} THEN 'invalid_value' "
+              f"WHEN {missing} THEN 'incomplete' ELSE 'ok' END")
+    return f"""
+SELECT event_id, {', '.join(f'CASE WHEN {obj} THEN {e} END AS {f}' for f, e in fields.items())},
+       CASE WHEN {obj} THEN {inj} END AS injury_mentioned, {status} AS status,
+       CASE WHEN {status} <> 'ok' THEN props END AS raw_response
+FROM events"""
+
+
+@register("note_parse", _parse_sql())
+def q_note_parse(spark, sf):
+    """Model answers are parsed (N2); the ``events.props`` JSON column stands in for them."""
+    ev = read_table(spark, sf, "events")
+    return N.parse_responses(ev.select("event_id", F.col("props").alias("raw_response")), keep=("event_id",))

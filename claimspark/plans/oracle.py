@@ -200,3 +200,50 @@ JOIN dim_policyholder ph ON r.policyholder_id = ph.policyholder_id
      AND r.incident_date >= ph.valid_from AND (r.incident_date < ph.valid_to OR ph.valid_to IS NULL)
 LEFT JOIN dim_date d ON r.incident_date = d.full_date
 """)
+
+
+def exact_bround(num: str, den: str, mult: int, scale: int, out: str) -> str:
+    """round_half_even(num * mult / den, scale) for non-negative integers, exactly."""
+    a = f"(CAST({num} AS HUGEINT) * {mult * 10 ** scale})"
+    q, r = f"({a} // ({den}))", f"({a} % ({den}))"
+    q2 = f"(CASE WHEN 2 * {r} > ({den}) THEN {q} + 1 WHEN 2 * {r} < ({den}) THEN {q} ELSE {q} + ({q} % 2) END)"
+    step = f"CAST('{1 / 10 ** scale:.{scale}f}' AS DECIMAL({scale + 1},{scale}))" if scale else "1"
+    return f"CASE WHEN ({den}) = 0 THEN NULL ELSE CAST(CAST({q2} AS DECIMAL(18,0)) * {step} AS {out}) END"
+
+
+cte("holder_claims", """
+SELECT o.o_orderkey AS claim_id, o.o_custkey AS policy_number, CAST(NULL AS INTEGER) AS age,
+       CAST(NULL AS VARCHAR) AS insured_sex, c.c_mktsegment AS insured_education_level,
+       o.o_orderpriority AS insured_occupation, CAST(NULL AS VARCHAR) AS insured_hobbies,
+       o.o_orderstatus AS insured_relationship, c.c_nationkey AS insured_zip
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+""")
+
+cte("holder_base", """
+SELECT CAST(policy_number AS VARCHAR) AS policyholder_id, age, insured_sex AS sex,
+       insured_education_level AS education_level, insured_occupation AS occupation,
+       insured_hobbies AS hobbies, insured_relationship AS relationship, CAST(insured_zip AS VARCHAR) AS zip_code
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY policy_number ORDER BY claim_id) AS rn FROM holder_claims)
+WHERE rn = 1
+""")
+
+cte("sentinel_clean", """
+SELECT id, target, NULLIF(ps_ind_01, -1) AS ps_ind_01, NULLIF(ps_ind_02_cat, -1) AS ps_ind_02_cat,
+       NULLIF(ps_reg_01, -1) AS ps_reg_01, NULLIF(ps_car_01_cat, -1) AS ps_car_01_cat,
+       NULLIF(ps_car_11, -1) AS ps_car_11, NULLIF(ps_calc_01, -1) AS ps_calc_01, note
+FROM wide_claims
+""")
+
+WIDE_FEATURES = ("ps_ind_01", "ps_ind_02_cat", "ps_reg_01", "ps_car_01_cat", "ps_car_11", "ps_calc_01", "note")
+_nulls = " + ".join(f"CAST({c} IS NULL AS INTEGER)" for c in WIDE_FEATURES)
+_n = len(WIDE_FEATURES)
+cte("null_density", f"""
+SELECT *, CAST((({_n} - null_field_count) * 2000 + {_n}) // {2 * _n} AS DOUBLE) / 10 AS data_completeness_pct
+FROM (SELECT *, CAST({_nulls} AS INTEGER) AS null_field_count FROM sentinel_clean)
+""")
+
+cte("risk_bucket", """
+SELECT *, CASE WHEN data_completeness_pct >= 90 THEN 'LOW_RISK'
+               WHEN data_completeness_pct >= 70 THEN 'MEDIUM_RISK' ELSE 'HIGH_RISK' END AS risk_bucket
+FROM null_density
+""")

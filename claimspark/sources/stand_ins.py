@@ -133,3 +133,24 @@ def wide_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
         (ok % 10).cast("double").alias("ps_calc_01"),
         F.when(F.col("o_orderstatus") == "P", "-1").otherwise(F.col("o_orderstatus")).alias("note"),
     )
+
+
+def holder_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claims rows carrying the insured-person columns of the claims file.
+
+    ``age``, ``insured_sex`` and ``insured_hobbies`` have no stand-in and
+    are typed NULLs.
+    """
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    return o.join(c, o.o_custkey == c.c_custkey, "inner").select(
+        F.col("o_orderkey").alias("claim_id"),
+        F.col("o_custkey").alias("policy_number"),
+        F.lit(None).cast("int").alias("age"),
+        F.lit(None).cast("string").alias("insured_sex"),
+        F.col("c_mktsegment").alias("insured_education_level"),
+        F.col("o_orderpriority").alias("insured_occupation"),
+        F.lit(None).cast("string").alias("insured_hobbies"),
+        F.col("o_orderstatus").alias("insured_relationship"),
+        F.col("c_nationkey").alias("insured_zip"),
+    )
