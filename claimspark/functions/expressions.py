@@ -70,3 +70,39 @@ def exact_avg(c: Column, scale: int) -> Column:
     the count keeps 15+ places, so a second rounding never moves a digit.
     """
     return F.round(F.try_divide(F.sum(c), F.count(c).cast("decimal(20,0)")), scale)
+
+
+# Money is summed as 64-bit integer cents: Spark widens sum(decimal(15,2)) to
+# decimal(25,2), whose aggregation buffer is a BigDecimal object per group.
+# A long sum is exact up to +-9.2e16 currency units, and ANSI arithmetic
+# raises on overflow instead of wrapping.
+_CENT = "0.01"
+
+
+def money_cents(c: Column) -> Column:
+    """Exact integer cents of a DECIMAL(p<=15, 2) column.
+
+    The double nearest such a value, times 100, is within 0.5 of the cent
+    count (|cents| < 2e15), so rounding recovers it exactly.
+    """
+    return F.round(c.cast("double") * 100).cast("long")
+
+
+def from_cents(total_cents: Column, out: str = "decimal(18,2)") -> Column:
+    return (total_cents.cast("decimal(20,0)") * F.lit(_CENT).cast("decimal(2,2)")).cast(out)
+
+
+def sum_money(c: Column, out: str = "decimal(18,2)") -> Column:
+    """``sum(c)`` of a DECIMAL(p<=15, 2) column, exact, via long cents; NULL when no value."""
+    return from_cents(F.sum(money_cents(c)), out)
+
+
+def avg_money(c: Column, scale: int, out: str | None = None) -> Column:
+    """Mean of a DECIMAL(p<=15, 2) column rounded half-up at ``scale``, exact.
+
+    The cent total divided by 100 * count keeps 18 decimal places, so the
+    final rounding sees the exact quotient.
+    """
+    q = F.try_divide(F.sum(money_cents(c)).cast("decimal(20,0)"), (F.count(c) * 100).cast("decimal(22,0)"))
+    r = F.round(q, scale)
+    return r.cast(out) if out else r

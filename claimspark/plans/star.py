@@ -2,60 +2,82 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from claimspark.operators import dims, facts, scd2
 from claimspark.operators.contracts import conform
+from claimspark.session import checkpoint_dir
 from claimspark.sources import stand_ins
 
 
+def write_table(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` as parquet at ``path`` and return a scan of it.
+
+    Cuts the lineage: later size checks, key offsets and joins read the
+    written table instead of re-running the plan that produced it, and a
+    lost executor costs a re-read, not a recomputation.
+    """
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 @dataclass
 class Star:
-    """Lazily built star schema; each table is a plan built once per instance.
+    """The star schema of one input folder, each table built and written once.
 
-    Building a keyed table runs its size check (a count), so the instance
-    is reused across queries of one session instead of rebuilding plans.
+    Tables are written under the session's shared checkpoint folder
+    (``spark.checkpoint.dir``), as a warehouse writes its silver and gold
+    layers; ``materialize=False`` keeps every table a lazy plan instead.
     """
 
     spark: SparkSession
     sf_dir: str
+    materialize: bool = True
+    root: str = field(default="")
+
+    def _out(self, name: str, df: DataFrame) -> DataFrame:
+        if not self.materialize:
+            return df
+        if not self.root:
+            self.root = f"{checkpoint_dir(self.spark).rstrip('/')}/star-{uuid.uuid4().hex}"
+        return write_table(df, f"{self.root}/{name}")
 
     @cached_property
     def claims(self) -> DataFrame:
-        return stand_ins.claims(self.spark, self.sf_dir)
+        return self._out("claims", stand_ins.claims(self.spark, self.sf_dir))
 
     @cached_property
     def holder_snapshots(self) -> DataFrame:
-        return conform(stand_ins.holder_snapshots(self.spark, self.sf_dir), "policyholder_snapshot")
+        snaps = conform(stand_ins.holder_snapshots(self.spark, self.sf_dir), "policyholder_snapshot")
+        return self._out("holder_snapshots", snaps)
 
     @cached_property
     def dim_date(self) -> DataFrame:
         start, end = dims.dim_date_range_for(self.claims.select("incident_date"), "incident_date")
-        return dims.generate_dim_date(self.spark, start, end)
+        return self._out("dim_date", dims.generate_dim_date(self.spark, start, end))
 
     @cached_property
     def dim_policy(self) -> DataFrame:
-        return dims.build_dim_policy(self.claims)
+        return self._out("dim_policy", dims.build_dim_policy(self.claims))
 
     @cached_property
     def dim_vehicle(self) -> DataFrame:
-        return dims.build_dim_vehicle(self.claims)
+        return self._out("dim_vehicle", dims.build_dim_vehicle(self.claims))
 
     @cached_property
     def dim_policyholder(self) -> DataFrame:
-        return scd2.build_history(self.holder_snapshots, mode="strict")
+        return self._out("dim_policyholder", scd2.build_history(self.holder_snapshots, mode="strict"))
 
     def fact(self, mode: str = "inner") -> DataFrame:
-        return self._facts(mode)
-
-    def _facts(self, mode: str) -> DataFrame:
         cache = self.__dict__.setdefault("_fact_cache", {})
         if mode not in cache:
-            cache[mode] = facts.build_fact(self.claims, self.dim_policy, self.dim_policyholder,
-                                           self.dim_vehicle, self.dim_date, mode=mode)
+            built = facts.build_fact(self.claims, self.dim_policy, self.dim_policyholder,
+                                     self.dim_vehicle, self.dim_date, mode=mode)
+            cache[mode] = self._out(f"fact_claims_{mode}", built)
         return cache[mode]
 
 

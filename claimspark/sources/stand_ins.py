@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from claimspark.functions.expressions import from_cents, money_cents
 from claimspark.sources.tables import read_table
 
 MONEY = "decimal(15,2)"
@@ -21,12 +22,15 @@ def _money(c: Column) -> Column:
 
 
 def _line_summary(lineitem: DataFrame) -> DataFrame:
-    """One row per order: line count, first part, amount per return flag."""
-    price = _money(F.col("l_extendedprice"))
-    zero = F.lit(0).cast(MONEY)
+    """One row per order: line count, first part, amount per return flag.
+
+    Each line's price is cast to DECIMAL(15,2) and summed as exact integer
+    cents (a long buffer instead of a BigDecimal per group).
+    """
+    cents = money_cents(_money(F.col("l_extendedprice")))
 
     def by_flag(flag: str) -> Column:
-        return F.sum(F.when(F.col("l_returnflag") == flag, price).otherwise(zero))
+        return from_cents(F.sum(F.when(F.col("l_returnflag") == flag, cents).otherwise(F.lit(0))), "decimal(25,2)")
 
     return lineitem.groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("n_lines"),

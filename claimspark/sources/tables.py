@@ -11,8 +11,20 @@ TABLES = (
 )
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Lazy parquet scan; later selects and filters prune and push down."""
+def read_table(spark: SparkSession, sf_dir: str, name: str, min_splits: int | None = None) -> DataFrame:
+    """Lazy parquet scan; later selects and filters prune and push down.
+
+    Parquet splits at row-group boundaries, so a file written as one row
+    group scans in one task however large it is.  When a scan yields fewer
+    splits than ``min_splits`` (default: the cluster's parallelism) the rows
+    are spread round-robin right after the scan; filters and column pruning
+    still reach the scan below it.  On real inputs of many files and row
+    groups this is a no-op and adds no shuffle.
+    """
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    floor = spark.sparkContext.defaultParallelism if min_splits is None else min_splits
+    if floor > 1 and df.rdd.getNumPartitions() < floor:
+        df = df.repartition(floor)
+    return df
