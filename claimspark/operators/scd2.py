@@ -147,14 +147,17 @@ def apply_snapshots(
     dim: DataFrame,
     snapshots: DataFrame,
     mode: str = "null_as_empty",
-    cut_lineage_every: int = 4,
+    cut_lineage_every: int = 1,
     **kw,
 ) -> DataFrame:
     """Fold ``apply_snapshot`` over the snapshot dates of ``snapshots`` in order.
 
     Only the distinct dates reach the driver (one per snapshot).  Every
     ``cut_lineage_every`` steps the history is checkpointed to the shared
-    checkpoint folder so the plan does not grow without bound.
+    checkpoint folder, as an apply writes its new history aside before the
+    swap: the next step's jobs (duplicate test, max key, key offsets) then
+    read that history instead of re-running every earlier step, and the
+    plan does not grow with the number of snapshots.
     """
     from claimspark.session import checkpoint_dir
 
