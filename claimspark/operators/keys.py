@@ -40,14 +40,27 @@ def sort_columns(order: OrderSpec) -> list[Column]:
     return [(o if isinstance(o, Asc) else Asc(o)).column() for o in order]
 
 
-def first_by(df: DataFrame, key: Sequence[str], order: OrderSpec) -> DataFrame:
-    """Keep the first row of each ``key`` group under ``order``.
-
-    ``dropDuplicates`` keeps an arbitrary row; this keeps a declared one.
-    The window shuffles once on ``key``; a key's group holds its duplicates.
+def first_by(df: DataFrame, key: Sequence[str], order: OrderSpec, last: bool = False) -> DataFrame:
+    """Keep the first (or with ``last``, the last) row of each ``key`` group under ``order``.
+
+    ``dropDuplicates`` keeps an arbitrary row.  This is an aggregate,
+    ``min``/``max`` of a struct led by the order columns and carrying the
+    row, so Spark combines map-side: a hot key leaves each map task as one
+    row before the shuffle instead of landing whole in one task, as a
+    window would.  Ties in ``order`` are broken by the remaining columns,
+    so the kept row is deterministic.  A NULL key forms one group.
     """
-    w = Window.partitionBy(*key).orderBy(*sort_columns(order))
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    specs = [o if isinstance(o, Asc) else Asc(o) for o in order]
+    fields = []
+    for i, o in enumerate(specs):
+        if o.nulls_last:
+            fields.append(F.col(o.name).isNull().alias(f"_null{i}"))
+        fields.append(F.col(o.name).alias(f"_ord{i}"))
+    payload = [c for c in df.columns if c not in key]
+    fields.append(F.struct(*payload).alias("_row"))
+    pick = F.max if last else F.min
+    best = df.groupBy(*key).agg(pick(F.struct(*fields)).alias("_best"))
+    return best.select(*[F.col(c) if c in key else F.col(f"_best._row.{c}").alias(c) for c in df.columns])
 
 
 def dense_key(

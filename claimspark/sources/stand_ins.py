@@ -8,10 +8,11 @@ plain joins and aggregates; their work grows with the tables.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimspark.functions.expressions import from_cents, money_cents
+from claimspark.operators.keys import first_by
 from claimspark.sources.tables import read_table
 
 MONEY = "decimal(15,2)"
@@ -91,9 +92,9 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
 def holder_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last order of a customer in each quarter from 1996 (FIXTURES.md 3.2).
 
-    The window is partitioned by (customer, quarter): a group holds one
-    customer's orders of one quarter, so it stays small even when one
-    customer is hot across the years.
+    "Last" is the greatest (order date, order key); it is taken with
+    ``first_by(last=True)``, an aggregate combined map-side, so a customer
+    with a huge share of one quarter's orders is reduced before the shuffle.
     """
     o = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority"
@@ -103,22 +104,17 @@ def holder_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = (
         o.where(F.col("o_orderdate") >= F.lit("1996-01-01").cast("timestamp_ntz"))
         .join(c, o.o_custkey == c.c_custkey, "inner")
-        .withColumn("snapshot_date", quarter)
+        .select("o_custkey", quarter.alias("snapshot_date"), "o_orderdate", "o_orderkey",
+                "o_orderpriority", "o_orderstatus", "c_nationkey", "c_mktsegment")
     )
-    w = Window.partitionBy("o_custkey", "snapshot_date").orderBy(
-        F.col("o_orderdate").desc(), F.col("o_orderkey").desc()
-    )
-    return (
-        base.withColumn("rn", F.row_number().over(w))
-        .where(F.col("rn") == 1)
-        .select(
-            F.col("o_custkey").cast("string").alias("policyholder_id"),
-            F.col("o_orderpriority").alias("occupation"),
-            F.col("o_orderstatus").alias("relationship"),
-            F.col("c_nationkey").cast("string").alias("zip_code"),
-            F.col("c_mktsegment").alias("education_level"),
-            "snapshot_date",
-        )
+    latest = first_by(base, ["o_custkey", "snapshot_date"], ["o_orderdate", "o_orderkey"], last=True)
+    return latest.select(
+        F.col("o_custkey").cast("string").alias("policyholder_id"),
+        F.col("o_orderpriority").alias("occupation"),
+        F.col("o_orderstatus").alias("relationship"),
+        F.col("c_nationkey").cast("string").alias("zip_code"),
+        F.col("c_mktsegment").alias("education_level"),
+        "snapshot_date",
     )
 
 
