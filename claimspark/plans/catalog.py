@@ -5,10 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+
+from claimspark.operators import checks as V
+from claimspark.operators import contracts as C
+from claimspark.operators import dims as Dm
+from claimspark.operators import facts as Fc
+from claimspark.operators import notes as N
+from claimspark.operators import profile as P
+from claimspark.operators import quality as Q
+from claimspark.operators import scd2 as H
+from claimspark.operators.joins import point_in_time_join
+from claimspark.operators.keys import first_by
 from claimspark.plans import oracle as O
 from claimspark.plans import reports as R
 from claimspark.plans.star import star_for
+from claimspark.sources import stand_ins as SI
+from claimspark.sources.tables import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -203,19 +216,6 @@ def q_r14(spark, sf):
 
 
 # ------------------------------------------------------------------ contracts
-from pyspark.sql import functions as F  # noqa: E402
-
-from claimspark.operators import checks as V  # noqa: E402
-from claimspark.operators import contracts as C  # noqa: E402
-from claimspark.operators import dims as Dm  # noqa: E402
-from claimspark.operators import facts as Fc  # noqa: E402
-from claimspark.operators import notes as N  # noqa: E402
-from claimspark.operators import profile as P  # noqa: E402
-from claimspark.operators import quality as Q  # noqa: E402
-from claimspark.operators import scd2 as H  # noqa: E402
-from claimspark.operators.joins import point_in_time_join  # noqa: E402
-from claimspark.sources import stand_ins as SI  # noqa: E402
-from claimspark.sources.tables import read_table  # noqa: E402
 
 
 def _drift_sql() -> str:
@@ -376,7 +376,6 @@ def q_holder_snapshot_changed(spark, sf):
 
 
 def _latest(snaps):
-    from claimspark.operators.keys import first_by
     return first_by(snaps, ["policyholder_id"], ["snapshot_date"], last=True)
 
 
