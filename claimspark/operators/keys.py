@@ -71,11 +71,13 @@ def dense_key(
     start: int = 1,
     single_task_rows: int = SINGLE_TASK_ROWS,
     rows_per_range: int = ROWS_PER_RANGE,
+    total: int | None = None,
 ) -> DataFrame:
     """Add ``key_col`` = start, start+1, ... following a unique ``order`` (K1).
 
     Equivalent to ``ROW_NUMBER() OVER (ORDER BY order) + start - 1``.  The
-    input is counted first (only the columns the plan needs are read):
+    input is counted first (only the columns the plan needs are read) unless
+    the caller passes its row count as ``total``:
 
     * up to ``single_task_rows`` rows: one global window, a size-checked
       single task;
@@ -87,7 +89,8 @@ def dense_key(
       larger than one offset per range reaches the driver.
     """
     cols = sort_columns(order)
-    total = df.count()
+    if total is None:
+        total = df.count()
     if total <= single_task_rows:
         w = Window.orderBy(*cols)
         return df.withColumn(key_col, (F.row_number().over(w) + F.lit(start - 1)).cast("long"))

@@ -64,39 +64,47 @@ def apply_snapshot(
     mode: str = "null_as_empty",
     key_col: str = "policyholder_key",
     check_duplicates: bool = True,
+    max_key: int | None = None,
 ) -> DataFrame:
     """Apply one dated snapshot to an existing history.
 
     1. close: current rows whose key appears in the snapshot with changed
        tracked values get ``valid_to = snapshot_date``, ``is_current = false``
-       (a left join of the history with the snapshot, then ``when``);
+       (a left join of the current slice with the snapshot, then ``when``);
     2. insert: snapshot rows with no current row of equal tracked values
-       (``left_anti`` against the already closed history) open a version,
-       keyed ``max(key) + 1 ...`` in natural-key order.
-
-    The result is ``closed-or-untouched ∪ inserted``.  Write it to a new
-    path and swap; never overwrite the path being read.  A key repeated
-    within the snapshot is rejected.
+       (``left_anti`` against the already closed current slice) open a
+       version, keyed ``max(key) + 1 ...`` in natural-key order.
+
+    Only the current slice (one row per key) joins the snapshot; closed
+    history passes through untouched, so a history partitioned by
+    ``is_current`` only ever appends to its closed part.  The result is
+    ``closed history ∪ closed-or-untouched current ∪ inserted``.  Write it to
+    a new path and swap; never overwrite the path being read.  A key
+    repeated within the snapshot is rejected.  ``max_key`` skips the
+    aggregate that finds the largest key when the caller knows it.
     """
-    if check_duplicates:
-        dup = snapshot.groupBy(natural_key).count().where("count > 1").limit(1).collect()
-        if dup:
-            raise ValueError(f"snapshot repeats natural key {dup[0][0]!r}")
+    return _apply(dim, snapshot, natural_key, tracked, mode, key_col, check_duplicates, max_key)[0]
+
 
-    snap = snapshot.select(natural_key, "snapshot_date", *tracked).select(
+def _apply(dim, snapshot, natural_key, tracked, mode, key_col, check_duplicates, max_key):
+    if check_duplicates:
+        biggest = snapshot.groupBy(natural_key).count().agg(F.max("count")).first()[0]
+        if biggest and biggest > 1:
+            dup = snapshot.groupBy(natural_key).count().where("count > 1").first()[0]
+            raise ValueError(f"snapshot repeats natural key {dup!r}")
+
+    history = dim.where(~F.col("is_current"))
+    current = dim.where(F.col("is_current"))
+    snap = snapshot.select(
         F.col(natural_key).alias("_s_key"), F.col("snapshot_date").alias("_s_date"),
         *[F.col(t).alias(f"_s_{t}") for t in tracked],
     )
-    joined = dim.join(snap, dim[natural_key] == snap["_s_key"], "left")
-    changed = (
-        F.col("is_current")
-        & F.col("_s_key").isNotNull()
-        & any_changed([(F.col(t), F.col(f"_s_{t}")) for t in tracked], mode)
-    )
+    joined = current.join(snap, current[natural_key] == snap["_s_key"], "left")
+    changed = F.col("_s_key").isNotNull() & any_changed([(F.col(t), F.col(f"_s_{t}")) for t in tracked], mode)
     closed = joined.select(
         *[c for c in dim.columns if c not in ("valid_to", "is_current")],
         F.when(changed, F.col("_s_date")).otherwise(F.col("valid_to")).alias("valid_to"),
-        F.when(changed, F.lit(False)).otherwise(F.col("is_current")).alias("is_current"),
+        F.when(changed, F.lit(False)).otherwise(F.lit(True)).alias("is_current"),
     ).select(*dim.columns)
 
     still_current = closed.where(F.col("is_current")).select(
@@ -105,18 +113,15 @@ def apply_snapshot(
     cond = [snapshot[natural_key] == still_current["_d_key"]] + [
         normalise(snapshot[t], mode).eqNullSafe(still_current[f"_d_{t}"]) for t in tracked
     ]
-    fresh = snapshot.join(still_current, cond, "left_anti")
+    fresh = snapshot.join(still_current, cond, "left_anti").withColumn("valid_from", F.col("snapshot_date")) \
+        .withColumn("valid_to", F.lit(None).cast("date")).withColumn("is_current", F.lit(True))
 
-    max_key = dim.agg(F.max(key_col)).first()[0] or 0
-    inserted = dense_key(
-        fresh.withColumn("valid_from", F.col("snapshot_date"))
-        .withColumn("valid_to", F.lit(None).cast("date"))
-        .withColumn("is_current", F.lit(True)),
-        key_col,
-        [natural_key],
-        start=max_key + 1,
-    )
-    return closed.unionByName(conform(inserted, "dim_policyholder"))
+    if max_key is None:
+        max_key = dim.agg(F.max(key_col)).first()[0] or 0
+    n_fresh = fresh.count()
+    inserted = dense_key(fresh, key_col, [natural_key], start=max_key + 1, total=n_fresh)
+    out = history.unionByName(closed).unionByName(conform(inserted, "dim_policyholder"))
+    return out, max_key + n_fresh
 
 
 def version_counts(dim: DataFrame, natural_key: str = "policyholder_id") -> DataFrame:
@@ -148,22 +153,27 @@ def apply_snapshots(
     snapshots: DataFrame,
     mode: str = "null_as_empty",
     cut_lineage_every: int = 1,
-    **kw,
+    natural_key: str = "policyholder_id",
+    tracked: Sequence[str] = TRACKED_COLUMNS,
+    key_col: str = "policyholder_key",
 ) -> DataFrame:
     """Fold ``apply_snapshot`` over the snapshot dates of ``snapshots`` in order.
 
-    Only the distinct dates reach the driver (one per snapshot).  Every
+    Only the distinct dates reach the driver (one per snapshot), and the
+    running largest key is carried from step to step.  Every
     ``cut_lineage_every`` steps the history is checkpointed to the shared
     checkpoint folder, as an apply writes its new history aside before the
-    swap: the next step's jobs (duplicate test, max key, key offsets) then
-    read that history instead of re-running every earlier step, and the
-    plan does not grow with the number of snapshots.
+    swap: the next step's jobs then read that history instead of re-running
+    every earlier step, and the plan does not grow with the number of
+    snapshots.
     """
     from claimspark.session import checkpoint_dir
 
     dates = [r[0] for r in snapshots.select("snapshot_date").distinct().orderBy("snapshot_date").collect()]
+    max_key = dim.agg(F.max(key_col)).first()[0] or 0
     for i, d in enumerate(dates, 1):
-        dim = apply_snapshot(dim, snapshots.where(F.col("snapshot_date") == F.lit(d)), mode=mode, **kw)
+        step = snapshots.where(F.col("snapshot_date") == F.lit(d))
+        dim, max_key = _apply(dim, step, natural_key, tracked, mode, key_col, True, max_key)
         if cut_lineage_every and i % cut_lineage_every == 0 and i < len(dates):
             checkpoint_dir(dim.sparkSession)
             dim = dim.checkpoint(eager=True)
