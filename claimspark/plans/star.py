@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,60 +33,68 @@ class Star:
     Tables are written under the session's shared checkpoint folder
     (``spark.checkpoint.dir``), as a warehouse writes its silver and gold
     layers; ``materialize=False`` keeps every table a lazy plan instead.
+    Building is serialised by a lock, so queries running in several threads
+    of one session never write the same table twice.
     """
 
     spark: SparkSession
     sf_dir: str
     materialize: bool = True
     root: str = field(default="")
-
-    def _out(self, name: str, df: DataFrame) -> DataFrame:
-        if not self.materialize:
-            return df
-        if not self.root:
-            self.root = f"{checkpoint_dir(self.spark).rstrip('/')}/star-{uuid.uuid4().hex}"
-        return write_table(df, f"{self.root}/{name}")
-
-    @cached_property
+    _tables: dict = field(default_factory=dict, repr=False)
+    _lock: threading.RLock = field(default_factory=threading.RLock, repr=False)
+
+    def _table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        with self._lock:
+            if name not in self._tables:
+                df = build()
+                if self.materialize:
+                    if not self.root:
+                        self.root = f"{checkpoint_dir(self.spark).rstrip('/')}/star-{uuid.uuid4().hex}"
+                    df = write_table(df, f"{self.root}/{name}")
+                self._tables[name] = df
+            return self._tables[name]
+
+    @property
     def claims(self) -> DataFrame:
-        return self._out("claims", stand_ins.claims(self.spark, self.sf_dir))
+        return self._table("claims", lambda: stand_ins.claims(self.spark, self.sf_dir))
 
-    @cached_property
+    @property
     def holder_snapshots(self) -> DataFrame:
-        snaps = conform(stand_ins.holder_snapshots(self.spark, self.sf_dir), "policyholder_snapshot")
-        return self._out("holder_snapshots", snaps)
+        return self._table("holder_snapshots", lambda: conform(
+            stand_ins.holder_snapshots(self.spark, self.sf_dir), "policyholder_snapshot"))
 
-    @cached_property
+    @property
     def dim_date(self) -> DataFrame:
-        start, end = dims.dim_date_range_for(self.claims.select("incident_date"), "incident_date")
-        return self._out("dim_date", dims.generate_dim_date(self.spark, start, end))
+        def build() -> DataFrame:
+            start, end = dims.dim_date_range_for(self.claims.select("incident_date"), "incident_date")
+            return dims.generate_dim_date(self.spark, start, end)
+        return self._table("dim_date", build)
 
-    @cached_property
+    @property
     def dim_policy(self) -> DataFrame:
-        return self._out("dim_policy", dims.build_dim_policy(self.claims))
+        return self._table("dim_policy", lambda: dims.build_dim_policy(self.claims))
 
-    @cached_property
+    @property
     def dim_vehicle(self) -> DataFrame:
-        return self._out("dim_vehicle", dims.build_dim_vehicle(self.claims))
+        return self._table("dim_vehicle", lambda: dims.build_dim_vehicle(self.claims))
 
-    @cached_property
+    @property
     def dim_policyholder(self) -> DataFrame:
-        return self._out("dim_policyholder", scd2.build_history(self.holder_snapshots, mode="strict"))
+        return self._table("dim_policyholder", lambda: scd2.build_history(self.holder_snapshots, mode="strict"))
 
     def fact(self, mode: str = "inner") -> DataFrame:
-        cache = self.__dict__.setdefault("_fact_cache", {})
-        if mode not in cache:
-            built = facts.build_fact(self.claims, self.dim_policy, self.dim_policyholder,
-                                     self.dim_vehicle, self.dim_date, mode=mode)
-            cache[mode] = self._out(f"fact_claims_{mode}", built)
-        return cache[mode]
+        return self._table(f"fact_claims_{mode}", lambda: facts.build_fact(
+            self.claims, self.dim_policy, self.dim_policyholder, self.dim_vehicle, self.dim_date, mode=mode))
 
 
 _STARS: dict[tuple[int, str], Star] = {}
+_STARS_LOCK = threading.Lock()
 
 
 def star_for(spark: SparkSession, sf_dir: str) -> Star:
     key = (id(spark), sf_dir.rstrip("/"))
-    if key not in _STARS:
-        _STARS[key] = Star(spark, sf_dir.rstrip("/"))
-    return _STARS[key]
+    with _STARS_LOCK:
+        if key not in _STARS:
+            _STARS[key] = Star(spark, sf_dir.rstrip("/"))
+        return _STARS[key]
