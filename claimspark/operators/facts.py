@@ -99,3 +99,55 @@ def claims_flat(staged: DataFrame, tie_breaker: str = "claim_id") -> DataFrame:
     """
     keyed = dense_key(staged, "claim_key", ["incident_date", tie_breaker])
     return keyed.select(*FLAT_COLUMNS)
+
+
+DROP_REASONS = ("no_policy", "no_vehicle", "no_holder_version", "no_date")
+
+
+def drop_reasons(
+    claims: DataFrame,
+    dim_policy: DataFrame,
+    dim_policyholder: DataFrame,
+    dim_vehicle: DataFrame,
+    dim_date: DataFrame,
+    mode: str = "inner",
+    holder_id_col: str = "policyholder_id",
+) -> DataFrame:
+    """Claims ``build_fact`` leaves out, counted by the first reason (``reason, claims``).
+
+    Reasons are tested in join order: policy, vehicle, valid holder version,
+    date.  In ``left_keys`` mode a missing policy, vehicle or date keeps the
+    claim (with a NULL key), so only ``no_holder_version`` drops it.  Each
+    lookup is a left join that only flags the match; the validity ranges of
+    one holder never overlap, so the point-in-time lookup matches at most
+    one version and no claim is repeated.  One aggregate at the end.
+    """
+    if mode not in FACT_MODES:
+        raise ValueError(f"mode must be one of {FACT_MODES}")
+    base = claims.select("claim_id", holder_id_col, "auto_make", "auto_model", "auto_year",
+                         F.col("policy_number").cast("string").alias("_pn"),
+                         F.col("incident_date").cast("date").alias("_d"))
+    pol = dim_policy.select(F.col("policy_number").alias("_p_pn"), F.lit(True).alias("_has_policy"))
+    veh = dim_vehicle.select(*[F.col(c).alias(f"_v_{c}") for c in ("auto_make", "auto_model", "auto_year")],
+                             F.lit(True).alias("_has_vehicle"))
+    hold = dim_policyholder.select(F.col("policyholder_id").alias("_h_id"), "valid_from", "valid_to")
+    dates = dim_date.select(F.col("full_date").alias("_dd"), F.lit(True).alias("_has_date"))
+    null_safe = mode == "left_keys"
+    veh_cond = [(base[c].eqNullSafe(veh[f"_v_{c}"]) if null_safe else base[c] == veh[f"_v_{c}"])
+                for c in ("auto_make", "auto_model", "auto_year")]
+    in_range = (F.col("_d") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("_d") < F.col("valid_to")))
+    flagged = (
+        base.join(pol, base["_pn"] == pol["_p_pn"], "left")
+        .join(veh, veh_cond, "left")
+        .join(hold, (F.col(holder_id_col) == F.col("_h_id")) & in_range, "left")
+        .join(dates, F.col("_d") == F.col("_dd"), "left")
+    )
+    strict = mode == "inner"
+    reason = (
+        F.when(F.lit(strict) & F.col("_has_policy").isNull(), "no_policy")
+        .when(F.lit(strict) & F.col("_has_vehicle").isNull(), "no_vehicle")
+        .when(F.col("_h_id").isNull(), "no_holder_version")
+        .when(F.lit(strict) & F.col("_has_date").isNull(), "no_date")
+    )
+    return (flagged.select(reason.alias("reason")).where(F.col("reason").isNotNull())
+            .groupBy("reason").agg(F.count(F.lit(1)).alias("claims")))

@@ -92,3 +92,14 @@ def test_stage_and_flat(spark):
     flat = Fc.claims_flat(staged).orderBy("claim_key").collect()
     assert [(r.claim_key, r.incident_date) for r in flat] == [(1, dt.date(2023, 1, 1)), (2, dt.date(2024, 1, 5))]
     assert Fc.dropped_claims(_claims(spark), staged.select("claim_id")).count() == 1
+
+
+@pytest.mark.parametrize("mode,expected", [("inner", {"no_vehicle": 1, "no_holder_version": 1}),
+                                           ("left_keys", {"no_holder_version": 1})])
+def test_drop_reasons_account_for_every_claim(spark, mode, expected):
+    claims = _claims(spark)
+    dims = (D.build_dim_policy(claims), _holders(spark), D.build_dim_vehicle(claims),
+            D.generate_dim_date(spark, "2023-01-01", "2024-12-31"))
+    drops = {r.reason: r.claims for r in Fc.drop_reasons(claims, *dims, mode=mode).collect()}
+    assert drops == expected
+    assert Fc.build_fact(claims, *dims, mode=mode).count() + sum(drops.values()) == claims.count()
