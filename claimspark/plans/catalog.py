@@ -416,12 +416,19 @@ def q_scd2_nae(spark, sf):
 
 @register("scd2_apply", "SELECT * FROM dim_policyholder_nae")
 def q_scd2_apply(spark, sf):
-    """History of the snapshots before 2001, then each later snapshot applied
-    incrementally in date order; must equal the batch history (same mode)."""
+    """History of the snapshots before 2001 written to an append-only history
+    store, then each later snapshot applied incrementally in date order;
+    the final version must equal the batch history (same mode)."""
+    import uuid
+
+    from claimspark.session import checkpoint_dir
+
     snaps = star_for(spark, sf).holder_snapshots
     cut = F.lit("2001-01-01").cast("date")
-    dim = H.build_history(snaps.where(F.col("snapshot_date") < cut), mode="null_as_empty")
-    return H.apply_snapshots(dim, snaps.where(F.col("snapshot_date") >= cut), mode="null_as_empty")
+    store = H.HistoryStore(spark, f"{checkpoint_dir(spark).rstrip('/')}/history-{uuid.uuid4().hex}")
+    version = store.create(H.build_history(snaps.where(F.col("snapshot_date") < cut), mode="null_as_empty"))
+    version = store.apply_all(version, snaps.where(F.col("snapshot_date") >= cut))
+    return store.read(version)
 
 
 @register("scd2_versions", """

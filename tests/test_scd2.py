@@ -140,3 +140,28 @@ def test_version_reports(spark):
     assert {tuple(r) for r in H.version_distribution(hist).collect()} == {(3, 1), (1, 1)}
     broken = hist.withColumn("is_current", F.lit(True))
     assert [tuple(r) for r in H.multiple_current(broken).collect()] == [("1", 3)]
+
+
+def test_history_store_appends_closed_rows_and_matches_batch(spark, tmp_path):
+    rows = []
+    for r in random_rows(random.Random(9), n_keys=8, n_dates=5):
+        if all((r["policyholder_id"], r["snapshot_date"]) != (x["policyholder_id"], x["snapshot_date"]) for x in rows):
+            rows.append(r)
+    df = to_df(spark, rows).drop("seq")
+    dates = sorted({r["snapshot_date"] for r in rows})
+    store = H.HistoryStore(spark, str(tmp_path / "hist"))
+    v = store.create(H.build_history(df.where(F.col("snapshot_date") == dates[0]), mode="null_as_empty"))
+    v1 = store.apply(v, df.where(F.col("snapshot_date") == dates[1]))
+    closed_v1 = sorted(tuple(r) for r in store.read(v1).where(~F.col("is_current")).collect())
+    v = store.apply_all(v1, df.where(F.col("snapshot_date") > dates[1]))
+    batch = H.build_history(df, mode="null_as_empty")
+    assert sorted((tuple(r) for r in store.read(v).collect()), key=repr) == \
+        sorted((tuple(r) for r in batch.collect()), key=repr)
+    # closed rows of an older version are never rewritten and stay readable
+    assert sorted(tuple(r) for r in store.read(v1).where(~F.col("is_current")).collect()) == closed_v1
+    # re-running an apply overwrites its own version only
+    assert store.apply(v1, df.where(F.col("snapshot_date") == dates[2])) == v1 + 1
+    assert store.read(v1).count() == H.build_history(df.where(F.col("snapshot_date") <= dates[1]),
+                                                     mode="null_as_empty").count()
+    plan = store.current(v)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "is_current" in plan
