@@ -26,7 +26,7 @@ HEADLINE = (
     "fact_claims_inner", "fact_claims_left", "scd2_history", "scd2_apply", "r02_by_state",
     "r06_by_month", "r10_point_in_time", "r12_occupation_rank", "r13_vehicle_risk", "r14_monthly_trend",
     "claims_flat", "risk_bucket", "column_profile", "column_inventory", "holder_snapshot_changed",
-    "dq_report", "orphan_fk_report", "note_parse",
+    "dq_report", "orphan_fk_report", "fact_drops_inner", "note_parse",
 )
 
 

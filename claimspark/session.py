@@ -61,3 +61,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     path = configured or tempfile.mkdtemp(prefix="claimspark-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Starting settings for a run over ``input_bytes`` on ``cores`` executor cores.
+
+    Shuffle partitions start at one per ``target_partition_bytes`` of input
+    (at least two waves of the cores) and AQE coalesces them toward the
+    advisory size at run time, so no partition is sized by a constant that
+    only fits small data.  Scan splits use the same target.  Skewed
+    partitions above 5x the median (and 256 MB) are split by AQE's skew join.
+    """
+    partitions = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+    }

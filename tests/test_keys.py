@@ -36,3 +36,12 @@ def test_first_by_keeps_declared_first_row(spark):
     df = spark.createDataFrame([(1, 3, "late"), (1, 1, "first"), (2, 5, "only")], "key int, pos int, v string")
     out = sorted(tuple(r) for r in first_by(df, ["key"], ["pos"]).collect())
     assert out == [(1, 1, "first"), (2, 5, "only")]
+
+
+def test_cluster_conf_scales_with_input():
+    from claimspark.session import cluster_conf
+
+    big = cluster_conf(100 << 40, cores=8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600
+    small = cluster_conf(1 << 20, cores=8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
