@@ -48,7 +48,8 @@ POLICY_COLUMNS = (
 )
 
 
-def build_dim_policy(claims: DataFrame, first_order: tuple[str, ...] = ("claim_id",)) -> DataFrame:
+def build_dim_policy(claims: DataFrame, first_order: tuple[str, ...] = ("claim_id",),
+                     upper_bound: int | None = None) -> DataFrame:
     """First row per policy, keyed 1..n by policy number.
 
     The key order is the natural key's own type (a numeric policy number
@@ -57,16 +58,20 @@ def build_dim_policy(claims: DataFrame, first_order: tuple[str, ...] = ("claim_i
     present = [c for c in POLICY_COLUMNS if c in claims.columns]
     require_columns(claims, ["policy_number"])
     firsts = first_by(claims.select(*present, *first_order), ["policy_number"], list(first_order))
-    keyed = dense_key(firsts.select(*present), "policy_key", ["policy_number"])
+    keyed = dense_key(firsts.select(*present), "policy_key", ["policy_number"], upper_bound=upper_bound)
     return conform(keyed, "dim_policy")
 
 
-def build_dim_vehicle(claims: DataFrame) -> DataFrame:
-    """Distinct (make, model, year), NULLs sorted last, keyed 1..n."""
+def build_dim_vehicle(claims: DataFrame, upper_bound: int | None = None) -> DataFrame:
+    """Distinct (make, model, year), NULLs sorted last, keyed 1..n.
+
+    ``upper_bound``: a known bound on the distinct count (e.g. the claims'
+    row count), which spares the counting pass when it is small.
+    """
     cols = ["auto_make", "auto_model", "auto_year"]
     require_columns(claims, cols)
     distinct = claims.select(*cols).distinct()
-    keyed = dense_key(distinct, "vehicle_key", [Asc(c, nulls_last=True) for c in cols])
+    keyed = dense_key(distinct, "vehicle_key", [Asc(c, nulls_last=True) for c in cols], upper_bound=upper_bound)
     return conform(keyed, "dim_vehicle")
 
 

@@ -28,6 +28,8 @@ def build_fact(
     mode: str = "inner",
     holder_id_col: str = "policyholder_id",
     claim_order: tuple[str, ...] = CLAIM_ORDER,
+    profiles: dict[str, tuple[int, int]] | None = None,
+    claims_rows: int | None = None,
 ) -> DataFrame:
     """Resolve every claim to its dimension keys.
 
@@ -37,7 +39,10 @@ def build_fact(
     dimension must match (NULL vehicle attributes never match).  Dimensions
     are profiled once for uniqueness and broadcast only under a counted size;
     ``dim_date`` is bounded by its date range.  Claim keys are dense in
-    ``claim_order``.
+    ``claim_order``.  ``profiles`` (``policy``, ``vehicle``, ``date``:
+    ``key_profile`` results) reuse profiles already computed; ``claims_rows``
+    bounds the fact's size (every lookup is many-to-one and versions of one
+    holder never overlap), sparing the count before numbering.
     """
     if mode not in FACT_MODES:
         raise ValueError(f"mode must be one of {FACT_MODES}")
@@ -49,16 +54,19 @@ def build_fact(
         F.col("policy_number").cast("string").alias("_policy_number_text"),
         F.col("incident_date").cast("date").alias("_incident_date"),
     )
+    profiles = profiles or {}
+    null_safe = mode == "left_keys"
     fact = lookup_join(base, dim_policy.select("policy_key", "policy_number"),
-                       [("_policy_number_text", "policy_number")], how)
+                       [("_policy_number_text", "policy_number")], how, profile=profiles.get("policy"))
     fact = lookup_join(fact, dim_vehicle.select("vehicle_key", "auto_make", "auto_model", "auto_year"),
-                       ["auto_make", "auto_model", "auto_year"], how, null_safe=(mode == "left_keys"))
+                       ["auto_make", "auto_model", "auto_year"], how, null_safe=null_safe,
+                       profile=profiles.get("vehicle_null_safe" if null_safe else "vehicle"))
     holder = dim_policyholder.select("policyholder_key", F.col("policyholder_id").alias("_holder_id"),
                                      "valid_from", "valid_to")
     fact = point_in_time_join(fact, holder, holder_id_col, "_holder_id", "_incident_date")
     fact = lookup_join(fact, dim_date.select(F.col("date_key").alias("incident_date_key"), "full_date"),
-                       [("_incident_date", "full_date")], how)
-    keyed = dense_key(fact, "claim_key", list(claim_order))
+                       [("_incident_date", "full_date")], how, profile=profiles.get("date"))
+    keyed = dense_key(fact, "claim_key", list(claim_order), upper_bound=claims_rows)
     return conform(keyed, FACT_CLAIMS)
 
 

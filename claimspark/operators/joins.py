@@ -43,6 +43,7 @@ def lookup_join(
     null_safe: bool = False,
     validate: bool = True,
     max_broadcast_rows: int = BROADCAST_MAX_ROWS,
+    profile: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Many-to-one join of ``fact`` to a dimension.
 
@@ -52,13 +53,16 @@ def lookup_join(
     ``DuplicateKeyError`` before the join runs, and the row count decides
     whether the dimension is broadcast.  ``null_safe`` matches NULL keys to
     each other (``<=>``), which Spark still plans as a hash/sort-merge join.
+    ``profile`` passes an already computed ``key_profile`` of ``dim`` (for the
+    same keys and NULL rule), so a dimension used by several joins is
+    profiled once.
     """
     pairs = [(k, k) if isinstance(k, str) else k for k in on]
     dim_keys = [d for _, d in pairs]
     renamed = dim.select(*[F.col(c).alias(f"_dim_{c}") if c in dim_keys else F.col(c) for c in dim.columns])
     rows = max_broadcast_rows + 1
     if validate:
-        rows, biggest = key_profile(dim, dim_keys, null_safe)
+        rows, biggest = profile if profile is not None else key_profile(dim, dim_keys, null_safe)
         if biggest > 1:
             raise DuplicateKeyError(f"dimension repeats key {dim_keys}: {biggest} rows share one key")
     right = maybe_broadcast(renamed, rows, max_broadcast_rows)

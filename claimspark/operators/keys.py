@@ -72,12 +72,15 @@ def dense_key(
     single_task_rows: int = SINGLE_TASK_ROWS,
     rows_per_range: int = ROWS_PER_RANGE,
     total: int | None = None,
+    upper_bound: int | None = None,
 ) -> DataFrame:
     """Add ``key_col`` = start, start+1, ... following a unique ``order`` (K1).
 
     Equivalent to ``ROW_NUMBER() OVER (ORDER BY order) + start - 1``.  The
     input is counted first (only the columns the plan needs are read) unless
-    the caller passes its row count as ``total``:
+    the caller passes its row count as ``total``, or a proven ``upper_bound``
+    on it (e.g. the counted rows of a table it was derived from) that is
+    already within the single-task limit:
 
     * up to ``single_task_rows`` rows: one global window, a size-checked
       single task;
@@ -89,6 +92,8 @@ def dense_key(
       larger than one offset per range reaches the driver.
     """
     cols = sort_columns(order)
+    if total is None and upper_bound is not None and upper_bound <= single_task_rows:
+        total = upper_bound
     if total is None:
         total = df.count()
     if total <= single_task_rows:

@@ -27,6 +27,7 @@ def build_history(
     date_col: str = "snapshot_date",
     seq_col: str | None = None,
     key_col: str = "policyholder_key",
+    upper_bound: int | None = None,
 ) -> DataFrame:
     """Full history from stacked, dated snapshots (H1-H3).
 
@@ -48,7 +49,7 @@ def build_history(
         .withColumn("is_current", F.col("valid_to").isNull())
     )
     key_order = ["valid_from", natural_key] + ([seq_col] if seq_col else [])
-    keyed = dense_key(versions, key_col, key_order)
+    keyed = dense_key(versions, key_col, key_order, upper_bound=upper_bound)
     return conform(keyed, "dim_policyholder")
 
 

@@ -7,7 +7,8 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from claimspark.operators import dims, facts, scd2
 from claimspark.operators.contracts import conform
@@ -15,15 +16,19 @@ from claimspark.session import checkpoint_dir
 from claimspark.sources import stand_ins
 
 
-def write_table(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` as parquet at ``path`` and return a scan of it.
+def write_table(df: DataFrame, path: str, metrics: dict[str, Column] | None = None) -> tuple[DataFrame, dict]:
+    """Write ``df`` as parquet at ``path``; return a scan of it and write-time metrics.
 
     Cuts the lineage: later size checks, key offsets and joins read the
     written table instead of re-running the plan that produced it, and a
-    lost executor costs a re-read, not a recomputation.
+    lost executor costs a re-read, not a recomputation.  The row count (and
+    any extra ``metrics``) are observed during the write itself, not by a
+    second pass.
     """
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    obs = Observation()
+    extra = [c.alias(n) for n, c in (metrics or {}).items()]
+    df.observe(obs, F.count(F.lit(1)).alias("rows"), *extra).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path), dict(obs.get)
 
 
 @dataclass
@@ -42,22 +47,35 @@ class Star:
     materialize: bool = True
     root: str = field(default="")
     _tables: dict = field(default_factory=dict, repr=False)
+    _metrics: dict = field(default_factory=dict, repr=False)
     _lock: threading.RLock = field(default_factory=threading.RLock, repr=False)
 
-    def _table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    def _table(self, name: str, build: Callable[[], DataFrame],
+               metrics: dict[str, Column] | None = None) -> DataFrame:
         with self._lock:
             if name not in self._tables:
                 df = build()
                 if self.materialize:
                     if not self.root:
                         self.root = f"{checkpoint_dir(self.spark).rstrip('/')}/star-{uuid.uuid4().hex}"
-                    df = write_table(df, f"{self.root}/{name}")
+                    df, self._metrics[name] = write_table(df, f"{self.root}/{name}", metrics)
                 self._tables[name] = df
             return self._tables[name]
 
+    def rows(self, name: str) -> int | None:
+        """Row count observed when ``name`` was written (None for lazy tables)."""
+        return self._metrics.get(name, {}).get("rows")
+
+    def _unique_profile(self, name: str) -> tuple[int, int] | None:
+        # Dimensions of this star are one row per natural key by construction
+        # (first row per policy, distinct vehicles, one row per day).
+        rows = self.rows(name)
+        return None if rows is None else (rows, 1)
+
     @property
     def claims(self) -> DataFrame:
-        return self._table("claims", lambda: stand_ins.claims(self.spark, self.sf_dir))
+        return self._table("claims", lambda: stand_ins.claims(self.spark, self.sf_dir),
+                           {"first_date": F.min("incident_date"), "last_date": F.max("incident_date")})
 
     @property
     def holder_snapshots(self) -> DataFrame:
@@ -67,25 +85,41 @@ class Star:
     @property
     def dim_date(self) -> DataFrame:
         def build() -> DataFrame:
-            start, end = dims.dim_date_range_for(self.claims.select("incident_date"), "incident_date")
+            claims = self.claims
+            m = self._metrics.get("claims")
+            if m and m.get("first_date") is not None:
+                start, end = f"{m['first_date'].year}-01-01", f"{m['last_date'].year}-12-31"
+            else:
+                start, end = dims.dim_date_range_for(claims.select("incident_date"), "incident_date")
             return dims.generate_dim_date(self.spark, start, end)
         return self._table("dim_date", build)
 
     @property
     def dim_policy(self) -> DataFrame:
-        return self._table("dim_policy", lambda: dims.build_dim_policy(self.claims))
+        return self._table("dim_policy", lambda: dims.build_dim_policy(
+            self.claims, upper_bound=self.rows("claims")))
 
     @property
     def dim_vehicle(self) -> DataFrame:
-        return self._table("dim_vehicle", lambda: dims.build_dim_vehicle(self.claims))
+        return self._table("dim_vehicle", lambda: dims.build_dim_vehicle(
+            self.claims, upper_bound=self.rows("claims")))
 
     @property
     def dim_policyholder(self) -> DataFrame:
-        return self._table("dim_policyholder", lambda: scd2.build_history(self.holder_snapshots, mode="strict"))
+        return self._table("dim_policyholder", lambda: scd2.build_history(
+            self.holder_snapshots, mode="strict", upper_bound=self.rows("holder_snapshots")))
 
     def fact(self, mode: str = "inner") -> DataFrame:
-        return self._table(f"fact_claims_{mode}", lambda: facts.build_fact(
-            self.claims, self.dim_policy, self.dim_policyholder, self.dim_vehicle, self.dim_date, mode=mode))
+        def build() -> DataFrame:
+            claims, policy, holder = self.claims, self.dim_policy, self.dim_policyholder
+            vehicle, date = self.dim_vehicle, self.dim_date
+            profiles = {"policy": self._unique_profile("dim_policy"), "vehicle": self._unique_profile("dim_vehicle"),
+                        "vehicle_null_safe": self._unique_profile("dim_vehicle"),
+                        "date": self._unique_profile("dim_date")}
+            return facts.build_fact(claims, policy, holder, vehicle, date, mode=mode,
+                                    profiles={k: v for k, v in profiles.items() if v is not None},
+                                    claims_rows=self.rows("claims"))
+        return self._table(f"fact_claims_{mode}", build)
 
 
 _STARS: dict[tuple[int, str], Star] = {}
