@@ -87,9 +87,17 @@ def apply_snapshot(
     return _apply(dim, snapshot, natural_key, tracked, mode, key_col, check_duplicates, max_key)[0]
 
 
-def _apply(dim, snapshot, natural_key, tracked, mode, key_col, check_duplicates, max_key):
+def _apply(dim, snapshot, natural_key, tracked, mode, key_col, check_duplicates, max_key, count_fresh=True):
+    """One apply step; returns ``(history, new largest key or None)``.
+
+    With ``count_fresh=False`` the inserted rows are not counted: their
+    number is bounded by the snapshot's rows (known from the duplicate test)
+    and the caller observes the new largest key while writing.
+    """
+    snap_rows = None
     if check_duplicates:
-        biggest = snapshot.groupBy(natural_key).count().agg(F.max("count")).first()[0]
+        total, biggest = snapshot.groupBy(natural_key).count().agg(F.sum("count"), F.max("count")).first()
+        snap_rows = int(total or 0)
         if biggest and biggest > 1:
             dup = snapshot.groupBy(natural_key).count().where("count > 1").first()[0]
             raise ValueError(f"snapshot repeats natural key {dup!r}")
@@ -119,10 +127,15 @@ def _apply(dim, snapshot, natural_key, tracked, mode, key_col, check_duplicates,
 
     if max_key is None:
         max_key = dim.agg(F.max(key_col)).first()[0] or 0
-    n_fresh = fresh.count()
-    inserted = dense_key(fresh, key_col, [natural_key], start=max_key + 1, total=n_fresh)
+    if count_fresh:
+        n_fresh = fresh.count()
+        inserted = dense_key(fresh, key_col, [natural_key], start=max_key + 1, total=n_fresh)
+        new_max = max_key + n_fresh
+    else:
+        inserted = dense_key(fresh, key_col, [natural_key], start=max_key + 1, upper_bound=snap_rows)
+        new_max = None
     out = history.unionByName(closed).unionByName(conform(inserted, "dim_policyholder"))
-    return out, max_key + n_fresh
+    return out, new_max
 
 
 def version_counts(dim: DataFrame, natural_key: str = "policyholder_id") -> DataFrame:
@@ -204,6 +217,7 @@ class HistoryStore:
                  key_col: str = "policyholder_key"):
         self.spark, self.root = spark, root.rstrip("/")
         self.natural_key, self.tracked, self.mode, self.key_col = natural_key, tuple(tracked), mode, key_col
+        self._max_key: dict[int, int] = {}
 
     def _version_path(self, version: int) -> str:
         return f"{self.root}/v={version}"
@@ -216,10 +230,19 @@ class HistoryStore:
                               + [T.StructField("v", T.IntegerType()), T.StructField("is_current", T.BooleanType())])
         return self.spark.read.schema(schema).parquet(self.root)
 
+    def _write(self, version: int, dim: DataFrame) -> int:
+        """Write ``dim`` as ``version``, observing its largest key during the write."""
+        from pyspark.sql import Observation
+
+        obs = Observation()
+        dim.observe(obs, F.max(self.key_col).alias("max_key")).write.mode("overwrite") \
+            .partitionBy("is_current").parquet(self._version_path(version))
+        self._max_key[version] = obs.get["max_key"] or 0
+        return version
+
     def create(self, dim: DataFrame) -> int:
         """Write an initial history as version 0."""
-        dim.write.mode("overwrite").partitionBy("is_current").parquet(self._version_path(0))
-        return 0
+        return self._write(0, dim)
 
     def current(self, version: int) -> DataFrame:
         scan = self._scan()
@@ -233,11 +256,12 @@ class HistoryStore:
     def apply(self, version: int, snapshot: DataFrame) -> int:
         """Apply one dated snapshot to version ``version``; returns the new version."""
         current = self.current(version)
-        max_key = current.agg(F.max(self.key_col)).first()[0] or 0
+        max_key = self._max_key.get(version)
+        if max_key is None:
+            max_key = current.agg(F.max(self.key_col)).first()[0] or 0
         updated, _ = _apply(current, snapshot, self.natural_key, self.tracked, self.mode, self.key_col,
-                            True, max_key)
-        updated.write.mode("overwrite").partitionBy("is_current").parquet(self._version_path(version + 1))
-        return version + 1
+                            True, max_key, count_fresh=False)
+        return self._write(version + 1, updated)
 
     def apply_all(self, version: int, snapshots: DataFrame) -> int:
         """Fold ``apply`` over the snapshot dates in order (one distinct date per step reaches the driver)."""

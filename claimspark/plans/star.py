@@ -28,7 +28,7 @@ def write_table(df: DataFrame, path: str, metrics: dict[str, Column] | None = No
     obs = Observation()
     extra = [c.alias(n) for n, c in (metrics or {}).items()]
     df.observe(obs, F.count(F.lit(1)).alias("rows"), *extra).write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path), dict(obs.get)
+    return df.sparkSession.read.schema(df.schema).parquet(path), dict(obs.get)
 
 
 @dataclass

@@ -79,7 +79,7 @@ def materialize(df: DataFrame, name: str, kind: str = "view", path: str | None =
         if path is None:
             raise ValueError("a table needs a path")
         write_parquet(df, path)
-        out = spark.read.parquet(path)
+        out = spark.read.schema(df.schema).parquet(path)
         out.createOrReplaceTempView(name)
         return out
     raise ValueError("kind must be 'view' or 'table'")

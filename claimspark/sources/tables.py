@@ -11,6 +11,28 @@ TABLES = (
 )
 
 
+# Contracts of the driver tables: reading with an explicit schema skips the
+# footer-inference job Spark otherwise runs for every parquet read.
+TABLE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
 # Scans smaller than this are not worth spreading over more tasks.
 SPREAD_MIN_BYTES = 1 << 20
 
@@ -23,7 +45,7 @@ def _size_bytes(df: DataFrame) -> int | None:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, min_splits: int | None = None) -> DataFrame:
-    """Lazy parquet scan; later selects and filters prune and push down.
+    """Lazy parquet scan with the table's contract; later selects and filters prune and push down.
 
     Parquet splits at row-group boundaries, so a file written as one row
     group scans in one task however large it is.  When a scan of at least
@@ -35,7 +57,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, min_splits: int | No
     """
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     floor = spark.sparkContext.defaultParallelism if min_splits is None else min_splits
     if floor > 1 and df.rdd.getNumPartitions() < floor:
         size = _size_bytes(df)
