@@ -62,13 +62,17 @@ def parse_response(raw: Column) -> Column:
 
     Fields: the three enum texts, ``injury_mentioned`` (a JSON boolean
     only), ``status`` and ``raw_response`` (kept unless ``ok``).  Status:
-    ``parse_failed`` when the stripped text is not a JSON object (a list or
-    NULL too); ``invalid_value`` when a present field has a value outside its
+    ``parse_failed`` when the stripped text is not exactly one JSON object
+    (a list, NULL, or an object followed by more text too); ``invalid_value`` when a present field has a value outside its
     set or a non-boolean injury flag; ``incomplete`` when a field is
     missing; else ``ok``.  Enum values are returned as given either way.
     """
     r = strip(raw)
-    is_object = F.json_object_keys(r).isNotNull()
+    # One JSON object and nothing after it: Spark's JSON functions read the
+    # first value and ignore trailing text, so the text is also required to
+    # be exactly one element when wrapped in brackets.
+    single_value = F.json_array_length(F.concat(F.lit("["), r, F.lit("]"))) == 1
+    is_object = F.json_object_keys(r).isNotNull() & F.coalesce(single_value, F.lit(False))
     text = F.from_json(r, "incident_category STRING, at_fault_party STRING, injury_mentioned STRING, "
                           "severity_hint STRING")
     injury = F.from_json(r, "injury_mentioned BOOLEAN")["injury_mentioned"]

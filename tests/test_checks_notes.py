@@ -40,6 +40,10 @@ EDGE_ANSWERS = {
     7: ('  {"incident_category": "fire", "at_fault_party": "unknown", "injury_mentioned": false, '
         '"severity_hint": "severe"}\n', "ok"),
     8: (None, "parse_failed"),
+    9: ('{"incident_category": "fire", "at_fault_party": "unknown", "injury_mentioned": false, '
+        '"severity_hint": "severe"} trailing', "parse_failed"),
+    10: ('{"incident_category": "fire"} {"severity_hint": "minor"}', "parse_failed"),
+    11: ("42", "parse_failed"),
 }
 
 
