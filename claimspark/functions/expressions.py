@@ -63,15 +63,6 @@ def round_rate(numerator: Column, denominator: Column, scale: int = 2) -> Column
                                 denominator.cast("decimal(20,0)")), scale)
 
 
-def exact_avg(c: Column, scale: int) -> Column:
-    """Mean of a decimal column rounded half-up at ``scale`` from the exact quotient.
-
-    ``avg`` on a decimal rounds at 6 places first; dividing the exact sum by
-    the count keeps 15+ places, so a second rounding never moves a digit.
-    """
-    return F.round(F.try_divide(F.sum(c), F.count(c).cast("decimal(20,0)")), scale)
-
-
 # Money is summed as 64-bit integer cents: Spark widens sum(decimal(15,2)) to
 # decimal(25,2), whose aggregation buffer is a BigDecimal object per group.
 # A long sum is exact up to +-9.2e16 currency units, and ANSI arithmetic
