@@ -100,12 +100,13 @@ FLAT_COLUMNS = (
 )
 
 
-def claims_flat(staged: DataFrame, tie_breaker: str = "claim_id") -> DataFrame:
+def claims_flat(staged: DataFrame, tie_breaker: str = "claim_id", **key_options) -> DataFrame:
     """Flat claims mart: staged claims numbered by incident date.
 
     The date alone ties; ``tie_breaker`` makes the numbering deterministic.
+    ``key_options`` go to ``dense_key`` (e.g. its single-task limit).
     """
-    keyed = dense_key(staged, "claim_key", ["incident_date", tie_breaker])
+    keyed = dense_key(staged, "claim_key", ["incident_date", tie_breaker], **key_options)
     return keyed.select(*FLAT_COLUMNS)
 
 
