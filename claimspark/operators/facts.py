@@ -9,6 +9,10 @@ from claimspark.operators.contracts import FACT_CLAIMS, conform, require_columns
 from claimspark.operators.joins import lookup_join, point_in_time_join
 from claimspark.operators.keys import dense_key
 
+# ---------------------------------------------------------------------------
+# Fact modes, the claim's descriptive and measure columns, and
+# the column lists of the staging model and the flat mart (further below).
+# ---------------------------------------------------------------------------
 FACT_MODES = ("left_keys", "inner")
 # Unique order for claim keys: date, policy, then the claim's own id.
 CLAIM_ORDER = ("incident_date", "policy_number", "claim_id")

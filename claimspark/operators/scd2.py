@@ -16,6 +16,9 @@ from claimspark.functions.expressions import any_changed, normalise
 from claimspark.operators.contracts import conform
 from claimspark.operators.keys import dense_key
 
+# ---------------------------------------------------------------------------
+# The attributes whose change opens a new version.
+# ---------------------------------------------------------------------------
 TRACKED_COLUMNS = ("zip_code", "relationship", "occupation")
 
 
