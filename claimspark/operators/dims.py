@@ -117,13 +117,16 @@ def create_snapshot(
     base: DataFrame,
     snapshot_date: str | dt.date,
     changes: DataFrame | Mapping[str, Mapping[str, object]] | None = None,
+    columns: list[str] | None = None,
 ) -> DataFrame:
     """Copy of ``base`` dated ``snapshot_date`` with per-holder overrides.
 
     ``changes`` is a table ``(policyholder_id, column, value)`` or a small
     mapping ``{id: {column: value}}``.  It is pivoted to one row per holder
     and left-joined on the string id; unknown ids are ignored.  Only the
-    named columns change; a change to NULL is applied as NULL.
+    named columns change; a change to NULL is applied as NULL.  ``columns``
+    names the columns the change table may touch; without it their distinct
+    names are collected (one small job).
     """
     out = base.withColumn("snapshot_date", F.lit(str(snapshot_date)).cast("date"))
     if changes is None:
@@ -132,7 +135,8 @@ def create_snapshot(
     if isinstance(changes, Mapping):
         rows = [(str(k), c, None if v is None else str(v)) for k, cs in changes.items() for c, v in cs.items()]
         changes = spark.createDataFrame(rows, "policyholder_id string, column string, value string")
-    columns = [r[0] for r in changes.select("column").distinct().collect()]
+    if columns is None:
+        columns = [r[0] for r in changes.select("column").distinct().collect()]
     unknown = set(columns) - set(POLICYHOLDER_SNAPSHOT.fieldNames())
     if unknown or "policyholder_id" in columns:
         raise ValueError(f"cannot change columns {sorted(unknown | ({'policyholder_id'} & set(columns)))}")

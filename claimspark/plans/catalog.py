@@ -422,7 +422,7 @@ def q_holder_snapshot_changed(spark, sf):
     changes = last.selectExpr(
         "policyholder_id",
         "stack(3, 'occupation', occupation, 'relationship', relationship, 'zip_code', zip_code) AS (column, value)")
-    return Dm.create_snapshot(base, "2002-01-01", changes)
+    return Dm.create_snapshot(base, "2002-01-01", changes, columns=list(H.TRACKED_COLUMNS))
 
 
 def _latest(snaps):
