@@ -7,12 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Java's \s class: space, \t, \n, \x0B, \f, \r.
-_OUTER_SPACE = r"^\s+|\s+$"
+# ---------------------------------------------------------------------------
+# The characters Python's str.strip() removes by default (every
+# character whose str.isspace() is true), as a Java regex class.
+# ---------------------------------------------------------------------------
+WHITESPACE_CLASS = (r"[\t\n\x0B\f\r\x1C-\x1F \x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F"
+                    r"\u205F\u3000]")
+_OUTER_SPACE = f"^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$"
 
 
 def strip(c: Column) -> Column:
-    """Remove outer whitespace (tabs and newlines too, unlike ``trim``)."""
+    """Remove outer whitespace as ``str.strip()`` does (tabs, newlines and
+    Unicode spaces too, unlike ``trim``)."""
     return F.regexp_replace(c, _OUTER_SPACE, "")
 
 

@@ -589,7 +589,7 @@ def q_note_prompt(spark, sf):
 
 
 def _parse_sql() -> str:
-    r = "regexp_replace(props, '^\\s+|\\s+$', '', 'g')"
+    r = f"regexp_replace(props, '{O.OUTER_SPACE}', '', 'g')"
     obj = f"(props IS NOT NULL AND json_valid({r}) AND json_type({r}) = 'OBJECT')"
     fields = {f: f"json_extract_string({r}, '$.{f}')" for f in ("incident_category", "at_fault_party", "severity_hint")}
     inj_type = f"json_type({r}, '$.injury_mentioned')"

@@ -11,6 +11,10 @@ import re
 
 CTES: dict[str, str] = {}
 
+# Python's str.strip() whitespace (see functions.expressions), in RE2 syntax.
+_WS = r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+OUTER_SPACE = f"^{_WS}+|{_WS}+$"
+
 
 def cte(name: str, body: str) -> None:
     CTES[name] = body.strip()
@@ -151,13 +155,13 @@ FROM (SELECT DISTINCT auto_make, auto_model, auto_year FROM claims)
 def history_sql(source: str, mode: str) -> str:
     """Type-2 history of a snapshot relation, in the given change mode."""
     if mode == "strict":
-        norm = "regexp_replace(CAST({c} AS VARCHAR), '^\\s+|\\s+$', '', 'g')"
+        norm = "regexp_replace(CAST({c} AS VARCHAR), '" + OUTER_SPACE + "', '', 'g')"
     else:
         norm = "COALESCE(CAST({c} AS VARCHAR), '')"
     tracked = ("zip_code", "relationship", "occupation")
     w = "OVER (PARTITION BY policyholder_id ORDER BY snapshot_date)"
     changed = " OR ".join(
-        f"LAG({norm.format(c=t)}) {w} IS DISTINCT FROM {norm.format(c=t)}" for t in tracked
+        f"LAG({norm.replace('{c}', t)}) {w} IS DISTINCT FROM {norm.replace('{c}', t)}" for t in tracked
     )
     return f"""
 SELECT CAST(ROW_NUMBER() OVER (ORDER BY snapshot_date, policyholder_id) AS BIGINT) AS policyholder_key,

@@ -48,3 +48,13 @@ def test_rate_is_exact_half_up(spark, num, extra):
         return
     q, r = divmod(num * 10000, den)
     assert got == Decimal(q + (1 if 2 * r >= den else 0)) / 100
+
+
+def test_strip_matches_python_whitespace(spark):
+    from claimspark.functions.expressions import strip
+
+    spaces = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+    values = [spaces + "a b" + spaces, " x\x1c", "​ y", "plain", None, spaces]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    got = [r.s for r in df.select(strip(F.col("v")).alias("s")).collect()]
+    assert got == [None if v is None else v.strip() for v in values]
