@@ -44,7 +44,8 @@ def build_fact(
     are profiled once for uniqueness and broadcast only under a counted size;
     ``dim_date`` is bounded by its date range.  Claim keys are dense in
     ``claim_order``.  ``profiles`` (``policy``, ``vehicle``, ``date``:
-    ``key_profile`` results) reuse profiles already computed; ``claims_rows``
+    ``key_profile`` results; ``holder``: its counted rows first) reuse
+    profiles already computed; ``claims_rows``
     bounds the fact's size (every lookup is many-to-one and versions of one
     holder never overlap), sparing the count before numbering.
     """
@@ -67,7 +68,8 @@ def build_fact(
                        profile=profiles.get("vehicle_null_safe" if null_safe else "vehicle"))
     holder = dim_policyholder.select("policyholder_key", F.col("policyholder_id").alias("_holder_id"),
                                      "valid_from", "valid_to")
-    fact = point_in_time_join(fact, holder, holder_id_col, "_holder_id", "_incident_date")
+    holder_rows = (profiles.get("holder") or (None,))[0]
+    fact = point_in_time_join(fact, holder, holder_id_col, "_holder_id", "_incident_date", dim_rows=holder_rows)
     fact = lookup_join(fact, dim_date.select(F.col("date_key").alias("incident_date_key"), "full_date"),
                        [("_incident_date", "full_date")], how, profile=profiles.get("date"))
     keyed = dense_key(fact, "claim_key", list(claim_order), upper_bound=claims_rows)

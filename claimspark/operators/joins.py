@@ -83,6 +83,8 @@ def point_in_time_join(
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
     closed: bool = False,
+    dim_rows: int | None = None,
+    max_broadcast_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Inner join to the version valid on ``fact_date``.
 
@@ -91,9 +93,13 @@ def point_in_time_join(
     9999-12-31)``.  The natural key is the equi-join key and the range a
     residual, so Spark plans a hash or sort-merge join, never a nested
     loop; facts with no valid version are dropped.  A hot key on the fact
-    side is split by AQE's skew join.
+    side is split by AQE's skew join.  With a counted ``dim_rows`` at most
+    ``max_broadcast_rows`` the versions are broadcast; otherwise Spark's
+    size statistics and AQE choose.
     """
     d = dim.select(*[F.col(c).alias(f"_v_{c}") if c == dim_key else F.col(c) for c in dim.columns])
+    if dim_rows is not None:
+        d = maybe_broadcast(d, dim_rows, max_broadcast_rows)
     date = fact[fact_date]
     if closed:
         rng = (date >= d[valid_from]) & (date <= F.coalesce(d[valid_to], F.lit("9999-12-31").cast("date")))

@@ -115,7 +115,8 @@ class Star:
             vehicle, date = self.dim_vehicle, self.dim_date
             profiles = {"policy": self._unique_profile("dim_policy"), "vehicle": self._unique_profile("dim_vehicle"),
                         "vehicle_null_safe": self._unique_profile("dim_vehicle"),
-                        "date": self._unique_profile("dim_date")}
+                        "date": self._unique_profile("dim_date"),
+                        "holder": self._unique_profile("dim_policyholder")}
             return facts.build_fact(claims, policy, holder, vehicle, date, mode=mode,
                                     profiles={k: v for k, v in profiles.items() if v is not None},
                                     claims_rows=self.rows("claims"))
