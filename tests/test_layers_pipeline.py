@@ -49,3 +49,12 @@ def test_build_warehouse_checks_and_marts(spark, tmp_path):
     assert all(r.passed for r in report), [r for r in report if not r.passed]
     marts = pipeline.run_marts(w)
     assert marts["r01_total"].count() == 1 and marts["r14_monthly_trend"].count() > 0
+
+
+def test_command_line_warehouse(spark, tmp_path):
+    from claimspark.__main__ import main
+
+    out = tmp_path / "wh"
+    assert main(["warehouse", "--input", SF_SMALL, "--out", str(out)]) == 0
+    assert spark.read.parquet(str(out / "marts" / "r12_occupation_rank")).count() > 0
+    assert all(r.passed for r in spark.read.parquet(str(out / "checks")).collect())
