@@ -71,8 +71,10 @@ def parse_response(raw: Column) -> Column:
     # One JSON object and nothing after it: Spark's JSON functions read the
     # first value and ignore trailing text, so the text is also required to
     # be exactly one element when wrapped in brackets.
+    # be exactly one element when wrapped in brackets.  A single valid value
+    # whose text starts with '{' is an object, so no second parse is needed.
     single_value = F.json_array_length(F.concat(F.lit("["), r, F.lit("]"))) == 1
-    is_object = F.json_object_keys(r).isNotNull() & F.coalesce(single_value, F.lit(False))
+    is_object = F.coalesce(single_value, F.lit(False)) & r.startswith("{")
     text = F.from_json(r, "incident_category STRING, at_fault_party STRING, injury_mentioned STRING, "
                           "severity_hint STRING")
     injury = F.from_json(r, "injury_mentioned BOOLEAN")["injury_mentioned"]
