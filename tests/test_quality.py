@@ -56,3 +56,13 @@ def test_observed_row_count(spark, tmp_path):
     df, obs = Q.with_row_count(spark.range(42))
     df.write.parquet(str(tmp_path / "out"))
     assert obs.get["input_rows"] == 42
+
+
+def test_persist_for_reuse_spills_to_disk(spark):
+    df = Q.persist_for_reuse(spark.range(100))
+    try:
+        level = df.storageLevel
+        assert level.useMemory and level.useDisk
+        assert df.count() == 100 and df.count() == 100
+    finally:
+        df.unpersist()
