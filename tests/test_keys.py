@@ -45,3 +45,41 @@ def test_cluster_conf_scales_with_input():
     assert int(big["spark.sql.shuffle.partitions"]) == 409600
     small = cluster_conf(1 << 20, cores=8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
+
+
+class _FakeContext:
+    def __init__(self, master, current=None):
+        self.master, self._dir = master, current
+
+    def getCheckpointDir(self):
+        return self._dir
+
+    def setCheckpointDir(self, path):
+        self._dir = path
+
+
+class _FakeConf:
+    def __init__(self, values):
+        self.values = values
+
+    def get(self, key, default=None):
+        return self.values.get(key, default)
+
+
+class _FakeSession:
+    def __init__(self, master, conf=None, current=None):
+        self.sparkContext = _FakeContext(master, current)
+        self.conf = _FakeConf(conf or {})
+
+
+def test_checkpoint_dir_rules(tmp_path):
+    import pytest
+
+    from claimspark.session import checkpoint_dir
+
+    shared = str(tmp_path / "shared")
+    assert checkpoint_dir(_FakeSession("yarn", {"spark.checkpoint.dir": shared})) == shared
+    assert checkpoint_dir(_FakeSession("yarn", current="hdfs://nn/ckpt")) == "hdfs://nn/ckpt"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(_FakeSession("k8s://cluster"))
+    assert checkpoint_dir(_FakeSession("local[2]"))      # only a local session gets a scratch folder
