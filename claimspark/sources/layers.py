@@ -48,11 +48,15 @@ def load_with_drift_check(
 def write_partitioned(df: DataFrame, path: str, by: str | list[str], mode: str = "overwrite") -> None:
     """Parquet with one folder per value of ``by`` (S4); later filters on it prune folders.
 
-    Rows are clustered by the partition columns first, so each task writes
-    few files per partition value instead of one per value it happens to see.
+    Rows are clustered by the partition columns with a ``rebalance`` hint, so
+    each task writes few files per value, and AQE splits a value that holds
+    a large share of the rows (a risk bucket can hold a third of them) into
+    advisory-size chunks instead of one task writing it all.  A plain
+    ``repartition`` on a low-cardinality column would funnel each value
+    through a single task.
     """
     cols = [by] if isinstance(by, str) else list(by)
-    df.repartition(*cols).write.mode(mode).partitionBy(*cols).parquet(path)
+    df.hint("rebalance", *cols).write.mode(mode).partitionBy(*cols).parquet(path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -58,3 +58,19 @@ def test_command_line_warehouse(spark, tmp_path):
     assert main(["warehouse", "--input", SF_SMALL, "--out", str(out)]) == 0
     assert spark.read.parquet(str(out / "marts" / "r12_occupation_rank")).count() > 0
     assert all(r.passed for r in spark.read.parquet(str(out / "checks")).collect())
+
+
+def test_partitioned_write_splits_a_hot_value(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    # one value holds every row; with a small advisory size AQE must split it
+    df = spark.range(200_000).select(F.lit("HOT").alias("bucket"), F.col("id"))
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        layers.write_partitioned(df, str(tmp_path / "p"), "bucket")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    files = [f for f in os.listdir(tmp_path / "p" / "bucket=HOT") if f.endswith(".parquet")]
+    assert len(files) > 1
+    assert spark.read.parquet(str(tmp_path / "p")).count() == 200_000
