@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 def as_array(column: pa.Array | pa.ChunkedArray) -> pa.Array:

@@ -30,7 +30,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from claimspark.llm.arrowtext import as_array, list_array, text_slices, with_columns
 
 #: Pre-token units remembered by one Python worker; beyond it the memory starts anew.
-CACHE_UNITS = 400_000
+CACHE_UNITS = 100_000
 
 
 def byte_characters() -> list[str]:

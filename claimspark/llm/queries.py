@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimspark.llm import bpe, distribution, vafile
+from claimspark.llm import bpe, distribution, secrets, vafile
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -27,6 +27,22 @@ def op1_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distribution.judge(_read(spark, sf_dir, "documents"))
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find(docs).drop("text")
+
+    def of(*kinds: str) -> Column:
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    def listed(spans: Column | str) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+            ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    return found.select(
+        "doc_id", *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in secrets.BASE_KINDS],
+        F.sha2(listed(of(*secrets.BASE_KINDS)), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
 def op7_vafile(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = vafile.integer_vectors(_read(spark, sf_dir, "embeddings"), "vec_id", "embedding", 256)
     return vafile.top_k(vectors, vectors.where(F.col("id") % 50 == 0), k=5)
@@ -46,6 +62,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_distribution": op1_distribution,
+    "op6_secrets": op6_secrets,
     "op7_vafile": op7_vafile,
     "op9_bpe": op9_bpe,
 }
