@@ -7,7 +7,7 @@ other than space and U+0009 to U+000D.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -82,3 +82,35 @@ def with_columns(batch: pa.RecordBatch, schema: pa.Schema, **columns: pa.Array)
     arrays = [columns[f.name] if f.name in columns else batch.column(f.name) for f in schema]
     return pa.RecordBatch.from_arrays(
         [a if a.type == f.type else a.cast(f.type) for a, f in zip(arrays, schema, strict=True)], schema=schema)
+
+
+class Remembered:
+    """What was worked out for strings before, in bounded memory: the newer half is kept when it is full."""
+
+    def __init__(self, work: Callable[[list[str]], list[np.ndarray]], most: int):
+        self.work, self.half = work, most // 2
+        self.new: dict[str, np.ndarray] = {}
+        self.old: dict[str, np.ndarray] = {}
+
+    def __call__(self, names: list[str]) -> list[np.ndarray]:
+        new, old = self.new, self.old
+        out = [new.get(n) for n in names]
+        missing = []
+        for i, x in enumerate(out):
+            if x is None:
+                x = old.get(names[i])
+                if x is None:
+                    missing.append(i)
+                else:
+                    out[i] = new[names[i]] = x
+        for i, x in zip(missing, self.work([names[i] for i in missing]) if missing else [], strict=True):
+            out[i] = new[names[i]] = x
+        if len(new) > self.half:
+            self.old, self.new = new, {}
+        return out
+
+
+def ragged_take(values: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The stretches ``values[start:start + count]``, one after another."""
+    group, place = ragged(counts)
+    return values[starts[group] + place]

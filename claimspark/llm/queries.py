@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimspark.llm import bpe, distribution, secrets, vafile
+from claimspark.llm import bpe, distribution, packing, secrets, vafile
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -48,6 +48,11 @@ def op7_vafile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vafile.top_k(vectors, vectors.where(F.col("id") % 50 == 0), k=5)
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = packing.tokenized(_read(spark, sf_dir, "documents"), public_file("word_bpe_49k.json"), window=2048, end_id=1)
+    return packing.pack(tokens, window=2048)
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -64,5 +69,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_distribution": op1_distribution,
     "op6_secrets": op6_secrets,
     "op7_vafile": op7_vafile,
+    "op8_packing": op8_packing,
     "op9_bpe": op9_bpe,
 }
