@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimspark.llm import bpe, distribution, packing, secrets, vafile
+from claimspark.llm import bpe, distribution, packing, repeats, secrets, vafile
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -65,10 +65,19 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.remove(_read(spark, sf_dir, "documents").select("doc_id", "text"), length=50)
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"])
+    return cut.select(
+        "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), gone.alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_distribution": op1_distribution,
     "op6_secrets": op6_secrets,
     "op7_vafile": op7_vafile,
     "op8_packing": op8_packing,
     "op9_bpe": op9_bpe,
+    "op10_repeats": op10_repeats,
 }
