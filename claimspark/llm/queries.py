@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimspark.llm import bpe, distribution, packing, repeats, secrets, vafile
+from claimspark.llm import bpe, distribution, lshforest, packing, repeats, secrets, vafile
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op1_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distribution.judge(_read(spark, sf_dir, "documents"))
 
 
+def op5_lshforest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lshforest.classes(_read(spark, sf_dir, "documents"), width=5, percent=85)
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     found = secrets.find(docs).drop("text")
@@ -75,6 +79,7 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_distribution": op1_distribution,
+    "op5_lshforest": op5_lshforest,
     "op6_secrets": op6_secrets,
     "op7_vafile": op7_vafile,
     "op8_packing": op8_packing,
