@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimspark.llm import bpe, distribution, lshforest, packing, repeats, secrets, vafile
+from claimspark.llm import bpe, distribution, langcrf, lshforest, packing, repeats, secrets, vafile
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -27,6 +27,12 @@ def op1_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distribution.judge(_read(spark, sf_dir, "documents"))
 
 
+def op2_langcrf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang", langcrf.held_out("doc_id", 4, 2).alias("held_out"))
+    model = langcrf.learn(docs.where(~F.col("held_out")))
+    return langcrf.identify(docs.select("doc_id", "text", "held_out"), model).drop("text")
+
+
 def op5_lshforest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lshforest.classes(_read(spark, sf_dir, "documents"), width=5, percent=85)
 
@@ -79,6 +85,7 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_distribution": op1_distribution,
+    "op2_langcrf": op2_langcrf,
     "op5_lshforest": op5_lshforest,
     "op6_secrets": op6_secrets,
     "op7_vafile": op7_vafile,
