@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimspark.llm import bpe, distribution, langcrf, lshforest, packing, repeats, secrets, vafile
+from claimspark.llm import bpe, distribution, idfiles, langcrf, lshforest, packing, repeats, secrets, vafile, wordlm
+from claimspark.llm.store import written
+from claimspark.session import checkpoint_dir
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -33,6 +36,17 @@ def op2_langcrf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langcrf.identify(docs.select("doc_id", "text", "held_out"), model).drop("text")
 
 
+def op3_grulm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wordlm.score(_read(spark, sf_dir, "documents"), langcrf.held_out("doc_id", 5, 1))
+
+
+def op4_mixcoder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{checkpoint_dir(spark).rstrip('/')}/ids-{uuid.uuid4().hex}"
+    idfiles.write(_read(spark, sf_dir, "documents"), path, public_file("word_bpe_49k.json"), end_id=1)
+    pieces = written(idfiles.read(spark, path).withColumn("crc", F.crc32("ids")).drop("ids"), "pieces")
+    return idfiles.documents(pieces)
+
+
 def op5_lshforest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lshforest.classes(_read(spark, sf_dir, "documents"), width=5, percent=85)
 
@@ -86,6 +100,8 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_distribution": op1_distribution,
     "op2_langcrf": op2_langcrf,
+    "op3_grulm": op3_grulm,
+    "op4_mixcoder": op4_mixcoder,
     "op5_lshforest": op5_lshforest,
     "op6_secrets": op6_secrets,
     "op7_vafile": op7_vafile,
