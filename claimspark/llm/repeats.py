@@ -488,7 +488,8 @@ def rolling_rows(rows: np.ndarray) -> np.ndarray:
 
 def remove(docs: DataFrame, length: int = 50, gram: int = 24, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
-    """``docs`` with ``removed`` (array of byte ranges, end exclusive) and ``kept`` (the remaining bytes)."""
+    """``docs`` with ``removed`` (array of byte ranges, end exclusive), ``kept`` (the remaining bytes) and
+    ``kept_text`` (the characters that lost no byte)."""
     spark = docs.sparkSession
     mark = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     light = (docs.where(F.col(id_col).isNotNull() & (F.octet_length(text_col) >= length))
@@ -514,10 +515,18 @@ def remove(docs: DataFrame, length: int = 50, gram: int = 24, id_col: str = "doc
     return _cut_out(joined, text_col)
 
 
+def _picked(data: np.ndarray, offsets: np.ndarray, keep: np.ndarray) -> list[bytes]:
+    """The bytes to keep of each text."""
+    left = np.concatenate(([0], np.cumsum(keep)))[offsets]
+    kept = data[keep].tobytes()
+    return [kept[s:e] for s, e in zip(left[:-1].tolist(), left[1:].tolist(), strict=True)]
+
+
 def _cut_out(df: DataFrame, text_col: str) -> DataFrame:
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
-    fields = [f for f in df.schema.fields if f.name not in ("_ranges", "removed", "kept")]
-    schema = T.StructType([*fields, T.StructField("removed", T.ArrayType(span)), T.StructField("kept", T.BinaryType())])
+    fields = [f for f in df.schema.fields if f.name not in ("_ranges", "removed", "kept", "kept_text")]
+    schema = T.StructType([*fields, T.StructField("removed", T.ArrayType(span)), T.StructField("kept", T.BinaryType()),
+                           T.StructField("kept_text", T.StringType())])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -531,13 +540,13 @@ def _cut_out(df: DataFrame, text_col: str) -> DataFrame:
                 gone = np.zeros(len(data), dtype=bool)
                 size = every[:, 1] - every[:, 0]
                 gone[ragged_take(np.arange(len(data)), every[:, 0] + base, size)] = True
-                left = np.concatenate(([0], np.cumsum(~gone)))[offsets]
-                kept = data[~gone].tobytes()
+                character = np.cumsum((data & 0xC0) != 0x80)
+                whole = ~(np.bincount(character, weights=gone, minlength=1) > 0)[character]
                 yield with_columns(
                     part, arrow,
                     removed=pa.array([[{"start": int(s), "end": int(e)} for s, e in x] for x in spans],
                                      arrow.field("removed").type),
-                    kept=pa.array([kept[s:e] for s, e in zip(left[:-1].tolist(), left[1:].tolist(), strict=True)],
-                                  pa.binary()))
+                    kept=pa.array(_picked(data, offsets, ~gone), pa.binary()),
+                    kept_text=pa.array([x.decode() for x in _picked(data, offsets, whole)], pa.string()))
 
     return df.mapInArrow(run, schema)
