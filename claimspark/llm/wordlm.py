@@ -160,7 +160,7 @@ def rare_words(docs: DataFrame, counts: Counts, buckets: int) -> DataFrame:
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for flush, table in _flushes(batches):
             codes, offsets, words, train = _words(table)
-            rare = np.array([w not in vocabulary for w in words], dtype=bool)
+            rare = np.array([w not in vocabulary and w != "" for w in words], dtype=bool)
             text = np.repeat(np.arange(len(train)), np.diff(offsets))
             count = np.bincount(codes[train[text]], minlength=len(words)) if len(codes) else np.zeros(0, np.int64)
             held = rare[codes] if len(codes) else np.zeros(0, bool)
