@@ -87,12 +87,12 @@ def with_columns(batch: pa.RecordBatch, schema: pa.Schema, **columns: pa.Array)
 class Remembered:
     """What was worked out for strings before, in bounded memory: the newer half is kept when it is full."""
 
-    def __init__(self, work: Callable[[list[str]], list[np.ndarray]], most: int):
+    def __init__(self, work: Callable[[list[str]], list], most: int):
         self.work, self.half = work, most // 2
-        self.new: dict[str, np.ndarray] = {}
-        self.old: dict[str, np.ndarray] = {}
+        self.new: dict = {}
+        self.old: dict = {}
 
-    def __call__(self, names: list[str]) -> list[np.ndarray]:
+    def __call__(self, names: list[str]) -> list:
         new, old = self.new, self.old
         out = [new.get(n) for n in names]
         missing = []
@@ -112,5 +112,5 @@ class Remembered:
 
 def ragged_take(values: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The stretches ``values[start:start + count]``, one after another."""
-    group, place = ragged(counts)
-    return values[starts[group] + place]
+    before = np.cumsum(counts) - counts
+    return values[np.arange(int(np.sum(counts))) + np.repeat(starts - before, counts)]

@@ -179,42 +179,44 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
-def _mapped(df: DataFrame, column: T.StructField,
-            work: Callable[[pa.RecordBatch], Iterator[tuple[pa.RecordBatch, pa.Array]]]) -> DataFrame:
-    """``df`` with ``column`` added (or replaced), made batch by batch."""
-    fields = [f for f in df.schema.fields if f.name != column.name]
-    schema = T.StructType([*fields, column])
+def _mapped(df: DataFrame, columns: list[T.StructField],
+            work: Callable[[pa.RecordBatch], Iterator[tuple[pa.RecordBatch, dict[str, pa.Array]]]]) -> DataFrame:
+    """``df`` with ``columns`` added (or replaced), made batch by batch."""
+    names = {c.name for c in columns}
+    schema = T.StructType([*[f for f in df.schema.fields if f.name not in names], *columns])
     arrow = to_arrow_schema(schema)
-    name = column.name
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, made in work(batch):
-                yield with_columns(part, arrow, **{name: made})
+                yield with_columns(part, arrow, **made)
 
     return df.mapInArrow(run, schema)
 
 
 def encode(df: DataFrame, vocabulary: Callable[[], str], pattern: str, text_col: str = "text",
-           ids_col: str = "ids") -> DataFrame:
+           ids_col: str = "ids", bytes_col: str | None = None) -> DataFrame:
     """Add ``ids_col`` (array of int), the ids of ``text_col``.
 
+    With ``bytes_col`` the ids are also decoded again in the same task.
     ``vocabulary`` gives the rank file's path and is called in the task, so
     each executor finds its own copy.
     """
-    def work(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    def work(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, dict[str, pa.Array]]]:
         c = codec(vocabulary(), pattern)
         for part in text_slices(batch, text_col):
-            yield part, c.encode(part.column(text_col))
+            ids = c.encode(part.column(text_col))
+            yield part, {ids_col: ids} | ({bytes_col: c.decode(ids)} if bytes_col else {})
 
-    return _mapped(df, T.StructField(ids_col, T.ArrayType(T.IntegerType(), False)), work)
+    columns = [T.StructField(ids_col, T.ArrayType(T.IntegerType(), False))]
+    return _mapped(df, columns + ([T.StructField(bytes_col, T.BinaryType())] if bytes_col else []), work)
 
 
 def decode(df: DataFrame, vocabulary: Callable[[], str], pattern: str, ids_col: str = "ids",
            bytes_col: str = "decoded") -> DataFrame:
     """Add ``bytes_col`` (binary), the bytes that the ids stand for."""
-    def work(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    def work(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, dict[str, pa.Array]]]:
         if batch.num_rows:
-            yield batch, codec(vocabulary(), pattern).decode(batch.column(ids_col))
+            yield batch, {bytes_col: codec(vocabulary(), pattern).decode(batch.column(ids_col))}
 
-    return _mapped(df, T.StructField(bytes_col, T.BinaryType()), work)
+    return _mapped(df, [T.StructField(bytes_col, T.BinaryType())], work)

@@ -82,7 +82,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     vocabulary, pattern = public_file("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
-    both = bpe.decode(bpe.encode(docs, vocabulary, pattern).drop("text"), vocabulary, pattern)
+    both = bpe.encode(docs, vocabulary, pattern, bytes_col="decoded")
     return both.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
