@@ -62,8 +62,7 @@ HOLDER_RENAMES = {
 HOLDER_SOURCE_COLUMNS = ("policy_number", "age", *list(HOLDER_RENAMES)[1:])
 
 
-def build_dim_policy(claims: DataFrame, first_order: tuple[str, ...] = ("claim_id",),
-                     upper_bound: int | None = None) -> DataFrame:
+def build_dim_policy(claims: DataFrame, first_order: tuple[str, ...] = ("claim_id",)) -> DataFrame:
     """First row per policy, keyed 1..n by policy number.
 
     The key order is the natural key's own type (a numeric policy number
@@ -72,30 +71,26 @@ def build_dim_policy(claims: DataFrame, first_order: tuple[str, ...] = ("claim_i
     present = [c for c in POLICY_COLUMNS if c in claims.columns]
     require_columns(claims, ["policy_number"])
     firsts = first_by(claims.select(*present, *first_order), ["policy_number"], list(first_order))
-    keyed = dense_key(firsts.select(*present), "policy_key", ["policy_number"], upper_bound=upper_bound)
+    keyed = dense_key(firsts.select(*present), "policy_key", ["policy_number"])
     return conform(keyed, "dim_policy")
 
 
-def build_dim_vehicle(claims: DataFrame, upper_bound: int | None = None) -> DataFrame:
-    """Distinct (make, model, year), NULLs sorted last, keyed 1..n.
-
-    ``upper_bound``: a known bound on the distinct count (e.g. the claims'
-    row count), which spares the counting pass when it is small.
-    """
+def build_dim_vehicle(claims: DataFrame) -> DataFrame:
+    """Distinct (make, model, year), NULLs sorted last, keyed 1..n."""
     cols = ["auto_make", "auto_model", "auto_year"]
     require_columns(claims, cols)
     distinct = claims.select(*cols).distinct()
-    keyed = dense_key(distinct, "vehicle_key", [Asc(c, nulls_last=True) for c in cols], upper_bound=upper_bound)
+    keyed = dense_key(distinct, "vehicle_key", [Asc(c, nulls_last=True) for c in cols])
     return conform(keyed, "dim_vehicle")
 
 
 def create_policyholder_base(
-    claims: DataFrame, sample_size: int | None = 30, order: tuple[str, ...] = ("policy_number",)
+    claims: DataFrame, sample_size: int | None = None, order: tuple[str, ...] = ("policy_number",)
 ) -> DataFrame:
     """First row per policy number, renamed to the holder schema.
 
-    ``sample_size`` keeps the first n holders in ``order`` and raises when
-    fewer exist (the modelled pipeline samples 30); ``None`` keeps all.
+    All holders are kept; ``sample_size``, on request, keeps the first n in
+    ``order`` and raises when fewer exist (the modelled pipeline samples 30).
     """
     require_columns(claims, list(HOLDER_SOURCE_COLUMNS))
     firsts = first_by(claims.select(*HOLDER_SOURCE_COLUMNS, *[o for o in order if o not in HOLDER_SOURCE_COLUMNS]),
@@ -104,7 +99,7 @@ def create_policyholder_base(
         firsts = firsts.orderBy(*order).limit(sample_size)
         n = firsts.count()
         if n < sample_size:
-            raise ValueError(f"Only {n} unique policyholders found. Need at least {sample_size}.")
+            raise ValueError(f"a sample of {sample_size} holders was asked for; the claims have {n}")
     renamed = firsts.select(
         *[F.col(c).alias(HOLDER_RENAMES.get(c, c)) for c in HOLDER_SOURCE_COLUMNS]
     )
@@ -121,12 +116,14 @@ def create_snapshot(
 ) -> DataFrame:
     """Copy of ``base`` dated ``snapshot_date`` with per-holder overrides.
 
-    ``changes`` is a table ``(policyholder_id, column, value)`` or a small
-    mapping ``{id: {column: value}}``.  It is pivoted to one row per holder
-    and left-joined on the string id; unknown ids are ignored.  Only the
-    named columns change; a change to NULL is applied as NULL.  ``columns``
-    names the columns the change table may touch; without it their distinct
-    names are collected (one small job).
+    ``changes`` is a small mapping ``{id: {column: value}}``, a long table
+    ``(policyholder_id, column, value)``, or a wide table of the id and the
+    changed columns, in which every row changes all of them.  Each is one
+    row per holder, left-joined on the string id; unknown ids are ignored
+    and a repeated change is refused.  Only the named columns change; a
+    change to NULL is applied as NULL.  ``columns`` names the columns a long
+    table may touch; without it their distinct names are collected (one
+    small job).
     """
     out = base.withColumn("snapshot_date", F.lit(str(snapshot_date)).cast("date"))
     if changes is None:
@@ -135,16 +132,23 @@ def create_snapshot(
     if isinstance(changes, Mapping):
         rows = [(str(k), c, None if v is None else str(v)) for k, cs in changes.items() for c, v in cs.items()]
         changes = spark.createDataFrame(rows, "policyholder_id string, column string, value string")
-    if columns is None:
+    long = "column" in changes.columns
+    if not long:
+        columns = [c for c in changes.columns if c != "policyholder_id"]
+    elif columns is None:
         columns = [r[0] for r in changes.select("column").distinct().collect()]
     unknown = set(columns) - set(POLICYHOLDER_SNAPSHOT.fieldNames())
     if unknown or "policyholder_id" in columns:
         raise ValueError(f"cannot change columns {sorted(unknown | ({'policyholder_id'} & set(columns)))}")
-    wide = (
-        changes.groupBy(F.col("policyholder_id").cast("string").alias("policyholder_id"))
-        .pivot("column", columns)
-        .agg(F.first(F.struct(F.col("value").alias("v"))))
-    )
+    keys = ["policyholder_id", "column"] if long else ["policyholder_id"]
+    repeated = changes.groupBy(*keys).count().where("count > 1").first()
+    if repeated:
+        raise ValueError(f"repeated change {tuple(repeated)[:-1]}")
+    holder = F.col("policyholder_id").cast("string").alias("policyholder_id")
+    if long:
+        wide = changes.groupBy(holder).pivot("column", columns).agg(F.first(F.struct(F.col("value").alias("v"))))
+    else:
+        wide = changes.select(holder, *[F.struct(F.col(c).alias("v")).alias(c) for c in columns])
     joined = out.join(wide.select("policyholder_id", *[F.col(c).alias(f"_chg_{c}") for c in columns]),
                       "policyholder_id", "left")
     fields = {f.name: f.dataType for f in out.schema.fields}

@@ -33,7 +33,6 @@ def build_fact(
     holder_id_col: str = "policyholder_id",
     claim_order: tuple[str, ...] = CLAIM_ORDER,
     profiles: dict[str, tuple[int, int]] | None = None,
-    claims_rows: int | None = None,
 ) -> DataFrame:
     """Resolve every claim to its dimension keys.
 
@@ -41,13 +40,10 @@ def build_fact(
     left lookups that keep a claim with a missing key; the point-in-time
     policyholder join drops claims with no valid version.  ``inner``: every
     dimension must match (NULL vehicle attributes never match).  Dimensions
-    are profiled once for uniqueness and broadcast only under a counted size;
-    ``dim_date`` is bounded by its date range.  Claim keys are dense in
-    ``claim_order``.  ``profiles`` (``policy``, ``vehicle``, ``date``:
-    ``key_profile`` results; ``holder``: its counted rows first) reuse
-    profiles already computed; ``claims_rows``
-    bounds the fact's size (every lookup is many-to-one and versions of one
-    holder never overlap), sparing the count before numbering.
+    are profiled once for uniqueness; ``dim_date`` is bounded by its date
+    range and may be broadcast.  Claim keys are dense in ``claim_order``.
+    ``profiles`` (``policy``, ``vehicle``, ``date``: ``key_profile`` results)
+    reuse profiles already computed.
     """
     if mode not in FACT_MODES:
         raise ValueError(f"mode must be one of {FACT_MODES}")
@@ -68,11 +64,11 @@ def build_fact(
                        profile=profiles.get("vehicle_null_safe" if null_safe else "vehicle"))
     holder = dim_policyholder.select("policyholder_key", F.col("policyholder_id").alias("_holder_id"),
                                      "valid_from", "valid_to")
-    holder_rows = (profiles.get("holder") or (None,))[0]
-    fact = point_in_time_join(fact, holder, holder_id_col, "_holder_id", "_incident_date", dim_rows=holder_rows)
+    fact = point_in_time_join(fact, holder, holder_id_col, "_holder_id", "_incident_date")
     fact = lookup_join(fact, dim_date.select(F.col("date_key").alias("incident_date_key"), "full_date"),
-                       [("_incident_date", "full_date")], how, profile=profiles.get("date"))
-    keyed = dense_key(fact, "claim_key", list(claim_order), upper_bound=claims_rows)
+                       [("_incident_date", "full_date")], how, profile=profiles.get("date"),
+                       bounded=True)
+    keyed = dense_key(fact, "claim_key", list(claim_order))
     return conform(keyed, FACT_CLAIMS)
 
 
@@ -110,7 +106,7 @@ def claims_flat(staged: DataFrame, tie_breaker: str = "claim_id", **key_options)
     """Flat claims mart: staged claims numbered by incident date.
 
     The date alone ties; ``tie_breaker`` makes the numbering deterministic.
-    ``key_options`` go to ``dense_key`` (e.g. its single-task limit).
+    ``key_options`` go to ``dense_key``.
     """
     keyed = dense_key(staged, "claim_key", ["incident_date", tie_breaker], **key_options)
     return keyed.select(*FLAT_COLUMNS)
@@ -142,21 +138,17 @@ def drop_reasons(
     base = claims.select("claim_id", holder_id_col, "auto_make", "auto_model", "auto_year",
                          F.col("policy_number").cast("string").alias("_pn"),
                          F.col("incident_date").cast("date").alias("_d"))
-    pol = dim_policy.select(F.col("policy_number").alias("_p_pn"), F.lit(True).alias("_has_policy"))
-    veh = dim_vehicle.select(*[F.col(c).alias(f"_v_{c}") for c in ("auto_make", "auto_model", "auto_year")],
-                             F.lit(True).alias("_has_vehicle"))
+    vehicle = ["auto_make", "auto_model", "auto_year"]
     hold = dim_policyholder.select(F.col("policyholder_id").alias("_h_id"), "valid_from", "valid_to")
-    dates = dim_date.select(F.col("full_date").alias("_dd"), F.lit(True).alias("_has_date"))
-    null_safe = mode == "left_keys"
-    veh_cond = [(base[c].eqNullSafe(veh[f"_v_{c}"]) if null_safe else base[c] == veh[f"_v_{c}"])
-                for c in ("auto_make", "auto_model", "auto_year")]
     in_range = (F.col("_d") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("_d") < F.col("valid_to")))
-    flagged = (
-        base.join(pol, base["_pn"] == pol["_p_pn"], "left")
-        .join(veh, veh_cond, "left")
-        .join(hold, (F.col(holder_id_col) == F.col("_h_id")) & in_range, "left")
-        .join(dates, F.col("_d") == F.col("_dd"), "left")
-    )
+    # The guarded lookups of the fact: a repeated dimension key raises instead of counting a claim twice.
+    flagged = lookup_join(base, dim_policy.select("policy_number", F.lit(True).alias("_has_policy")),
+                          [("_pn", "policy_number")], "left")
+    flagged = lookup_join(flagged, dim_vehicle.select(*vehicle, F.lit(True).alias("_has_vehicle")), vehicle, "left",
+                          null_safe=mode == "left_keys")
+    flagged = flagged.join(hold, (F.col(holder_id_col) == F.col("_h_id")) & in_range, "left")
+    flagged = lookup_join(flagged, dim_date.select("full_date", F.lit(True).alias("_has_date")),
+                          [("_d", "full_date")], "left", bounded=True)
     strict = mode == "inner"
     reason = (
         F.when(F.lit(strict) & F.col("_has_policy").isNull(), "no_policy")

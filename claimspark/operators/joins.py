@@ -7,10 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when a counted size is at most this many rows.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
 class DuplicateKeyError(ValueError):
     """A lookup dimension repeats a join key (many-to-one violated)."""
 
@@ -29,12 +25,6 @@ def key_profile(dim: DataFrame, keys: Sequence[str], null_safe: bool = False) ->
     return int(rows or 0), int(biggest or 0)
 
 
-def maybe_broadcast(dim: DataFrame, rows: int, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only behind a counted size; beyond it the planner keeps a
-    shuffle join (sort-merge, with AQE skew splitting)."""
-    return F.broadcast(dim) if rows <= max_rows else dim
-
-
 def lookup_join(
     fact: DataFrame,
     dim: DataFrame,
@@ -42,17 +32,18 @@ def lookup_join(
     how: str = "left",
     null_safe: bool = False,
     validate: bool = True,
-    max_broadcast_rows: int = BROADCAST_MAX_ROWS,
     profile: tuple[int, int] | None = None,
+    bounded: bool = False,
 ) -> DataFrame:
     """Many-to-one join of ``fact`` to a dimension.
 
     ``on`` is a list of shared column names or (fact column, dim column)
     pairs; the dim's join columns are dropped from the output.  With
     ``validate`` the dimension is profiled once: a repeated key raises
-    ``DuplicateKeyError`` before the join runs, and the row count decides
-    whether the dimension is broadcast.  ``null_safe`` matches NULL keys to
-    each other (``<=>``), which Spark still plans as a hash/sort-merge join.
+    ``DuplicateKeyError`` before the join runs.  Spark's size statistics and
+    AQE choose the join; only a ``bounded`` dimension, whose size a fixed
+    range proves, is marked for broadcast.  ``null_safe`` matches NULL keys
+    to each other (``<=>``), which Spark still plans as a hash/sort-merge join.
     ``profile`` passes an already computed ``key_profile`` of ``dim`` (for the
     same keys and NULL rule), so a dimension used by several joins is
     profiled once.
@@ -60,12 +51,11 @@ def lookup_join(
     pairs = [(k, k) if isinstance(k, str) else k for k in on]
     dim_keys = [d for _, d in pairs]
     renamed = dim.select(*[F.col(c).alias(f"_dim_{c}") if c in dim_keys else F.col(c) for c in dim.columns])
-    rows = max_broadcast_rows + 1
     if validate:
-        rows, biggest = profile if profile is not None else key_profile(dim, dim_keys, null_safe)
+        _, biggest = profile if profile is not None else key_profile(dim, dim_keys, null_safe)
         if biggest > 1:
             raise DuplicateKeyError(f"dimension repeats key {dim_keys}: {biggest} rows share one key")
-    right = maybe_broadcast(renamed, rows, max_broadcast_rows)
+    right = F.broadcast(renamed) if bounded else renamed
     conds: list[Column] = []
     for f_col, d_col in pairs:
         left, r = fact[f_col], right[f"_dim_{d_col}"]
@@ -83,8 +73,6 @@ def point_in_time_join(
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
     closed: bool = False,
-    dim_rows: int | None = None,
-    max_broadcast_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Inner join to the version valid on ``fact_date``.
 
@@ -93,13 +81,10 @@ def point_in_time_join(
     9999-12-31)``.  The natural key is the equi-join key and the range a
     residual, so Spark plans a hash or sort-merge join, never a nested
     loop; facts with no valid version are dropped.  A hot key on the fact
-    side is split by AQE's skew join.  With a counted ``dim_rows`` at most
-    ``max_broadcast_rows`` the versions are broadcast; otherwise Spark's
-    size statistics and AQE choose.
+    side is split by AQE's skew join; Spark's size statistics and AQE choose
+    between hash and sort-merge.
     """
     d = dim.select(*[F.col(c).alias(f"_v_{c}") if c == dim_key else F.col(c) for c in dim.columns])
-    if dim_rows is not None:
-        d = maybe_broadcast(d, dim_rows, max_broadcast_rows)
     date = fact[fact_date]
     if closed:
         rng = (date >= d[valid_from]) & (date <= F.coalesce(d[valid_to], F.lit("9999-12-31").cast("date")))

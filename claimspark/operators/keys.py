@@ -14,13 +14,6 @@ from pyspark.sql import functions as F
 
 from claimspark.session import checkpoint_dir
 
-# A global row_number puts every row in one task; it is used only when a
-# counted input is at most this large.
-SINGLE_TASK_ROWS = 2_000_000
-# Target rows per range partition on the distributed path.
-ROWS_PER_RANGE = 4_000_000
-
-
 @dataclass(frozen=True)
 class Asc:
     """Ascending sort key with explicit NULL placement."""
@@ -69,51 +62,34 @@ def dense_key(
     order: OrderSpec,
     *,
     start: int = 1,
-    single_task_rows: int = SINGLE_TASK_ROWS,
-    rows_per_range: int = ROWS_PER_RANGE,
-    total: int | None = None,
-    upper_bound: int | None = None,
+    ranges: int | None = None,
+    evaluated: bool = False,
 ) -> DataFrame:
     """Add ``key_col`` = start, start+1, ... following a unique ``order`` (K1).
 
-    Equivalent to ``ROW_NUMBER() OVER (ORDER BY order) + start - 1``.  The
-    input is counted first (only the columns the plan needs are read) unless
-    the caller passes its row count as ``total``, or a proven ``upper_bound``
-    on it (e.g. the counted rows of a table it was derived from) that is
-    already within the single-task limit:
-
-    * up to ``single_task_rows`` rows: one global window, a size-checked
-      single task;
-    * above: range-partition on the order (Spark samples the whole composite
-      key, so a hot leading value is split by the later columns), sort each
-      range, checkpoint to the shared checkpoint folder so partition ids and
-      in-partition positions are fixed, count each range, and add the
-      running offset of its range to the position inside it.  Nothing
-      larger than one offset per range reaches the driver.
+    Equivalent to ``ROW_NUMBER() OVER (ORDER BY order) + start - 1``, by one
+    path for every size.  The input is evaluated once into the shared
+    checkpoint folder (``evaluated`` says that it is a written table
+    already), since range partitioning reads it twice: to sample the order,
+    where a hot leading value is split by the later columns, and to move the
+    rows.  The sorted ranges are checkpointed, which fixes partition ids and
+    positions; a key is its range's offset plus the position.  Offsets are a
+    running sum over one row per range, a table as small as the number of
+    partitions, and are broadcast.  ``ranges`` defaults to the shuffle
+    partitions, which grow with the input (``session.cluster_conf``).
     """
     cols = sort_columns(order)
-    if total is None and upper_bound is not None and upper_bound <= single_task_rows:
-        total = upper_bound
-    if total is None:
-        total = df.count()
-    if total <= single_task_rows:
-        w = Window.orderBy(*cols)
-        return df.withColumn(key_col, (F.row_number().over(w) + F.lit(start - 1)).cast("long"))
-
-    n_ranges = max(2, -(-total // rows_per_range))
     checkpoint_dir(df.sparkSession)
+    once = df if evaluated else df.checkpoint(eager=True)
+    dealt = once.repartitionByRange(ranges, *cols) if ranges else once.repartitionByRange(*cols)
     ranged = (
-        df.repartitionByRange(n_ranges, *cols)
-        .sortWithinPartitions(*cols)
+        dealt.sortWithinPartitions(*cols)
         .checkpoint(eager=True)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33))
     )
-    counts = dict(ranged.groupBy("_pid").count().collect())
-    n_parts = ranged.rdd.getNumPartitions()
-    offsets, running = [], start
-    for pid in range(n_parts):
-        offsets.append(running)
-        running += counts.get(pid, 0)
-    offset_of = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("_pid") + 1)
-    return ranged.withColumn(key_col, offset_of + F.col("_pos")).drop("_pid", "_pos")
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_pid", (F.coalesce(F.sum("_n").over(before), F.lit(0)) + F.lit(start)).cast("long").alias("_offset"))
+    return ranged.join(F.broadcast(offsets), "_pid").withColumn(key_col, F.col("_offset") + F.col("_pos")) \
+        .drop("_pid", "_pos", "_offset")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from claimspark.functions.expressions import any_changed, normalise
 from claimspark.operators.contracts import conform
 from claimspark.operators.keys import dense_key
+from claimspark.session import checkpoint_dir
 
 # ---------------------------------------------------------------------------
 # The attributes whose change opens a new version.
@@ -30,7 +31,6 @@ def build_history(
     date_col: str = "snapshot_date",
     seq_col: str | None = None,
     key_col: str = "policyholder_key",
-    upper_bound: int | None = None,
 ) -> DataFrame:
     """Full history from stacked, dated snapshots (H1-H3).
 
@@ -52,7 +52,7 @@ def build_history(
         .withColumn("is_current", F.col("valid_to").isNull())
     )
     key_order = ["valid_from", natural_key] + ([seq_col] if seq_col else [])
-    keyed = dense_key(versions, key_col, key_order, upper_bound=upper_bound)
+    keyed = dense_key(versions, key_col, key_order)
     return conform(keyed, "dim_policyholder")
 
 
@@ -73,72 +73,52 @@ def apply_snapshot(
     """Apply one dated snapshot to an existing history.
 
     1. close: current rows whose key appears in the snapshot with changed
-       tracked values get ``valid_to = snapshot_date``, ``is_current = false``
-       (a left join of the current slice with the snapshot, then ``when``);
+       tracked values get ``valid_to = snapshot_date``, ``is_current = false``;
     2. insert: snapshot rows with no current row of equal tracked values
-       (``left_anti`` against the already closed current slice) open a
-       version, keyed ``max(key) + 1 ...`` in natural-key order.
-
-    Only the current slice (one row per key) joins the snapshot; closed
-    history passes through untouched, so a history partitioned by
-    ``is_current`` only ever appends to its closed part.  The result is
-    ``closed history ∪ closed-or-untouched current ∪ inserted``.  Write it to
-    a new path and swap; never overwrite the path being read.  A key
-    repeated within the snapshot is rejected.  ``max_key`` skips the
-    aggregate that finds the largest key when the caller knows it.
+       open a version, keyed ``max(key) + 1 ...`` in natural-key order.
+
+    One full outer join of the current slice (one row per key) with the
+    snapshot yields closed, untouched and new rows together; it is
+    checkpointed, and only the new rows are numbered.  Closed history passes
+    through untouched, so a history partitioned by ``is_current`` only ever
+    appends to its closed part.  Write the result to a new path and swap;
+    never overwrite the path being read.  A key repeated within the snapshot
+    is rejected.  ``max_key`` skips the aggregate that finds the largest key
+    when the caller knows it.
     """
-    return _apply(dim, snapshot, natural_key, tracked, mode, key_col, check_duplicates, max_key)[0]
-
-
-def _apply(dim, snapshot, natural_key, tracked, mode, key_col, check_duplicates, max_key, count_fresh=True):
-    """One apply step; returns ``(history, new largest key or None)``.
-
-    With ``count_fresh=False`` the inserted rows are not counted: their
-    number is bounded by the snapshot's rows (known from the duplicate test)
-    and the caller observes the new largest key while writing.
-    """
-    snap_rows = None
     if check_duplicates:
-        total, biggest = snapshot.groupBy(natural_key).count().agg(F.sum("count"), F.max("count")).first()
-        snap_rows = int(total or 0)
-        if biggest and biggest > 1:
-            dup = snapshot.groupBy(natural_key).count().where("count > 1").first()[0]
-            raise ValueError(f"snapshot repeats natural key {dup!r}")
-
-    history = dim.where(~F.col("is_current"))
-    current = dim.where(F.col("is_current"))
-    snap = snapshot.select(
-        F.col(natural_key).alias("_s_key"), F.col("snapshot_date").alias("_s_date"),
-        *[F.col(t).alias(f"_s_{t}") for t in tracked],
-    )
-    joined = current.join(snap, current[natural_key] == snap["_s_key"], "left")
-    changed = F.col("_s_key").isNotNull() & any_changed([(F.col(t), F.col(f"_s_{t}")) for t in tracked], mode)
-    closed = joined.select(
-        *[c for c in dim.columns if c not in ("valid_to", "is_current")],
-        F.when(changed, F.col("_s_date")).otherwise(F.col("valid_to")).alias("valid_to"),
-        F.when(changed, F.lit(False)).otherwise(F.lit(True)).alias("is_current"),
-    ).select(*dim.columns)
-
-    still_current = closed.where(F.col("is_current")).select(
-        F.col(natural_key).alias("_d_key"), *[normalise(F.col(t), mode).alias(f"_d_{t}") for t in tracked]
-    )
-    cond = [snapshot[natural_key] == still_current["_d_key"]] + [
-        normalise(snapshot[t], mode).eqNullSafe(still_current[f"_d_{t}"]) for t in tracked
-    ]
-    fresh = snapshot.join(still_current, cond, "left_anti").withColumn("valid_from", F.col("snapshot_date")) \
-        .withColumn("valid_to", F.lit(None).cast("date")).withColumn("is_current", F.lit(True))
-
+        dup = snapshot.groupBy(natural_key).count().where("count > 1").first()
+        if dup:
+            raise ValueError(f"snapshot repeats natural key {dup[0]!r}")
     if max_key is None:
         max_key = dim.agg(F.max(key_col)).first()[0] or 0
-    if count_fresh:
-        n_fresh = fresh.count()
-        inserted = dense_key(fresh, key_col, [natural_key], start=max_key + 1, total=n_fresh)
-        new_max = max_key + n_fresh
-    else:
-        inserted = dense_key(fresh, key_col, [natural_key], start=max_key + 1, upper_bound=snap_rows)
-        new_max = None
-    out = history.unionByName(closed).unionByName(conform(inserted, "dim_policyholder"))
-    return out, new_max
+
+    attributes = [c for c in dim.columns if c not in (key_col, "valid_from", "valid_to", "is_current")]
+    snap = snapshot.select(*[F.col(c).alias(f"_s_{c}") if c in snapshot.columns else
+                             F.lit(None).cast(dim.schema[c].dataType).alias(f"_s_{c}") for c in attributes],
+                           F.col("snapshot_date").alias("_s_date"))
+    current = dim.where(F.col("is_current"))
+    joined = current.join(snap, current[natural_key] == snap[f"_s_{natural_key}"], "full_outer")
+    has, seen = F.col("is_current").isNotNull(), F.col("_s_date").isNotNull()
+    changed = has & seen & any_changed([(F.col(t), F.col(f"_s_{t}")) for t in tracked], mode)
+    same = [normalise(F.col(f"_s_{t}"), mode).eqNullSafe(normalise(F.col(t), mode)) for t in tracked]
+    stays = has & ~F.coalesce(changed, F.lit(False))
+    equal = stays
+    for s in same:
+        equal = equal & s
+    old = F.struct(*[F.when(F.coalesce(changed, F.lit(False)), value).otherwise(F.col(c)).alias(c)
+                     if value is not None else F.col(c) for c, value in
+                     [(c, {"valid_to": F.col("_s_date"), "is_current": F.lit(False)}.get(c)) for c in dim.columns]])
+    new = F.struct(*[{key_col: F.lit(None), "valid_from": F.col("_s_date"), "valid_to": F.lit(None),
+                      "is_current": F.lit(True)}.get(c, F.col(f"_s_{c}") if c in attributes else F.lit(None))
+                     .cast(dim.schema[c].dataType).alias(c) for c in dim.columns])
+    rows = F.filter(F.array(F.when(has, old), F.when(seen & ~equal, new)), lambda r: r.isNotNull())
+    checkpoint_dir(dim.sparkSession)
+    after = joined.select(F.explode(rows).alias("_row")).select("_row.*").checkpoint(eager=True)
+    fresh = after.where(F.col(key_col).isNull()).drop(key_col)
+    inserted = dense_key(fresh, key_col, [natural_key], start=max_key + 1, evaluated=True)
+    kept = dim.where(~F.col("is_current")).unionByName(after.where(F.col(key_col).isNotNull()))
+    return kept.unionByName(conform(inserted, "dim_policyholder"))
 
 
 def version_counts(dim: DataFrame, natural_key: str = "policyholder_id") -> DataFrame:
@@ -165,38 +145,6 @@ def multiple_current(dim: DataFrame, natural_key: str = "policyholder_id") -> Da
     )
 
 
-def apply_snapshots(
-    dim: DataFrame,
-    snapshots: DataFrame,
-    mode: str = "null_as_empty",
-    cut_lineage_every: int = 1,
-    natural_key: str = "policyholder_id",
-    tracked: Sequence[str] = TRACKED_COLUMNS,
-    key_col: str = "policyholder_key",
-) -> DataFrame:
-    """Fold ``apply_snapshot`` over the snapshot dates of ``snapshots`` in order.
-
-    Only the distinct dates reach the driver (one per snapshot), and the
-    running largest key is carried from step to step.  Every
-    ``cut_lineage_every`` steps the history is checkpointed to the shared
-    checkpoint folder, as an apply writes its new history aside before the
-    swap: the next step's jobs then read that history instead of re-running
-    every earlier step, and the plan does not grow with the number of
-    snapshots.
-    """
-    from claimspark.session import checkpoint_dir
-
-    dates = [r[0] for r in snapshots.select("snapshot_date").distinct().orderBy("snapshot_date").collect()]
-    max_key = dim.agg(F.max(key_col)).first()[0] or 0
-    for i, d in enumerate(dates, 1):
-        step = snapshots.where(F.col("snapshot_date") == F.lit(d))
-        dim, max_key = _apply(dim, step, natural_key, tracked, mode, key_col, True, max_key)
-        if cut_lineage_every and i % cut_lineage_every == 0 and i < len(dates):
-            checkpoint_dir(dim.sparkSession)
-            dim = dim.checkpoint(eager=True)
-    return dim
-
-
 class HistoryStore:
     """A type-2 history on parquet whose closed part is only ever appended to.
 
@@ -262,8 +210,8 @@ class HistoryStore:
         max_key = self._max_key.get(version)
         if max_key is None:
             max_key = current.agg(F.max(self.key_col)).first()[0] or 0
-        updated, _ = _apply(current, snapshot, self.natural_key, self.tracked, self.mode, self.key_col,
-                            True, max_key, count_fresh=False)
+        updated = apply_snapshot(current, snapshot, self.natural_key, self.tracked, self.mode, self.key_col,
+                                 True, max_key)
         return self._write(version + 1, updated)
 
     def apply_all(self, version: int, snapshots: DataFrame) -> int:

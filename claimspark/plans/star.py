@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 
 from claimspark.operators import dims, facts, scd2
 from claimspark.operators.contracts import conform
+from claimspark.operators.joins import key_profile
 from claimspark.session import checkpoint_dir
 from claimspark.sources import stand_ins
 
 
-def write_table(df: DataFrame, path: str, metrics: dict[str, Column] | None = None) -> tuple[DataFrame, dict]:
+def write_table(df: DataFrame, path: str, metrics: dict[str, Column] | None = None,
+                partition_by: str | None = None) -> tuple[DataFrame, dict]:
     """Write ``df`` as parquet at ``path``; return a scan of it and write-time metrics.
 
     Cuts the lineage: later size checks, key offsets and joins read the
@@ -27,8 +29,13 @@ def write_table(df: DataFrame, path: str, metrics: dict[str, Column] | None = No
     """
     obs = Observation()
     extra = [c.alias(n) for n, c in (metrics or {}).items()]
-    df.observe(obs, F.count(F.lit(1)).alias("rows"), *extra).write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), dict(obs.get)
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *extra)
+    if partition_by:
+        # Rebalanced, so a value's rows are few files and a hot value more than one.
+        observed = observed.hint("rebalance", partition_by)
+    writer = observed.write.mode("overwrite")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns), dict(obs.get)
 
 
 @dataclass
@@ -48,17 +55,18 @@ class Star:
     root: str = field(default="")
     _tables: dict = field(default_factory=dict, repr=False)
     _metrics: dict = field(default_factory=dict, repr=False)
+    _profiles: dict = field(default_factory=dict, repr=False)
     _lock: threading.RLock = field(default_factory=threading.RLock, repr=False)
 
     def _table(self, name: str, build: Callable[[], DataFrame],
-               metrics: dict[str, Column] | None = None) -> DataFrame:
+               metrics: dict[str, Column] | None = None, partition_by: str | None = None) -> DataFrame:
         with self._lock:
             if name not in self._tables:
                 df = build()
                 if self.materialize:
                     if not self.root:
                         self.root = f"{checkpoint_dir(self.spark).rstrip('/')}/star-{uuid.uuid4().hex}"
-                    df, self._metrics[name] = write_table(df, f"{self.root}/{name}", metrics)
+                    df, self._metrics[name] = write_table(df, f"{self.root}/{name}", metrics, partition_by)
                 self._tables[name] = df
             return self._tables[name]
 
@@ -66,11 +74,11 @@ class Star:
         """Row count observed when ``name`` was written (None for lazy tables)."""
         return self._metrics.get(name, {}).get("rows")
 
-    def _unique_profile(self, name: str) -> tuple[int, int] | None:
-        # Dimensions of this star are one row per natural key by construction
-        # (first row per policy, distinct vehicles, one row per day).
-        rows = self.rows(name)
-        return None if rows is None else (rows, 1)
+    def _profile(self, name: str, dim: DataFrame, keys: list[str], null_safe: bool = False) -> tuple[int, int]:
+        """Largest group of a dimension's natural key, measured once on the written table (J1's guard)."""
+        if name not in self._profiles:
+            self._profiles[name] = key_profile(dim, keys, null_safe)
+        return self._profiles[name]
 
     @property
     def claims(self) -> DataFrame:
@@ -80,7 +88,7 @@ class Star:
     @property
     def holder_snapshots(self) -> DataFrame:
         return self._table("holder_snapshots", lambda: conform(
-            stand_ins.holder_snapshots(self.spark, self.sf_dir), "policyholder_snapshot"))
+            stand_ins.holder_snapshots(self.spark, self.sf_dir), "policyholder_snapshot"), partition_by="snapshot_date")
 
     @property
     def dim_date(self) -> DataFrame:
@@ -97,38 +105,38 @@ class Star:
     @property
     def dim_policy(self) -> DataFrame:
         return self._table("dim_policy", lambda: dims.build_dim_policy(
-            self.claims, upper_bound=self.rows("claims")))
+            self.claims))
 
     @property
     def dim_vehicle(self) -> DataFrame:
         return self._table("dim_vehicle", lambda: dims.build_dim_vehicle(
-            self.claims, upper_bound=self.rows("claims")))
+            self.claims))
 
     @property
     def dim_policyholder(self) -> DataFrame:
         return self._table("dim_policyholder", lambda: scd2.build_history(
-            self.holder_snapshots, mode="strict", upper_bound=self.rows("holder_snapshots")))
+            self.holder_snapshots, mode="strict"))
 
     def fact(self, mode: str = "inner") -> DataFrame:
         def build() -> DataFrame:
             claims, policy, holder = self.claims, self.dim_policy, self.dim_policyholder
             vehicle, date = self.dim_vehicle, self.dim_date
-            profiles = {"policy": self._unique_profile("dim_policy"), "vehicle": self._unique_profile("dim_vehicle"),
-                        "vehicle_null_safe": self._unique_profile("dim_vehicle"),
-                        "date": self._unique_profile("dim_date"),
-                        "holder": self._unique_profile("dim_policyholder")}
+            columns = ["auto_make", "auto_model", "auto_year"]
+            profiles = {"policy": self._profile("dim_policy", policy, ["policy_number"]),
+                        "vehicle": self._profile("dim_vehicle", vehicle, columns),
+                        "vehicle_null_safe": self._profile("dim_vehicle_null_safe", vehicle, columns, null_safe=True),
+                        "date": self._profile("dim_date", date, ["full_date"])}
             return facts.build_fact(claims, policy, holder, vehicle, date, mode=mode,
-                                    profiles={k: v for k, v in profiles.items() if v is not None},
-                                    claims_rows=self.rows("claims"))
+                                    profiles=profiles)
         return self._table(f"fact_claims_{mode}", build)
 
 
-_STARS: dict[tuple[int, str], Star] = {}
+_STARS: dict[tuple[str, str], Star] = {}
 _STARS_LOCK = threading.Lock()
 
 
 def star_for(spark: SparkSession, sf_dir: str) -> Star:
-    key = (id(spark), sf_dir.rstrip("/"))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     with _STARS_LOCK:
         if key not in _STARS:
             _STARS[key] = Star(spark, sf_dir.rstrip("/"))

@@ -33,34 +33,12 @@ TABLE_SCHEMAS = {
     "conversations": "conv_id bigint, turn bigint, role string, text string",
 }
 
-# Scans smaller than this are not worth spreading over more tasks.
-SPREAD_MIN_BYTES = 1 << 20
 
-
-def _size_bytes(df: DataFrame) -> int | None:
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue())
-    except Exception:  # noqa: BLE001 - statistics are an optimisation only
-        return None
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, min_splits: int | None = None) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy parquet scan with the table's contract; later selects and filters prune and push down.
 
-    Parquet splits at row-group boundaries, so a file written as one row
-    group scans in one task however large it is.  When a scan of at least
-    ``SPREAD_MIN_BYTES`` (Spark's own size statistics) yields fewer splits
-    than ``min_splits`` (default: the cluster's parallelism), its rows are
-    spread round-robin right after the scan; filters and column pruning
-    still reach the scan below it.  On real inputs of many files and row
-    groups this is a no-op and adds no shuffle.
+    Splits are Spark's own: a file written as one row group scans in one task.
     """
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    df = spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    floor = spark.sparkContext.defaultParallelism if min_splits is None else min_splits
-    if floor > 1 and df.rdd.getNumPartitions() < floor:
-        size = _size_bytes(df)
-        if size is None or size >= SPREAD_MIN_BYTES:
-            df = df.repartition(floor)
-    return df
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -50,7 +50,7 @@ def test_policyholder_base_and_sample_guard(spark):
     assert base.schema["zip_code"].dataType.simpleString() == "string"
     two = D.create_policyholder_base(_holder_claims(spark), sample_size=1, order=("policy_number",))
     assert [r.policyholder_id for r in two.collect()] == ["3"]
-    with pytest.raises(ValueError, match="Need at least 30"):
+    with pytest.raises(ValueError, match="a sample of 30"):
         D.create_policyholder_base(_holder_claims(spark), sample_size=30)
 
 

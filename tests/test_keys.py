@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from claimspark.operators.keys import Asc, dense_key, first_by
 
 
-def test_dense_key_single_task_matches_row_number(spark):
+def test_dense_key_matches_row_number(spark):
     df = spark.range(0, 500).select((F.col("id") * 7919 % 500).alias("a"), F.col("id").alias("b"))
     keyed = dense_key(df, "k", ["a", "b"])
     ref = df.withColumn("r", F.row_number().over(Window.orderBy("a", "b")))
@@ -18,7 +18,7 @@ def test_dense_key_distributed_path_matches_row_number(spark):
     df = spark.range(0, 3000).select(
         F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 17).alias("a"),
         (F.col("id") * 13 % 3000).alias("b"))
-    keyed = dense_key(df, "k", ["a", "b"], start=10, single_task_rows=0, rows_per_range=250)
+    keyed = dense_key(df, "k", ["a", "b"], start=10, ranges=12)
     ref = df.withColumn("r", F.row_number().over(Window.orderBy("a", "b")) + 9)
     assert keyed.join(ref, ["a", "b"]).where("k != r").count() == 0
     assert keyed.count() == 3000
@@ -83,3 +83,20 @@ def test_checkpoint_dir_rules(tmp_path):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_dir(_FakeSession("k8s://cluster"))
     assert checkpoint_dir(_FakeSession("local[2]"))      # only a local session gets a scratch folder
+
+
+def test_dense_key_evaluates_its_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    df = spark.range(0, 2000, 1, 4).mapInPandas(count, "id long")
+    assert dense_key(df, "k", ["id"], ranges=5).where("k != id + 1").count() == 0
+    assert seen.value == 2000
+
+
+def test_dense_key_of_nothing(spark):
+    assert dense_key(spark.range(0), "k", ["id"]).collect() == []

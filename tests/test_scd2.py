@@ -112,7 +112,9 @@ def test_incremental_fold_equals_batch(spark, mode):
     df = to_df(spark, unique_rows).drop("seq")
     dates = sorted({r["snapshot_date"] for r in unique_rows})
     first = H.build_history(df.where(F.col("snapshot_date") == dates[0]), mode=mode)
-    folded = H.apply_snapshots(first, df.where(F.col("snapshot_date") > dates[0]), mode=mode)
+    folded = first
+    for d in dates[1:]:
+        folded = H.apply_snapshot(folded, df.where(F.col("snapshot_date") == F.lit(d)), mode=mode)
     batch = H.build_history(df, mode=mode)
     assert sorted((tuple(r) for r in folded.collect()), key=repr) == sorted((tuple(r) for r in batch.collect()), key=repr)
 

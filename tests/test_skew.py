@@ -64,7 +64,7 @@ def test_grouped_report_hot_group_partial_aggregation(spark):
 
 def test_dense_key_hot_leading_value_distributed(spark):
     df = skewed(spark)
-    keyed = dense_key(df, "key", ["k", "row_id"], single_task_rows=0, rows_per_range=500)
+    keyed = dense_key(df, "key", ["k", "row_id"], ranges=12)
     ranks = {r.row_id: r.key for r in keyed.collect()}
     order = sorted(df.collect(), key=lambda r: (r.k, r.row_id))
     assert [ranks[r.row_id] for r in order] == list(range(1, N + 1))
