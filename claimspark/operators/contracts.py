@@ -78,7 +78,7 @@ def require_columns(df: DataFrame, names: Iterable[str]) -> None:
     """Raise, before any job runs, naming the missing columns in contract order."""
     missing = [n for n in names if n not in df.columns]
     if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+        raise ValueError(f"columns absent from the input: {missing}")
 
 
 def conform(df: DataFrame, contract: str | T.StructType, *, safe: bool = False) -> DataFrame:

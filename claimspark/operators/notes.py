@@ -24,6 +24,7 @@ PROMPT_HEAD = """
 Extract structured fields from this insurance
 adjuster note. Return ONLY valid JSON, no
 other text, in this exact shape:
+
 {
   "incident_category": one of ["collision",
       "weather", "theft", "vandalism",
@@ -34,6 +35,7 @@ other text, in this exact shape:
   "severity_hint": one of ["minor", "moderate",
       "severe", "total_loss"]
 }
+
 Note: """
 PROMPT_TAIL = "\n"
 INCIDENT_CATEGORIES = ("collision", "weather", "theft", "vandalism", "fire", "animal_strike", "road_hazard")

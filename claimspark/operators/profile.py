@@ -22,7 +22,7 @@ NULL_TOKENS = ("", "NA", "N/A", "null")
 def column_group(name: str) -> str | None:
     """Group of one column name; ``None`` for id and target."""
     for p in GROUP_PREFIXES:
-        if f"_{p}_" in name or name.startswith(f"ps_{p}_"):
+        if f"_{p}_" in name:
             return p
     return None if name in NON_FEATURES else OTHER_GROUP
 

@@ -102,13 +102,14 @@ SELECT policyholder_id, CAST(NULL AS INTEGER) AS age, CAST(NULL AS VARCHAR) AS s
        occupation, CAST(NULL AS VARCHAR) AS hobbies, relationship, zip_code, snapshot_date
 FROM (
   SELECT CAST(o.o_custkey AS VARCHAR) AS policyholder_id,
-         o.o_orderpriority AS occupation, o.o_orderstatus AS relationship,
+         o.o_orderpriority AS occupation,
+         CASE o.o_orderkey % 6 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN ' ' || o.o_orderstatus || ' '
+                               ELSE o.o_orderstatus END AS relationship,
          CAST(c.c_nationkey AS VARCHAR) AS zip_code, c.c_mktsegment AS education_level,
-         CAST(date_trunc('quarter', o.o_orderdate) AS DATE) AS snapshot_date,
+         CAST(date_trunc('quarter', o.o_orderdate) + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE) AS snapshot_date,
          ROW_NUMBER() OVER (PARTITION BY o.o_custkey, date_trunc('quarter', o.o_orderdate)
                             ORDER BY o.o_orderdate DESC, o.o_orderkey DESC) AS rn
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
-  WHERE CAST(o.o_orderdate AS DATE) >= DATE '1996-01-01'
 ) s WHERE rn = 1
 """)
 

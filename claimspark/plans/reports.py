@@ -151,7 +151,7 @@ def r12_occupation_rank(fact: DataFrame, dim_date: DataFrame, dim_policyholder:
     range, then ranks grouped sums: ``rank`` leaves gaps after ties.
     """
     dated = _with(fact, dim_date, "incident_date_key", "date_key", "full_date")
-    holder = dim_policyholder.select(F.col("policyholder_key").alias("_hk"), "occupation", "relationship",
+    holder = dim_policyholder.select(F.col("policyholder_key").alias("_hk"), "occupation",
                                      "valid_from", "valid_to")
     ctx = point_in_time_join(dated, holder, "policyholder_key", "_hk", "full_date", closed=True)
     grouped = ctx.groupBy("occupation").agg(
