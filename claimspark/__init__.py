@@ -10,8 +10,8 @@ push down and plan it.  Sub-packages:
 * ``operators``  contracts, quality, profiling, keys, dimensions, SCD2,
                  joins, facts, checks, notes
 * ``plans``      report marts, the end-to-end pipeline and the query catalog
-* ``streaming``  intentionally empty (every job of the modelled warehouse is
-                 a bounded batch)
+* ``llm``        operators of a training-data pipeline, which nothing else here
+                 imports
 """
 
 from claimspark.session import checkpoint_dir, get_session

@@ -56,10 +56,15 @@ def build_warehouse(
     mode: str = "inner",
     history_mode: str = "strict",
 ) -> Warehouse:
-    """Dimensions, type-2 history and the fact, each written to the gold layer."""
-    def table(name: str, df: DataFrame) -> DataFrame:
-        return layers.materialize(df, name, "table", gold.path("gold", name))
+    """Dimensions, type-2 history and the fact, each written to the gold layer.
 
+    The claims are written to the silver layer first: the date range, three
+    dimensions and the fact read that table instead of deriving it again.
+    """
+    def table(name: str, df: DataFrame, layer: str = "gold") -> DataFrame:
+        return layers.materialize(df, name, "table", gold.path(layer, name))
+
+    claims = table("claims", claims, "silver")
     start, end = dims.dim_date_range_for(claims, "incident_date")
     dim_date = table("dim_date", dims.generate_dim_date(spark, start, end))
     dim_policy = table("dim_policy", dims.build_dim_policy(claims))

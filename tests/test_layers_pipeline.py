@@ -1,6 +1,7 @@
 import os
 
 from claimspark.operators import contracts as C
+from claimspark.operators import facts
 from claimspark.plans import pipeline
 from claimspark.sources import layers
 from claimspark.sources import stand_ins as SI
@@ -44,7 +45,10 @@ def test_build_warehouse_checks_and_marts(spark, tmp_path):
     claims = SI.claims(spark, SF_SMALL)
     snaps = C.conform(SI.holder_snapshots(spark, SF_SMALL), "policyholder_snapshot")
     w = pipeline.build_warehouse(spark, claims, snaps, layers.Layers(str(tmp_path)))
-    assert w.fact_claims.count() == 1245
+    dropped = facts.drop_reasons(claims, w.dim_policy, w.dim_policyholder, w.dim_vehicle, w.dim_date)
+    reasons = {r.reason: r.claims for r in dropped.collect()}
+    assert set(reasons) == {"no_vehicle", "no_holder_version"}
+    assert w.fact_claims.count() == claims.count() - sum(reasons.values())
     report = pipeline.warehouse_checks(w).collect()
     assert all(r.passed for r in report), [r for r in report if not r.passed]
     marts = pipeline.run_marts(w)

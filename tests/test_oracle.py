@@ -7,13 +7,10 @@ import hashlib
 import duckdb
 import pytest
 
-import __spark_entry__ as E
+from claimspark.plans.catalog import ORACLE, QUERIES
 from claimspark.sources.tables import TABLES
 from tests.conftest import SF_SMALL
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
-
 
 def _norm(v):
     if v is None:
