@@ -82,38 +82,36 @@ class RangeDecoder(RangeEncoder):
 
 
 class Frequencies:
-    """Adaptive frequencies of ``size`` symbols in each of many contexts."""
+    """Adaptive frequencies of ``size`` symbols in each of many contexts, kept as running sums."""
 
     ADD, MOST = 24, 1 << 13
 
     def __init__(self, contexts: int, size: int):
-        self.count = np.ones((contexts, size), np.uint16)
-        self.total = np.full(contexts, size, np.int64)
-        self.symbols = np.arange(size)
+        self.sums = np.empty((contexts, size), np.uint16)
+        self.sums[:] = np.arange(1, size + 1)
+        # What one more of a symbol adds to each running sum.
+        self.more = np.triu(np.full((size, size), self.ADD, np.uint16))
 
     def encode(self, coder: RangeEncoder, lanes: np.ndarray, context: np.ndarray, symbol: np.ndarray) -> None:
-        rows = self.count[context]
-        below = np.where(self.symbols < symbol[:, None], rows, 0).sum(axis=1)
-        coder.code(lanes, below, rows[np.arange(len(rows)), symbol], self.total[context])
-        self._add(context, symbol)
+        self._code(coder, lanes, context, symbol, self.sums[context])
 
     def decode(self, coder: RangeDecoder, lanes: np.ndarray, context: np.ndarray) -> np.ndarray:
-        total = self.total[context]
-        target = coder.target(lanes, total)
-        sums = self.count[context].cumsum(axis=1)
-        symbol = (sums <= target[:, None]).sum(axis=1)
-        size = self.count[context, symbol]
-        coder.code(lanes, sums[np.arange(len(symbol)), symbol] - size, size, total)
-        self._add(context, symbol)
+        sums = self.sums[context]
+        target = coder.target(lanes, sums[:, -1]).astype(np.uint16)
+        symbol = np.add.reduce(sums <= target[:, None], axis=1, dtype=np.uint8).astype(np.int64)
+        self._code(coder, lanes, context, symbol, sums)
         return symbol
 
-    def _add(self, context: np.ndarray, symbol: np.ndarray) -> None:
-        self.count[context, symbol] += self.ADD
-        self.total[context] += self.ADD
-        full = context[self.total[context] > self.MOST]
+    def _code(self, coder: RangeEncoder, lanes: np.ndarray, context: np.ndarray, symbol: np.ndarray,
+              sums: np.ndarray) -> None:
+        rows = np.arange(len(symbol))
+        below = np.where(symbol > 0, sums[rows, symbol - 1], 0)
+        coder.code(lanes, below, sums[rows, symbol] - below, sums[:, -1])
+        sums += self.more[symbol]
+        full = np.flatnonzero(sums[:, -1] > self.MOST)
         if len(full):
-            self.count[full] = (self.count[full] >> 1) + 1
-            self.total[full] = self.count[full].sum(axis=1)
+            sums[full] = ((np.diff(sums[full], axis=1, prepend=np.uint16(0)) >> 1) + 1).cumsum(axis=1)
+        self.sums[context] = sums
 
 
 class Mixed:
