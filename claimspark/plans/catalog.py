@@ -21,7 +21,7 @@ from claimspark.operators.keys import first_by
 from claimspark.plans import oracle as O
 from claimspark.plans import reports as R
 from claimspark.plans.star import star_for
-from claimspark.session import checkpoint_dir
+from claimspark.session import checkpoint_dir, package_on_workers
 from claimspark.sources import layers as Ly
 from claimspark.sources import stand_ins as SI
 from claimspark.sources.tables import read_table
@@ -885,6 +885,7 @@ SELECT conv_id * 1000 + turn AS note_id,
 FROM conversations""")
 def q_note_extract(spark, sf):
     """Extraction end to end: every note is asked about, a failing one marks only its own row."""
+    package_on_workers(spark)
     notes = read_table(spark, sf, "conversations").select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("note_id"), F.col("text").alias("note_text"))
     return N.process_notes(notes, _answer_by_rule, id_col="note_id").select("note_id", "error", "incident_category", "status")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -63,6 +64,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+def package_on_workers(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver found it.
+
+    Functions of a package reach a worker by name.  On a cluster the package
+    is installed on every node or shipped with the job; this only helps
+    sessions whose workers share the driver's files but not its import path.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
+
+
 def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Starting settings for a run over ``input_bytes`` on ``cores`` executor cores.
 
