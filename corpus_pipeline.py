@@ -7,12 +7,15 @@ All stages but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimspark.llm import langcrf, lshforest, packing, repeats, secrets
 from claimspark.llm.queries import public_file
 from claimspark.llm.store import written
+from claimspark.session import package_on_workers
 
 #: Below this mean probability of its best language a text counts as none of the languages.
 MIN_LANGUAGE_SCORE = 0.3
@@ -60,13 +63,15 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(tokens, window=WINDOW)
 
 
-STAGES = [
-    ("language", language),
-    ("near_copies", near_copies),
-    ("passages", passages),
-    ("without_secrets", without_secrets),
-    ("packed", packed),
-]
+def _with_package(stage):
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        package_on_workers(spark)
+        return stage(spark, docs, sf_dir)
+    return run_stage
+
+
+STAGES = [(f.__name__, _with_package(f)) for f in (language, near_copies, passages, without_secrets, packed)]
 
 # Several stages have no form in SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
