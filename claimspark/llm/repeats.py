@@ -38,6 +38,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,13 +46,14 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from claimspark.llm.arrowtext import ragged, ragged_take, text_slices, utf8_bytes, with_columns
-from claimspark.llm.store import written
+from claimspark.llm.store import unused, written
 
-FLUSH_BYTES = 16 << 20
+FLUSH_BYTES = 12 << 20
 #: Anchors sent by this many flush entries travel as single strings.
 CROWD = 128
-BUCKET_BYTES = 24 << 20
+BUCKET_BYTES = 16 << 20
 
+_U64 = np.uint64
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _OTHER = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -75,7 +77,7 @@ def rolling_hash(data: np.ndarray, size: int, base: np.uint64 = _BASE) -> np.nda
         if covered == size:
             return _mixed(out)
         h = h[:-have] * power + h[have:]
-        have, power = 2 * have, power * power
+        have, power = 2 * have, _U64(int(power) ** 2 % (1 << 64))
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -171,6 +173,24 @@ _PARTS = "kind int, bucket int, flush string, a binary, b binary, c binary, d bi
 _KEYS, _LOCAL, _TABLE, _STRINGS, _RANGES = range(5)
 
 
+def _small(array: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(array).tobytes())
+
+
+def _whole(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+def _steps(x: np.ndarray) -> bytes:
+    """Whole numbers below 2^32 in ascending order, as their differences."""
+    return _small(np.diff(x, prepend=0).astype("<u4"))
+
+
+def _summed(parts: list[bytes]) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.int64), *(np.cumsum(np.frombuffer(_whole(p), "<u4").astype(np.int64))
+                                                    for p in parts)])
+
+
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
     names = ["kind", "bucket", "flush", "a", "b", "c", "d", "e"]
     kinds = [pa.int32(), pa.int32(), pa.string(), *[pa.binary()] * 5]
@@ -180,40 +200,69 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _table(flush: str, bucket: int, ids: np.ndarray, marks: np.ndarray) -> tuple:
-    return _TABLE, bucket, flush, ids.astype("<i8").tobytes(), marks.astype("<i8").tobytes()
+    return _TABLE, bucket, flush, _small(ids.astype("<i8")), _small(marks.astype("<i8"))
 
 
-class _Flush:
-    """Texts gathered until ``FLUSH_BYTES``; exact repeats of a row are left out."""
-
-    def __init__(self, batches: Iterator[pa.RecordBatch]):
-        self.batches = batches
-
-    def __iter__(self) -> Iterator[tuple[str, pa.Table]]:
-        held, size, number = [], 0, 0
-        for batch in self.batches:
-            for part in text_slices(batch, "text", FLUSH_BYTES):
-                held.append(part)
-                size += part.column("text").nbytes
-                if size >= FLUSH_BYTES:
-                    yield self._named(number), pa.Table.from_batches(held)
-                    held, size, number = [], 0, number + 1
-        if held:
-            yield self._named(number), pa.Table.from_batches(held)
+#: Texts worked on at a time; a flush gathers what many of them give.
+SLICE = 1 << 20
 
-    @staticmethod
-    def _named(number: int) -> str:
-        # The same for every attempt of a task, so that answers to a lost attempt still fit.
-        return f"{TaskContext.get().partitionId()}-{number}"
 
+@dataclass
+class _Part:
+    """Distinct rows of a slice: their numbers in the flush, and their bytes."""
+
+    number: np.ndarray
+    data: np.ndarray
+    offsets: np.ndarray
+    shared: list
 
-def _distinct(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, id, mark, data, offsets) of the distinct rows with an id."""
-    ids, marks = np.asarray(table["doc_id"]), np.asarray(table["mark"])
-    _, first = np.unique(np.column_stack((ids, marks)), axis=0, return_index=True)
-    first = np.sort(first)
-    data, offsets = utf8_bytes(table["text"].take(pa.array(first)).combine_chunks())
-    return first, ids[first], marks[first], data, offsets
+
+class _Flush:
+    """Texts taken in until ``FLUSH_BYTES``; exact repeats of a row are left out."""
+
+    def __init__(self, name: str):
+        self.name, self.size = name, 0
+        self.ids: list[int] = []
+        self.marks: list[int] = []
+        self.seen: set[tuple[int, int]] = set()
+
+    def take(self, part: pa.RecordBatch) -> _Part:
+        rows, start = [], len(self.ids)
+        for i, row in enumerate(zip(part.column("doc_id").to_pylist(), part.column("mark").to_pylist(), strict=True)):
+            if row not in self.seen:
+                self.seen.add(row)
+                self.ids.append(row[0])
+                self.marks.append(row[1])
+                rows.append(i)
+        kept = part.take(pa.array(rows, pa.int64()))
+        self.size += part.column("text").nbytes
+        data, offsets = utf8_bytes(kept.column("text"))
+        shared = kept.column("shared").to_pylist() if "shared" in part.schema.names else []
+        return _Part(np.arange(start, len(self.ids)), data, offsets, shared)
+
+    @property
+    def table(self) -> tuple[np.ndarray, np.ndarray]:
+        return np.array(self.ids, dtype=np.int64), np.array(self.marks, dtype=np.int64)
+
+
+def _flushes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[_Flush, Iterator[_Part]]]:
+    """Flushes, each with its parts; a flush's parts must be used up before the next flush."""
+    parts = (part for batch in batches for part in text_slices(batch, "text", SLICE))
+    number = 0
+    for first in parts:
+        # The same name for every attempt of a task, so that answers to a lost attempt still fit.
+        flush = _Flush(f"{TaskContext.get().partitionId()}-{number}")
+        number += 1
+
+        def inside(flush: _Flush = flush, first: pa.RecordBatch = first) -> Iterator[_Part]:
+            yield flush.take(first)
+            while flush.size < FLUSH_BYTES:
+                part = next(parts, None)
+                if part is None:
+                    return
+                yield flush.take(part)
+
+        yield flush, inside()
 
 
 def _send(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -226,7 +275,7 @@ def _send(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def _joined(parts: list[bytes], kind: str) -> np.ndarray:
-    return np.frombuffer(b"".join(parts), dtype=kind)
+    return np.frombuffer(b"".join([_whole(p) for p in parts]), dtype=kind)
 
 
 def _by_kind(table: pa.Table, kind: int) -> pa.Table:
@@ -237,6 +286,23 @@ def _lists(table: pa.Table, *names: str) -> list[list]:
     return [table[n].to_pylist() for n in names]
 
 
+@dataclass(frozen=True)
+class _Regions:
+    """Regions as rows of bytes (hash, place of the anchor, size, text), with their document and place."""
+
+    rows: np.ndarray
+    doc: np.ndarray
+    first: np.ndarray
+
+    @classmethod
+    def none(cls, width: int) -> _Regions:
+        return cls(np.zeros((0, width + 10), np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+    @classmethod
+    def all(cls, several: list[_Regions]) -> _Regions:
+        return cls(*(np.concatenate([getattr(r, n) for r in several]) for n in ("rows", "doc", "first")))
+
+
 @dataclass(frozen=True)
 class Remover:
     length: int
@@ -246,11 +312,16 @@ class Remover:
 
     # Step 1: anchors of the texts.
     def send_anchors(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for flush, table in _Flush(batches):
-            _, ids, marks, data, offsets = _distinct(table)
-            found = anchors(data, offsets, self.length, self.gram)
-            order = np.lexsort((found.doc, found.hash))
-            h, doc = found.hash[order], found.doc[order]
+        for taken, parts in _flushes(batches):
+            hashes, docs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+            for part in parts:
+                found = anchors(part.data, part.offsets, self.length, self.gram)
+                hashes.append(found.hash)
+                docs.append(part.number[found.doc])
+            flush, (ids, marks) = taken.name, taken.table
+            h, doc = np.concatenate(hashes), np.concatenate(docs)
+            order = np.lexsort((doc, h))
+            h, doc = h[order], doc[order]
             fresh = np.concatenate(([True], (h[1:] != h[:-1]) | (doc[1:] != doc[:-1]))) if len(h) else np.zeros(0, bool)
             h, doc = h[fresh], doc[fresh]
             begin = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else np.zeros(0, np.int64)
@@ -258,15 +329,15 @@ class Remover:
             several = np.repeat(count > 1, count)
             rows = [_table(flush, zlib.crc32(flush.encode()) % self.buckets, ids, marks)]
             if several.any():
-                rows.append((_LOCAL, zlib.crc32(flush.encode()) % self.buckets, flush, h[several].tobytes(),
-                             doc[several].astype("<u4").tobytes()))
+                rows.append((_LOCAL, zlib.crc32(flush.encode()) % self.buckets, flush, _small(h[several]),
+                             _small(doc[several].astype("<u4"))))
             key, one, n = h[begin], doc[begin], np.minimum(count, 255)
             for bucket, at in _send(key, self.buckets):
                 at = at[np.argsort(one[at], kind="stable")]
                 low = key[at] & np.uint64((1 << 40) - 1)
-                rows.append((_KEYS, bucket, flush, (low & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(),
-                             (low >> np.uint64(32)).astype("u1").tobytes(), one[at].astype("<u4").tobytes(),
-                             n[at].astype("u1").tobytes()))
+                rows.append((_KEYS, bucket, flush, _small((low & np.uint64(0xFFFFFFFF)).astype("<u4")),
+                             _small((low >> np.uint64(32)).astype("u1")), _steps(one[at]),
+                             _small(n[at].astype("u1"))))
             yield _rows(rows)
 
     # Step 2: which of them several documents have.
@@ -274,9 +345,10 @@ class Remover:
         out = [r for k in (_TABLE, _LOCAL) for r in zip(*_lists(_by_kind(table, k), "kind", "bucket", "flush", "a", "b"),
                                                          strict=True)]
         flushes, low, high, doc, n = _lists(_by_kind(table, _KEYS), "flush", "a", "b", "c", "d")
-        size = np.array([len(x) // 4 for x in low], dtype=np.int64)
+        n = [np.frombuffer(_whole(x), "u1") for x in n]
+        size = np.array([len(x) for x in n], dtype=np.int64)
         key = _joined(low, "<u4").astype(np.uint64) | _joined(high, "u1").astype(np.uint64) << np.uint64(32)
-        doc, n = _joined(doc, "<u4"), _joined(n, "u1").astype(np.int64)
+        doc, n = _summed(doc), np.concatenate([np.zeros(0, np.int64), *n]).astype(np.int64)
         order = np.argsort(key, kind="stable")
         begin = np.flatnonzero(np.concatenate(([True], key[order][1:] != key[order][:-1]))) if len(key) else \
             np.zeros(0, np.int64)
@@ -290,15 +362,15 @@ class Remover:
             at = np.arange(ends[i] - size[i], ends[i])
             at = at[shared[at]]
             if len(at):
-                out.append((_KEYS, 0, flush, key[at].astype("<u8").tobytes(), doc[at].astype("<u4").tobytes(),
-                            crowd[at].astype("u1").tobytes()))
+                out.append((_KEYS, 0, flush, _small(key[at].astype("<u8")), _steps(doc[at]),
+                            _small(crowd[at].astype("u1"))))
         return pa.Table.from_batches([_rows(out)])
 
     # Back at the flush: the shared anchors of each document (40 bits of their hash, and whether crowded).
     def anchors_of_documents(self, table: pa.Table) -> pa.Table:
         ids, marks = (_joined(x, "<i8") for x in _lists(_by_kind(table, _TABLE), "a", "b"))
         keys, docs, crowded = _lists(_by_kind(table, _KEYS), "a", "b", "c")
-        key, doc, crowd = _joined(keys, "<u8"), _joined(docs, "<u4").astype(np.int64), _joined(crowded, "u1")
+        key, doc, crowd = _joined(keys, "<u8"), _summed(docs), _joined(crowded, "u1")
         low = np.uint64((1 << 40) - 1)
         local_key, local_doc = (_joined(x, t) for x, t in zip(
             _lists(_by_kind(table, _LOCAL), "a", "b"), ("<u8", "<u4"), strict=True))
@@ -323,79 +395,98 @@ class Remover:
 
     # Step 3: the regions around shared anchors.
     def send_regions(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for flush, table in _Flush(batches):
-            first, ids, marks, data, offsets = _distinct(table)
-            found = anchors(data, offsets, self.length, self.gram)
-            known = [np.frombuffer(x, "<u8") for x in table["shared"].take(pa.array(first)).to_pylist()]
-            owner = np.repeat(np.arange(len(known)), [len(x) for x in known])
-            value = np.concatenate([np.zeros(0, np.uint64), *known])
-            low = np.uint64((1 << 40) - 1)
-            # (document, key) pairs are looked up in one sorted list of mixed pairs.
-            pair = _mixed((value & low) + owner.astype(np.uint64) * _OTHER)
-            sort = np.argsort(pair)
-            mine = _mixed((found.hash & low) + found.doc.astype(np.uint64) * _OTHER)
-            place = np.minimum(np.searchsorted(pair[sort], mine), max(0, len(pair) - 1))
-            hit = pair[sort][place] == mine if len(pair) else np.zeros(len(mine), bool)
-            crowd = (value[sort][place] >> np.uint64(40) > 0) if len(pair) else hit
+        for taken, parts in _flushes(batches):
+            regions = [_Regions.none(self.width)]
+            strings = [(np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
+            for part in parts:
+                found, crowd = self._known(part, anchors(part.data, part.offsets, self.length, self.gram))
+                regions.append(self._regions(part, found.only(~crowd)))
+                strings.append(self._strings(part, found.only(crowd)))
+            flush, (ids, marks) = taken.name, taken.table
             rows = [_table(flush, zlib.crc32(flush.encode()) % self.buckets, ids, marks)]
-            ranges: list[np.ndarray] = []
-            self._regions(rows, ranges, flush, data, offsets, ids, found.only(hit & ~crowd))
-            self._strings(rows, ranges, flush, data, offsets, ids, found.only(hit & crowd))
+            ranges = [*self._send_regions(rows, flush, ids, _Regions.all(regions)),
+                      *self._send_strings(rows, flush, ids, *map(np.concatenate, zip(*strings, strict=True)))]
             if ranges:
-                rows.append((_RANGES, zlib.crc32(flush.encode()) % self.buckets, flush, np.concatenate(ranges).astype("<i8").tobytes()))
+                rows.append((_RANGES, zlib.crc32(flush.encode()) % self.buckets, flush,
+                             _small(np.concatenate(ranges).astype("<i8"))))
             yield _rows(rows)
 
-    def _regions(self, rows: list, ranges: list, flush: str, data: np.ndarray, offsets: np.ndarray, ids: np.ndarray,
-                 found: Anchors) -> None:
-        if not len(found.at):
-            return
+    @property
+    def width(self) -> int:
+        """Longest region: an anchor with all strings it can stand for."""
+        return 2 * self.length - self.gram
+
+    @staticmethod
+    def _known(part: _Part, found: Anchors) -> tuple[Anchors, np.ndarray]:
+        """The shared anchors among those found, and which of them are crowded."""
+        known = [np.frombuffer(x, "<u8") for x in part.shared]
+        owner = np.repeat(np.arange(len(known)), [len(x) for x in known])
+        value = np.concatenate([np.zeros(0, np.uint64), *known])
+        low = np.uint64((1 << 40) - 1)
+        # (document, key) pairs are looked up in one sorted list of mixed pairs.
+        pair = _mixed((value & low) + owner.astype(np.uint64) * _OTHER)
+        sort = np.argsort(pair)
+        mine = _mixed((found.hash & low) + found.doc.astype(np.uint64) * _OTHER)
+        if not len(pair):
+            return found.only(np.zeros(len(mine), bool)), np.zeros(0, bool)
+        place = np.minimum(np.searchsorted(pair[sort], mine), len(pair) - 1)
+        hit = pair[sort][place] == mine
+        return found.only(hit), (value[sort][place] >> np.uint64(40) > 0)[hit]
+
+    def _regions(self, part: _Part, found: Anchors) -> _Regions:
         size = found.last + self.length - found.first
-        width = 2 * self.length - self.gram
         # A region as a row of its own bytes, filled up with zeros, led by where its anchor is.
-        padded = np.concatenate((data, np.zeros(width, np.uint8)))
-        region = padded[found.first[:, None] + np.arange(width)]
-        region[np.arange(width) >= size[:, None]] = 0
+        padded = np.concatenate((part.data, np.zeros(self.width, np.uint8)))
+        region = padded[found.first[:, None] + np.arange(self.width)]
+        region[np.arange(self.width) >= size[:, None]] = 0
         lead = np.column_stack((found.hash.view(np.uint8).reshape(-1, 8), (found.at - found.first).astype(np.uint8),
                                 size.astype(np.uint8)))
-        whole = np.ascontiguousarray(np.concatenate((lead, region), axis=1)).view(f"V{width + 10}").reshape(-1)
-        # Equal regions: those of later documents of this flush are copies; the first one is sent.
-        key = _mixed(rolling_rows(whole.view(np.uint8).reshape(len(whole), -1)))
+        return _Regions(np.concatenate((lead, region), axis=1), part.number[found.doc],
+                        found.first - part.offsets[found.doc])
+
+    def _send_regions(self, rows: list, flush: str, ids: np.ndarray, found: _Regions) -> list[np.ndarray]:
+        """Of equal regions the one of the smallest id is sent; the ranges of the others are known here."""
+        if not len(found.doc):
+            return []
+        whole = np.ascontiguousarray(found.rows).view(f"V{self.width + 10}").reshape(-1)
+        key = _mixed(rolling_rows(found.rows))
         order = np.lexsort((ids[found.doc], key))
         same = np.concatenate(([False], (key[order][1:] == key[order][:-1]) & (whole[order][1:] == whole[order][:-1])))
         begin = np.flatnonzero(~same)
         least = ids[found.doc[order[begin]]][np.cumsum(~same) - 1]
         later = ids[found.doc[order]] > least
-        copies = order[later]
-        doc = found.doc[copies]
-        ranges.append(np.column_stack((doc, found.first[copies] - offsets[doc],
-                                       found.last[copies] + self.length - offsets[doc])))
-        sent = order[~later]
-        for bucket, at in _send(found.hash[sent], self.buckets):
-            at = sent[at]
-            doc = found.doc[at]
-            rows.append((_KEYS, bucket, flush, whole[at].tobytes(), ids[doc].astype("<i8").tobytes(),
-                         doc.astype("<u4").tobytes(), (found.first[at] - offsets[doc]).astype("<u4").tobytes()))
-
-    def _strings(self, rows: list, ranges: list, flush: str, data: np.ndarray, offsets: np.ndarray, ids: np.ndarray,
-                 found: Anchors) -> None:
-        if not len(found.at):
-            return
+        copies, sent = order[later], order[~later]
+        hashes = np.ascontiguousarray(found.rows[sent, :8]).view("<u8").reshape(-1)
+        for bucket, at in _send(hashes, self.buckets):
+            at = np.sort(sent[at])
+            rows.append((_KEYS, bucket, flush, _small(found.rows[at]), _small(ids[found.doc[at]].astype("<i8")),
+                         _small(found.doc[at].astype("<u4")), _small(found.first[at].astype("<u4"))))
+        return [np.column_stack((found.doc[copies], found.first[copies],
+                                 found.first[copies] + found.rows[copies, 9]))]
+
+    def _strings(self, part: _Part, found: Anchors) -> tuple[np.ndarray, ...]:
         group, place = ragged(found.last - found.first + 1)
         start, doc = found.first[group] + place, found.doc[group]
-        one, two = (rolling_hash(data, self.length, base)[start] for base in (_BASE, _OTHER))
+        if not len(start):
+            return np.zeros(0, np.uint64), np.zeros(0, np.uint64), start, doc
+        one, two = (rolling_hash(part.data, self.length, base)[start] for base in (_BASE, _OTHER))
+        return one, two, start - part.offsets[doc], part.number[doc]
+
+    def _send_strings(self, rows: list, flush: str, ids: np.ndarray, one: np.ndarray, two: np.ndarray,
+                      place: np.ndarray, doc: np.ndarray) -> list[np.ndarray]:
+        if not len(one):
+            return []
         order = np.lexsort((ids[doc], two, one))
-        one, two, start, doc = one[order], two[order], start[order], doc[order]
+        one, two, place, doc = one[order], two[order], place[order], doc[order]
         new = np.concatenate(([True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])))
         least = ids[doc[new]][np.cumsum(new) - 1]
         later = ids[doc] > least
-        place = start - offsets[doc]
-        ranges.append(np.column_stack(merged(doc[later], place[later], place[later] + self.length)))
         keep = np.flatnonzero(~later)
         for bucket, at in _send(one[keep], self.buckets):
             at = keep[at]
-            rows.append((_STRINGS, bucket, flush, one[at].tobytes(), two[at].tobytes(),
-                         ids[doc[at]].astype("<i8").tobytes(), doc[at].astype("<u4").tobytes(),
-                         place[at].astype("<u4").tobytes()))
+            rows.append((_STRINGS, bucket, flush, _small(one[at]), _small(two[at]), _small(ids[doc[at]].astype("<i8")),
+                         _small(doc[at].astype("<u4")), _small(place[at].astype("<u4"))))
+        return [np.column_stack(merged(doc[later], place[later], place[later] + self.length))]
 
     # Step 4: suffix order of the strings with one anchor, and their longest previous factors.
     def later_copies(self, table: pa.Table) -> pa.Table:
@@ -406,11 +497,12 @@ class Remover:
         number = {f: i for i, f in enumerate(names)}
 
         flushes, whole, ids, doc, first = _lists(_by_kind(table, _KEYS), "flush", "a", "b", "c", "d")
-        width = 2 * self.length - self.gram + 10
-        size = [len(x) // 8 for x in ids]
-        whole = _joined(whole, "u1").reshape(-1, width)
+        ids = [np.frombuffer(_whole(x), "<i8") for x in ids]
+        size = [len(x) for x in ids]
+        whole = _joined(whole, "u1").reshape(-1, self.width + 10)
         flush = np.repeat([number[f] for f in flushes], size).astype(np.int64)
-        ids, doc, first = _joined(ids, "<i8"), _joined(doc, "<u4").astype(np.int64), _joined(first, "<u4").astype(np.int64)
+        ids = np.concatenate([np.zeros(0, np.int64), *ids])
+        doc, first = _joined(doc, "<u4").astype(np.int64), _joined(first, "<u4").astype(np.int64)
         key = np.ascontiguousarray(whole[:, :8]).view("<u8").reshape(-1)
         order = np.argsort(key, kind="stable")
         begin = np.flatnonzero(np.concatenate(([True], key[order][1:] != key[order][:-1]))) if len(order) else []
@@ -426,10 +518,12 @@ class Remover:
             self._copies(np.concatenate(held), whole, ids, flush, doc, first, found)
 
         flushes, one, two, ids, doc, place = _lists(_by_kind(table, _STRINGS), "flush", "a", "b", "c", "d", "e")
-        size = [len(x) // 8 for x in ids]
+        ids = [np.frombuffer(_whole(x), "<i8") for x in ids]
+        size = [len(x) for x in ids]
         flush = np.repeat([number[f] for f in flushes], size).astype(np.int64)
         both = np.column_stack((_joined(one, "<u8"), _joined(two, "<u8"))).astype("<u8")
-        ids, doc, place = _joined(ids, "<i8"), _joined(doc, "<u4").astype(np.int64), _joined(place, "<u4").astype(np.int64)
+        ids = np.concatenate([np.zeros(0, np.int64), *ids])
+        doc, place = _joined(doc, "<u4").astype(np.int64), _joined(place, "<u4").astype(np.int64)
         if len(ids):
             order = np.lexsort((both[:, 1], both[:, 0]))
             same = np.concatenate(([False], (both[order][1:] == both[order][:-1]).all(axis=1)))
@@ -441,8 +535,8 @@ class Remover:
             span = np.concatenate([f[2] for f in found])
             for f in np.unique(flush).tolist():
                 at = flush == f
-                out.append((_RANGES, 0, names[f], np.column_stack(
-                    merged(doc[at], span[at, 0], span[at, 1])).astype("<i8").tobytes()))
+                out.append((_RANGES, 0, names[f], _small(np.column_stack(
+                    merged(doc[at], span[at, 0], span[at, 1])).astype("<i8"))))
         return pa.Table.from_batches([_rows(out)])
 
     def _copies(self, at: np.ndarray, whole: np.ndarray, ids: np.ndarray, flush: np.ndarray, doc: np.ndarray,
@@ -507,12 +601,13 @@ def remove(docs: DataFrame, length: int = 50, gram: int = 24, id_col: str = "doc
     ranges = (regions.mapInArrow(work.send_regions, _PARTS)
               .groupBy("bucket").applyInArrow(lambda t: work.later_copies(t), _PARTS)
               .groupBy("flush").applyInArrow(lambda t: work.ranges_of_documents(t), "doc_id long, mark long, ranges binary")
-              .groupBy("doc_id", "mark").agg(F.max("ranges").alias("_ranges")))
-    ranges = written(ranges, "ranges").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "_ranges")
-    marked = docs.withColumn("_key", mark)
-    joined = (marked.join(ranges, (marked[id_col].cast("long") == ranges["_id"]) & (marked["_key"] == ranges["_mark"]),
-                          "left").drop("_id", "_mark", "_key"))
-    return _cut_out(joined, text_col)
+              .groupBy("doc_id", "mark").agg(F.max("ranges").alias("ranges")))
+    key, own_id, own_mark, spans = unused(docs, "key", "own_id", "own_mark", "ranges")
+    ranges = written(ranges, "ranges").toDF(own_id, own_mark, spans)
+    marked = docs.withColumn(key, mark)
+    joined = marked.join(ranges, (marked[id_col].cast("long") == ranges[own_id]) & (marked[key] == ranges[own_mark]),
+                         "left").drop(own_id, own_mark, key)
+    return _cut_out(joined, text_col, spans)
 
 
 def _picked(data: np.ndarray, offsets: np.ndarray, keep: np.ndarray) -> list[bytes]:
@@ -522,9 +617,9 @@ def _picked(data: np.ndarray, offsets: np.ndarray, keep: np.ndarray) -> list[byt
     return [kept[s:e] for s, e in zip(left[:-1].tolist(), left[1:].tolist(), strict=True)]
 
 
-def _cut_out(df: DataFrame, text_col: str) -> DataFrame:
+def _cut_out(df: DataFrame, text_col: str, ranges_col: str) -> DataFrame:
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
-    fields = [f for f in df.schema.fields if f.name not in ("_ranges", "removed", "kept", "kept_text")]
+    fields = [f for f in df.schema.fields if f.name not in (ranges_col, "removed", "kept", "kept_text")]
     schema = T.StructType([*fields, T.StructField("removed", T.ArrayType(span)), T.StructField("kept", T.BinaryType()),
                            T.StructField("kept_text", T.StringType())])
     arrow = to_arrow_schema(schema)
@@ -533,7 +628,7 @@ def _cut_out(df: DataFrame, text_col: str) -> DataFrame:
         for batch in batches:
             for part in text_slices(batch, text_col):
                 data, offsets = utf8_bytes(part.column(text_col))
-                spans = [np.frombuffer(x or b"", "<i8").reshape(-1, 2) for x in part.column("_ranges").to_pylist()]
+                spans = [np.frombuffer(x or b"", "<i8").reshape(-1, 2) for x in part.column(ranges_col).to_pylist()]
                 counts = np.array([len(x) for x in spans])
                 every = np.concatenate([np.zeros((0, 2), np.int64), *spans])
                 base = np.repeat(offsets[:-1], counts)

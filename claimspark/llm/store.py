@@ -19,3 +19,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """These names, with underscores put before those that ``df`` has already."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
