@@ -53,8 +53,8 @@ class Settings:
     rounds: int = 2
     #: One of so many training texts (by hash, others in each round) trains the recurrent model.
     one_of: int = 16
-    #: Groups in which models are averaged before the driver averages the groups.
-    groups: int = 32
+    #: Models that are averaged together, step by step until the driver averages the last of them.
+    together: int = 16
 
 
 _hashes = Remembered(lambda words: [xxhash.xxh3_64_intdigest(w) for w in words], 200_000)
@@ -121,6 +121,16 @@ class Counts:
         return [self.tokens - self.texts - sum(self.word_counts), self.texts, *self.word_counts]
 
 
+#: Classes of counts: 32 for each doubling.
+SIZES = 2048
+#: Groups in which the classes' numbers are summed before the driver adds them.
+SUMMED = 32
+
+
+def _size(count: np.ndarray) -> np.ndarray:
+    return np.minimum((np.log2(np.maximum(count, 1)) * 32).astype(np.int64), SIZES - 1)
+
+
 def corpus_counts(docs: DataFrame, buckets: int, vocabulary: int) -> Counts:
     """Counts over all training texts; the driver gets the vocabulary and three sums."""
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,15 +149,38 @@ def corpus_counts(docs: DataFrame, buckets: int, vocabulary: int) -> Counts:
         count = np.bincount(codes, weights=_binary("<u4", table["counts"].to_pylist()), minlength=len(words))
         names = np.array(words.to_pylist(), dtype=object)
         best = np.lexsort((names, -count))[:vocabulary]
-        return pa.table({"word": pa.array([*names[best].tolist(), None], pa.string()),
-                         "n": pa.array([*count[best].astype(np.int64).tolist(), int(count.sum())], pa.int64()),
-                         "types": pa.array([*[0] * len(best), len(names)], pa.int64())})
+        return pa.table({"words": pa.array([_joined(names, best)], pa.binary()),
+                         "counts": pa.array([count[best].astype("<i8").tobytes()], pa.binary()),
+                         "sizes": pa.array([np.bincount(_size(count[best]), minlength=SIZES).astype("<i8").tobytes()],
+                                           pa.binary()),
+                         "n": pa.array([int(count.sum())], pa.int64()), "types": pa.array([len(names)], pa.int64()),
+                         "part": pa.array([table["bucket"][0].as_py() % SUMMED], pa.int32())})
+
+    def summed(table: pa.Table) -> pa.Table:
+        sizes = np.sum([np.frombuffer(x, "<i8") for x in table["sizes"].to_pylist()], axis=0)
+        return pa.table({"sizes": pa.array([sizes.astype("<i8").tobytes()], pa.binary())})
 
     found = written(docs.select("text", "train").mapInArrow(send, "bucket int, words binary, counts binary")
-                    .groupBy("bucket").applyInArrow(lambda t: gather(t), "word string, n long, types long"), "counts")
-    sums = found.where("word IS NULL").agg(F.sum("n"), F.sum("types")).first()
+                    .groupBy("bucket").applyInArrow(lambda t: gather(t), "words binary, counts binary, sizes binary, "
+                                                    "n long, types long, part int"), "counts")
+    sums = found.agg(F.sum("n"), F.sum("types")).first()
     texts = docs.where("train").count()
-    top = found.where("word IS NOT NULL").orderBy(F.desc("n"), "word").limit(vocabulary).collect()
+    # The sizes of counts show from which size on there are words enough; only such words leave their bucket.
+    sizes = found.select("part", "sizes").groupBy("part").applyInArrow(lambda t: summed(t), "sizes binary").collect()
+    above = np.cumsum(np.sum([np.zeros(SIZES, np.int64), *(np.frombuffer(r["sizes"], "<i8") for r in sizes)], axis=0)[::-1])
+    least = SIZES - 1 - int(np.searchsorted(above, vocabulary)) if above[-1] >= vocabulary else 0
+
+    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for words, counts in zip(batch["words"].to_pylist(), batch["counts"].to_pylist(), strict=True):
+                n = np.frombuffer(counts, "<i8")
+                some = np.flatnonzero(_size(n) >= least)
+                names = np.array(words.decode().split(" "), dtype=object)
+                yield pa.RecordBatch.from_arrays([pa.array(names[some].tolist(), pa.string()), pa.array(n[some])],
+                                                 names=["word", "n"])
+
+    top = (found.select("words", "counts").mapInArrow(frequent, "word string, n long")
+           .orderBy(F.desc("n"), "word").limit(vocabulary).collect())
     return Counts((sums[0] or 0) + texts, (sums[1] or 0) + (texts > 0), texts, tuple(r["word"] for r in top),
                   tuple(r["n"] for r in top))
 
@@ -231,7 +264,7 @@ def _tokens(texts: pa.Array, vocabulary: dict[str, int]) -> tuple[np.ndarray, np
 def train(docs: DataFrame, counts: Counts, settings: Settings) -> Gru:
     """Rounds of training in every task and averaging; what reaches the driver is one model for each group."""
     model = Gru.started(settings.shape, counts.by_token)
-    vocabulary, groups = counts.vocabulary, settings.groups
+    vocabulary, together = counts.vocabulary, settings.together
     for turn in range(settings.rounds):
         start = model
 
@@ -243,18 +276,24 @@ def train(docs: DataFrame, counts: Counts, settings: Settings) -> Gru:
                 seen += len(tokens)
             if seen:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([TaskContext.get().partitionId() % groups], pa.int32()), pa.array([seen], pa.int64()),
-                     pa.array([own.packed()], pa.binary())], names=["group", "tokens", "model"])
+                    [pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([seen], pa.int64()),
+                     pa.array([own.packed()], pa.binary())], names=["part", "tokens", "model"])
 
         def average(table: pa.Table) -> pa.Table:
             weight = np.asarray(table["tokens"]).astype(np.float64)
             total = sum(w * np.frombuffer(m.as_py(), "<f4") for w, m in zip(weight, table["model"], strict=True))
-            return pa.table({"tokens": pa.array([int(weight.sum())], pa.int64()),
+            return pa.table({"part": pa.array([table["part"][0].as_py()], pa.int32()),
+                             "tokens": pa.array([int(weight.sum())], pa.int64()),
                              "model": pa.array([(total / weight.sum()).astype("<f4").tobytes()], pa.binary())})
 
         chosen = docs.where(F.col("train") & (F.pmod(F.xxhash64("mark"), F.lit(settings.one_of)) == turn))
-        rows = (chosen.select("text").mapInArrow(learn, "group int, tokens long, model binary")
-                .groupBy("group").applyInArrow(lambda t: average(t), "tokens long, model binary").collect())
+        columns = "part int, tokens long, model binary"
+        models, left = chosen.select("text").mapInArrow(learn, columns), chosen.rdd.getNumPartitions()
+        while left > together:
+            left = -(-left // together)
+            models = (models.withColumn("part", F.floor(F.col("part") / together).cast("int"))
+                      .groupBy("part").applyInArrow(lambda t: average(t), columns))
+        rows = models.collect()
         if rows:
             weight = sum(r["tokens"] for r in rows)
             total = sum(r["tokens"] * np.frombuffer(r["model"], "<f4").astype(np.float64) for r in rows)
