@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from claimspark.llm.arrowtext import text_slices
 from claimspark.llm.store import written
-from claimspark.llm.wordbpe import word_tokenizer
+from claimspark.llm.wordbpe import TEXT_BYTES, word_tokenizer
 
 #: Lengths tried as the second of three, for each first length.
 SECOND_LENGTHS = 24
@@ -51,7 +51,7 @@ def tokenized(docs: DataFrame, vocabulary: Callable[[], str], window: int, end_i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in text_slices(batch, "text"):
+            for piece in text_slices(batch, "text", TEXT_BYTES):
                 ids, offsets = word_tokenizer(vocabulary()).encode(piece.column("text"), end_id)
                 crcs, tail_crcs, tails = [], [], []
                 for start, end in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):

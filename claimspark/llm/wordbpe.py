@@ -3,46 +3,74 @@
 from __future__ import annotations
 
 import os
+from array import array
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 
 from claimspark.llm.arrowtext import Remembered, ragged_take, word_codes
+from claimspark.llm.bpe import byte_characters
 
-#: Words remembered by one Python worker.
-CACHE_WORDS = 150_000
+#: Texts tokenised together.
+TEXT_BYTES = 6 << 20
+#: Words, and pre-tokens, remembered by one Python worker.
+CACHE_WORDS = 200_000
+#: The tokenizer's own cut of a word into pre-tokens (fixed by its file).
+PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _ids(ids: list[int]) -> bytes:
+    return array("H", ids).tobytes()
 
 
 class WordTokenizer:
     """For tokenizers that treat white space only as an end of words, such as ``word_bpe_49k.json``.
 
     Their ids of a text are the ids of its words in order, so a batch's
-    distinct words are encoded once.  A word of ASCII letters is one
-    pre-token whose normal form is its lower case and goes to the merges
-    directly; any other word goes through the whole tokenizer.
+    distinct words are encoded once.  A printable word of letters and marks
+    below U+0250 is its own normal form but for its lower case: it is cut
+    into pre-tokens here and each goes to the tokenizer's merges.  Any other
+    word, and any that could hold a special token, goes through the whole
+    tokenizer.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.split = regex.compile(PRE_TOKENS).findall
+        self.characters = {b: c for b, c in enumerate(byte_characters())}
+        self.pre_tokens = Remembered(self._merged, CACHE_WORDS)
         self.ids = Remembered(self._encode, CACHE_WORDS)
 
-    def _encode(self, words: list[str]) -> list[np.ndarray]:
-        merge, plain = self.tokenizer.model.tokenize, [w.isascii() and w.isalpha() for w in words]
+    def _merged(self, pre_tokens: list[str]) -> list[bytes]:
+        merge = self.tokenizer.model.tokenize
+        return [_ids([t.id for t in merge(p if p.isascii() else p.encode().decode("latin-1").translate(self.characters))])
+                for p in pre_tokens]
+
+    def _encode(self, words: list[str]) -> list[bytes]:
+        """Ids of each word as 16-bit integers."""
+        plain = [w.isprintable() and (w.isascii() or (max(w) < "\u0250" and "\u0130" not in w)) and "<|" not in w
+                 for w in words]
         whole = iter(self.tokenizer.encode_batch(
             [w for w, p in zip(words, plain, strict=True) if not p], add_special_tokens=False))
-        return [np.array([t.id for t in merge(w.lower())] if p else next(whole).ids, dtype=np.uint16)
-                for w, p in zip(words, plain, strict=True)]
+        split = self.split
+        cut = [(split(w.lower()) if not w.isalpha() else [w.lower()]) if p else None
+               for w, p in zip(words, plain, strict=True)]
+        distinct = list({p for c in cut if c for p in c})
+        ids = dict(zip(distinct, self.pre_tokens(distinct), strict=True))
+        return [_ids(next(whole).ids) if c is None else ids[c[0]] if len(c) == 1 else b"".join([ids[p] for p in c])
+                for c in cut]
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in order, offsets of each text): a null text is empty, ``end_id`` closes each."""
         codes, offsets, words = word_codes(texts)
         lists = self.ids(words.to_pylist())
-        sizes = np.array([len(x) for x in lists], dtype=np.int64)
-        table = np.concatenate([np.zeros(0, np.uint16), *lists, np.array([end_id], np.uint16)])
+        sizes = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists)) // 2
+        table = np.frombuffer(b"".join([*lists, _ids([end_id])]), np.uint16)
         starts = np.cumsum(sizes) - sizes
         # The end id is one more word, placed after each text's own.
         ends = offsets[1:] + np.arange(len(offsets) - 1)
