@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -29,15 +30,21 @@ from pyspark.sql import functions as F
 
 from claimspark.llm.arrowtext import text_slices
 from claimspark.llm.mixcoder import decode_blocks, encode_blocks
-from claimspark.llm.wordbpe import word_tokenizer
+from claimspark.llm.wordbpe import TEXT_BYTES, word_tokenizer
 
 BLOCK = 4096
-#: Blocks coded together, which bounds a task's memory.
-LANES = 1024
+#: Blocks coded together: about so many, at most half as many again, which bounds a task's memory.
+LANES = 1280
 
 BLOCKS = "part int, block long, first_id long, n_ids int, frame binary, docs array<bigint>, rows array<bigint>, counts array<int>"
 
 
+def _together(n: int) -> list[slice]:
+    """``n`` blocks in even parts of about ``LANES``: a part's time hardly depends on its size."""
+    parts = max(1, round(n / LANES))
+    return [slice(i * n // parts, (i + 1) * n // parts) for i in range(parts)]
+
+
 def write(docs: DataFrame, path: str, vocabulary: Callable[[], str], end_id: int, id_col: str = "doc_id",
           text_col: str = "text", block: int = BLOCK) -> None:
     """Write the ids of all texts to ``path`` (a folder that all executors share)."""
@@ -57,8 +64,10 @@ def _encoded(batches: Iterator[pa.RecordBatch], vocabulary: Callable[[], str], e
 
     def cut(last: bool) -> Iterator[pa.RecordBatch]:
         nonlocal held, number, owners
-        sizes = [block] * (len(held) // block) + ([len(held) % block] if last and len(held) % block else [])
-        frames = encode_blocks(np.split(held, np.cumsum(sizes))[:len(sizes)])
+        sizes = [block] * (len(held) // block if last else LANES)
+        sizes += [len(held) % block] if last and len(held) % block else []
+        blocks = np.split(held, np.cumsum(sizes))[:len(sizes)]
+        frames = [f for some in _together(len(blocks)) for f in encode_blocks(blocks[some])]
         rows = []
         at = 0
         for size, frame in zip(sizes, frames, strict=True):
@@ -81,14 +90,14 @@ def _encoded(batches: Iterator[pa.RecordBatch], vocabulary: Callable[[], str], e
                                              names=names)
 
     for batch in batches:
-        for piece in text_slices(batch, "text"):
+        for piece in text_slices(batch, "text", TEXT_BYTES):
             ids, offsets = word_tokenizer(vocabulary()).encode(piece.column("text"), end_id)
             counts = np.diff(offsets).tolist()
             owners += [(d, row + i, n) for i, (d, n) in enumerate(zip(piece.column("doc_id").to_pylist(), counts,
                                                                       strict=True))]
             row += len(counts)
             held = np.concatenate((held, ids))
-            if len(held) >= block * LANES:
+            if len(held) >= 2 * block * LANES:
                 yield from cut(last=False)
     yield from cut(last=True)
 
@@ -97,8 +106,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     """(part, row, doc_id, first_id, n_ids, ids): pieces of texts; ids as little-endian unsigned 32-bit integers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, LANES):
-                some = batch.slice(start, LANES)
+            for part in _together(batch.num_rows):
+                some = batch.slice(part.start, part.stop - part.start)
                 rows = []
                 for ids, head in zip(decode_blocks(some.column("frame").to_pylist()),
                                      some.drop_columns(["frame"]).to_pylist(), strict=True):
@@ -121,19 +130,23 @@ def crc32_joined(first: int, second: int, size: int) -> int:
     """CRC-32 of two byte strings in a row, from their own and the size of the second.
 
     Appending zero bytes is linear, so the first value is carried over
-    ``size`` zero bytes by repeated squaring.
+    ``size`` zero bytes by the powers of two in it.
     """
-    def zeros(n: int) -> list[int]:
-        """Effect of ``n`` zero bytes on each bit of a CRC register."""
-        result, power = [1 << i for i in range(32)], [_after_zero_byte(1 << i) for i in range(32)]
-        while n:
-            if n & 1:
-                result = [_applied(power, x) for x in result]
-            power = [_applied(power, x) for x in power]
-            n >>= 1
-        return result
-
-    return _applied(zeros(size), first) ^ second
+    power = 0
+    while size:
+        if size & 1:
+            first = _applied(_zero_bytes(power), first)
+        size, power = size >> 1, power + 1
+    return first ^ second
+
+
+@lru_cache(maxsize=None)
+def _zero_bytes(power: int) -> list[int]:
+    """Effect of 2^power zero bytes on each bit of a CRC register (as many as a length has bits)."""
+    if power == 0:
+        return [_after_zero_byte(1 << i) for i in range(32)]
+    half = _zero_bytes(power - 1)
+    return [_applied(half, x) for x in half]
 
 
 def _applied(effect: list[int], x: int) -> int:

@@ -20,7 +20,8 @@ import numpy as np
 
 MAGIC = b"IDM1"
 HEADER = struct.Struct("<4sIII")
-SLOTS = 12
+#: Bits of the tables of named ids, and of the contexts of the lowest bits: small, so that many lanes stay in cache.
+SLOTS, CONTEXTS = 11, 9
 _U64 = np.uint64
 _TOP, _BOTTOM = _U64(1 << 48), _U64(1 << 32)
 
@@ -148,7 +149,7 @@ class _Model:
         self.before, self.last = np.full(lanes, 65536, np.int64), np.full(lanes, 65537, np.int64)
         self.which = Mixed(lanes, (9, 16, 32))
         self.high, self.middle, self.lowest = Frequencies(lanes, 64), Frequencies(lanes * 64, 32), \
-            Frequencies(lanes * 2048, 32)
+            Frequencies(lanes << CONTEXTS, 32)
 
     def names(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         mask = (1 << SLOTS) - 1
@@ -170,6 +171,11 @@ class _Model:
         self.before[:n], self.last[:n] = self.last[:n], ids
 
 
+def _context(lanes: np.ndarray, upper: np.ndarray) -> np.ndarray:
+    """Context of an id's lowest bits: its upper bits, several of which may share one."""
+    return (lanes << CONTEXTS) | ((upper * 40503 >> 3) & ((1 << CONTEXTS) - 1))
+
+
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     """A framed, checksummed code of each block of ids (below 65536)."""
     if not blocks:
@@ -195,7 +201,7 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
             y = x[live]
             model.high.encode(coder, live, live, y >> 10)
             model.middle.encode(coder, live, live * 64 + (y >> 10), y >> 5 & 31)
-            model.lowest.encode(coder, live, live * 2048 + (y >> 5), y & 31)
+            model.lowest.encode(coder, live, _context(live, y >> 5), y & 31)
         model.learn(n, x, outcome)
     out: list[bytes] = [b""] * len(blocks)
     for i, code in zip(order, coder.finish(), strict=True):
@@ -231,7 +237,8 @@ def decode_blocks(frames: list[bytes]) -> list[np.ndarray]:
         if len(live):
             high = model.high.decode(coder, live, live)
             middle = model.middle.decode(coder, live, live * 64 + high)
-            x[live] = high << 10 | middle << 5 | model.lowest.decode(coder, live, live * 2048 + (high << 5 | middle))
+            x[live] = high << 10 | middle << 5 | model.lowest.decode(
+                coder, live, _context(live, high << 5 | middle))
         ids[t, :n] = x
         model.learn(n, x, outcome)
     out: list[np.ndarray] = [np.zeros(0, np.uint16)] * len(frames)
