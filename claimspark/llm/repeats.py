@@ -11,10 +11,10 @@ a document with a smaller id.  The corpus is never sorted whole:
    the flushes, and from there to their documents.
 3. Documents send the regions around shared anchors, again each distinct
    one once in a flush; equal regions inside a flush are settled there.
-4. Regions with one anchor meet.  Their strings are put in suffix order;
-   previous and next smaller document ids in that order give each string's
-   longest previous factor as far as ``length``.  Where it reaches
-   ``length``, the string is a later copy.
+4. Regions with one anchor meet.  Their strings are put in suffix order (by
+   names made by doubling); previous and next smaller document ids in that
+   order give each string's longest previous factor as far as ``length``.
+   Where it reaches ``length``, the string is a later copy.
 5. The ranges of later copies go back to the documents and are cut out.
 
 An anchor of very many documents would bring all their regions together.
@@ -32,7 +32,7 @@ are kept; an empty table gives an empty table.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -64,19 +64,20 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 def rolling_hash(data: np.ndarray, size: int, base: np.uint64 = _BASE) -> np.ndarray:
-    """Hash of every ``size`` bytes, by doubling: two halves make the whole."""
-    if len(data) < size:
-        return np.zeros(0, np.uint64)
+    """Hash of every ``size`` bytes (along the last axis), by doubling: two halves make the whole."""
+    n = data.shape[-1]
+    if n < size:
+        return np.zeros((*data.shape[:-1], 0), np.uint64)
     power, have, h = base, 1, data.astype(np.uint64) + np.uint64(1)
     out, covered = None, 0
     while True:
         if size & have:
-            out = h[:len(data) - have + 1] if out is None else \
-                out[:len(data) - covered - have + 1] * power + h[covered:covered + len(data) - covered - have + 1]
+            left = n - covered - have + 1
+            out = h[..., :left] if out is None else out[..., :left] * power + h[..., covered:covered + left]
             covered += have
         if covered == size:
             return _mixed(out)
-        h = h[:-have] * power + h[have:]
+        h = h[..., :-have] * power + h[..., have:]
         have, power = 2 * have, _U64(int(power) ** 2 % (1 << 64))
 
 
@@ -128,13 +129,19 @@ def _inside(offsets: np.ndarray, size: int, length: int) -> np.ndarray:
     return np.cumsum(change[:size]) > 0
 
 
-def suffix_order(strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order of byte strings (rows of equal length), and whether each equals the one before it in that order."""
-    whole = np.ascontiguousarray(strings).view(f"V{strings.shape[1]}").reshape(-1)
-    keys = whole.view(f"S{strings.shape[1]}")
-    order = np.argsort(keys, kind="stable")
+def suffix_order(names: np.ndarray, equal: Callable[[np.ndarray, np.ndarray], np.ndarray]
+                 ) -> tuple[np.ndarray, np.ndarray]:
+    """Order of strings by their names, and whether each equals the one before it in that order.
+
+    As in suffix sorting by doubling, a string's name is made of its halves'
+    names (``rolling_hash``), so equal strings have equal names and stand
+    together; only strings equal over their whole length matter here, so the
+    order of unequal ones does not.  ``equal`` compares pairs byte by byte.
+    """
+    order = np.argsort(names, kind="stable")
     same = np.zeros(len(order), dtype=bool)
-    same[1:] = whole[order[1:]] == whole[order[:-1]]
+    near = np.flatnonzero(names[order[1:]] == names[order[:-1]]) + 1
+    same[near] = equal(order[near - 1], order[near])
     return order, same
 
 
@@ -544,13 +551,19 @@ class Remover:
         size = whole[at, 9].astype(np.int64)
         group, place = ragged(size - self.length + 1)
         row = at[group]
-        # A string begins with its anchor's place, so equal strings of unlike anchors stay apart.
-        strings = np.empty((len(row), self.length + 9), dtype=np.uint8)
-        strings[:, :8] = whole[row, :8]
-        strings[:, 8] = whole[row, 8] - place
-        body = np.lib.stride_tricks.sliding_window_view(whole[:, 10:], self.length, axis=1)
-        strings[:, 9:] = body[row, place]
-        order, same = suffix_order(strings)
+        body = whole[at, 10:]
+        lead = np.ascontiguousarray(whole[at, :8]).view("<u8").reshape(-1)
+        # A string is named with its anchor and the anchor's place in it.
+        offset = whole[row, 8].astype(np.int64) - place
+        names = _mixed(rolling_hash(body, self.length)[group, place] + _mixed(lead)[group] * _OTHER
+                       + offset.astype(np.uint64))
+        windows = np.lib.stride_tricks.sliding_window_view(body, self.length, axis=1)
+
+        def equal(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            return ((lead[group[a]] == lead[group[b]]) & (offset[a] == offset[b])
+                    & (windows[group[a], place[a]] == windows[group[b], place[b]]).all(axis=1))
+
+        order, same = suffix_order(names, equal)
         later = has_previous_factor(order, same, ids[row])
         begin = first[row[later]] + place[later]
         # Ranges of one region are joined before they leave.
