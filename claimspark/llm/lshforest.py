@@ -12,7 +12,11 @@ Texts with equal sets are one node from the start.
    always keeps the links between neighbours.  The order is cut into ranges
    of equal size, so a crowded region spreads over tasks.
 3. Candidates with similar signatures form rough groups, as connected
-   components.  A link at the threshold is inside a rough group.
+   components.  A crowded region whose nodes are then in several groups is
+   compared whole after all: its nodes are dealt into blocks and every pair of
+   blocks meets in a task, which compares signatures across groups.  So nodes
+   that share ``DEPTH`` values are always compared or in one group, however
+   many others hold the passage that the values come from.
 4. Inside the rough groups full shingle sets are compared.  A large group is
    dealt into blocks of bounded size and every pair of blocks meets in a
    task of its own; a task sends on a spanning forest of its true links.
@@ -48,6 +52,8 @@ REGION = 64
 AGREE = 0.69
 #: Nodes in a block of a large rough group.
 BLOCK = 128
+#: A crowded region is dealt into so many blocks, of at least BLOCK and at most CROWD_BLOCK nodes.
+CROWD_BLOCKS, CROWD_BLOCK = 16, 4096
 
 _MULTIPLIERS = (np.random.default_rng(5).integers(0, 1 << 63, TREES * STRETCH, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 _ADD = np.random.default_rng(6).integers(0, 1 << 63, TREES * STRETCH, dtype=np.uint64)
@@ -191,11 +197,11 @@ def candidate_links(nodes: DataFrame, agree: float) -> DataFrame:
     trees = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))
     prefixes = nodes.select("key", "signature", trees.alias("tree")).select(
         "key", "tree", _stretch(F.col("signature"), F.col("tree"), DEPTH).alias("prefix"))
-    several = prefixes.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    several = prefixes.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     in_trees = written(prefixes.join(several, ["tree", "prefix"]).groupBy("key").agg(
-        F.collect_list("tree").alias("trees")), "in-trees")
+        F.collect_list(F.struct("tree", "n")).alias("trees")), "in-trees")
     order = written(
-        nodes.join(in_trees, "key").select("key", "signature", F.explode("trees").alias("tree"))
+        nodes.join(in_trees, "key").select("key", "signature", F.inline("trees"))
         .withColumn("label", _stretch(F.col("signature"), F.col("tree"), STRETCH)), "trees")
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     by = ("tree", "label", "key")
@@ -214,8 +220,66 @@ def candidate_links(nodes: DataFrame, agree: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(keys[root[linked]].tolist(), pa.binary()),
                                               pa.array(keys[row[linked]].tolist(), pa.binary())], names=["a", "b"])
 
-    return (order.repartitionByRange(parts, *by).sortWithinPartitions(*by).select("key", "signature", "tree")
-            .mapInArrow(run, "a binary, b binary").distinct())
+    near = (order.select("key", "signature", "tree", "label").repartitionByRange(parts, *by).sortWithinPartitions(*by)
+            .select("key", "signature", "tree").mapInArrow(run, "a binary, b binary").distinct())
+    crowded = order.where(F.col("n") > REGION)
+    if not crowded.limit(1).count():
+        return near
+    near = written(near, "near-links")
+    return near.unionByName(crowd_links(crowded, components(near), agree)).distinct()
+
+
+def similar_across(signed: np.ndarray, group: np.ndarray, first_block: np.ndarray, agree: float) -> np.ndarray:
+    """Smallest row that each row reaches over pairs of different groups with similar signatures; with two blocks,
+    pairs across them."""
+    n, values = signed.shape
+    left, right = np.flatnonzero(first_block), np.flatnonzero(~first_block)
+    if not len(right):
+        right = left
+    root = np.arange(n)
+    if (group == group[0]).all():
+        return root
+    across = np.ascontiguousarray(signed[right].T)
+    for s in range(0, len(left), 256):
+        rows = left[s:s + 256]
+        equal = np.zeros((len(rows), len(right)), dtype=np.uint8)
+        for i in range(values):
+            equal += signed[rows, i][:, None] == across[i]
+        a, b = np.nonzero((equal >= agree * values) & (group[rows][:, None] != group[right]))
+        linked = np.flatnonzero(root != np.arange(n))
+        root = _roots(n, np.concatenate((linked, rows[a])), np.concatenate((root[linked], right[b])))
+    return root
+
+
+def crowd_links(crowded: DataFrame, rough: DataFrame, agree: float) -> DataFrame:
+    """(a, b): links between keys of one crowded region but of different groups in ``rough``.
+
+    ``crowded`` is (key, signature, tree, label, n) with the number of nodes of the region.  Blocks of one region
+    meet pair by pair; a task sends on a spanning forest.
+    """
+    of_key = rough.select(F.col("node").alias("key"), F.col("label").alias("group"))
+    members = written(crowded.join(of_key, "key", "left").select(
+        "key", "signature", "tree", F.substring("label", 1, 2 * DEPTH).alias("prefix"), "n",
+        F.coalesce("group", "key").alias("group")), "crowds")
+    mixed = (members.groupBy("tree", "prefix").agg(F.min("group").alias("least"), F.max("group").alias("most"))
+             .where("least < most").select("tree", "prefix"))
+    size = F.least(F.greatest(F.col("n") / CROWD_BLOCKS, F.lit(BLOCK)), F.lit(CROWD_BLOCK))
+    dealt = (members.join(mixed, ["tree", "prefix"]).withColumn("blocks", F.ceil(F.col("n") / size).cast("int"))
+             .withColumn("mine", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("key", "signature", "group", "mine", "tree", "prefix",
+                     F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high")))
+
+    def compare(table: pa.Table) -> pa.Table:
+        signed = np.frombuffer(b"".join(table["signature"].to_pylist()), ">u2").reshape(len(table), -1).astype(np.uint16)
+        group = np.unique(np.array(table["group"].to_pylist(), dtype=object), return_inverse=True)[1]
+        keys = table["key"].to_pylist()
+        root = similar_across(signed, group, np.asarray(table["mine"]) == np.asarray(table["low"]), agree)
+        linked = np.flatnonzero(root != np.arange(len(root))).tolist()
+        return pa.table({"a": pa.array([keys[root[i]] for i in linked], pa.binary()),
+                         "b": pa.array([keys[i] for i in linked], pa.binary())})
+
+    return dealt.groupBy("tree", "prefix", "low", "high").applyInArrow(lambda t: compare(t), "a binary, b binary")
 
 
 def true_links(sets: list[np.ndarray], first_block: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:

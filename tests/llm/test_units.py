@@ -106,6 +106,24 @@ def test_regions_cover_every_row_that_shares_a_prefix():
     assert (covered == 1).all()
 
 
+def test_true_pairs_in_a_crowd_with_a_common_passage_are_found(spark):
+    rng = np.random.default_rng(8)
+    n, trees, stretch = 300, lshforest.TREES, lshforest.STRETCH
+    # Every node has the passage's values in half of the trees; a pair has them in the same 12 trees and nothing else in common.
+    hot = rng.integers(0, 1 << 16, trees * stretch)
+    held = rng.random((n, trees)) < 0.5
+    pairs = [(0, n - 1), (1, n - 2), (70, 200)]
+    for a, b in pairs:
+        held[[a, b]] = np.isin(np.arange(trees), rng.permutation(trees)[:12])
+    values = np.where(np.repeat(held, stretch, axis=1), hot, rng.integers(0, 1 << 16, (n, trees * stretch)))
+    rows = [(b"%03d" % i, bytearray(v.astype(">u2").tobytes())) for i, v in enumerate(values)]
+    nodes = spark.createDataFrame([(bytearray(k), s) for k, s in rows], "key binary, signature binary")
+    agree = (values[:, None] == values).mean(axis=2) >= 0.69
+    assert {(a, b) for a, b in zip(*np.nonzero(agree), strict=True) if a < b} == set(pairs)
+    found = {tuple(sorted((int(bytes(a)), int(bytes(b))))) for a, b in lshforest.candidate_links(nodes, 0.69).collect()}
+    assert found == set(pairs)
+
+
 def test_components_of_a_long_chain(spark):
     rows = [(f"{i:03d}", f"{i + 1:03d}") for i in range(60)] + [("900", "901"), ("901", "901")]
     found = dict(components(spark.createDataFrame(rows, "a string, b string")).collect())
