@@ -5,7 +5,8 @@ Texts with equal sets are one node from the start.
 
 1. Each node has a MinHash signature; the forest's trees are the nodes in
    the order of different stretches of it.  Only nodes that share the first
-   ``DEPTH`` values of a stretch with another node are put in that tree.
+   ``depth`` values of a stretch with another node are put in that tree; the
+   depth follows from the threshold (4 at 0.85, 3 at 0.8).
 2. In a tree's order, neighbours by longest common prefix are candidates.  A
    region (equal prefix) of few nodes is compared whole by signature; a
    crowded region is cut at a greater depth until its parts are small, and
@@ -15,7 +16,7 @@ Texts with equal sets are one node from the start.
    components.  A crowded region whose nodes are then in several groups is
    compared whole after all: its nodes are dealt into blocks and every pair of
    blocks meets in a task, which compares signatures across groups.  So nodes
-   that share ``DEPTH`` values are always compared or in one group, however
+   that share ``depth`` values are always compared or in one group, however
    many others hold the passage that the values come from.
 4. Inside the rough groups full shingle sets are compared.  A large group is
    dealt into blocks of bounded size and every pair of blocks meets in a
@@ -31,6 +32,7 @@ columns of the input are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,15 +48,32 @@ from claimspark.llm.store import written
 
 TREES, STRETCH = 16, 8
 DEPTH = 4
+#: Probability that a pair at the threshold shares no tree's first values.
+MISS = 2e-5
 #: Nodes of a region that are compared whole.
 REGION = 64
-#: Signatures that agree less are no candidates: five standard deviations below a link at 0.85.
-AGREE = 0.69
 #: Nodes in a block of a large rough group.
 BLOCK = 128
 #: A crowded region is dealt into so many blocks, of at least BLOCK and at most CROWD_BLOCK nodes.
 CROWD_BLOCKS, CROWD_BLOCK = 16, 4096
 
+
+def agreement(percent: int) -> float:
+    """Signatures that agree less are no candidates: five standard deviations below a link at the threshold."""
+    s = percent / 100
+    return max(0.0, math.floor(100 * (s - 5 * math.sqrt(s * (1 - s) / (TREES * STRETCH)))) / 100)
+
+
+def miss_rate(percent: int, depth: int) -> float:
+    """Probability that a pair at the threshold shares the first ``depth`` values of no tree."""
+    return (1 - (percent / 100) ** depth) ** TREES
+
+
+def depth_for(percent: int) -> int:
+    """The greatest depth up to ``DEPTH`` that keeps to ``MISS``; below 0.49 none does, and one value is shared."""
+    return next((d for d in range(DEPTH, 1, -1) if miss_rate(percent, d) <= MISS), 1)
+
+
 _MULTIPLIERS = (np.random.default_rng(5).integers(0, 1 << 63, TREES * STRETCH, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 _ADD = np.random.default_rng(6).integers(0, 1 << 63, TREES * STRETCH, dtype=np.uint64)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -142,14 +161,14 @@ def _stretch(signature, tree, size: int):
     return F.substring(signature, tree * (2 * STRETCH) + 1, F.lit(2 * size))
 
 
-def _regions(lcp: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _regions(lcp: np.ndarray, least: int = DEPTH) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(first, last + 1) of regions in a sorted order, shallow ones first; a crowded region is cut deeper.
 
     ``lcp`` is the common prefix of each row with the one before it (0 for the first).
     """
     n = len(lcp)
     inside = np.ones(n, dtype=bool)
-    for depth in range(DEPTH, STRETCH + 1):
+    for depth in range(least, STRETCH + 1):
         first = np.flatnonzero(lcp < depth)
         last = np.concatenate((first[1:], [n]))
         small = (last - first <= REGION) & inside[first]
@@ -167,15 +186,16 @@ def _regions(lcp: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             yield cut, np.minimum(cut + REGION, left[e - 1] + 1)
 
 
-def tree_links(keys: np.ndarray, labels: np.ndarray, signed: np.ndarray, agree: float) -> tuple[np.ndarray, np.ndarray]:
+def tree_links(keys: np.ndarray, labels: np.ndarray, signed: np.ndarray, agree: float,
+               depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
     """Rows linked in one sorted piece of a tree, as (row, smallest row it reaches)."""
     n = len(keys)
     equal = np.zeros((n, STRETCH), dtype=bool)
     equal[1:] = labels[1:] == labels[:-1]
     lcp = np.where(equal.all(axis=1), STRETCH, equal.argmin(axis=1))
-    near = np.flatnonzero(lcp >= DEPTH)
+    near = np.flatnonzero(lcp >= depth)
     firsts, seconds = [near - 1], [near]
-    for first, last in _regions(lcp):
+    for first, last in _regions(lcp, depth):
         size = last - first
         region, place = ragged(size)
         # Every later row of the same region.
@@ -192,11 +212,11 @@ def tree_links(keys: np.ndarray, labels: np.ndarray, signed: np.ndarray, agree:
     return np.arange(n), root
 
 
-def candidate_links(nodes: DataFrame, agree: float) -> DataFrame:
+def candidate_links(nodes: DataFrame, agree: float, depth: int = DEPTH) -> DataFrame:
     """(a, b): links between keys of nodes that the forest finds similar."""
     trees = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))
     prefixes = nodes.select("key", "signature", trees.alias("tree")).select(
-        "key", "tree", _stretch(F.col("signature"), F.col("tree"), DEPTH).alias("prefix"))
+        "key", "tree", _stretch(F.col("signature"), F.col("tree"), depth).alias("prefix"))
     several = prefixes.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     in_trees = written(prefixes.join(several, ["tree", "prefix"]).groupBy("key").agg(
         F.collect_list(F.struct("tree", "n")).alias("trees")), "in-trees")
@@ -215,7 +235,7 @@ def candidate_links(nodes: DataFrame, agree: float) -> DataFrame:
             tree = np.asarray(batch.column("tree"))
             labels = np.take_along_axis(signed, tree[:, None] * STRETCH + np.arange(STRETCH), axis=1).astype(np.int64)
             labels += (tree[:, None].astype(np.int64) << 16)  # other trees' labels are never equal
-            row, root = tree_links(keys, labels, signed.astype(np.uint16), agree)
+            row, root = tree_links(keys, labels, signed.astype(np.uint16), agree, depth)
             linked = row != root
             yield pa.RecordBatch.from_arrays([pa.array(keys[root[linked]].tolist(), pa.binary()),
                                               pa.array(keys[row[linked]].tolist(), pa.binary())], names=["a", "b"])
@@ -226,7 +246,7 @@ def candidate_links(nodes: DataFrame, agree: float) -> DataFrame:
     if not crowded.limit(1).count():
         return near
     near = written(near, "near-links")
-    return near.unionByName(crowd_links(crowded, components(near), agree)).distinct()
+    return near.unionByName(crowd_links(crowded, components(near), agree, depth)).distinct()
 
 
 def similar_across(signed: np.ndarray, group: np.ndarray, first_block: np.ndarray, agree: float) -> np.ndarray:
@@ -251,7 +271,7 @@ def similar_across(signed: np.ndarray, group: np.ndarray, first_block: np.ndarra
     return root
 
 
-def crowd_links(crowded: DataFrame, rough: DataFrame, agree: float) -> DataFrame:
+def crowd_links(crowded: DataFrame, rough: DataFrame, agree: float, depth: int = DEPTH) -> DataFrame:
     """(a, b): links between keys of one crowded region but of different groups in ``rough``.
 
     ``crowded`` is (key, signature, tree, label, n) with the number of nodes of the region.  Blocks of one region
@@ -259,7 +279,7 @@ def crowd_links(crowded: DataFrame, rough: DataFrame, agree: float) -> DataFrame
     """
     of_key = rough.select(F.col("node").alias("key"), F.col("label").alias("group"))
     members = written(crowded.join(of_key, "key", "left").select(
-        "key", "signature", "tree", F.substring("label", 1, 2 * DEPTH).alias("prefix"), "n",
+        "key", "signature", "tree", F.substring("label", 1, 2 * depth).alias("prefix"), "n",
         F.coalesce("group", "key").alias("group")), "crowds")
     mixed = (members.groupBy("tree", "prefix").agg(F.min("group").alias("least"), F.max("group").alias("most"))
              .where("least < most").select("tree", "prefix"))
@@ -374,12 +394,12 @@ def exact_links(docs: DataFrame, nodes: DataFrame, rough: DataFrame, width: int,
 
 
 def classes(docs: DataFrame, width: int = 5, percent: int = 85, id_col: str = "doc_id", text_col: str = "text",
-            agree: float = AGREE) -> DataFrame:
+            agree: float | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row; ``percent`` of the union must be shared."""
     rows = written(features(docs, width, id_col, text_col), "shingles")
     nodes = written(rows.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("key").agg(
         F.min("doc_id").alias("doc_id"), F.max("signature").alias("signature")), "nodes")
-    rough = components(candidate_links(nodes, agree))
+    rough = components(candidate_links(nodes, agreement(percent) if agree is None else agree, depth_for(percent)))
     links = written(exact_links(docs, nodes, rough, width, percent, id_col, text_col), "true-links")
     found = components(links)
     named = nodes.select("key", "doc_id").join(found.withColumnRenamed("node", "key"), "key", "left")

@@ -125,5 +125,14 @@ def test_packed_pieces_cover_every_id_once(stages):
     assert all(zlib.crc32(ids[r["doc_id"]][r["start"]:r["start"] + r["length"]].tobytes()) == r["ids_crc32"] for r in after)
 
 
+def test_near_copies_between_80_and_85_percent_go(spark, empty):
+    words = [f"w{i}" for i in range(104)]
+    near = [*words[:50], "other", *words[51:99], "x", *words[100:]]  # 90 of 110 shingles
+    far = [w if i % 25 else "y" for i, w in enumerate(words)]  # 83 of 117
+    rows = [(1, " ".join(words), "en", "s", 0), (2, " ".join(near), "en", "s", 0), (3, " ".join(far), "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r["doc_id"] for r in dict(corpus_pipeline.STAGES)["near_copies"](spark, docs, empty).collect()} == {1, 3}
+
+
 def test_run_over_empty_documents(spark, empty):
     assert corpus_pipeline.run(spark, empty).collect() == []

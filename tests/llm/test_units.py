@@ -124,6 +124,12 @@ def test_true_pairs_in_a_crowd_with_a_common_passage_are_found(spark):
     assert found == set(pairs)
 
 
+def test_candidates_follow_the_threshold():
+    assert (lshforest.agreement(85), lshforest.depth_for(85)) == (0.69, 4)
+    assert (lshforest.agreement(80), lshforest.depth_for(80)) == (0.62, 3)
+    assert all(lshforest.miss_rate(p, lshforest.depth_for(p)) <= lshforest.MISS for p in range(50, 101))
+
+
 def test_components_of_a_long_chain(spark):
     rows = [(f"{i:03d}", f"{i + 1:03d}") for i in range(60)] + [("900", "901"), ("901", "901")]
     found = dict(components(spark.createDataFrame(rows, "a string, b string")).collect())
