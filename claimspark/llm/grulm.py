@@ -161,16 +161,19 @@ class Gru:
         return back
 
     def train(self, tokens: np.ndarray, offsets: np.ndarray) -> None:
-        """One pass over texts laid end to end in lanes, a window at a time, by Adagrad."""
+        """One pass over texts laid end to end in lanes, a window at a time, by Adagrad.
+
+        The last lane is filled up with the first tokens, so none is left out.
+        """
         shape, p, h = self.shape, self.params, self.shape.hidden
         lanes = min(shape.lanes, max(1, len(tokens) // (shape.window * shape.updates)))
-        steps = len(tokens) // lanes
+        steps = -(-len(tokens) // lanes)
         if not steps:
             return
-        line = tokens[:lanes * steps].reshape(lanes, steps)
+        line = np.resize(tokens, (lanes, steps))
         first = np.zeros(len(tokens) + 1, dtype=bool)
         first[offsets[:-1]] = True
-        first = first[:lanes * steps].reshape(lanes, steps)
+        first = np.resize(first[:-1], (lanes, steps))
         squares = {k: np.full(v.shape, 1e-6, np.float32) for k, v in p.items()}
         state, before = np.zeros((lanes, h), np.float32), np.full(lanes, END)
         for start in range(0, steps, shape.window):

@@ -7,9 +7,9 @@ every text ends with one end token.
    (a flush) once, with its count in training texts; the sums give the number
    of tokens, the number of distinct ones and the most frequent words.
 2. The recurrent model's vocabulary is those words.  It is trained in rounds:
-   each task trains on its share of the training texts, and the tasks' models
-   are averaged by tokens.  The share is a fixed part of all training texts,
-   so training grows with the corpus.
+   each task trains on its share of the round's training texts, and the tasks'
+   models are averaged by tokens.  The rounds together visit every training
+   text once.
 3. Words outside the vocabulary get, from the model, the probability of
    "another word" times their smoothed share among all such words.  The
    flushes send these words once each, with the texts they are in; their
@@ -51,8 +51,6 @@ BUCKET_BYTES = 16 << 20
 class Settings:
     shape: Shape = Shape()
     rounds: int = 2
-    #: One of so many training texts (by hash, others in each round) trains the recurrent model.
-    one_of: int = 16
     #: Models that are averaged together, step by step until the driver averages the last of them.
     together: int = 16
 
@@ -261,6 +259,11 @@ def _tokens(texts: pa.Array, vocabulary: dict[str, int]) -> tuple[np.ndarray, np
     return out, np.concatenate(([0], ends + 1))
 
 
+def of_turn(docs: DataFrame, turn: int, rounds: int) -> DataFrame:
+    """The training texts of one round, by hash; each is in one of the rounds."""
+    return docs.where(F.col("train") & (F.pmod(F.xxhash64("mark"), F.lit(rounds)) == turn))
+
+
 def train(docs: DataFrame, counts: Counts, settings: Settings) -> Gru:
     """Rounds of training in every task and averaging; what reaches the driver is one model for each group."""
     model = Gru.started(settings.shape, counts.by_token)
@@ -286,7 +289,7 @@ def train(docs: DataFrame, counts: Counts, settings: Settings) -> Gru:
                              "tokens": pa.array([int(weight.sum())], pa.int64()),
                              "model": pa.array([(total / weight.sum()).astype("<f4").tobytes()], pa.binary())})
 
-        chosen = docs.where(F.col("train") & (F.pmod(F.xxhash64("mark"), F.lit(settings.one_of)) == turn))
+        chosen = of_turn(docs, turn, settings.rounds)
         columns = "part int, tokens long, model binary"
         models, left = chosen.select("text").mapInArrow(learn, columns), chosen.rdd.getNumPartitions()
         while left > together:

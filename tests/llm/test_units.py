@@ -2,11 +2,12 @@
 
 import random
 import re
+import uuid
 
 import numpy as np
 import pytest
 
-from claimspark.llm import arrowtext, automaton, lshforest, mixcoder, packing, repeats, vafile
+from claimspark.llm import arrowtext, automaton, grulm, lshforest, mixcoder, packing, repeats, vafile, wordlm
 from claimspark.llm.components import components
 
 
@@ -130,6 +131,29 @@ def test_candidates_follow_the_threshold():
     assert all(lshforest.miss_rate(p, lshforest.depth_for(p)) <= lshforest.MISS for p in range(50, 101))
 
 
+def test_every_training_text_trains_the_recurrent_model(spark, tmp_path, monkeypatch):
+    texts = [(i, f"t{i}", i % 5 != 1) for i in range(200)]
+    docs = spark.createDataFrame(texts, "mark long, text string, train boolean")
+    words = tuple(t for _, t, _ in texts)
+    counts = wordlm.Counts(320, 161, 160, words, tuple(int(t) for *_, t in texts))
+    out = str(tmp_path)
+
+    def noted(self, tokens, offsets):
+        np.save(f"{out}/{uuid.uuid4().hex}", tokens)
+
+    class Noting(grulm.Gru):
+        train = noted
+
+        def unpacked(self, data):
+            own = super().unpacked(data)
+            return Noting(own.shape, own.n_words, own.params)
+
+    monkeypatch.setattr(wordlm, "Gru", Noting)
+    wordlm.train(docs, counts, wordlm.Settings())
+    seen = np.concatenate([np.load(f) for f in tmp_path.glob("*.npy")])
+    assert sorted((seen[seen >= 2] - 2).tolist()) == [i for i, _, t in texts if t]
+
+
 def test_components_of_a_long_chain(spark):
     rows = [(f"{i:03d}", f"{i + 1:03d}") for i in range(60)] + [("900", "901"), ("901", "901")]
     found = dict(components(spark.createDataFrame(rows, "a string, b string")).collect())
