@@ -127,7 +127,7 @@ def signatures(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def features(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, n_shingles, key, signature) of every row."""
+    """(doc_id, n_shingles, key, signature, text_hash) of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, "text"):
@@ -136,11 +136,13 @@ def features(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFra
                 signed = iter(signatures(hashes, offsets))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(sizes), pa.array(set_keys(hashes, offsets), pa.binary()),
-                     pa.array([next(signed).astype(">u2").tobytes() if n else b"" for n in sizes.tolist()], pa.binary())],
-                    names=["doc_id", "n_shingles", "key", "signature"])
+                     pa.array([next(signed).astype(">u2").tobytes() if n else b"" for n in sizes.tolist()], pa.binary()),
+                     part.column("text_hash")],
+                    names=["doc_id", "n_shingles", "key", "signature", "text_hash"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "doc_id long, n_shingles long, key binary, signature binary")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                       F.xxhash64(text_col).alias("text_hash")).mapInArrow(
+        run, "doc_id long, n_shingles long, key binary, signature binary, text_hash long")
 
 
 def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -394,8 +396,12 @@ def exact_links(docs: DataFrame, nodes: DataFrame, rough: DataFrame, width: int,
 
 
 def classes(docs: DataFrame, width: int = 5, percent: int = 85, id_col: str = "doc_id", text_col: str = "text",
-            agree: float | None = None) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row; ``percent`` of the union must be shared."""
+            agree: float | None = None, with_hash: bool = False) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row; ``percent`` of the union must be shared.
+
+    ``with_hash`` adds ``text_hash``, the text's xxhash64, which tells unlike texts of one id apart.
+    """
+    further = ["text_hash"] if with_hash else []
     rows = written(features(docs, width, id_col, text_col), "shingles")
     nodes = written(rows.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("key").agg(
         F.min("doc_id").alias("doc_id"), F.max("signature").alias("signature")), "nodes")
@@ -406,7 +412,7 @@ def classes(docs: DataFrame, width: int = 5, percent: int = 85, id_col: str = "d
     named = named.withColumn("label", F.coalesce("label", "key"))
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     of_key = named.join(least, "label").select("key", "component_id")
-    return (rows.select("doc_id", "n_shingles", "key").join(of_key, "key", "left")
-            .select("doc_id", "n_shingles",
+    return (rows.select("doc_id", "n_shingles", "key", *further).join(of_key, "key", "left")
+            .select("doc_id", "n_shingles", *further,
                     F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))

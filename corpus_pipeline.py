@@ -33,9 +33,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each near-duplicate class (0.8 of the five-word shingles), that with the smallest id; of
     repeated rows one."""
-    judged = lshforest.classes(docs.select("doc_id", "text"), width=5, percent=80)
-    gone = judged.where(~F.col("kept")).select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    judged = lshforest.classes(docs.select("doc_id", "text"), width=5, percent=80, with_hash=True)
+    gone = judged.where(~F.col("kept")).select(F.col("doc_id").alias("gone_id"), "text_hash").distinct()
+    left = docs.join(gone, (F.col("doc_id") == F.col("gone_id")) & (F.xxhash64("text") == F.col("text_hash")), "left_anti")
     # Rows with one id are copies of each other or, with unlike texts, documents of their own.
     return left.where("doc_id IS NULL").unionByName(left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"]))
 

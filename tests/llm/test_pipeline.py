@@ -134,5 +134,13 @@ def test_near_copies_between_80_and_85_percent_go(spark, empty):
     assert {r["doc_id"] for r in dict(corpus_pipeline.STAGES)["near_copies"](spark, docs, empty).collect()} == {1, 3}
 
 
+def test_a_text_that_is_no_copy_stays_beside_one_of_the_same_id_that_is(spark, empty):
+    a, b = (" ".join(f"{c}{i}" for i in range(30)) for c in "ab")
+    rows = [(1, a, "en", "s", 0), (2, a, "en", "s", 0), (2, b, "en", "s", 0), (3, b, "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    left = dict(corpus_pipeline.STAGES)["near_copies"](spark, docs, empty).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in left) == [(1, a), (2, b)]
+
+
 def test_run_over_empty_documents(spark, empty):
     assert corpus_pipeline.run(spark, empty).collect() == []
