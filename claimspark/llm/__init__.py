@@ -1,4 +1,4 @@
-"""Operators of a training-data pipeline: ten numbered operators over documents and embeddings.
+"""Operators of a training-data pipeline: numbered operators over documents and embeddings.
 
 Every module holds one operator with its general interface; ``queries``
 holds the thin registered queries and ``oracle`` their SQL.  Nothing else in

@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators: each applies one to its whole table."""
+"""The registered queries of the numbered operators: each applies one to its whole table."""
 
 from __future__ import annotations
 
@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimspark.llm import bpe, distribution, idfiles, langcrf, lshforest, packing, repeats, secrets, vafile, wordlm
+from claimspark.llm import (
+    bpe, crosstok, distribution, idfiles, langcrf, lshforest, manifest, mixture, packing, repeats, secrets, vafile, wordlm)
 from claimspark.llm.store import written
 from claimspark.session import checkpoint_dir, package_on_workers
 
@@ -98,6 +99,18 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_pareto(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture.mix(_read(spark, sf_dir, "documents"), weights=(3, 1, 2), percent=150, most=2)
+
+
+def op12_postorder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.proofs(_read(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 7 == 0)
+
+
+def op13_crosstok(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosstok.align(_read(spark, sf_dir, "documents"), public_file("byte_bpe_50k.json"), public_file("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_distribution": op1_distribution,
     "op2_langcrf": op2_langcrf,
@@ -109,4 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_bpe": op9_bpe,
     "op10_repeats": op10_repeats,
+    "op11_pareto": op11_pareto,
+    "op12_postorder": op12_postorder,
+    "op13_crosstok": op13_crosstok,
 }
