@@ -90,7 +90,8 @@ class Aligner:
         # B puts a space before what it is given: it stands for the stretch's own, or its token is taken off again.
         spaced = [s[0] == " " for s in stretches]
         b = self.b.encode([s[1:] if own else s for s, own in zip(stretches, spaced, strict=True)], num_threads=1)
-        b = [x if own else x[1:] if x and x[0] == self.prefix else None for x, own in zip(b, spaced, strict=True)]
+        b = [(x or [self.prefix]) if own else x[1:] if x and x[0] == self.prefix else None
+             for x, own in zip(b, spaced, strict=True)]
         out: list = [None] * len(stretches)
         of = self.bytes_b.__getitem__
         right = [i for i, (s, x) in enumerate(zip(stretches, b, strict=True)) if x and b"".join(map(of, x)) == s.encode()]

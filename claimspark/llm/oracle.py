@@ -113,6 +113,7 @@ WITH RECURSIVE fields AS (
 ), leaves AS (
   SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS idx,
          count(*) OVER (PARTITION BY lang) AS n,
+         doc_id IS NOT NULL AND
          xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, strlen(CAST(doc_id AS VARCHAR)) + 1),
                lambda i: CAST(ascii(substr(CAST(doc_id AS VARCHAR), CAST(i AS INTEGER), 1)) AS BIGINT))),
              lambda c, b: list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
@@ -148,7 +149,7 @@ WITH RECURSIVE fields AS (
 ), folded AS (
   SELECT l.doc_id, l.leaf, x.subroot, root, sha256(list_reduce(list_concat([''], list_transform(coalesce(way, []), lambda s: substr(s, 2))),
            lambda a, b: a || b)) AS proof_sha256,
-         list_reduce(list_concat([CASE WHEN coalesce(tampered, false) THEN forged_leaf ELSE l.leaf END], coalesce(way, [])),
+         list_reduce(list_concat([CASE WHEN tampered THEN forged_leaf ELSE l.leaf END], coalesce(way, [])),
            lambda a, s: sha256(CASE WHEN s[1] = 'L' THEN substr(s, 2) || a ELSE a || substr(s, 2) END)) AS folded_root
   FROM leaves l JOIN subroots x ON x.lang IS NOT DISTINCT FROM l.lang CROSS JOIN whole LEFT JOIN ways USING (r)
 )
