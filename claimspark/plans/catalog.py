@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimspark.operators import checks as V
 from claimspark.operators import contracts as C
@@ -22,6 +23,7 @@ from claimspark.plans import oracle as O
 from claimspark.plans import reports as R
 from claimspark.plans.star import star_for
 from claimspark.session import checkpoint_dir, package_on_workers
+from claimspark.sources import csv_files as Cf
 from claimspark.sources import layers as Ly
 from claimspark.sources import stand_ins as SI
 from claimspark.sources.tables import read_table
@@ -351,6 +353,97 @@ def q_csv_drift(spark, sf):
     return Ly.load_with_drift_check(spark, path, ["id", "target", "ps_ind_03"])[1]
 
 
+def _supplier_note(claim_type: str = "incident_type", model: str = "auto_model"):
+    return F.concat(F.lit('said "'), claim_type, F.lit('", of a\n'), model)
+
+
+def _supplier_files(spark, sf) -> str:
+    """Claims as three suppliers send them: columns in another order, one lacking, one new; quotes and line breaks."""
+    claims = star_for(spark, sf).claims.withColumn("note", _supplier_note())
+    part, path = F.col("claim_id") % 3, _scratch(spark, "suppliers")
+    Ly.write_csv(claims.where(part == 0).select("claim_id", "policyholder_id", "incident_date", "total_claim_amount", "note"), f"{path}/a")
+    Ly.write_csv(claims.where(part == 1).select("note", "total_claim_amount", "claim_id", "policyholder_id"), f"{path}/b")
+    Ly.write_csv(claims.where(part == 2).select("policyholder_id", F.col("incident_severity").alias("severity"), "note", "incident_date",
+                                                "total_claim_amount", "claim_id"), f"{path}/c")
+    return path
+
+
+SUPPLIED = T.StructType.fromDDL(
+    "claim_id bigint, policyholder_id string, incident_date date, total_claim_amount decimal(15,2), note string")
+
+
+@register("csv_by_name", """
+SELECT claim_id, policyholder_id, CASE WHEN claim_id % 3 <> 1 THEN incident_date END AS incident_date, total_claim_amount,
+       'said "' || incident_type || '", of a' || chr(10) || auto_model AS note,
+       CASE WHEN claim_id % 3 = 2 THEN incident_severity END AS severity
+FROM claims""")
+def q_csv_by_name(spark, sf):
+    """A folder of files with shuffled, missing and new columns, read by name."""
+    return Cf.rows(spark, _supplier_files(spark, sf), SUPPLIED).drop(Cf.FILE, Cf.RAW, Cf.REASONS)
+
+
+@register("csv_drift_by_file", """
+WITH sent AS (SELECT *, 'abc'[CAST(claim_id % 3 AS INTEGER) + 1] AS supplier FROM claims)
+SELECT supplier, c.column, CASE WHEN c.pos < 0 THEN 'missing' WHEN c.column = 'severity' THEN 'new' ELSE 'ok' END AS status,
+       CASE WHEN c.pos >= 0 THEN c.pos END AS place,
+       CASE WHEN c.pos >= 0 THEN SUM(CASE c.column WHEN 'total_claim_amount' THEN (total_claim_amount IS NOT NULL)::INTEGER
+         WHEN 'severity' THEN (incident_severity IS NOT NULL)::INTEGER ELSE 1 END)::BIGINT END AS non_null
+FROM sent JOIN (VALUES ('a', 'claim_id', 0), ('a', 'policyholder_id', 1), ('a', 'incident_date', 2), ('a', 'total_claim_amount', 3),
+  ('a', 'note', 4), ('b', 'note', 0), ('b', 'total_claim_amount', 1), ('b', 'claim_id', 2), ('b', 'policyholder_id', 3),
+  ('b', 'incident_date', -1), ('c', 'policyholder_id', 0), ('c', 'severity', 1), ('c', 'note', 2), ('c', 'incident_date', 3),
+  ('c', 'total_claim_amount', 4), ('c', 'claim_id', 5)) c(supplier, "column", pos) USING (supplier)
+GROUP BY supplier, c.column, c.pos""")
+def q_csv_drift_by_file(spark, sf):
+    """Drift of every file of that folder, its files added up by supplier."""
+    path = _supplier_files(spark, sf)
+    found = Cf.layouts(spark, path)
+    report = Cf.drift(spark, found, SUPPLIED.names, Cf.rows(spark, path, SUPPLIED, found=found))
+    supplier = F.regexp_extract("file", "/([abc])/[^/]*$", 1).alias("supplier")
+    return report.groupBy(supplier, "column", "status", "place").agg(F.sum("non_null").alias("non_null"))
+
+
+LEDGER = T.StructType.fromDDL("claim_id bigint, incident_date date, total_claim_amount decimal(15,2), policyholder_id string")
+LEDGER_LINE = """
+  CASE WHEN claim_id % 31 = 0 THEN 'no ' ELSE '' END || CAST(claim_id AS VARCHAR) || ',' ||
+  CASE WHEN claim_id % 13 = 0 THEN 'on ' ELSE '' END || CAST(incident_date AS VARCHAR) || ',' ||
+  CASE WHEN claim_id % 17 = 0 THEN 'n/a' ELSE COALESCE(CAST(total_claim_amount AS VARCHAR), '') END ||
+  CASE WHEN claim_id % 23 = 0 THEN '' ELSE ',' || policyholder_id END || CASE WHEN claim_id % 29 = 0 THEN ',more' ELSE '' END"""
+
+
+@register("csv_quarantine", f"""
+WITH lines AS (
+  SELECT claim_id AS id, incident_date AS day, total_claim_amount AS amount, policyholder_id, {LEDGER_LINE} AS line,
+         (claim_id % 23 = 0) <> (claim_id % 29 = 0) AS torn FROM claims
+), judged AS (
+  SELECT *, CASE WHEN torn THEN '*: wrong number of fields' ELSE concat_ws('; ',
+    CASE WHEN id % 31 = 0 THEN 'claim_id: not bigint' END, CASE WHEN id % 13 = 0 THEN 'incident_date: not date' END,
+    CASE WHEN id % 17 = 0 THEN 'total_claim_amount: not decimal(15,2)' END) END AS reasons FROM lines
+)
+SELECT CASE WHEN reasons = '' THEN id END AS claim_id, CASE WHEN reasons = '' THEN day END AS incident_date,
+       CASE WHEN reasons = '' THEN amount END AS total_claim_amount,
+       CASE WHEN reasons = '' THEN CASE WHEN id % 23 = 0 THEN 'more' ELSE policyholder_id END END AS policyholder_id,
+       CASE WHEN reasons <> '' THEN line END AS raw, NULLIF(reasons, '') AS reasons
+FROM judged""")
+def q_csv_quarantine(spark, sf):
+    """Claims with values of other kinds and torn lines: good rows typed, bad rows with their text and reasons.
+
+    One write parts them; each input row is in one of the two parts.
+    """
+    text = lambda c: F.col(c).cast("string")
+    bad = lambda n, yes, no: F.when(F.col("claim_id") % n == 0, yes).otherwise(no)
+    line = F.concat(bad(31, F.lit("no "), F.lit("")), text("claim_id"), F.lit(","), bad(13, F.lit("on "), F.lit("")), text("incident_date"),
+                    F.lit(","), bad(17, F.lit("n/a"), F.coalesce(text("total_claim_amount"), F.lit(""))),
+                    bad(23, F.lit(""), F.concat(F.lit(","), "policyholder_id")), bad(29, F.lit(",more"), F.lit("")))
+    path = _scratch(spark, "ledger")
+    # One column named like the header, written without quoting: the lines as they are.
+    star_for(spark, sf).claims.select(line.alias(",".join(LEDGER.names))) \
+        .write.option("header", True).option("sep", "|").option("quote", "").csv(f"{path}/in")
+    good, rejects = Cf.split(Cf.rows(spark, f"{path}/in", LEDGER), f"{path}/out")
+    reasons = F.array_join(F.transform("reasons", lambda r: F.concat(F.coalesce(r["column"], F.lit("*")), F.lit(": "), r["reason"])), "; ")
+    return good.withColumns({"raw": F.lit(None).cast("string"), "reasons": F.lit(None).cast("string")}).unionByName(
+        rejects.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in LEDGER.fields], "raw", reasons.alias("reasons")))
+
+
 @register("partitioned_round_trip", "SELECT risk_bucket, COUNT(*) AS n, SUM(id) AS ids FROM risk_bucket GROUP BY risk_bucket")
 def q_partitioned(spark, sf):
     """Parquet by risk bucket in a layer's folder, read back by folder."""

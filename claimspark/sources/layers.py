@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from claimspark.operators.contracts import drift_report
+from claimspark.sources import csv_files
 
 
 @dataclass(frozen=True)
@@ -23,15 +24,19 @@ class Layers:
         return f"{self.root.rstrip('/')}/{layer}/{name}"
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True) -> DataFrame:
     """CSV with a header row.
 
-    With a contract ``schema`` nothing is inferred (inference costs a full
-    extra pass over the file); quoted commas are handled by the reader.
+    With a contract ``schema`` columns are bound by the names in each file's
+    own header: nothing is inferred, columns a file lacks are null, and
+    columns outside the contract are dropped.  A value that its type cannot
+    hold is null; ``csv_files.rows`` and ``split`` keep such rows apart.
+    Without one, types are inferred, which costs a further pass.
     """
-    reader = spark.read.option("header", True)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    return reader.csv(path)
+    if schema is not None:
+        return csv_files.rows(spark, path, schema, extra=False, multi_line=multi_line).select(*schema.names)
+    return spark.read.options(**csv_files.QUOTING, header=True, inferSchema=True,
+                              multiLine=multi_line).csv(path)
 
 
 def load_with_drift_check(
@@ -39,10 +44,18 @@ def load_with_drift_check(
 ) -> tuple[DataFrame, DataFrame]:
     """Read a CSV and report drift against the expected columns (S1 + C1); never fails.
 
-    Returns ``(data, drift)``.  New columns are carried through.
+    Returns ``(data, drift)``.  New columns are carried through.  The report
+    compares names that the files have: with a contract ``schema``, a
+    contract column that no file names is ``missing``, not ``ok``.
     """
-    df = read_csv(spark, path, schema)
-    return df, drift_report(df, expected)
+    if schema is None:
+        df = read_csv(spark, path)
+        return df, drift_report(df, expected)
+    found = csv_files.layouts(spark, path)
+    df = csv_files.rows(spark, path, schema, found=found)
+    data = df.drop(csv_files.FILE, csv_files.RAW, csv_files.REASONS)
+    named = {n for layout in found for n in layout.header}
+    return data, drift_report(data.select(*[f"`{c}`" for c in data.columns if c in named]), expected)
 
 
 def write_partitioned(df: DataFrame, path: str, by: str | list[str], mode: str = "overwrite") -> None:
@@ -64,8 +77,8 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV export with a header (S5): a folder of part files written by all tasks."""
-    df.write.mode(mode).option("header", True).csv(path)
+    """CSV export with a header (S5): a folder of part files written by all tasks, quotes doubled."""
+    csv_files.write(df, path, mode)
 
 
 def materialize(df: DataFrame, name: str, kind: str = "view", path: str | None = None) -> DataFrame:
