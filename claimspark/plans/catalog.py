@@ -387,7 +387,8 @@ WITH sent AS (SELECT *, 'abc'[CAST(claim_id % 3 AS INTEGER) + 1] AS supplier FRO
 SELECT supplier, c.column, CASE WHEN c.pos < 0 THEN 'missing' WHEN c.column = 'severity' THEN 'new' ELSE 'ok' END AS status,
        CASE WHEN c.pos >= 0 THEN c.pos END AS place,
        CASE WHEN c.pos >= 0 THEN SUM(CASE c.column WHEN 'total_claim_amount' THEN (total_claim_amount IS NOT NULL)::INTEGER
-         WHEN 'severity' THEN (incident_severity IS NOT NULL)::INTEGER ELSE 1 END)::BIGINT END AS non_null
+         WHEN 'severity' THEN (incident_severity IS NOT NULL)::INTEGER
+         WHEN 'note' THEN (incident_type IS NOT NULL AND auto_model IS NOT NULL)::INTEGER ELSE 1 END)::BIGINT END AS non_null
 FROM sent JOIN (VALUES ('a', 'claim_id', 0), ('a', 'policyholder_id', 1), ('a', 'incident_date', 2), ('a', 'total_claim_amount', 3),
   ('a', 'note', 4), ('b', 'note', 0), ('b', 'total_claim_amount', 1), ('b', 'claim_id', 2), ('b', 'policyholder_id', 3),
   ('b', 'incident_date', -1), ('c', 'policyholder_id', 0), ('c', 'severity', 1), ('c', 'note', 2), ('c', 'incident_date', 3),
