@@ -4,9 +4,10 @@
     python -m claimspark warehouse   --input DIR --out ROOT [--mode inner|left_keys]
     python -m claimspark all         --input DIR --out ROOT
 
-``warehouse`` builds the dimensions, history and fact into ROOT/gold, writes
-every report mart to ROOT/marts/<name> and the check report to
-ROOT/checks, and exits non-zero when a check fails.  Outputs are written by
+``warehouse`` builds the dimensions, history and fact aside, checks them and
+publishes them together under ROOT/gold/warehouse, then writes the check
+report to ROOT/checks and every report mart to ROOT/marts/<name>.  When a
+check fails it publishes nothing and exits non-zero.  Outputs are written by
 the executors; only the check report's few rows reach the driver.
 """
 
@@ -35,17 +36,16 @@ def _warehouse(spark, args) -> bool:
     root = layers.Layers(args.out)
     claims = stand_ins.claims(spark, args.input)
     snapshots = conform(stand_ins.holder_snapshots(spark, args.input), "policyholder_snapshot")
-    w = pipeline.build_warehouse(spark, claims, snapshots, root, mode=args.mode)
-    for name, df in pipeline.run_marts(w).items():
-        layers.write_parquet(df, f"{args.out.rstrip('/')}/marts/{name}")
-    report = pipeline.warehouse_checks(w)
-    layers.write_parquet(report, f"{args.out.rstrip('/')}/checks")
+    out = args.out.rstrip("/")
     try:
-        V.run_checks([spark.read.parquet(f"{args.out.rstrip('/')}/checks")])
+        w, report = pipeline.publish_warehouse(spark, claims, snapshots, root.path("gold", "warehouse"), mode=args.mode)
     except V.CheckFailed as e:
-        print(f"checks failed: {e}", file=sys.stderr)
+        print(f"checks failed, nothing published: {e}", file=sys.stderr)
         return False
-    print(f"warehouse built under {root.path('gold', '')} with all checks passing")
+    layers.write_parquet(report, f"{out}/checks")
+    for name, df in pipeline.run_marts(w).items():
+        layers.write_parquet(df, f"{out}/marts/{name}")
+    print(f"warehouse published under {root.path('gold', 'warehouse')} with all checks passing")
     return True
 
 

@@ -9,19 +9,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimspark.functions.expressions import any_changed, normalise
-from claimspark.operators.contracts import conform
+from claimspark.operators.contracts import DIM_POLICYHOLDER, conform
 from claimspark.operators.keys import dense_key
 from claimspark.session import checkpoint_dir
+from claimspark.sources.commits import CommitLog
 
 # ---------------------------------------------------------------------------
 # The attributes whose change opens a new version.
 # ---------------------------------------------------------------------------
 TRACKED_COLUMNS = ("zip_code", "relationship", "occupation")
 
+#: What a job says that meets a natural key twice on one date.
+REPEATED = "snapshot repeats natural key"
+
 
 def build_history(
     snapshots: DataFrame,
@@ -121,6 +126,52 @@ def apply_snapshot(
     return kept.unionByName(conform(inserted, "dim_policyholder"))
 
 
+def apply_snapshots(
+    current: DataFrame,
+    snapshots: DataFrame,
+    natural_key: str = "policyholder_id",
+    tracked: Sequence[str] = TRACKED_COLUMNS,
+    mode: str = "null_as_empty",
+    key_col: str = "policyholder_key",
+    max_key: int | None = None,
+) -> DataFrame:
+    """Apply any number of dated snapshots to a current slice in one pass (H4-H6).
+
+    Equal to folding ``apply_snapshot`` over the dates, in a number of jobs
+    that does not hang on theirs: the current slice and all pending rows are
+    united, and one window per key, in date order behind the current row,
+    finds the rows that open a version.  That is enough because a row that
+    equals the one before it equals the open version as well.  Returns the
+    rows the snapshots close, the new versions and the untouched current
+    rows, keyed ``max_key + 1 ...`` by (valid_from, natural key).
+
+    ``current`` holds one row per key.  A key's group is that row and one row
+    per pending date; a key twice on one date fails the job.  Rows without a
+    natural key count as one key, as in ``build_history``.
+    """
+    if max_key is None:
+        max_key = current.agg(F.max(key_col)).first()[0] or 0
+    attributes = [c for c in current.columns if c not in (key_col, "valid_from", "valid_to", "is_current")]
+    base = current.select(*attributes, key_col, "valid_from", F.lit(False).alias("_pending"))
+    pending = snapshots.select(
+        *[(F.col(c) if c in snapshots.columns else F.lit(None)).cast(current.schema[c].dataType).alias(c) for c in attributes],
+        F.lit(None).cast(current.schema[key_col].dataType).alias(key_col), F.col("snapshot_date").alias("valid_from"),
+        F.lit(True).alias("_pending"))
+    w = Window.partitionBy(natural_key).orderBy("_pending", "valid_from")
+    changed = any_changed([(F.lag(F.col(t)).over(w), F.col(t)) for t in tracked], mode)
+    repeated = F.lag("_pending").over(w) & (F.lag("valid_from").over(w) == F.col("valid_from"))
+    message = F.concat(F.lit(f"{REPEATED} "), F.coalesce(F.col(natural_key).cast("string"), F.lit("NULL")))
+    starts = base.unionByName(pending).withColumn(
+        "_opens", F.when(F.col("_pending") & F.coalesce(repeated, F.lit(False)), F.raise_error(message).cast("boolean"))
+        .otherwise(~F.col("_pending") | (F.row_number().over(w) == 1) | changed)).where("_opens")
+    versions = starts.withColumn("valid_to", F.lead("valid_from").over(w)).withColumn("is_current", F.col("valid_to").isNull())
+    checkpoint_dir(current.sparkSession)
+    after = versions.select(*current.columns).checkpoint(eager=True)
+    fresh = after.where(F.col(key_col).isNull()).drop(key_col)
+    inserted = dense_key(fresh, key_col, ["valid_from", natural_key], start=max_key + 1, evaluated=True)
+    return after.where(F.col(key_col).isNotNull()).unionByName(conform(inserted, "dim_policyholder"))
+
+
 def version_counts(dim: DataFrame, natural_key: str = "policyholder_id") -> DataFrame:
     """Versions per key (H7)."""
     return dim.groupBy(natural_key).agg(F.count(F.lit(1)).alias("version_count"))
@@ -146,77 +197,83 @@ def multiple_current(dim: DataFrame, natural_key: str = "policyholder_id") -> Da
 
 
 class HistoryStore:
-    """A type-2 history on parquet whose closed part is only ever appended to.
-
-    Layout: ``root/v=<version>/is_current=<true|false>/``.  Version ``V`` of
-    the history is every ``is_current=false`` folder with ``v <= V`` plus the
-    ``is_current=true`` folder of ``v = V``; both are partition filters, so a
-    read prunes to exactly those folders.  ``apply`` reads only the current
-    slice of ``V`` (one row per key) and writes version ``V + 1`` once: the
-    rows it closes and the new current slice.  Older folders are never
-    rewritten, a failed apply is re-run by overwriting ``V + 1``, and a
-    reader pinned to ``V`` never sees a half-written ``V + 1``.  Current
-    slices of old versions are superseded and may be deleted.
-
-    The largest surrogate key is always in the current slice (a version is
-    closed only when a newer version of its key gets a larger key), so
-    numbering new versions never scans closed history.
+    """A type-2 history on parquet: closed rows are only ever appended to, versions are published by commit records.
+
+    Layout: ``root/data/part=<id>/is_current=<true|false>/`` and
+    ``root/commits/``.  A version is the ``is_current=false`` folders of all
+    parts its record names and the ``is_current=true`` folder of the last
+    one, so a read prunes to exactly those folders.  An apply reads only the
+    current slice (one row per key), writes one new part - the rows it
+    closes and the new current slice - and publishes last: until then, and
+    if the run breaks before, readers stay on the old version, and a retry
+    writes a part of its own.  Older parts are never rewritten.
+
+    Readers that name no version get the newest.  Applying to an older
+    version publishes its successor anew, which then is the newest.
+
+    The record keeps the largest surrogate key, which is always in the
+    current slice (a version is closed only when a newer version of its key
+    gets a larger key), so numbering never scans the history.
     """
 
     def __init__(self, spark, root: str, natural_key: str = "policyholder_id",
                  tracked: Sequence[str] = TRACKED_COLUMNS, mode: str = "null_as_empty",
                  key_col: str = "policyholder_key"):
-        self.spark, self.root = spark, root.rstrip("/")
+        self.spark, self.log = spark, CommitLog(spark, root)
         self.natural_key, self.tracked, self.mode, self.key_col = natural_key, tuple(tracked), mode, key_col
-        self._max_key: dict[int, int] = {}
 
-    def _version_path(self, version: int) -> str:
-        return f"{self.root}/v={version}"
+    def latest(self) -> int | None:
+        """The newest version; None before ``create``."""
+        record = self.log.latest()
+        return record["version"] if record else None
 
-    def _scan(self) -> DataFrame:
-        from claimspark.operators.contracts import DIM_POLICYHOLDER
-        from pyspark.sql import types as T
+    def _record(self, version: int | None) -> dict:
+        for number in reversed(self.log.numbers()):
+            record = self.log.record(number)
+            if version is None or record["version"] == version:
+                return record
+        raise ValueError(f"no version {'yet' if version is None else version}")
 
+    def _scan(self, parts: Sequence[str]) -> DataFrame:
         schema = T.StructType([f for f in DIM_POLICYHOLDER.fields if f.name != "is_current"]
-                              + [T.StructField("v", T.IntegerType()), T.StructField("is_current", T.BooleanType())])
-        return self.spark.read.schema(schema).parquet(self.root)
-
-    def _write(self, version: int, dim: DataFrame) -> int:
-        """Write ``dim`` as ``version``, observing its largest key during the write."""
-        from pyspark.sql import Observation
-
-        obs = Observation()
-        dim.observe(obs, F.max(self.key_col).alias("max_key")).write.mode("overwrite") \
-            .partitionBy("is_current").parquet(self._version_path(version))
-        self._max_key[version] = obs.get["max_key"] or 0
+                              + [T.StructField("part", T.StringType()), T.StructField("is_current", T.BooleanType())])
+        return self.spark.read.schema(schema).option("basePath", self.log.data).parquet(*map(self.log.part_path, parts))
+
+    def _write(self, version: int, dim: DataFrame, before: Sequence[str] = ()) -> int:
+        """Write ``dim`` as a part, observing its largest key, then publish it as ``version``."""
+        obs, part = Observation(), self.log.new_part()
+        dim.observe(obs, F.max(self.key_col).alias("max_key")).write.partitionBy("is_current").parquet(self.log.part_path(part))
+        self.log.publish({"version": version, "parts": [*before, part], "max_key": obs.get["max_key"] or 0})
         return version
 
     def create(self, dim: DataFrame) -> int:
         """Write an initial history as version 0."""
         return self._write(0, dim)
 
-    def current(self, version: int) -> DataFrame:
-        scan = self._scan()
-        return conform(scan.where((F.col("v") == version) & F.col("is_current")), "dim_policyholder")
-
-    def read(self, version: int) -> DataFrame:
-        scan = self._scan()
-        keep = ((F.col("v") <= version) & ~F.col("is_current")) | ((F.col("v") == version) & F.col("is_current"))
-        return conform(scan.where(keep), "dim_policyholder")
-
-    def apply(self, version: int, snapshot: DataFrame) -> int:
-        """Apply one dated snapshot to version ``version``; returns the new version."""
-        current = self.current(version)
-        max_key = self._max_key.get(version)
-        if max_key is None:
-            max_key = current.agg(F.max(self.key_col)).first()[0] or 0
-        updated = apply_snapshot(current, snapshot, self.natural_key, self.tracked, self.mode, self.key_col,
-                                 True, max_key)
-        return self._write(version + 1, updated)
-
-    def apply_all(self, version: int, snapshots: DataFrame) -> int:
-        """Fold ``apply`` over the snapshot dates in order (one distinct date per step reaches the driver)."""
-        dates = [r[0] for r in snapshots.select("snapshot_date").distinct().orderBy("snapshot_date").collect()]
-        for d in dates:
-            version = self.apply(version, snapshots.where(F.col("snapshot_date") == F.lit(d)))
-        return version
+    def current(self, version: int | None = None) -> DataFrame:
+        last = self._record(version)["parts"][-1:]
+        return conform(self._scan(last).where(F.col("is_current")), "dim_policyholder")
+
+    def read(self, version: int | None = None) -> DataFrame:
+        parts = self._record(version)["parts"]
+        return conform(self._scan(parts).where(~F.col("is_current") | (F.col("part") == parts[-1])), "dim_policyholder")
+
+    def apply(self, version: int | None, snapshots: DataFrame) -> int:
+        """Apply one or more dated snapshots to ``version`` (None: the newest) in one pass; returns the new version."""
+        record = self._record(version)
+        current = conform(self._scan(record["parts"][-1:]).where(F.col("is_current")), "dim_policyholder")
+        try:
+            updated = apply_snapshots(current, snapshots, self.natural_key, self.tracked, self.mode, self.key_col, record["max_key"])
+        except Exception as e:
+            if REPEATED in str(e):
+                raise ValueError(str(e).partition("\n")[0]) from e
+            raise
+        return self._write(record["version"] + 1, updated, record["parts"])
+
+    apply_all = apply
+
+    def expire(self, keep: int = 2, orphan_age: float = 86400.0) -> list[str]:
+        """Delete what only versions older than the newest ``keep`` use, and what broken runs left behind."""
+        def used(record: dict) -> list[str]:
+            return [f"part={p}/is_current=false" for p in record["parts"]] + [f"part={record['parts'][-1]}/is_current=true"]
+        return self.log.expire(keep, used, orphan_age)

@@ -25,6 +25,7 @@ from claimspark.plans.star import star_for
 from claimspark.session import checkpoint_dir, package_on_workers
 from claimspark.sources import csv_files as Cf
 from claimspark.sources import layers as Ly
+from claimspark.sources import published as Pb
 from claimspark.sources import stand_ins as SI
 from claimspark.sources.tables import read_table
 
@@ -631,14 +632,29 @@ def q_scd2_nae(spark, sf):
 @register("scd2_apply", "SELECT * FROM dim_policyholder_nae")
 def q_scd2_apply(spark, sf):
     """History of the snapshots before 2001 written to an append-only history
-    store, then each later snapshot applied incrementally in date order;
-    the final version must equal the batch history (same mode)."""
+    store, then all later snapshots applied to it in one pass; the newest
+    version must equal the batch history (same mode)."""
     snaps = star_for(spark, sf).holder_snapshots
     cut = F.lit("2001-01-01").cast("date")
     store = H.HistoryStore(spark, f"{checkpoint_dir(spark).rstrip('/')}/history-{uuid.uuid4().hex}")
-    version = store.create(H.build_history(snaps.where(F.col("snapshot_date") < cut), mode="null_as_empty"))
-    version = store.apply_all(version, snaps.where(F.col("snapshot_date") >= cut))
-    return store.read(version)
+    store.create(H.build_history(snaps.where(F.col("snapshot_date") < cut), mode="null_as_empty"))
+    store.apply(None, snaps.where(F.col("snapshot_date") >= cut))
+    return store.read()
+
+
+@register("scd2_retention", "SELECT * FROM dim_policyholder_nae")
+def q_scd2_retention(spark, sf):
+    """Two applies, a part that was written but never published, then retention of the newest version alone:
+    readers still see the whole history (H6, S6)."""
+    snaps = star_for(spark, sf).holder_snapshots
+    day = F.col("snapshot_date")
+    store = H.HistoryStore(spark, _scratch(spark, "history"))
+    store.create(H.build_history(snaps.where(day < "2000-01-01"), mode="null_as_empty"))
+    store.apply(None, snaps.where((day >= "2000-01-01") & (day < "2001-07-01")))
+    store.apply(None, snaps.where(day >= "2001-07-01"))
+    store.current().write.partitionBy("is_current").parquet(store.log.part_path(store.log.new_part()))
+    store.expire(keep=1, orphan_age=0)
+    return store.read()
 
 
 @register("scd2_versions", """
@@ -727,13 +743,10 @@ FLAT_CTE = """(SELECT ROW_NUMBER() OVER (ORDER BY incident_date, claim_id) AS cl
 ]))
 def q_dq(spark, sf):
     s = star_for(spark, sf)
-    flat = q_flat(spark, sf)
-    fact = s.fact()
     return V.report([
-        V.unique(flat, ["claim_key"], "claims_flat"),
-        V.not_null(flat, ["claim_key", "total_claim_amount"], "claims_flat"),
-        V.unique(fact, ["claim_key"], "fact_claims"),
-        V.single_current(s.dim_policyholder),
+        V.audit(q_flat(spark, sf), "claims_flat", unique=[["claim_key"]], not_null=["claim_key", "total_claim_amount"]),
+        V.audit(s.fact(), "fact_claims", unique=[["claim_key"]]),
+        V.audit(s.dim_policyholder, "dim_policyholder", single_current="policyholder_id"),
     ])
 
 
@@ -755,10 +768,7 @@ def q_null_fk(spark, sf):
     for fk, dim, pk in FKS))
 def q_orphan_fk(spark, sf):
     s = star_for(spark, sf)
-    fact = s.fact("left_keys")
-    dims = {"dim_policy": s.dim_policy, "dim_policyholder": s.dim_policyholder, "dim_vehicle": s.dim_vehicle,
-            "dim_date": s.dim_date}
-    return V.report([V.relationships(fact, fk, dims[d], pk, "fact_claims_left") for fk, d, pk in FKS])
+    return V.audit(s.fact("left_keys"), "fact_claims_left", references=[(fk, getattr(s, d), pk) for fk, d, pk in FKS])
 
 
 def _dim_check_sql(dim: str, key: str) -> list[str]:
@@ -775,7 +785,7 @@ DIM_KEYS = {"dim_date": "date_key", "dim_policy": "policy_key", "dim_vehicle": "
 def q_dim_checks(spark, sf):
     """Primary keys of the dimensions are unique and present (V5)."""
     s = star_for(spark, sf)
-    return V.report([f(getattr(s, d), [k], d) for d, k in DIM_KEYS.items() for f in (V.unique, V.not_null)])
+    return V.report([V.audit(getattr(s, d), d, unique=[[k]], not_null=[k]) for d, k in DIM_KEYS.items()])
 
 
 BROKEN_FACT = """(SELECT claim_key, CASE WHEN claim_key % 5 = 0 THEN NULL ELSE policy_key END AS policy_key,
@@ -807,10 +817,9 @@ def q_dq_damaged(spark, sf):
     }).unionByName(fact.where(key % 11 == 0))
     holders = s.dim_policyholder.withColumn("is_current", F.col("is_current") | (F.col("policyholder_key") % 3 == 0))
     return V.report([
-        V.unique(broken, ["claim_key"], "fact"), V.not_null(broken, ["claim_key", "policy_key"], "fact"),
-        V.relationships(broken, "policy_key", s.dim_policy, "policy_key", "fact"),
-        V.relationships(broken, "policyholder_key", s.dim_policyholder, "policyholder_key", "fact"),
-        V.single_current(holders)])
+        V.audit(broken, "fact", unique=[["claim_key"]], not_null=["claim_key", "policy_key"],
+                references=[("policy_key", s.dim_policy, "policy_key"), ("policyholder_key", s.dim_policyholder, "policyholder_key")]),
+        V.audit(holders, "dim_policyholder", single_current="policyholder_id")])
 
 
 @register("run_then_test", """
@@ -829,6 +838,27 @@ def q_run_then_test(spark, sf):
     return spark.createDataFrame(out, "star string, failed int")
 
 
+@register("publish_audited", """
+SELECT CAST(1 AS BIGINT) AS version, 'unique' AS refused, COUNT(*) AS "rows", CAST(SUM(total_claim_amount) AS DECIMAL(25,2)) AS amount
+FROM fact_claims""")
+def q_publish_audited(spark, sf):
+    """The fact published twice; a third, damaged one fails its audit and leaves the second in place."""
+    s = star_for(spark, sf)
+    fact = s.fact().select("claim_key", "policy_key", "total_claim_amount")
+    table = Pb.PublishedTable(spark, _scratch(spark, "published"), fact.schema)
+    audit = lambda df: V.audit(df, "fact", unique=[["claim_key"]], not_null=["claim_key"],
+                               references=[("policy_key", s.dim_policy, "policy_key")])
+    table.publish(fact.where("policy_key > 10"), audit)
+    table.publish(fact, audit)
+    refused = None
+    try:
+        table.publish(fact.unionByName(fact.where("claim_key % 11 = 0")), audit)
+    except V.CheckFailed as e:
+        refused = str(e).partition("(")[0]
+    return table.read().agg(F.lit(table.latest()).cast("long").alias("version"), F.lit(refused).alias("refused"),
+                            F.count(F.lit(1)).alias("rows"), F.sum("total_claim_amount").cast("decimal(25,2)").alias("amount"))
+
+
 @register("guard_report", """
 SELECT 'dim_policy' AS dimension, COUNT(*) AS "rows", COALESCE(MAX(n), 0) AS largest, COALESCE(MAX(n), 0) > 1 AS rejected FROM
   (SELECT COUNT(*) AS n FROM dim_policy GROUP BY policy_number) UNION ALL

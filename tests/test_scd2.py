@@ -167,3 +167,108 @@ def test_history_store_appends_closed_rows_and_matches_batch(spark, tmp_path):
                                                      mode="null_as_empty").count()
     plan = store.current(v)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "is_current" in plan
+
+
+def pending_history(spark, seed, n_dates=6):
+    rows = []
+    for r in random_rows(random.Random(seed), n_keys=8, n_dates=n_dates):
+        if all((r["policyholder_id"], r["snapshot_date"]) != (x["policyholder_id"], x["snapshot_date"]) for x in rows):
+            rows.append(r)
+    df = to_df(spark, rows).drop("seq")
+    return df, sorted({r["snapshot_date"] for r in rows})
+
+
+@pytest.mark.parametrize("mode", ["strict", "null_as_empty"])
+def test_one_pass_equals_the_fold(spark, mode):
+    df, dates = pending_history(spark, 21)
+    dim = H.build_history(df.where(F.col("snapshot_date") == dates[0]), mode=mode).checkpoint()
+    later = df.where(F.col("snapshot_date") > dates[0])
+    folded = dim
+    for d in dates[1:]:
+        folded = H.apply_snapshot(folded, later.where(F.col("snapshot_date") == d), mode=mode).checkpoint()
+    one = H.apply_snapshots(dim.where("is_current"), later, mode=mode)
+    expected = sorted(map(tuple, folded.collect()), key=repr)
+    assert len(dates) > 3 and sorted(map(tuple, one.collect()), key=repr) == expected
+    assert expected == sorted(map(tuple, H.build_history(df, mode=mode).collect()), key=repr)
+
+
+def test_jobs_do_not_grow_with_the_dates(spark, tmp_path):
+    def jobs(n_dates, group):
+        df, dates = pending_history(spark, 4, n_dates)
+        store = H.HistoryStore(spark, str(tmp_path / group))
+        store.create(H.build_history(df.where(F.col("snapshot_date") == dates[0]), mode="null_as_empty"))
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            store.apply(None, df.where(F.col("snapshot_date") > dates[0]))
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    assert jobs(3, "few") == jobs(9, "many")
+
+
+def test_a_key_twice_on_one_date_publishes_nothing(spark, tmp_path):
+    df, dates = pending_history(spark, 5)
+    store = H.HistoryStore(spark, str(tmp_path / "h"))
+    store.create(H.build_history(df.where(F.col("snapshot_date") == dates[0]), mode="null_as_empty"))
+    later = df.where(F.col("snapshot_date") > dates[0])
+    with pytest.raises(ValueError, match="repeats natural key"):
+        store.apply(None, later.unionByName(later.limit(1)))
+    assert store.latest() == 0
+
+
+def test_a_run_broken_before_publishing_leaves_readers_on_the_old_version(spark, tmp_path, monkeypatch):
+    df, dates = pending_history(spark, 6)
+    store = H.HistoryStore(spark, str(tmp_path / "h"))
+    store.create(H.build_history(df.where(F.col("snapshot_date") == dates[0]), mode="null_as_empty"))
+    before = sorted(map(tuple, store.read().collect()), key=repr)
+    later = df.where(F.col("snapshot_date") > dates[0])
+
+    def broken(*args, **kwargs):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(store.log, "publish", broken)
+        with pytest.raises(OSError):
+            store.apply(None, later)
+    parts = [p.name for p in (tmp_path / "h" / "data").iterdir()]
+    assert len(parts) == 2 and store.latest() == 0
+    reader = H.HistoryStore(spark, str(tmp_path / "h"))
+    assert sorted(map(tuple, reader.read().collect()), key=repr) == before
+    assert store.apply(None, later) == 1
+    assert sorted(map(tuple, reader.read().collect()), key=repr) == \
+        sorted(map(tuple, H.build_history(df, mode="null_as_empty").collect()), key=repr)
+    # The broken run's part goes when it is old enough, the superseded current slice with its version.
+    assert reader.expire(keep=5) == []
+    gone = reader.expire(keep=1, orphan_age=0)
+    assert len(gone) == 2 and sum(g.endswith("is_current=true") for g in gone) == 1
+    assert sorted(map(tuple, reader.read().collect()), key=repr) == \
+        sorted(map(tuple, H.build_history(df, mode="null_as_empty").collect()), key=repr)
+    with pytest.raises(ValueError, match="no version"):
+        reader.read(0)
+
+
+def test_two_writers_cannot_publish_on_the_same_record(spark, tmp_path):
+    from claimspark.sources.commits import CommitConflict, CommitLog
+
+    log = CommitLog(spark, str(tmp_path / "t"))
+    assert log.latest() is None
+    assert log.publish({"x": 1}) == 0
+    assert log.publish({"x": 2}, after=0) == 1
+    with pytest.raises(CommitConflict):
+        log.publish({"x": 3}, after=0)
+    assert [r["x"] for r in log.records()] == [1, 2]
+
+
+def test_a_hot_key_and_keys_of_every_kind_in_one_pass(spark, tmp_path):
+    day = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(40)]
+    rows = [dict(policyholder_id="hot", seq=1, age=1, sex=None, education_level=None, occupation="ab"[i // 3 % 2], hobbies=None,
+                 relationship="r", zip_code=None if i % 2 else "", snapshot_date=d) for i, d in enumerate(day)]
+    rows += [dict(rows[0], policyholder_id=str(i), snapshot_date=day[i % 40]) for i in range(60)]
+    df = to_df(spark, rows).drop("seq")
+    store = H.HistoryStore(spark, str(tmp_path / "h"))
+    store.create(H.build_history(df.where(F.lit(False)), mode="null_as_empty"))
+    assert store.read().count() == 0
+    store.apply(None, df)
+    batch = H.build_history(df, mode="null_as_empty")
+    assert sorted(map(tuple, store.read().collect()), key=repr) == sorted(map(tuple, batch.collect()), key=repr)
