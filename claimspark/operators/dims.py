@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimspark.operators.contracts import POLICYHOLDER_SNAPSHOT, conform, require_columns
+from claimspark.operators.keymap import KeyMap
 from claimspark.operators.keys import Asc, dense_key, first_by
 
 
@@ -62,25 +63,32 @@ HOLDER_RENAMES = {
 HOLDER_SOURCE_COLUMNS = ("policy_number", "age", *list(HOLDER_RENAMES)[1:])
 
 
-def build_dim_policy(claims: DataFrame, first_order: tuple[str, ...] = ("claim_id",)) -> DataFrame:
+def build_dim_policy(claims: DataFrame, first_order: tuple[str, ...] = ("claim_id",), keys: KeyMap | None = None) -> DataFrame:
     """First row per policy, keyed 1..n by policy number.
 
     The key order is the natural key's own type (a numeric policy number
-    sorts numerically); the contract then stores it as text.
+    sorts numerically); the contract then stores it as text.  With a key map
+    ``keys`` (over ``policy_number``), policies of earlier loads keep theirs.
     """
     present = [c for c in POLICY_COLUMNS if c in claims.columns]
     require_columns(claims, ["policy_number"])
     firsts = first_by(claims.select(*present, *first_order), ["policy_number"], list(first_order))
-    keyed = dense_key(firsts.select(*present), "policy_key", ["policy_number"])
+    firsts = firsts.select(*present)
+    keyed = keys.attach(firsts) if keys else dense_key(firsts, "policy_key", ["policy_number"])
     return conform(keyed, "dim_policy")
 
 
-def build_dim_vehicle(claims: DataFrame) -> DataFrame:
-    """Distinct (make, model, year), NULLs sorted last, keyed 1..n."""
+def build_dim_vehicle(claims: DataFrame, keys: KeyMap | None = None) -> DataFrame:
+    """Distinct (make, model, year), NULLs sorted last, keyed 1..n.
+
+    With a key map ``keys`` (over the three columns), vehicles of earlier
+    loads keep their keys.
+    """
     cols = ["auto_make", "auto_model", "auto_year"]
     require_columns(claims, cols)
     distinct = claims.select(*cols).distinct()
-    keyed = dense_key(distinct, "vehicle_key", [Asc(c, nulls_last=True) for c in cols])
+    order = [Asc(c, nulls_last=True) for c in cols]
+    keyed = keys.attach(distinct, order) if keys else dense_key(distinct, "vehicle_key", order)
     return conform(keyed, "dim_vehicle")
 
 

@@ -11,10 +11,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from claimspark.functions.expressions import strip
+from claimspark.sources.commits import CommitLog
 
 # ---------------------------------------------------------------------------
 # The extraction prompt around the note text, and the allowed
@@ -72,7 +73,6 @@ def parse_response(raw: Column) -> Column:
     r = strip(raw)
     # One JSON object and nothing after it: Spark's JSON functions read the
     # first value and ignore trailing text, so the text is also required to
-    # be exactly one element when wrapped in brackets.
     # be exactly one element when wrapped in brackets.  A single valid value
     # whose text starts with '{' is an object, so no second parse is needed.
     single_value = F.json_array_length(F.concat(F.lit("["), r, F.lit("]"))) == 1
@@ -165,3 +165,65 @@ def process_notes(notes: DataFrame, call: ModelCall, id_col: str = "claim_id", t
     answers = extract_responses(notes, call, id_col, text_col, **kw)
     parsed = parse_responses(answers, keep=(id_col, "error"))
     return parsed.withColumn("status", F.when(F.col("error").isNotNull(), "call_failed").otherwise(F.col("status")))
+
+
+class AnswerStore:
+    """Answers kept by the hash of their prompt, so an extraction can be broken off and resumed.
+
+    Each distinct prompt is asked once, however many notes share it.  A run
+    asks only prompts without an answer (an anti-join with the store), and a
+    prompt that fails is asked ``attempts`` times in all, over all runs.
+    Every attempt is a part of its own, published by a commit record when it
+    is complete: a run that breaks loses at most the attempt it was in.
+    """
+
+    SCHEMA = "prompt_hash string, raw_response string, error string, attempt int"
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.log = spark, CommitLog(spark, root)
+
+    def _parts(self) -> list[str]:
+        record = self.log.latest()
+        return record["parts"] if record else []
+
+    def read(self) -> DataFrame:
+        """The last attempt at every prompt: prompt_hash, raw_response, error, attempt."""
+        parts = self._parts()
+        if not parts:
+            return self.spark.createDataFrame([], self.SCHEMA)
+        rows = self.spark.read.schema(self.SCHEMA).parquet(*[self.log.part_path(p) for p in parts])
+        return rows.groupBy("prompt_hash").agg(F.max(F.struct("attempt", "raw_response", "error")).alias("last")).select(
+            "prompt_hash", "last.raw_response", "last.error", "last.attempt")
+
+    def ask(self, notes: DataFrame, call: ModelCall, text_col: str = "note_text", *, attempts: int = 2, batch_size: int = 32,
+            partitions: int | None = None) -> int:
+        """Ask what is missing for these notes; returns the number of prompts asked, counting each attempt."""
+        prompts = notes.select(render_prompt(F.col(text_col)).alias("prompt")) \
+            .groupBy(F.sha2("prompt", 256).alias("prompt_hash")).agg(F.first("prompt").alias("prompt"))
+        asked = 0
+        for _ in range(attempts):
+            tried = self.read()
+            done = tried.where(F.col("error").isNull() | (F.col("attempt") >= attempts)).select("prompt_hash")
+            due = prompts.join(done, "prompt_hash", "left_anti")
+            if partitions:
+                due = due.repartition(partitions)
+            answers = due.mapInPandas(_batch_caller(call, "prompt_hash", batch_size), "prompt_hash string, raw_response string, error string")
+            before = tried.select("prompt_hash", "attempt")
+            answers = answers.join(before, "prompt_hash", "left").select(
+                "prompt_hash", "raw_response", "error", (F.coalesce("attempt", F.lit(0)) + 1).cast("int").alias("attempt"))
+            part, obs = self.log.new_part(), Observation()
+            answers.observe(obs, F.count(F.lit(1)).alias("n"), F.count("error").alias("failed")).write.parquet(self.log.part_path(part))
+            if not obs.get["n"]:
+                break
+            asked += obs.get["n"]
+            self.log.publish({"parts": [*self._parts(), part]})
+            if not obs.get["failed"]:
+                break
+        return asked
+
+    def process(self, notes: DataFrame, call: ModelCall, id_col: str = "claim_id", text_col: str = "note_text", **kw) -> DataFrame:
+        """``process_notes`` by way of the store: one row per note, with the number of attempts its prompt took."""
+        self.ask(notes, call, text_col, **kw)
+        hashed = notes.select(id_col, F.sha2(render_prompt(F.col(text_col)), 256).alias("prompt_hash"))
+        parsed = parse_responses(hashed.join(self.read(), "prompt_hash", "left"), keep=(id_col, "error", "attempt"))
+        return parsed.withColumn("status", F.when(F.col("error").isNotNull(), "call_failed").otherwise(F.col("status")))

@@ -18,6 +18,7 @@ from claimspark.operators import profile as P
 from claimspark.operators import quality as Q
 from claimspark.operators import scd2 as H
 from claimspark.operators.joins import DuplicateKeyError, key_profile, lookup_join, point_in_time_join
+from claimspark.operators.keymap import KeyMap
 from claimspark.operators.keys import first_by
 from claimspark.plans import oracle as O
 from claimspark.plans import reports as R
@@ -369,8 +370,13 @@ def _supplier_files(spark, sf) -> str:
     return path
 
 
-SUPPLIED = T.StructType.fromDDL(
-    "claim_id bigint, policyholder_id string, incident_date date, total_claim_amount decimal(15,2), note string")
+def _supplied(*names: str) -> T.StructType:
+    """Fields of the raw claims' contract; other names are text."""
+    types = {f.name: f.dataType for f in C.RAW_CLAIMS.fields}
+    return T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in names])
+
+
+SUPPLIED = _supplied("claim_id", "policyholder_id", "incident_date", "total_claim_amount", "note")
 
 
 @register("csv_by_name", """
@@ -404,7 +410,7 @@ def q_csv_drift_by_file(spark, sf):
     return report.groupBy(supplier, "column", "status", "place").agg(F.sum("non_null").alias("non_null"))
 
 
-LEDGER = T.StructType.fromDDL("claim_id bigint, incident_date date, total_claim_amount decimal(15,2), policyholder_id string")
+LEDGER = _supplied("claim_id", "incident_date", "total_claim_amount", "policyholder_id")
 LEDGER_LINE = """
   CASE WHEN claim_id % 31 = 0 THEN 'no ' ELSE '' END || CAST(claim_id AS VARCHAR) || ',' ||
   CASE WHEN claim_id % 13 = 0 THEN 'on ' ELSE '' END || CAST(incident_date AS VARCHAR) || ',' ||
@@ -700,6 +706,26 @@ def q_stg(spark, sf):
     return Fc.stage_claims(star_for(spark, sf).claims)
 
 
+@register("dim_policy_reload", """
+WITH early AS (SELECT DISTINCT policy_number FROM claims WHERE claim_id % 3 <> 0),
+late AS (SELECT DISTINCT policy_number FROM claims WHERE claim_id % 5 <> 0),
+old AS (SELECT policy_number, row_number() OVER (ORDER BY policy_number) AS policy_key FROM early),
+new AS (SELECT policy_number, (SELECT count(*) FROM old) + row_number() OVER (ORDER BY policy_number) AS policy_key
+        FROM late WHERE policy_number NOT IN (SELECT policy_number FROM early))
+SELECT CAST(policy_number AS VARCHAR) AS policy_number, CAST(policy_key AS BIGINT) AS policy_key,
+       policy_number IN (SELECT policy_number FROM late) AS in_reload
+FROM (SELECT * FROM old UNION ALL SELECT * FROM new)""")
+def q_dim_policy_reload(spark, sf):
+    """Two loads of policies, the second with lost and new ones: keys of the first stay."""
+    claims = star_for(spark, sf).claims
+    natural = T.StructType([f for f in claims.schema.fields if f.name == "policy_number"])
+    keys = KeyMap(spark, _scratch(spark, "policy-keys"), natural, "policy_key")
+    Dm.build_dim_policy(claims.where("claim_id % 3 <> 0"), keys=keys)
+    second = Dm.build_dim_policy(claims.where("claim_id % 5 <> 0"), keys=keys).select("policy_number", F.lit(True).alias("in_reload"))
+    known = keys.read().withColumn("policy_number", F.col("policy_number").cast("string"))
+    return known.join(second, "policy_number", "left").withColumn("in_reload", F.coalesce("in_reload", F.lit(False)))
+
+
 @register("claims_flat", """
 SELECT CAST(ROW_NUMBER() OVER (ORDER BY incident_date, claim_id) AS BIGINT) AS claim_key, policy_number,
        incident_date, incident_type, total_claim_amount, injury_claim, property_claim, vehicle_claim, fraud_reported
@@ -1000,3 +1026,22 @@ def q_note_extract(spark, sf):
     notes = read_table(spark, sf, "conversations").select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("note_id"), F.col("text").alias("note_text"))
     return N.process_notes(notes, _answer_by_rule, id_col="note_id").select("note_id", "error", "incident_category", "status")
+
+
+@register("note_extract_resumed", """
+SELECT conv_id * 1000 + turn AS note_id, CASE WHEN text LIKE '%?%' THEN 'no answer' END AS error,
+       CASE WHEN text LIKE '%?%' THEN 3 ELSE 1 END AS attempt,
+       CASE WHEN text LIKE '%?%' THEN 'call_failed' WHEN length(COALESCE(text, 'nan')) % 2 = 1 THEN 'ok' ELSE 'invalid_value' END AS status,
+       TRUE AS resumed
+FROM conversations""")
+def q_note_extract_resumed(spark, sf):
+    """An extraction over some notes, resumed over all: distinct prompts are asked once, failing ones three times,
+    and a third run asks nothing (N3, N4)."""
+    package_on_workers(spark)
+    notes = read_table(spark, sf, "conversations").select(
+        "turn", (F.col("conv_id") * 1000 + F.col("turn")).alias("note_id"), F.col("text").alias("note_text"))
+    store = N.AnswerStore(spark, _scratch(spark, "answers"))
+    store.ask(notes.where("turn % 2 = 1"), _answer_by_rule, attempts=3)
+    out = store.process(notes, _answer_by_rule, id_col="note_id", attempts=3)
+    resumed = store.ask(notes, _answer_by_rule, attempts=3) == 0
+    return out.select("note_id", "error", "attempt", "status", F.lit(resumed).alias("resumed"))
