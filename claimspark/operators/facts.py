@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimspark.operators.contracts import FACT_CLAIMS, conform, require_columns
 from claimspark.operators.joins import lookup_join, point_in_time_join
@@ -158,3 +159,29 @@ def drop_reasons(
     )
     return (flagged.select(reason.alias("reason")).where(F.col("reason").isNotNull())
             .groupBy("reason").agg(F.count(F.lit(1)).alias("claims")))
+
+
+MONTH = "incident_month"
+
+
+def write_by_month(fact: DataFrame, path: str) -> None:
+    """The fact in one folder per month of its date key (yyyymm), so a report of some months reads their folders only."""
+    dated = fact.withColumn(MONTH, F.expr("CAST(incident_date_key DIV 100 AS INT)"))
+    dated.hint("rebalance", MONTH).write.partitionBy(MONTH).parquet(path)
+
+
+def read_by_month(spark: SparkSession, path: str, schema: T.StructType = FACT_CLAIMS) -> DataFrame:
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField(MONTH, T.IntegerType())])).parquet(path)
+
+
+def in_period(fact: DataFrame, dim_date: DataFrame, condition: Column) -> DataFrame:
+    """Rows of a fact by month whose date meets ``condition`` on ``dim_date``, with the date's columns.
+
+    The date's month joins the folders' months as well.  ``dim_date`` is
+    small by its date range and broadcast, so the months it keeps prune the
+    folders before the fact is read (dynamic partition pruning); the report
+    names no month itself.
+    """
+    days = dim_date.where(condition).withColumn("_month", F.expr("CAST(date_key DIV 100 AS INT)"))
+    return fact.join(F.broadcast(days), (fact[MONTH] == days["_month"]) & (fact["incident_date_key"] == days["date_key"])) \
+        .drop("_month", MONTH)

@@ -43,6 +43,31 @@ def group_sizes(spark: SparkSession, df: DataFrame) -> DataFrame:
     return spark.createDataFrame(list(counts.items()), "group string, columns long")
 
 
+def column_values(df: DataFrame) -> DataFrame:
+    """``(column, group, type, null_count, distinct_values)`` of every column, exact, from one pass.
+
+    Rows give their values column by column; a count per distinct value
+    combines in each task before the shuffle, so a hot value is one row a task.
+    """
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for c in df.columns]))
+    counts = df.select(cells.alias("x")).groupBy("x.column", "x.value").agg(F.count(F.lit(1)).alias("n"))
+    found = counts.groupBy("column").agg(
+        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("null_count"), F.count("value").alias("distinct_values"))
+    names = df.sparkSession.createDataFrame(
+        [(f.name, column_group(f.name), f.dataType.simpleString()) for f in df.schema.fields], "column string, group string, type string")
+    zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
+    return names.join(found, "column", "left").select("column", "group", "type", zero("null_count"), zero("distinct_values"))
+
+
+def group_values(df: DataFrame) -> DataFrame:
+    """``(group, columns, null_count, distinct_values)``: the columns' figures added up by group, empty groups with 0."""
+    groups = df.sparkSession.createDataFrame([(g,) for g in (*GROUP_PREFIXES, OTHER_GROUP)], "group string")
+    sums = column_values(df).groupBy("group").agg(F.count(F.lit(1)).alias("columns"), F.sum("null_count").alias("null_count"),
+                                                  F.sum("distinct_values").alias("distinct_values"))
+    zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
+    return groups.join(sums, "group", "left").select("group", zero("columns"), zero("null_count"), zero("distinct_values"))
+
+
 def _unpivot(row_df: DataFrame, names: Sequence[str], value: str) -> DataFrame:
     stack = ", ".join(f"'{n}', `{n}`" for n in names)
     return row_df.selectExpr(f"stack({len(names)}, {stack}) as (column, {value})")

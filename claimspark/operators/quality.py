@@ -7,7 +7,7 @@ scan.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -110,6 +110,23 @@ def persist_for_reuse(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def reusing(df: DataFrame, uses: dict[str, Callable[[DataFrame], DataFrame]], path: str) -> dict[str, DataFrame]:
+    """Evaluate ``df`` once for several results (Q8): persist, write each result under ``path``, release.
+
+    The plan is computed by the first use and read from the cache by the
+    others; it is released when all are written or one fails.
+    """
+    kept, out = persist_for_reuse(df), {}
+    try:
+        for name, use in uses.items():
+            result = use(kept)
+            result.write.parquet(f"{path}/{name}")
+            out[name] = df.sparkSession.read.schema(result.schema).parquet(f"{path}/{name}")
+    finally:
+        kept.unpersist()
+    return out
+
+
 def with_row_count(df: DataFrame, name: str = "input_rows"):
     """Count rows as a side metric of the next action instead of a second pass (Q9).
 
