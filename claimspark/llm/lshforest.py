@@ -10,8 +10,9 @@ Texts with equal sets are one node from the start.
 2. In a tree's order, neighbours by longest common prefix are candidates.  A
    region (equal prefix) of few nodes is compared whole by signature; a
    crowded region is cut at a greater depth until its parts are small, and
-   always keeps the links between neighbours.  The order is cut into ranges
-   of equal size, so a crowded region spreads over tasks.
+   always keeps the links between neighbours.  Small regions go to one task
+   whole; the order of crowded ones is cut into ranges of equal size, so
+   they spread over tasks.
 3. Candidates with similar signatures form rough groups, as connected
    components.  A crowded region whose nodes are then in several groups is
    compared whole after all: its nodes are dealt into blocks and every pair of
@@ -19,8 +20,9 @@ Texts with equal sets are one node from the start.
    that share ``depth`` values are always compared or in one group, however
    many others hold the passage that the values come from.
 4. Inside the rough groups full shingle sets are compared.  A large group is
-   dealt into blocks of bounded size and every pair of blocks meets in a
-   task of its own; a task sends on a spanning forest of its true links.
+   dealt into blocks of bounded size and compared inside them first; only
+   nodes that this leaves outside the group's largest component meet all of
+   its blocks.  A task sends on a spanning forest of its true links.
 5. The components of true links are the classes.
 
 Results: ``component_id`` is the smallest id in a class; a text without
@@ -229,26 +231,58 @@ def candidate_links(nodes: DataFrame, agree: float, depth: int = DEPTH) -> DataF
     by = ("tree", "label", "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.Table] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = np.array(batch.column("key").to_pylist(), dtype=object)
-            signed = np.frombuffer(b"".join(batch.column("signature").to_pylist()), ">u2").reshape(len(keys), -1)
-            tree = np.asarray(batch.column("tree"))
-            labels = np.take_along_axis(signed, tree[:, None] * STRETCH + np.arange(STRETCH), axis=1).astype(np.int64)
-            labels += (tree[:, None].astype(np.int64) << 16)  # other trees' labels are never equal
-            row, root = tree_links(keys, labels, signed.astype(np.uint16), agree, depth)
-            linked = row != root
-            yield pa.RecordBatch.from_arrays([pa.array(keys[root[linked]].tolist(), pa.binary()),
-                                              pa.array(keys[row[linked]].tolist(), pa.binary())], names=["a", "b"])
-
-    near = (order.select("key", "signature", "tree", "label").repartitionByRange(parts, *by).sortWithinPartitions(*by)
-            .select("key", "signature", "tree").mapInArrow(run, "a binary, b binary").distinct())
-    crowded = order.where(F.col("n") > REGION)
-    if not crowded.limit(1).count():
-        return near
-    near = written(near, "near-links")
-    return near.unionByName(crowd_links(crowded, components(near), agree, depth)).distinct()
+            # A batch's last region may go on in the next one: its rows wait for that.
+            table = pa.concat_tables([*waiting, pa.Table.from_batches([batch])]).combine_chunks()
+            starts = _region_starts(table, depth)
+            whole = int(starts[-1]) if table.num_rows - starts[-1] <= REGION else table.num_rows
+            waiting = [table.slice(whole)] if whole < table.num_rows else []
+            if whole:
+                yield _linked(table.slice(0, whole), agree, depth)
+        if waiting:
+            yield _linked(waiting[0], agree, depth)
+
+    # Regions that are compared whole are dealt whole; only the order of crowded ones is cut into ranges.
+    small = order.where(F.col("n") <= REGION).repartition(parts, "tree", F.substring("label", 1, 2 * depth))
+    large = order.where(F.col("n") > REGION)
+    wanted = [small]
+    crowded = large.limit(1).count() > 0
+    if crowded:
+        wanted.append(large.repartitionByRange(parts, *by))
+    found = [part.sortWithinPartitions(*by).select("key", "signature", "tree").mapInArrow(run, "a binary, b binary") for part in wanted]
+    if not crowded:
+        return found[0].distinct()
+    near = written(found[0].unionByName(found[1]).distinct(), "near-links")
+    return near.unionByName(crowd_links(large, components(near), agree, depth)).distinct()
+
+
+def _signed(table: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(table["signature"].to_pylist()), ">u2").reshape(table.num_rows, -1)
+
+
+def _labels(table: pa.Table, signed: np.ndarray) -> np.ndarray:
+    """The stretch of each row's own tree; other trees' labels are never equal."""
+    tree = table["tree"].to_numpy()
+    labels = np.take_along_axis(signed, tree[:, None] * STRETCH + np.arange(STRETCH), axis=1).astype(np.int64)
+    return labels + (tree[:, None].astype(np.int64) << 16)
+
+
+def _region_starts(table: pa.Table, depth: int) -> np.ndarray:
+    """Rows with another prefix than the row before."""
+    labels = _labels(table, _signed(table))[:, :depth]
+    return np.flatnonzero(np.concatenate(([True], (labels[1:] != labels[:-1]).any(axis=1))))
+
+
+def _linked(table: pa.Table, agree: float, depth: int) -> pa.RecordBatch:
+    signed = _signed(table)
+    keys = np.array(table["key"].to_pylist(), dtype=object)
+    row, root = tree_links(keys, _labels(table, signed), signed.astype(np.uint16), agree, depth)
+    linked = row != root
+    return pa.RecordBatch.from_arrays([pa.array(keys[root[linked]].tolist(), pa.binary()),
+                                       pa.array(keys[row[linked]].tolist(), pa.binary())], names=["a", "b"])
 
 
 def similar_across(signed: np.ndarray, group: np.ndarray, first_block: np.ndarray, agree: float) -> np.ndarray:
@@ -334,9 +368,8 @@ def true_links(sets: list[np.ndarray], first_block: np.ndarray, percent: int) ->
     return a[a != b], b[a != b]
 
 
-def exact_links(docs: DataFrame, nodes: DataFrame, rough: DataFrame, width: int, percent: int, id_col: str,
-                text_col: str) -> DataFrame:
-    """(a, b): true links between keys inside rough groups, a spanning forest from each task."""
+def full_sets(docs: DataFrame, nodes: DataFrame, rough: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
+    """(cluster, key, members, hashes): the shingle sets of all nodes in rough groups, one row a node."""
     sizes = rough.groupBy("label").agg(F.count(F.lit(1)).alias("members"))
     members = (rough.join(sizes, "label").join(nodes.select(F.col("key").alias("node"), "doc_id"), "node")
                .select(F.col("node").alias("key"), F.col("label").alias("cluster"), "members", "doc_id"))
@@ -357,24 +390,21 @@ def exact_links(docs: DataFrame, nodes: DataFrame, rough: DataFrame, width: int,
                      pa.array([hashes[offsets[i]:offsets[i + 1]].tobytes() for i in mine], pa.binary())],
                     names=["key", "cluster", "members", "hashes"])
 
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = texts.mapInArrow(sets, "key binary, cluster binary, members long, hashes binary")
-    found = found.groupBy("cluster", "key", "members").agg(F.max("hashes").alias("hashes"))
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    # Small groups share tasks; each pair of blocks of a large one has a task.
-    dealt = (found.withColumn("blocks", blocks)
-             .withColumn("mine", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("key", "cluster", "hashes", "mine",
-                     F.when(F.col("blocks") > 1, F.xxhash64("cluster")).otherwise(
-                         F.pmod(F.xxhash64("cluster"), F.lit(4 * parts))).alias("unit"),
-                     F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high")))
+    return found.groupBy("cluster", "key", "members").agg(F.max("hashes").alias("hashes"))
+
+
+def _compared(dealt: DataFrame, percent: int) -> DataFrame:
+    """(a, b): a spanning forest of the true links that each unit of ``dealt`` adds to those known.
 
+    ``dealt`` is (unit, low, high, cluster, key, hashes, first, known): rows of one cluster are compared, those that are
+    ``first`` with those that are not where a cluster has both, and never rows of one ``known`` component.
+    """
     def compare(table: pa.Table) -> pa.Table:
-        cluster = table["cluster"].to_pylist()
+        cluster, known = table["cluster"].to_pylist(), table["known"].to_pylist()
         order = sorted(range(len(cluster)), key=cluster.__getitem__)
         keys, hashes = table["key"].to_pylist(), table["hashes"].to_pylist()
-        low, mine = np.asarray(table["low"]), np.asarray(table["mine"])
+        first = table["first"].to_numpy()
         a_out, b_out = [], []
         start = 0
         for end in range(1, len(order) + 1):
@@ -382,19 +412,78 @@ def exact_links(docs: DataFrame, nodes: DataFrame, rough: DataFrame, width: int,
                 continue
             rows = np.array(order[start:end])
             start = end
-            if len(rows) < 2:
+            names = np.unique(np.array([known[r] for r in rows], dtype=object), return_inverse=True)[1]
+            if len(rows) < 2 or not names.any():
                 continue
             own = [np.frombuffer(hashes[r], np.uint64) for r in rows]
-            a, b = true_links(own, mine[rows] == low[rows], percent)
-            root = _roots(len(rows), a, b)
-            for i in np.flatnonzero(root != np.arange(len(rows))).tolist():
-                a_out.append(keys[rows[root[i]]])
-                b_out.append(keys[rows[i]])
+            a, b = true_links(own, first[rows], percent)
+            # Rows of one known component hang together already.
+            one = np.unique(names, return_index=True)[1][names]
+            root = _roots(len(rows), one, np.arange(len(rows)))
+            for x, y in zip(a.tolist(), b.tolist(), strict=True):
+                while root[x] != x:
+                    x = root[x]
+                while root[y] != y:
+                    y = root[y]
+                if x != y:
+                    root[max(x, y)] = min(x, y)
+                    a_out.append(keys[rows[x]])
+                    b_out.append(keys[rows[y]])
         return pa.table({"a": pa.array(a_out, pa.binary()), "b": pa.array(b_out, pa.binary())})
 
     return dealt.groupBy("unit", "low", "high").applyInArrow(lambda t: compare(t), "a binary, b binary")
 
 
+def exact_links(docs: DataFrame, nodes: DataFrame, rough: DataFrame, width: int, percent: int, id_col: str,
+                text_col: str) -> DataFrame:
+    """(a, b): true links between keys inside rough groups, enough of them to connect each class.
+
+    A group of up to ``BLOCK`` nodes is compared whole.  A larger one is dealt
+    into blocks twice, by two hashes, and compared inside blocks: near copies
+    of one text then hang together, with about as many links as nodes.  What
+    is left are pairs of different components.  All nodes outside a group's
+    largest component visit every block of the group, the others stay in
+    theirs, so what travels grows with the nodes times those left over, in
+    pairs of blocks of bounded size, and no pair is missed.
+    """
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sets = written(full_sets(docs, nodes, rough, width, id_col, text_col)
+                   .withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int")), "full-sets")
+    small, large = sets.where("blocks = 1"), sets.where("blocks > 1")
+    shared = F.pmod(F.xxhash64("cluster"), F.lit(4 * parts))
+
+    def block(salt: int):
+        return F.pmod(F.xxhash64("key", F.lit(salt)), F.col("blocks")).cast("int")
+
+    def inside(df: DataFrame, unit, at, known) -> DataFrame:
+        return _compared(df.select(unit.alias("unit"), at.alias("low"), at.alias("high"), "cluster", "key", "hashes",
+                                   F.lit(True).alias("first"), known.alias("known")), percent)
+
+    links = inside(small, shared, F.lit(0), F.col("key"))
+    if not large.limit(1).count():
+        return links
+    unit = F.xxhash64("cluster")
+    found = written(links.unionByName(inside(large, unit, block(0), F.col("key"))), "block-links")
+
+    def with_known(links: DataFrame) -> DataFrame:
+        of = components(links).select(F.col("node").alias("key"), F.col("label").alias("known"))
+        return large.join(of, "key", "left").withColumn("known", F.coalesce("known", "key"))
+
+    found = written(found.unionByName(inside(with_known(found), unit, block(1), F.col("known"))), "block-links")
+    judged = written(with_known(found), "known-sets")
+    counts = judged.groupBy("cluster", "known").agg(F.count(F.lit(1)).alias("n"))
+    bulk = counts.groupBy("cluster").agg(F.max(F.struct("n", "known")).alias("bulk"), F.sum("n").alias("all")) \
+        .where("bulk.n < all").select("cluster", F.col("bulk.known").alias("bulk"), (F.col("all") - F.col("bulk.n")).alias("left"))
+    open_ = judged.join(bulk, "cluster").withColumn("visits", F.ceil(F.col("left") / BLOCK).cast("int"))
+    here = open_.withColumn("low", block(0)).withColumn("high", F.explode(F.sequence(F.lit(0), F.col("visits") - 1)))
+    visitors = open_.where("known <> bulk").withColumn("high", F.pmod(F.xxhash64("key", F.lit(2)), F.col("visits")).cast("int")) \
+        .withColumn("low", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    names = [F.xxhash64("cluster").alias("unit"), "low", "high", "cluster", "key", "hashes"]
+    dealt = here.select(*names, F.lit(True).alias("first"), "known").unionByName(
+        visitors.select(*names, F.lit(False).alias("first"), "known"))
+    return found.unionByName(_compared(dealt, percent))
+
+
 def classes(docs: DataFrame, width: int = 5, percent: int = 85, id_col: str = "doc_id", text_col: str = "text",
             agree: float | None = None, with_hash: bool = False) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row; ``percent`` of the union must be shared.

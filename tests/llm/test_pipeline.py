@@ -67,7 +67,7 @@ def test_one_document_of_each_near_copy_group_stays(stages):
     for i, a in enumerate(ids):
         for b in ids[:i]:
             both = len(texts[a] & texts[b])
-            if both and 100 * both >= 85 * (len(texts[a]) + len(texts[b]) - both):
+            if both and 100 * both >= 80 * (len(texts[a]) + len(texts[b]) - both):
                 x, y = find(a), find(b)
                 root[max(x, y)] = min(x, y)
     assert Counter(r["doc_id"] for r in after if r["doc_id"] is not None) == Counter({find(d) for d in ids})

@@ -6,6 +6,7 @@ import uuid
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from claimspark.llm import arrowtext, automaton, grulm, lshforest, mixcoder, packing, repeats, vafile, wordlm
 from claimspark.llm.components import components
@@ -167,3 +168,75 @@ def test_words_are_cut_at_the_six_ascii_white_spaces_only():
     codes, offsets, words = arrowtext.word_codes(pa.array(texts))
     got = [[words[int(c)].as_py() for c in codes[s:e]] for s, e in zip(offsets[:-1], offsets[1:], strict=True)]
     assert got == [re.findall(r"[^\x20\x09-\x0D]+", t or "") for t in texts]
+
+
+def near_copy_texts(rng, n, edits, words=120):
+    base = [f"w{rng.randrange(10 ** 6)}" for _ in range(words)]
+    out = []
+    for _ in range(n):
+        text = list(base)
+        for _ in range(rng.randrange(edits)):
+            text[rng.randrange(words)] = f"x{rng.randrange(10 ** 6)}"
+        out.append(" ".join(text))
+    return out
+
+
+def brute_components(texts, percent):
+    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    root = list(range(len(sets)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if 100 * both >= percent * (len(a) + len(sets[j]) - both):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return [find(i) for i in range(len(sets))]
+
+
+@pytest.mark.parametrize("edits", [3, 9])
+def test_large_groups_are_contracted_and_lose_no_link(spark, monkeypatch, edits):
+    # With few edits one component holds nearly all, with many most nodes are left over.
+    monkeypatch.setattr(lshforest, "BLOCK", 16)
+    texts = near_copy_texts(random.Random(edits), 300, edits)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = lshforest.features(docs, 5, "doc_id", "text").checkpoint()
+    nodes = rows.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.max("signature").alias("signature")).checkpoint()
+    rough = nodes.select(F.col("key").alias("node"), F.lit(b"one").alias("label"))
+    links = lshforest.exact_links(docs, nodes, rough, 5, 85, "doc_id", "text").collect()
+    id_of = {bytes(r["key"]): r["doc_id"] for r in nodes.collect()}
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        x, y = find(id_of[bytes(a)]), find(id_of[bytes(b)])
+        root[max(x, y)] = min(x, y)
+    expected = brute_components(texts, 85)
+    assert all((find(id_of[bytes(r["key"])])) == min(j for j, e in enumerate(expected) if e == expected[r["doc_id"]])
+               for r in rows.collect() if id_of[bytes(r["key"])] == r["doc_id"])
+    if edits == 3:
+        assert len(links) < 3 * len(texts)
+
+
+def test_no_small_region_is_cut_by_batches(spark):
+    # 400 pairs alike in every value: whatever the batches and ranges, each pair is found in each tree.
+    rng = np.random.default_rng(3)
+    signs = rng.integers(0, 1 << 16, (400, lshforest.TREES * lshforest.STRETCH), dtype=np.uint16)
+    rows = [(f"{i:03d}{k}".encode(), signs[i].astype(">u2").tobytes()) for i in range(400) for k in "ab"]
+    nodes = spark.createDataFrame(rows, "key binary, signature binary").repartition(5)
+    keep = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        found = {(bytes(a), bytes(b)) for a, b in lshforest.candidate_links(nodes, 0.69).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", keep)
+    assert found == {(f"{i:03d}a".encode(), f"{i:03d}b".encode()) for i in range(400)}
