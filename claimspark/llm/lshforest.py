@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimspark.llm.arrowtext import Remembered, ragged, text_slices, word_codes
+from claimspark.llm.arrowtext import Remembered, ragged, resting, text_slices, word_codes
 from claimspark.llm.components import components
 from claimspark.llm.store import written
 
@@ -144,7 +144,7 @@ def features(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFra
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                        F.xxhash64(text_col).alias("text_hash")).mapInArrow(
-        run, "doc_id long, n_shingles long, key binary, signature binary, text_hash long")
+        resting(run), "doc_id long, n_shingles long, key binary, signature binary, text_hash long")
 
 
 def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -390,7 +390,7 @@ def full_sets(docs: DataFrame, nodes: DataFrame, rough: DataFrame, width: int, i
                      pa.array([hashes[offsets[i]:offsets[i + 1]].tobytes() for i in mine], pa.binary())],
                     names=["key", "cluster", "members", "hashes"])
 
-    found = texts.mapInArrow(sets, "key binary, cluster binary, members long, hashes binary")
+    found = texts.mapInArrow(resting(sets), "key binary, cluster binary, members long, hashes binary")
     return found.groupBy("cluster", "key", "members").agg(F.max("hashes").alias("hashes"))
 
 

@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from claimspark.llm.arrowtext import ragged, ragged_take, text_slices, utf8_bytes, with_columns
+from claimspark.llm.arrowtext import ragged, ragged_take, resting, text_slices, utf8_bytes, with_columns
 from claimspark.llm.store import unused, written
 
 FLUSH_BYTES = 12 << 20
@@ -605,13 +605,13 @@ def remove(docs: DataFrame, length: int = 50, gram: int = 24, id_col: str = "doc
     at_least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     work = Remover(length, gram, max(at_least, -(-total // BUCKET_BYTES)))
 
-    sent = light.mapInArrow(work.send_anchors, _PARTS)
+    sent = light.mapInArrow(resting(work.send_anchors), _PARTS)
     shared = (sent.groupBy("bucket").applyInArrow(lambda t: work.shared_anchors(t), _PARTS)
               .groupBy("flush").applyInArrow(lambda t: work.anchors_of_documents(t), "doc_id long, mark long, shared binary")
               .groupBy("doc_id", "mark").agg(F.max("shared").alias("shared")))
     shared = written(shared, "shared-anchors")
     regions = light.join(shared, ["doc_id", "mark"]).sortWithinPartitions("doc_id", "mark")
-    ranges = (regions.mapInArrow(work.send_regions, _PARTS)
+    ranges = (regions.mapInArrow(resting(work.send_regions), _PARTS)
               .groupBy("bucket").applyInArrow(lambda t: work.later_copies(t), _PARTS)
               .groupBy("flush").applyInArrow(lambda t: work.ranges_of_documents(t), "doc_id long, mark long, ranges binary")
               .groupBy("doc_id", "mark").agg(F.max("ranges").alias("ranges")))
@@ -657,4 +657,4 @@ def _cut_out(df: DataFrame, text_col: str, ranges_col: str) -> DataFrame:
                     kept=pa.array(_picked(data, offsets, ~gone), pa.binary()),
                     kept_text=pa.array([x.decode() for x in _picked(data, offsets, whole)], pa.string()))
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(resting(run), schema)

@@ -17,7 +17,8 @@ id) is no candidate for it.  Repeated rows of one id are candidates one by
 one; of repeated query rows of one id and vector one counts, and of several
 vectors with one query id the smallest in array order.  Ties go to the
 smaller id.  Shorter vectors count as filled with zeros.  With no queries or
-no candidates the result is empty.  Components must be below 2^20 in size.
+no candidates the result is empty.  Finite components of any size take part;
+scores are exact, and one that 64 bits cannot hold ends the job with an error.
 """
 
 from __future__ import annotations
@@ -37,14 +38,14 @@ READ = 64
 
 
 def integer_vectors(df: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """(id, vec array<bigint>) of the rows that take part."""
+    """(id, vec array<double>) of the rows that take part: whole numbers, each exact, of any size."""
     x = F.transform(vector_col, lambda c: c.cast("double"))
-    largest = float(1 << 20)
-    fine = F.forall(x, lambda c: c.isNotNull() & (F.abs(c) < largest))  # NaN is above every number
+    fine = F.forall(x, lambda c: c.isNotNull() & (F.abs(c) < float("inf")))  # NaN is above every number
+    # Whole numbers beyond 64 bits are still exact as doubles: a component's bits are at most a double's.
+    whole = F.transform("x", lambda c: F.when(F.abs(c * scale) < float(1 << 53), F.floor(c * scale).cast("double")).otherwise(c * scale))
     return (df.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull())
             .select(F.col(id_col).cast("long").alias("id"), x.alias("x"))
-            .where(fine)
-            .select("id", F.transform("x", lambda c: F.floor(c * scale).cast("long")).alias("vec")))
+            .where(fine).select("id", whole.alias("vec")))
 
 
 class Approximation:
@@ -66,39 +67,57 @@ class Approximation:
             self.low[used, d], self.high[used, d] = low[used], high[used]
 
     def upper_bounds(self, queries: np.ndarray) -> np.ndarray:
-        """Bound of each (query, vector) score: cell centres' score plus what the half widths allow."""
+        """Bound of each (query, vector) score: cell centres' score plus what the half widths and rounding allow.
+
+        Each sum of ``dims`` products in doubles is off by less than
+        ``dims + 2`` rounding units of the sum of the products' sizes; four
+        such sums, of sizes that the largest cells bound, cover both terms.
+        """
         dims = np.arange(self.codes.shape[1])
         low, high = self.low[self.codes, dims], self.high[self.codes, dims]
-        return queries @ ((low + high) / 2).T + np.abs(queries) @ ((high - low) / 2).T
+        size = np.abs(queries) @ np.maximum(np.abs(self.low), np.abs(self.high)).max(axis=0, initial=0)
+        rounding = 4 * (len(dims) + 4) * np.finfo(np.float64).eps * size
+        return queries @ (low / 2 + high / 2).T + np.abs(queries) @ (high / 2 - low / 2).T + rounding[:, None]
+
+
+def _exact(vectors: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both as 64-bit integers where no inner product can pass them, else as Python's."""
+    largest = [float(np.abs(m).max(initial=0)) for m in (vectors, others)]
+    if max(largest) < 2 ** 62 and largest[0] * largest[1] * max(1, vectors.shape[1]) < 2 ** 62:
+        return vectors.astype(np.int64), others.astype(np.int64)
+    whole = np.frompyfunc(int, 1, 1)
+    return whole(vectors), whole(others)
 
 
 def top_of_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray,
                  k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each query: (its id, ids, scores) of its k best vectors of a block."""
+    """For each query: (its id, ids, scores) of its k best vectors of a block.  Both are whole numbers as doubles."""
     approximation = Approximation(vectors)
+    exact_queries, exact = _exact(queries, vectors)
     for first in range(0, len(queries), 256):
-        bounds = approximation.upper_bounds(queries[first:first + 256].astype(np.float64))
+        bounds = approximation.upper_bounds(queries[first:first + 256])
         for row, bound in enumerate(bounds):
-            q, query = query_ids[first + row], queries[first + row]
+            q, query = query_ids[first + row], exact_queries[first + row]
             bound[ids == q] = -np.inf
             left = int(np.count_nonzero(bound > -np.inf))
             order = np.argsort(-bound, kind="stable")[:left]
-            best_ids, best = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            best_ids, best = np.zeros(0, np.int64), np.zeros(0, exact.dtype)
             at = 0
-            # A bound equal to the k-th score may hide a tie with a smaller id; half a unit covers rounding.
-            while at < left and (len(best) < k or bound[order[at]] >= best[-1] - 0.5):
+            # A bound equal to the k-th score may hide a tie with a smaller id.
+            while at < left and (len(best) < k or bound[order[at]] >= float(best[-1])):
                 some = order[at:at + READ]
                 at += READ
                 best_ids = np.concatenate((best_ids, ids[some]))
-                best = np.concatenate((best, vectors[some] @ query))
-                keep = np.lexsort((best_ids, -best))[:k]
+                best = np.concatenate((best, exact[some] @ query))
+                keep = np.lexsort((best_ids, -best))[:k] if best.dtype != object else \
+                    np.array(sorted(range(len(best)), key=lambda i: (-best[i], best_ids[i]))[:k])
                 best_ids, best = best_ids[keep], best[keep]
             if len(best):
                 yield q, best_ids, best
 
 
 def _matrix(vectors: pd.Series, dims: int) -> np.ndarray:
-    out = np.zeros((len(vectors), dims), dtype=np.int64)
+    out = np.zeros((len(vectors), dims), dtype=np.float64)
     for i, v in enumerate(vectors):
         out[i, :len(v)] = v
     return out
@@ -132,7 +151,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block_vectors: int
         return pd.DataFrame({
             "query_id": np.repeat(np.array([f[0] for f in found], np.int64), [len(f[1]) for f in found]),
             "vec_id": np.concatenate([np.zeros(0, np.int64), *(f[1] for f in found)]),
-            "score": np.concatenate([np.zeros(0, np.int64), *(f[2] for f in found)]),
+            # A score beyond 64 bits has no place in the result: it ends the job with an error.
+            "score": np.array([int(s) for f in found for s in f[2]], dtype=np.int64),
         })
 
     near = (dealt.unionByName(asked).groupBy("v_block", "q_block")

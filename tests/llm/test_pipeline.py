@@ -8,6 +8,7 @@ import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from claimspark.llm import secrets
 
@@ -144,3 +145,17 @@ def test_a_text_that_is_no_copy_stays_beside_one_of_the_same_id_that_is(spark, e
 
 def test_run_over_empty_documents(spark, empty):
     assert corpus_pipeline.run(spark, empty).collect() == []
+
+
+def test_further_columns_come_back_whatever_their_names(spark, awkward):
+    import corpus_pipeline
+
+    names = ["kept", "removed", "spans", "score", "lang_pred", "gone_id", "text_hash", "kept_text", "Text Hash", "a.b"]
+    docs = spark.read.parquet(f"{awkward[0]}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars").where("doc_id < 60")
+    for i, name in enumerate(names):
+        docs = docs.withColumn(name, F.lit(i))
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, awkward[0])
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert rows and all(tuple(r)[5:] == tuple(range(len(names))) for r in rows), name

@@ -240,3 +240,36 @@ def test_no_small_region_is_cut_by_batches(spark):
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", keep)
     assert found == {(f"{i:03d}a".encode(), f"{i:03d}b".encode()) for i in range(400)}
+
+
+@pytest.mark.parametrize("size, dims", [(2 ** 20, 8), (2 ** 28, 8), (2 ** 40, 512), (2 ** 60, 16)])
+def test_top_of_block_is_exact_for_components_of_any_size(size, dims):
+    rng = np.random.default_rng(size % 97 + dims)
+    # Vectors a unit apart in one component: near ties that doubles cannot tell apart.
+    base = rng.integers(-size, size, dims)
+    vectors = np.array([[int(x) for x in base] for _ in range(60)], dtype=object)
+    for i in range(60):
+        vectors[i][i % dims] += int(rng.integers(-3, 4)) * max(1, size >> 50)
+    as_doubles = vectors.astype(float)
+    whole = [[int(x) for x in v] for v in as_doubles]
+    queries = as_doubles[:7]
+    ids = np.arange(60)
+    for q, got, score in vafile.top_of_block(np.arange(7), queries, ids, as_doubles, 5):
+        exact = sorted((-sum(a * b for a, b in zip(whole[q], whole[i], strict=True)), i) for i in range(60) if i != q)[:5]
+        assert [(-int(s), int(i)) for i, s in zip(got, score, strict=True)] == exact
+
+
+def test_vectors_with_large_components_take_part(spark):
+    rows = [(50, [2.0 ** 22, 1.0]), (1, [2.0 ** 21, 0.5]), (2, [1.0, -(2.0 ** 25)]), (3, [float("nan"), 1.0]), (4, [float("-inf"), 0.0])]
+    vectors = vafile.integer_vectors(spark.createDataFrame(rows, "i long, v array<double>"), "i", "v", 256)
+    assert sorted(r["id"] for r in vectors.collect()) == [1, 2, 50]
+    found = vafile.top_k(vectors, vectors.where("id = 50"), k=5, block_vectors=2).collect()
+    assert [(r["vec_id"], r["score"]) for r in sorted(found, key=lambda r: r["rank"])] == [
+        (1, 2 ** 30 * 2 ** 29 + 256 * 128), (2, 2 ** 30 * 256 - 256 * 2 ** 33)]
+
+
+def test_a_score_beyond_64_bits_is_no_wrong_number(spark):
+    rows = [(50, [2.0 ** 30, 1.0]), (1, [2.0 ** 30, 0.5])]
+    vectors = vafile.integer_vectors(spark.createDataFrame(rows, "i long, v array<double>"), "i", "v", 256)
+    with pytest.raises(Exception, match="int too big|OverflowError|too large"):
+        vafile.top_k(vectors, vectors.where("id = 50"), k=1).collect()
