@@ -64,11 +64,17 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(tokens, window=WINDOW)
 
 
+#: Columns the stages work on; any further ones pass through under names that no operator uses.
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
 def _with_package(stage):
     @wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         package_on_workers(spark)
-        return stage(spark, docs, sf_dir)
+        inside = docs.toDF(*[c if c in COLUMNS else f"further_column_{i}" for i, c in enumerate(docs.columns)])
+        out = stage(spark, inside, sf_dir)
+        return out.toDF(*docs.columns) if stage is not packed else out
     return run_stage
 
 
