@@ -111,21 +111,27 @@ class Remembered:
         return out
 
 
+def rest() -> None:
+    """Give freed memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # a C library without it
+        pass
+
+
 def resting(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
-    """``run`` over the batches of a task, giving freed memory back to the system at its end.
+    """``run`` over the batches of a task, giving freed memory back to the system before and after.
 
     Python workers live on from stage to stage; without this a stage starts
     beside what the last one's largest arrays left in the allocators.
     """
     def run_and_rest(batches: Iterator) -> Iterator:
+        rest()
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            try:
-                ctypes.CDLL(None).malloc_trim(0)
-            except (OSError, AttributeError):  # a C library without it
-                pass
+            rest()
     return run_and_rest
 
 

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from claimspark.llm.arrowtext import as_array, ragged_take, text_slices, utf8_bytes, with_columns, word_codes
+from claimspark.llm.arrowtext import as_array, ragged_take, resting, text_slices, utf8_bytes, with_columns, word_codes
 
 UNDETERMINED = "und"
 #: Longest n-gram in bytes, and bits of the table that n-grams and lexicon words are hashed to.
@@ -285,7 +285,7 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text") -> Da
                 names, score = predict(as_array(pc.fill_null(part.column(text_col), "")), model)
                 yield with_columns(part, arrow, lang_pred=pa.array(names, pa.string()), score=pa.array(score))
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(resting(run), schema)
 
 
 def held_out(id_col: str, parts: int, part: int) -> Column:
