@@ -1,4 +1,4 @@
-"""Exact substring removal with suffix order and longest previous factors (operator 10).
+"""Exact substring removal by longest previous factors in suffix order (operator 10).
 
 A byte goes when a string of ``length`` bytes that covers it also starts in
 a document with a smaller id.  The corpus is never sorted whole:
@@ -11,16 +11,19 @@ a document with a smaller id.  The corpus is never sorted whole:
    the flushes, and from there to their documents.
 3. Documents send the regions around shared anchors, again each distinct
    one once in a flush; equal regions inside a flush are settled there.
-4. Regions with one anchor meet.  Their strings are put in suffix order (by
-   names made by doubling); previous and next smaller document ids in that
-   order give each string's longest previous factor as far as ``length``.
-   Where it reaches ``length``, the string is a later copy.
+4. Regions with one anchor meet.  Equal ones count once, with their smallest
+   id.  The others are put in suffix order from the anchor on; going left byte
+   by byte, that order is refined, so that at each step the strings that start
+   there are in suffix order among those with the same bytes left of the
+   anchor.  Common-prefix lengths of neighbours and the previous or next
+   smaller document id tell how far each string's longest previous factor
+   reaches; where it reaches ``length``, the string is a later copy.
 5. The ranges of later copies go back to the documents and are cut out.
 
 An anchor of very many documents would bring all their regions together.
-Of such an anchor the strings travel one by one, by their own 128-bit hash:
-those that many documents share are few in each flush, and the others spread
-over all tasks.
+Of such an anchor the strings travel one by one and are grouped by their own
+128-bit hash, with no suffix order: those that many documents share are few in
+each flush, and the others spread over all tasks.
 
 Results: a null text is empty; a null id is neither smaller nor larger than
 any, so such rows are kept whole and remove nothing; rows with the same id
@@ -32,7 +35,7 @@ are kept; an empty table gives an empty table.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -49,8 +52,11 @@ from claimspark.llm.arrowtext import ragged, ragged_take, resting, text_slices,
 from claimspark.llm.store import unused, written
 
 FLUSH_BYTES = 12 << 20
-#: Anchors sent by this many flush entries travel as single strings.
-CROWD = 128
+#: Anchors of more documents or flush entries than this travel as single strings; the regions of any other anchor
+#: take less than half a megabyte of a task.
+CROWD = 4096
+#: Regions put in suffix order at a time (whole anchors).
+TOGETHER = 1 << 16
 BUCKET_BYTES = 16 << 20
 
 _U64 = np.uint64
@@ -129,39 +135,81 @@ def _inside(offsets: np.ndarray, size: int, length: int) -> np.ndarray:
     return np.cumsum(change[:size]) > 0
 
 
-def suffix_order(names: np.ndarray, equal: Callable[[np.ndarray, np.ndarray], np.ndarray]
-                 ) -> tuple[np.ndarray, np.ndarray]:
-    """Order of strings by their names, and whether each equals the one before it in that order.
+def common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Length of the common prefix of each two rows of bytes."""
+    equal = a == b
+    return np.where(equal.all(axis=1), a.shape[1], equal.argmin(axis=1)) if len(a) else np.zeros(0, np.int64)
 
-    As in suffix sorting by doubling, a string's name is made of its halves'
-    names (``rolling_hash``), so equal strings have equal names and stand
-    together; only strings equal over their whole length matter here, so the
-    order of unequal ones does not.  ``equal`` compares pairs byte by byte.
-    """
-    order = np.argsort(names, kind="stable")
-    same = np.zeros(len(order), dtype=bool)
-    near = np.flatnonzero(names[order[1:]] == names[order[:-1]]) + 1
-    same[near] = equal(order[near - 1], order[near])
-    return order, same
 
+def later_starts(body: np.ndarray, place: np.ndarray, size: np.ndarray, anchor: np.ndarray, ids: np.ndarray,
+                 length: int, most_left: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last start in each region of a string whose longest previous factor is ``length`` (-1: there is none).
 
-def has_previous_factor(order: np.ndarray, same: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Whether a string's longest previous factor is the whole string.
-
-    In suffix order the strings that share all their bytes are runs; a
-    smaller id before (previous smaller) or after (next smaller) in the same
-    run is an occurrence in an earlier document.
+    ``body`` holds ``size`` bytes of a region in each row; ``place`` (at most
+    ``most_left``) says where its anchor is, ``anchor`` which one.  The suffixes from the
+    anchors on are sorted, with the common-prefix lengths of neighbours.  A
+    step to the left is a stable sort by one more byte: it splits classes of
+    equal left contexts and keeps the order inside them, so a class is
+    always in suffix order.  A class of one region has no more factors.
     """
+    least_start, last_start = np.full(len(body), -1), np.full(len(body), -1)
+    right = body[np.arange(len(body))[:, None], place[:, None] + np.arange(length)]
+    words = np.zeros((len(body), -(-length // 8) * 8), np.uint8)
+    words[:, :length] = right
+    order = np.lexsort((*words.view(">u8").astype(np.uint64).T[::-1], anchor))
+    new = np.concatenate(([True], anchor[order][1:] != anchor[order][:-1]))
+    prefix = np.concatenate(([0], common(right[order[:-1]], right[order[1:]])))
+    for left in range(most_left + 1):
+        # Neighbours that share the ``left`` bytes and ``length - left`` more have a factor of ``length`` in common.
+        there = size[order] - place[order] >= length - left
+        begins = new | (prefix < length - left)
+        own = np.where(there, ids[order], np.iinfo(np.int64).max)
+        # A string with a previous or next smaller id inside its run has an id above the least of the run.
+        least = np.minimum.reduceat(own, np.flatnonzero(begins))[np.cumsum(begins) - 1]
+        later = order[there & (own > least)]
+        least_start[later] = place[later] - left
+        last_start[later] = np.maximum(last_start[later], place[later] - left)
+
+        spot = np.flatnonzero(place[order] > left)
+        byte = body[order[spot], place[order[spot]] - left - 1]
+        key = (np.cumsum(new)[spot] << 8) + byte
+        sort = np.argsort(key, kind="stable")
+        spot, key = spot[sort], key[sort]
+        new = np.concatenate(([True], key[1:] != key[:-1]))[:len(key)]
+        several = ~(new & np.concatenate((new[1:], [True]))[:len(key)])
+        spot, new = spot[several], new[several]
+        if not len(spot):
+            break
+        order, prefix = order[spot], prefix[spot]
+        apart = np.flatnonzero(~new & (np.diff(spot, prepend=-2) != 1))
+        prefix[apart] = common(right[order[apart - 1]], right[order[apart]])
+    return least_start, last_start
+
+
+def above_least(order: np.ndarray, same: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Whether a row's id is above the least of the rows equal to it; ``same``: as the one before it in ``order``."""
     out = np.zeros(len(order), dtype=bool)
     if not len(order):
         return out
-    begin = np.flatnonzero(~same)
-    run = np.cumsum(~same) - 1
-    least = np.minimum.reduceat(ids[order], begin)
-    out[order] = ids[order] > least[run]
+    least = np.minimum.reduceat(ids[order], np.flatnonzero(~same))
+    out[order] = ids[order] > least[np.cumsum(~same) - 1]
     return out
 
 
+def equal_rows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order in which equal rows (of whole 64-bit words) are neighbours, and whether each equals the one before."""
+    words = np.ascontiguousarray(rows).view("<u8")
+    name = np.zeros(len(rows), np.uint64)
+    for column in words.T:
+        name = (name ^ column) * _BASE
+        name ^= name >> np.uint64(32)
+    order = np.argsort(name)
+    same = np.concatenate(([False], name[order[1:]] == name[order[:-1]]))[:len(rows)]
+    near = np.flatnonzero(same)
+    same[near] = (words[order[near]] == words[order[near - 1]]).all(axis=1)
+    return order, same
+
+
 def merged(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ranges joined where they overlap or touch, in order of document and place."""
     if not len(doc):
@@ -295,7 +343,8 @@ def _lists(table: pa.Table, *names: str) -> list[list]:
 
 @dataclass(frozen=True)
 class _Regions:
-    """Regions as rows of bytes (hash, place of the anchor, size, text), with their document and place."""
+    """Regions as rows of bytes (hash, place of the anchor, size, text, filled up with zeros to whole words), with their
+    document and place."""
 
     rows: np.ndarray
     doc: np.ndarray
@@ -303,7 +352,7 @@ class _Regions:
 
     @classmethod
     def none(cls, width: int) -> _Regions:
-        return cls(np.zeros((0, width + 10), np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        return cls(np.zeros((0, width), np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64))
 
     @classmethod
     def all(cls, several: list[_Regions]) -> _Regions:
@@ -403,7 +452,7 @@ class Remover:
     # Step 3: the regions around shared anchors.
     def send_regions(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for taken, parts in _flushes(batches):
-            regions = [_Regions.none(self.width)]
+            regions = [_Regions.none(self.row)]
             strings = [(np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
             for part in parts:
                 found, crowd = self._known(part, anchors(part.data, part.offsets, self.length, self.gram))
@@ -423,6 +472,10 @@ class Remover:
         """Longest region: an anchor with all strings it can stand for."""
         return 2 * self.length - self.gram
 
+    @property
+    def row(self) -> int:
+        return -(-(self.width + 10) // 8) * 8
+
     @staticmethod
     def _known(part: _Part, found: Anchors) -> tuple[Anchors, np.ndarray]:
         """The shared anchors among those found, and which of them are crowded."""
@@ -448,21 +501,16 @@ class Remover:
         region[np.arange(self.width) >= size[:, None]] = 0
         lead = np.column_stack((found.hash.view(np.uint8).reshape(-1, 8), (found.at - found.first).astype(np.uint8),
                                 size.astype(np.uint8)))
-        return _Regions(np.concatenate((lead, region), axis=1), part.number[found.doc],
+        rest = np.zeros((len(region), self.row - self.width - 10), np.uint8)
+        return _Regions(np.concatenate((lead, region, rest), axis=1), part.number[found.doc],
                         found.first - part.offsets[found.doc])
 
     def _send_regions(self, rows: list, flush: str, ids: np.ndarray, found: _Regions) -> list[np.ndarray]:
         """Of equal regions the one of the smallest id is sent; the ranges of the others are known here."""
         if not len(found.doc):
             return []
-        whole = np.ascontiguousarray(found.rows).view(f"V{self.width + 10}").reshape(-1)
-        key = _mixed(rolling_rows(found.rows))
-        order = np.lexsort((ids[found.doc], key))
-        same = np.concatenate(([False], (key[order][1:] == key[order][:-1]) & (whole[order][1:] == whole[order][:-1])))
-        begin = np.flatnonzero(~same)
-        least = ids[found.doc[order[begin]]][np.cumsum(~same) - 1]
-        later = ids[found.doc[order]] > least
-        copies, sent = order[later], order[~later]
+        later = above_least(*equal_rows(found.rows), ids[found.doc])
+        copies, sent = np.flatnonzero(later), np.flatnonzero(~later)
         hashes = np.ascontiguousarray(found.rows[sent, :8]).view("<u8").reshape(-1)
         for bucket, at in _send(hashes, self.buckets):
             at = np.sort(sent[at])
@@ -495,7 +543,7 @@ class Remover:
                          _small(doc[at].astype("<u4")), _small(place[at].astype("<u4"))))
         return [np.column_stack(merged(doc[later], place[later], place[later] + self.length))]
 
-    # Step 4: suffix order of the strings with one anchor, and their longest previous factors.
+    # Step 4: suffix order of the regions with one anchor, and the longest previous factors of their strings.
     def later_copies(self, table: pa.Table) -> pa.Table:
         out = [r for k in (_TABLE, _RANGES) for r in zip(*_lists(
             _by_kind(table, k), "kind", "bucket", "flush", "a", "b"), strict=True)]
@@ -506,23 +554,14 @@ class Remover:
         flushes, whole, ids, doc, first = _lists(_by_kind(table, _KEYS), "flush", "a", "b", "c", "d")
         ids = [np.frombuffer(_whole(x), "<i8") for x in ids]
         size = [len(x) for x in ids]
-        whole = _joined(whole, "u1").reshape(-1, self.width + 10)
+        whole = _joined(whole, "u1").reshape(-1, self.row)
         flush = np.repeat([number[f] for f in flushes], size).astype(np.int64)
         ids = np.concatenate([np.zeros(0, np.int64), *ids])
         doc, first = _joined(doc, "<u4").astype(np.int64), _joined(first, "<u4").astype(np.int64)
-        key = np.ascontiguousarray(whole[:, :8]).view("<u8").reshape(-1)
-        order = np.argsort(key, kind="stable")
-        begin = np.flatnonzero(np.concatenate(([True], key[order][1:] != key[order][:-1]))) if len(order) else []
-        pieces = np.split(order, begin[1:]) if len(order) else []
-        held: list[np.ndarray] = []
-        for i, piece in enumerate(pieces):
-            if len(piece) > 1:
-                held.append(piece)
-            if held and (sum(map(len, held)) >= 16384 or i == len(pieces) - 1):
-                self._copies(np.concatenate(held), whole, ids, flush, doc, first, found)
-                held = []
-        if held:
-            self._copies(np.concatenate(held), whole, ids, flush, doc, first, found)
+        if len(ids):
+            start, end = self._copies(whole, ids)
+            some = np.flatnonzero(end)
+            found.append((flush[some], doc[some], first[some, None] + np.column_stack((start, end))[some]))
 
         flushes, one, two, ids, doc, place = _lists(_by_kind(table, _STRINGS), "flush", "a", "b", "c", "d", "e")
         ids = [np.frombuffer(_whole(x), "<i8") for x in ids]
@@ -534,41 +573,45 @@ class Remover:
         if len(ids):
             order = np.lexsort((both[:, 1], both[:, 0]))
             same = np.concatenate(([False], (both[order][1:] == both[order][:-1]).all(axis=1)))
-            later = has_previous_factor(order, same, ids)
+            later = above_least(order, same, ids)
             found.append((flush[later], doc[later], np.column_stack((place[later], place[later] + self.length))))
 
         if found:
             flush, doc = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
             span = np.concatenate([f[2] for f in found])
-            for f in np.unique(flush).tolist():
-                at = flush == f
-                out.append((_RANGES, 0, names[f], _small(np.column_stack(
-                    merged(doc[at], span[at, 0], span[at, 1])).astype("<i8"))))
+            owner, start, end = merged(flush << 32 | doc, span[:, 0], span[:, 1])
+            ranges = np.column_stack((owner & 0xFFFFFFFF, start, end)).astype("<i8")
+            begin = np.flatnonzero(np.diff(owner >> 32, prepend=-1))
+            for at in np.split(np.arange(len(owner)), begin[1:]) if len(owner) else []:
+                out.append((_RANGES, 0, names[owner[at[0]] >> 32], _small(ranges[at])))
         return pa.Table.from_batches([_rows(out)])
 
-    def _copies(self, at: np.ndarray, whole: np.ndarray, ids: np.ndarray, flush: np.ndarray, doc: np.ndarray,
-                first: np.ndarray, found: list) -> None:
-        size = whole[at, 9].astype(np.int64)
-        group, place = ragged(size - self.length + 1)
-        row = at[group]
-        body = whole[at, 10:]
-        lead = np.ascontiguousarray(whole[at, :8]).view("<u8").reshape(-1)
-        # A string is named with its anchor and the anchor's place in it.
-        offset = whole[row, 8].astype(np.int64) - place
-        names = _mixed(rolling_hash(body, self.length)[group, place] + _mixed(lead)[group] * _OTHER
-                       + offset.astype(np.uint64))
-        windows = np.lib.stride_tricks.sliding_window_view(body, self.length, axis=1)
-
-        def equal(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-            return ((lead[group[a]] == lead[group[b]]) & (offset[a] == offset[b])
-                    & (windows[group[a], place[a]] == windows[group[b], place[b]]).all(axis=1))
-
-        order, same = suffix_order(names, equal)
-        later = has_previous_factor(order, same, ids[row])
-        begin = first[row[later]] + place[later]
-        # Ranges of one region are joined before they leave.
-        region, start, end = merged(row[later], begin, begin + self.length)
-        found.append((flush[region], doc[region], np.column_stack((start, end))))
+    def _copies(self, whole: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and end in each region of what is to go (0 and 0: nothing).  All strings of a region overlap, so that
+        is one stretch."""
+        order, same = equal_rows(whole)
+        begin = np.flatnonzero(~same)
+        kind = np.empty(len(order), np.int64)
+        kind[order] = np.cumsum(~same) - 1
+        least, one = np.minimum.reduceat(ids[order], begin), order[begin]
+        start, end = np.zeros(len(one), np.int64), np.zeros(len(one), np.int64)
+        # Distinct regions by anchor; an anchor with one distinct region has no more to tell.
+        anchor = np.ascontiguousarray(whole[one, :8]).view("<u8").reshape(-1)
+        sort = np.argsort(anchor)
+        new = np.concatenate(([True], anchor[sort][1:] != anchor[sort][:-1]))
+        several = ~(new & np.concatenate((new[1:], [True])))
+        sort, edge = sort[several], np.flatnonzero(new[several])
+        edge = np.concatenate((edge, [len(sort)]))
+        cuts = np.unique(edge[np.searchsorted(edge, np.arange(0, len(sort) + TOGETHER, TOGETHER)).clip(0, len(edge) - 1)])
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            at = sort[a:b]
+            rows = whole[one[at]]
+            low, high = later_starts(rows[:, 10:], rows[:, 8].astype(np.int64), rows[:, 9].astype(np.int64), anchor[at],
+                                     least[at], self.length, self.length - self.gram)
+            start[at], end[at] = np.maximum(low, 0), np.where(high < 0, 0, high + self.length)
+        # Of equal regions, the later ones go whole; those of the smallest id lose what their kind loses.
+        later = ids > least[kind]
+        return np.where(later, 0, start[kind]), np.where(later, whole[:, 9], end[kind])
 
     # Step 5: back at the flush, the ranges of each document.
     def ranges_of_documents(self, table: pa.Table) -> pa.Table:
@@ -585,14 +628,6 @@ class Remover:
         })
 
 
-def rolling_rows(rows: np.ndarray) -> np.ndarray:
-    """A hash of each row of bytes."""
-    h = np.zeros(len(rows), np.uint64)
-    for column in rows.T:
-        h = h * _BASE + column + np.uint64(1)
-    return h
-
-
 def remove(docs: DataFrame, length: int = 50, gram: int = 24, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """``docs`` with ``removed`` (array of byte ranges, end exclusive), ``kept`` (the remaining bytes) and

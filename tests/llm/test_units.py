@@ -93,6 +93,39 @@ def test_equal_strings_have_equal_anchors():
     assert all(of[500 + i] == of[3000 + i] for i in range(151))
 
 
+def test_later_starts_are_strings_of_a_smaller_id_at_the_same_place():
+    rng = np.random.default_rng(11)
+    length, most_left, n = 12, 5, 600
+    place = rng.integers(0, most_left + 1, n)
+    size = place + rng.integers(length - place, length + 1)
+    anchor = rng.integers(0, 40, n).astype(np.uint64)
+    # Zero bytes at the end of a region are text where its size counts them.
+    body = rng.choice(np.array([0, 97], np.uint8), (n, length + most_left), p=[0.03, 0.97])
+    body[np.arange(length + most_left) >= size[:, None]] = 0
+    ids = rng.integers(0, 200, n)
+    first, last = repeats.later_starts(body, place, size, anchor, ids, length, most_left)
+    strings = {}
+    for i in range(n):
+        for s in range(size[i] - length + 1):
+            if s <= place[i]:
+                key = (anchor[i], place[i] - s, body[i, s:s + length].tobytes())
+                strings.setdefault(key, []).append((ids[i], i, s))
+    later = {}
+    for rows in strings.values():
+        for number, i, s in rows:
+            if number > min(rows)[0]:
+                later.setdefault(i, []).append(s)
+    assert len(later) > 100
+    assert [(min(later.get(i, [-1])), max(later.get(i, [-1]))) for i in range(n)] == list(zip(first, last, strict=True))
+
+
+def test_equal_rows_are_neighbours():
+    rows = np.random.default_rng(12).integers(0, 2, (500, 8)).astype(np.uint8).repeat(2, axis=1)
+    order, same = repeats.equal_rows(rows)
+    assert sorted(order) == list(range(500)) and (~same).sum() == len({r.tobytes() for r in rows})
+    assert all((rows[order[i]] == rows[order[i - 1]]).all() for i in np.flatnonzero(same))
+
+
 def test_regions_cover_every_row_that_shares_a_prefix():
     rng = np.random.default_rng(6)
     labels = np.sort(rng.integers(0, 3, (3000, lshforest.STRETCH)), axis=0)
