@@ -30,7 +30,8 @@ from claimspark.llm.automaton import Automaton, compiled, scan
 
 @dataclass(frozen=True)
 class Rule:
-    """``lead`` + one or more of ``body``; a match counts if it, or with ``of_body`` its body, has ``least`` letters."""
+    """``lead`` + one or more of ``body`` + ``tail``; a match counts if lead and body, or with ``of_body`` its body, have
+    ``least`` letters."""
 
     kind: str
     lead: str
@@ -38,11 +39,12 @@ class Rule:
     least: int
     of_body: bool = False
     ignore_case: bool = False
+    tail: str = ""
 
     @property
     def match(self) -> re.Pattern:
         flags = re.ASCII | (re.IGNORECASE if self.ignore_case else 0)
-        return re.compile(f"{self.lead}({self.body}+)", flags)
+        return re.compile(f"({self.lead}({self.body}+)){self.tail}", flags)
 
     @property
     def least_body(self) -> int:
@@ -58,6 +60,13 @@ class Rule:
 #: Body letters that the automaton itself counts; the rest of a length shows in how long it keeps accepting.
 PROBE = 6
 
+#: A private key in PEM form: its header, lines of base64 and, where it is there, its end; line ends may be escaped.
+_GAP = r"(?:[\x20\x09\x0D\x0A]|\\n)"
+_BASE64 = "[A-Za-z0-9+/=]"
+_KEY_HEAD = (rf"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----{_GAP}*"
+             rf"(?:(?:Proc-Type|DEK-Info): [A-Za-z0-9,-]+{_GAP}+)*")
+_KEY_REST = rf"(?:{_GAP}+{_BASE64}{{16,}})*(?:(?:{_GAP}+{_BASE64}+)?{_GAP}*-----END (?:[A-Z]+ )*PRIVATE KEY-----)?"
+
 #: The base rules, then the added ones (fixed patterns of well-known credentials).
 RULES = (
     Rule("assign", r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?""", "[A-Za-z0-9+/_.=-]", 6,
@@ -66,7 +75,7 @@ RULES = (
     Rule("hex", "", "[0-9a-f]", 24),
     Rule("github", "gh[pousr]_", "[A-Za-z0-9]", 36, of_body=True),
     Rule("slack", "xox[abprs]-", "[A-Za-z0-9-]", 10, of_body=True),
-    Rule("private_key", "-----BEGIN ", "[A-Z ]", 11, of_body=True),
+    Rule("private_key", _KEY_HEAD, _BASE64, 16, of_body=True, tail=_KEY_REST),
 )
 BASE_KINDS = ("assign", "access", "hex")
 
@@ -77,7 +86,7 @@ def combined(rules: Sequence[Rule] = RULES) -> Automaton:
 
 def spans_of(rule: Rule, text: str) -> Iterator[tuple[int, int]]:
     for m in rule.match.finditer(text):
-        if len(m.group(1) if rule.of_body else m.group()) >= rule.least:
+        if len(m.group(2 if rule.of_body else 1)) >= rule.least:
             yield m.span()
 
 

@@ -202,6 +202,24 @@ def test_redaction_covers_every_span(spark):
     assert texts == ["a [SECRET]' é [SECRET] z", "clean", None]
 
 
+def test_private_keys_are_covered_to_their_end(spark):
+    lines = ["MIIEpAIBAAKCAQEA7v0/+" + "Zz09" * 10, "q" * 64, "Ab+/=="]
+    inside = [
+        "-----BEGIN RSA PRIVATE KEY-----\n" + "\n".join(lines) + "\n-----END RSA PRIVATE KEY-----",
+        "-----BEGIN PRIVATE KEY-----\r\n" + "\r\n".join(lines) + "\r\n-----END PRIVATE KEY-----",
+        "-----BEGIN OPENSSH PRIVATE KEY-----\\n" + "\\n".join(lines) + "\\n-----END OPENSSH PRIVATE KEY-----",
+        "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,3F17F5316E2BAC89\n\n" + "\n".join(lines)
+        + "\n-----END RSA PRIVATE KEY-----",
+        "-----BEGIN EC PRIVATE KEY-----\n" + "\n".join(lines[:2]),  # its end is missing
+    ]
+    clean = ["-----BEGIN CERTIFICATE-----\n" + "\n".join(lines) + "\n-----END CERTIFICATE-----",
+             "a file that begins with -----BEGIN PRIVATE KEY----- holds a key", "-----BEGIN PRIVATE KEY-----"]
+    df = spark.createDataFrame([(f"é {x} after",) for x in inside] + [(x,) for x in clean], "text string")
+    found = [{(k, s, e) for k, s, e in r["spans"] if k == "private_key"} for r in secrets.find(df).collect()]
+    assert found[:len(inside)] == [{("private_key", 2, 2 + len(x))} for x in inside]
+    assert not any(found[len(inside):])
+
+
 def test_exact_top_k(spark, awkward):
     folder, _ = awkward
     rows = spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding").collect()
