@@ -10,7 +10,9 @@ transitions learn how rarely the language changes.
 
 Every word of a whole text gets its probability of each language by
 forward-backward; the text's language has the highest sum, and the score is
-that language's mean probability.
+that language's mean probability.  That compares the learned languages only;
+how far a text is in any of them shows in the share of its words that the
+lexicon has.
 
 The model is fitted on at most ``sample_texts`` labelled texts (those with
 the smallest hash of their id), from each at most ``windows`` windows of
@@ -18,7 +20,8 @@ the smallest hash of their id), from each at most ``windows`` windows of
 
 Results: a null text or one without a letter is ``und`` with score 0, and so
 is every text if nothing could be learned; ties go to the smaller language
-name; repeated rows and further columns are kept.
+name; a text without words has a known share of 0; repeated rows and further
+columns are kept.
 """
 
 from __future__ import annotations
@@ -108,11 +111,12 @@ def _placed(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
 
 
-def emissions(words: pa.Array, model: Model) -> np.ndarray:
-    """Score of each word in each language: the sum of its features' weights."""
-    word, place, _ = word_features(words, model.lexicon)
-    return np.column_stack([np.bincount(word, weights=model.weights[place, k], minlength=len(words))
-                            for k in range(len(model.languages))])
+def emissions(words: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Score of each word in each language, the sum of its features' weights, and whether the lexicon has it."""
+    word, place, whole = word_features(words, model.lexicon)
+    scores = np.column_stack([np.bincount(word, weights=model.weights[place, k], minlength=len(words))
+                              for k in range(len(model.languages))])
+    return scores, np.isin(whole, model.lexicon)
 
 
 def forward(scores: np.ndarray, first: np.ndarray, move: np.ndarray, steps: int = 128) -> np.ndarray:
@@ -234,29 +238,41 @@ def _transition_slope(scores: np.ndarray, first: np.ndarray, transitions: np.nda
     return expected - observed
 
 
-def predict(texts: pa.Array, model: Model | None) -> tuple[list[str], np.ndarray]:
-    """(language, score) of each whole text."""
+@dataclass(frozen=True)
+class Judged:
+    """Of each whole text: language, score, number of words, share of words in the lexicon."""
+
+    names: list[str]
+    score: np.ndarray
+    words: np.ndarray
+    known: np.ndarray
+
+
+def predict(texts: pa.Array, model: Model | None) -> Judged:
     data, offsets = utf8_bytes(texts)
     ascii_letter = (((data | 32) >= 97) & ((data | 32) <= 122))
     letters = np.diff(np.concatenate(([0], np.cumsum(ascii_letter)))[offsets]) > 0
     for i in np.flatnonzero(~letters & (np.diff(offsets) > 0)).tolist():
         letters[i] = any(c.isalpha() for c in texts[i].as_py())
     n = len(texts)
-    names, score = [UNDETERMINED] * n, np.zeros(n)
-    if model is None or not letters.any():
-        return names, score
     codes, offsets, words = word_codes(texts)
     sizes = np.diff(offsets)
+    names, score, known = [UNDETERMINED] * n, np.zeros(n), np.zeros(n)
+    if model is None or not letters.any():
+        return Judged(names, score, sizes, known)
     first = np.zeros(len(codes), dtype=bool)
     first[offsets[:-1][sizes > 0]] = True
-    p = marginals(emissions(words, model)[codes], first, model.transitions)
+    scores, in_lexicon = emissions(words, model)
+    p = marginals(scores[codes], first, model.transitions)
     total = np.zeros((n, len(model.languages)))
-    total[sizes > 0] = np.add.reduceat(p, offsets[:-1][sizes > 0], axis=0) / sizes[sizes > 0][:, None]
+    some = offsets[:-1][sizes > 0]
+    known[sizes > 0] = np.add.reduceat(in_lexicon[codes].astype(np.int64), some) / sizes[sizes > 0]
+    total[sizes > 0] = np.add.reduceat(p, some, axis=0) / sizes[sizes > 0][:, None]
     best = total.argmax(axis=1)
     for i in np.flatnonzero(letters).tolist():
         names[i] = model.languages[best[i]]
         score[i] = min(1.0, total[i, best[i]])
-    return names, score
+    return Judged(names, score, sizes, known)
 
 
 def learn(docs: DataFrame, settings: Settings | None = None, id_col: str = "doc_id", text_col: str = "text",
@@ -274,16 +290,18 @@ def learn(docs: DataFrame, settings: Settings | None = None, id_col: str = "doc_
 
 
 def identify(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
-    """Add ``lang_pred`` and ``score``."""
-    added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-    schema = T.StructType([f for f in docs.schema.fields if f.name not in ("lang_pred", "score")] + added)
+    """Add ``lang_pred``, ``score``, ``n_words`` and ``known_share`` (in the place of columns of these names)."""
+    added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
+             T.StructField("n_words", T.LongType()), T.StructField("known_share", T.DoubleType())]
+    schema = T.StructType([f for f in docs.schema.fields if f.name not in {a.name for a in added}] + added)
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, text_col):
-                names, score = predict(as_array(pc.fill_null(part.column(text_col), "")), model)
-                yield with_columns(part, arrow, lang_pred=pa.array(names, pa.string()), score=pa.array(score))
+                judged = predict(as_array(pc.fill_null(part.column(text_col), "")), model)
+                yield with_columns(part, arrow, lang_pred=pa.array(judged.names, pa.string()), score=pa.array(judged.score),
+                                   n_words=pa.array(judged.words), known_share=pa.array(judged.known))
 
     return docs.mapInArrow(resting(run), schema)
 
