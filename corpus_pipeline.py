@@ -17,16 +17,18 @@ from claimspark.llm.queries import public_file
 from claimspark.llm.store import written
 from claimspark.session import package_on_workers
 
-#: Below this mean probability of its best language a text counts as none of the languages.
-MIN_LANGUAGE_SCORE = 0.3
+#: A text of at least ``ENOUGH_WORDS`` words counts as none of the languages if the lexicon has a smaller share of them
+#: than this.  Half of the least share of held-out labelled texts of that length (0.10).
+MIN_KNOWN_SHARE, ENOUGH_WORDS = 0.05, 30
 WINDOW, END_ID = 2048, 1
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents of no learned language: without a letter, or with too low a score."""
+    """Drop documents of no learned language: without a letter, or long enough to tell and of unknown words."""
     model = langcrf.learn(docs.where(~langcrf.held_out("doc_id", 4, 2)))
     judged = langcrf.identify(docs, model)
-    fits = (F.col("lang_pred") != langcrf.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)
+    unknown = (F.col("n_words") >= ENOUGH_WORDS) & (F.col("known_share") < MIN_KNOWN_SHARE)
+    fits = (F.col("lang_pred") != langcrf.UNDETERMINED) & ~unknown
     return judged.where(fits).select(*docs.columns)
 
 
