@@ -49,6 +49,19 @@ def test_language_drops_only_texts_without_a_language(stages):
     assert any(t is None for _, t in gone)
 
 
+def test_language_drops_texts_of_unknown_words_and_no_clean_ones(spark, empty):
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("text IS NOT NULL")
+    columns = rows.columns
+    greek = "η γλώσσα αυτού του κειμένου δεν είναι καμία από όσες έμαθε το μοντέλο "
+    odd = {-1: greek * 5, -2: "xqzv wkkj pzzt vvqx jjwq zzkp " * 8, -3: greek}  # the last is too short to tell
+    extra = rows.limit(1).drop("doc_id", "text", "lang").crossJoin(
+        spark.createDataFrame([(i, x, None) for i, x in odd.items()], "doc_id long, text string, lang string"))
+    left = dict(corpus_pipeline.STAGES)["language"](spark, rows.unionByName(extra.select(columns)), empty)
+    ids = {r["doc_id"] for r in left.collect()}
+    clean = {r["doc_id"] for r in rows.collect() if any(map(str.isalpha, r["text"]))}
+    assert ids == clean | {-3}
+
+
 def test_one_document_of_each_near_copy_group_stays(stages):
     before, after, *_ = stages["near_copies"]
 
