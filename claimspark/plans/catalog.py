@@ -29,6 +29,7 @@ from claimspark.sources import csv_files as Cf
 from claimspark.sources import layers as Ly
 from claimspark.sources import published as Pb
 from claimspark.sources import stand_ins as SI
+from claimspark.sources import warehouse as Wh
 from claimspark.sources.tables import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -739,6 +740,34 @@ def q_pit(spark, sf):
         "claim_id", "policyholder_id", "incident_date", "policyholder_key", "valid_from", "valid_to")
 
 
+STAR_DIMENSIONS = [("dim_policyholder", "policyholder_key", "policyholder_key", ["sex"]),
+                   ("dim_policy", "policy_key", "policy_key", ["policy_state"]),
+                   ("dim_vehicle", "vehicle_key", "vehicle_key", ["auto_make"]),
+                   ("dim_date", "incident_date_key", "date_key", ["year"])]
+
+
+def _saved_star(spark: SparkSession, sf: str) -> list[DataFrame]:
+    """The inner fact and its dimensions as catalog tables with statistics of keys and attributes."""
+    s, root, run = star_for(spark, sf), _scratch(spark, "warehouse"), uuid.uuid4().hex
+    tables = [("fact", s.fact(), [fact_key for _, fact_key, _, _ in STAR_DIMENSIONS]),
+              *[(name, getattr(s, name), [key, *attributes]) for name, _, key, attributes in STAR_DIMENSIONS]]
+    return [Wh.save(df, f"{name}_{run}", f"{root}/{name}", columns) for name, df, columns in tables]
+
+
+@register("star_by_statistics", f"""
+SELECT sex, policy_state, auto_make, year, COUNT(*) AS claim_count, CAST(SUM(total_claim_amount) AS {MONEY}) AS total_claim_amount
+FROM fact_claims NATURAL JOIN (SELECT policyholder_key, sex FROM dim_policyholder)
+NATURAL JOIN (SELECT policy_key, policy_state FROM dim_policy) NATURAL JOIN (SELECT vehicle_key, auto_make FROM dim_vehicle)
+NATURAL JOIN (SELECT date_key AS incident_date_key, year FROM dim_date)
+WHERE year = 2000 GROUP BY ALL""")
+def q_star_by_statistics(spark, sf):
+    """A year's claims by attributes of four dimensions, over catalog tables joined in the order of their statistics (S3)."""
+    fact, *dims = _saved_star(spark, sf)
+    totals = R.star_totals(fact, [(d, *of[1:]) for d, of in zip(dims, STAR_DIMENSIONS, strict=True)], F.col("year") == 2000)
+    with Wh.cost_based(spark):
+        return Ly.materialize(totals, "star_totals", "table", _scratch(spark, "star-totals"))
+
+
 @register("pit_lookup_colocated", ORACLE_PIT)
 def q_pit_colocated(spark, sf):
     """The same over facts and history in buckets of the holder, joined without a shuffle."""

@@ -202,3 +202,17 @@ def r14_monthly_trend(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
         .withColumn("change", F.round(F.col("total_paid") - prev, 2).cast(MONEY_SUM))
         .orderBy("year", "month")
     )
+
+
+def star_totals(fact: DataFrame, dims: list[tuple[DataFrame, str, str, list[str]]], where: Column) -> DataFrame:
+    """Claims and amounts by attributes of several dimensions at once, where ``where`` holds.
+
+    ``dims`` lists (dimension, key in the fact, its own key, attributes).  The
+    joins are written in this order; which comes first is left to the optimizer.
+    """
+    out, by = fact, []
+    for dim, fact_key, dim_key, attributes in dims:
+        out = _with(out, dim, fact_key, dim_key, *attributes)
+        by += attributes
+    return out.where(where).groupBy(*by).agg(
+        _count().alias("claim_count"), _sum_money("total_claim_amount").alias("total_claim_amount"))
