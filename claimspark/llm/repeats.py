@@ -642,14 +642,18 @@ def remove(docs: DataFrame, length: int = 50, gram: int = 24, id_col: str = "doc
 
     sent = light.mapInArrow(resting(work.send_anchors), _PARTS)
     # Partitions grow with the input, so that what one task reads does not.
-    shared = (sent.repartition(work.buckets, "bucket").groupBy("bucket").applyInArrow(lambda t: work.shared_anchors(t), _PARTS)
-              .repartition(work.buckets, "flush").groupBy("flush").applyInArrow(lambda t: work.anchors_of_documents(t), "doc_id long, mark long, shared binary")
+    shared = (sent.repartition(work.buckets, "bucket").groupBy("bucket")
+              .applyInArrow(lambda t: work.shared_anchors(t), _PARTS)
+              .repartition(work.buckets, "flush").groupBy("flush")
+              .applyInArrow(lambda t: work.anchors_of_documents(t), "doc_id long, mark long, shared binary")
               .groupBy("doc_id", "mark").agg(F.max("shared").alias("shared")))
     shared = written(shared, "shared-anchors")
     regions = light.join(shared, ["doc_id", "mark"]).sortWithinPartitions("doc_id", "mark")
     ranges = (regions.mapInArrow(resting(work.send_regions), _PARTS)
-              .repartition(work.buckets, "bucket").groupBy("bucket").applyInArrow(lambda t: work.later_copies(t), _PARTS)
-              .repartition(work.buckets, "flush").groupBy("flush").applyInArrow(lambda t: work.ranges_of_documents(t), "doc_id long, mark long, ranges binary")
+              .repartition(work.buckets, "bucket").groupBy("bucket")
+              .applyInArrow(lambda t: work.later_copies(t), _PARTS)
+              .repartition(work.buckets, "flush").groupBy("flush")
+              .applyInArrow(lambda t: work.ranges_of_documents(t), "doc_id long, mark long, ranges binary")
               .groupBy("doc_id", "mark").agg(F.max("ranges").alias("ranges")))
     key, own_id, own_mark, spans = unused(docs, "key", "own_id", "own_mark", "ranges")
     ranges = written(ranges, "ranges").toDF(own_id, own_mark, spans)
