@@ -16,6 +16,8 @@ from dataclasses import dataclass, field
 import numpy as np
 
 OTHER, END = 0, 1
+#: Rows of one softmax, and least tokens whose probabilities are worked out together when texts are scored.
+BLOCK, SCORED_ROWS = 2048, 1 << 14
 
 
 @dataclass(frozen=True)
@@ -25,9 +27,9 @@ class Shape:
     embedding: int = 24
     hidden: int = 32
     window: int = 24
-    lanes: int = 128
+    lanes: int = 256
     updates: int = 40
-    rate: float = 0.05
+    rate: float = 0.07
     clip: float = 5.0
 
 
@@ -81,58 +83,66 @@ class Gru:
             at += p.size
         return Gru(self.shape, self.n_words, out)
 
-    def _step(self, x: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, ...]:
-        h, wh = self.shape.hidden, self.params["wh"]
-        gates = 1 / (1 + np.exp(-np.clip(x[:, :2 * h] + state @ wh[:, :2 * h], -30, 30)))
-        update, reset = gates[:, :h], gates[:, h:]
-        new = np.tanh(x[:, 2 * h:] + (reset * state) @ wh[:, 2 * h:])
-        return state + update * (new - state), update, reset, new
+    def _step(self, x: np.ndarray, state: np.ndarray, out: tuple[np.ndarray, ...]) -> None:
+        """One step; ``out`` takes the gates (update, reset), the kept part of the state, its proposal and the new state."""
+        (gates, kept, new, after), h, wh = out, self.shape.hidden, self.params["wh"]
+        np.matmul(state, wh[:, :2 * h], out=gates)
+        gates += x[:, :2 * h]
+        gates *= 0.5
+        np.tanh(gates, out=gates)
+        gates += 1
+        gates *= 0.5
+        np.multiply(gates[:, h:], state, out=kept)
+        np.matmul(kept, wh[:, 2 * h:], out=new)
+        new += x[:, 2 * h:]
+        np.tanh(new, out=new)
+        np.subtract(new, state, out=after)
+        after *= gates[:, :h]
+        after += state
+
+    def _buffers(self, *size: int) -> tuple[np.ndarray, ...]:
+        h = self.shape.hidden
+        return tuple(np.empty((*size, width), np.float32) for width in (2 * h, h, h, h))
 
     def _log_probability(self, state: np.ndarray, token: np.ndarray, slopes: dict | None = None
                          ) -> tuple[np.ndarray, np.ndarray | None]:
-        """Natural log of each token's probability after its state; with ``slopes`` also the states' gradient."""
+        """Natural log of each token's probability after its state; with ``slopes`` also the states' gradient.
+
+        Rows are taken class by class, so each class's members are one product for all its rows.
+        """
         p = self.params
+        order = _sorted(self.class_of(token))
+        state, token = state[order], token[order]
         of_class, member = self.class_of(token), self.member_of(token)
-        rows = np.arange(len(token))
-        logits = state @ p["wc"] + p["bc"]
-        logits -= logits.max(axis=1, keepdims=True)
-        exped = np.exp(logits)
-        total = exped.sum(axis=1)
-        out = logits[rows, of_class] - np.log(total)
-        back = None
-        if slopes is not None:
-            g = exped / total[:, None]
-            g[rows, of_class] -= 1
-            back = g @ p["wc"].T
-            slopes["wc"] += state.T @ g
-            slopes["bc"] += g.sum(axis=0)
-        order = np.argsort(of_class, kind="stable")
-        starts = np.searchsorted(of_class[order], np.arange(2, self.n_classes + 1))
-        for c in range(2, self.n_classes):
-            at = order[starts[c - 2]:starts[c - 1]]
-            if not len(at):
-                continue
-            inside = state[at] @ p["ww"][c] + p["bw"][c]
-            inside -= inside.max(axis=1, keepdims=True)
-            exped = np.exp(inside)
-            total = exped.sum(axis=1)
-            k = np.arange(len(at))
-            out[at] += inside[k, member[at]] - np.log(total)
+        out = np.empty(len(token))
+        back = np.empty_like(state) if slopes is not None else None
+        for lo in range(0, len(token), BLOCK):
+            rows = slice(lo, lo + BLOCK)
+            out[rows], g = _chosen(p["wc"], p["bc"], state[rows], of_class[rows], slopes is not None)
             if slopes is not None:
-                g = exped / total[:, None]
-                g[k, member[at]] -= 1
-                back[at] += g @ p["ww"][c].T
-                slopes["ww"][c] += state[at].T @ g
-                slopes["bw"][c] += g.sum(axis=0)
-        return out, back
+                back[rows] = (p["wc"] @ g).T
+                slopes["wc"] += (g @ state[rows]).T
+                slopes["bc"] += g.sum(axis=1)
+        ends = np.searchsorted(of_class, np.arange(2, self.n_classes + 1))
+        for c in range(2, self.n_classes):
+            for lo in range(ends[c - 2], ends[c - 1], BLOCK):
+                rows = slice(lo, min(lo + BLOCK, ends[c - 1]))
+                value, g = _chosen(p["ww"][c], p["bw"][c], state[rows], member[rows], slopes is not None)
+                out[rows] += value
+                if slopes is not None:
+                    back[rows] += (p["ww"][c] @ g).T
+                    slopes["ww"][c] += (g @ state[rows]).T
+                    slopes["bw"][c] += g.sum(axis=1)
+        return _put_back(out, order), back if back is None else _put_back(back, order)
 
     def score(self, tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Natural-log likelihood of each text (its tokens end with the end token).
 
-        Texts are lanes that step together, longest first, a window at a
-        time; the state stays with the lane until its text ends.
+        Texts are lanes that step together, longest first; the state stays
+        with the lane until its text ends.  Probabilities are worked out for
+        ``SCORED_ROWS`` or more tokens at a time.
         """
-        p, h, width = self.params, self.shape.hidden, self.shape.window
+        p, h = self.params, self.shape.hidden
         table = p["emb"] @ p["wx"] + p["b"]
         sizes = np.diff(offsets)
         order = np.argsort(-sizes, kind="stable")
@@ -140,22 +150,19 @@ class Gru:
         out = np.zeros(len(sizes))
         state = np.zeros((len(sizes), h), np.float32)
         before = np.full(len(sizes), END)
-        for start in range(0, int(sizes.max(initial=0)), width):
-            states, targets, owners = [], [], []
-            for t in range(start, start + width):
-                n = int(np.searchsorted(-sizes, -t, side="left"))
-                if not n:
-                    break
-                state[:n] = self._step(table[before[:n]], state[:n])[0]
-                before[:n] = tokens[begins[:n] + t]
-                states.append(state[:n].copy())
-                targets.append(before[:n].copy())
-                owners.append(np.arange(n))
-            for some in _groups(states, 1 << 14):
-                owner = np.concatenate([owners[i] for i in some])
-                value, _ = self._log_probability(np.concatenate([states[i] for i in some]),
-                                                 np.concatenate([targets[i] for i in some]))
-                out += np.bincount(owner, weights=value, minlength=len(out))
+        buffers = self._buffers(len(sizes))
+        held, rows = [], 0
+        for t in range(int(sizes.max(initial=0))):
+            n = int(np.searchsorted(-sizes, -t, side="left"))
+            self._step(table[before[:n]], state[:n], tuple(b[:n] for b in buffers))
+            state[:n] = buffers[-1][:n]
+            before[:n] = tokens[begins[:n] + t]
+            held.append((state[:n].copy(), before[:n].copy(), np.arange(n)))
+            rows += n
+            if rows >= SCORED_ROWS or t == sizes[0] - 1:
+                states, targets, owners = (np.concatenate(x) for x in zip(*held, strict=True))
+                out += np.bincount(owners, weights=self._log_probability(states, targets)[0], minlength=len(out))
+                held, rows = [], 0
         back = np.empty(len(out))
         back[order] = out
         return back
@@ -175,51 +182,77 @@ class Gru:
         first[offsets[:-1]] = True
         first = np.resize(first[:-1], (lanes, steps))
         squares = {k: np.full(v.shape, 1e-6, np.float32) for k, v in p.items()}
+        gates, kept, new, states = self._buffers(shape.window, lanes)
+        olds, d_x = np.empty_like(states), np.empty((shape.window, lanes, 3 * h), np.float32)
         state, before = np.zeros((lanes, h), np.float32), np.full(lanes, END)
         for start in range(0, steps, shape.window):
-            kept = []
-            for t in range(start, min(steps, start + shape.window)):
-                state = np.where(first[:, t][:, None], np.float32(0), state)
-                old = state
-                inputs = np.where(first[:, t], END, before)
-                state, update, reset, new = self._step(p["emb"][inputs] @ p["wx"] + p["b"], old)
-                before = line[:, t]
-                kept.append((inputs, old, update, reset, new, state, before, first[:, t]))
+            n = min(steps - start, shape.window)
+            after, begun = line[:, start:start + n].T, first[:, start:start + n].T
+            inputs = np.where(begun, END, np.concatenate((before[None], after[:-1])))
+            table = p["emb"] @ p["wx"] + p["b"]
+            for t in range(n):
+                olds[t] = state
+                olds[t][begun[t]] = 0
+                self._step(table[inputs[t]], olds[t], (gates[t], kept[t], new[t], states[t]))
+                state = states[t]
+            state, before = state.copy(), after[-1]
             g = {k: np.zeros_like(v) for k, v in p.items()}
-            _, back = self._log_probability(np.concatenate([k[5] for k in kept]),
-                                            np.concatenate([k[6] for k in kept]), g)
-            back = back.reshape(len(kept), lanes, h)
+            _, back = self._log_probability(states[:n].reshape(-1, h), after.reshape(-1), g)
+            back = back.reshape(n, lanes, h)
             carry = np.zeros((lanes, h), np.float32)
-            for i in range(len(kept) - 1, -1, -1):
-                inputs, old, update, reset, new, _, _, begins = kept[i]
-                d = back[i] + carry
-                d_new = d * update * (1 - new ** 2)
-                d_update = d * (new - old) * update * (1 - update)
-                through = d_new @ p["wh"][:, 2 * h:].T
-                d_reset = through * old * reset * (1 - reset)
-                d_gates = np.concatenate((d_update, d_reset), axis=1)
-                carry = d * (1 - update) + through * reset + d_gates @ p["wh"][:, :2 * h].T
-                carry[begins] = 0
-                d_x = np.concatenate((d_gates, d_new), axis=1)
-                g["wh"][:, :2 * h] += old.T @ d_gates
-                g["wh"][:, 2 * h:] += (reset * old).T @ d_new
-                g["b"] += d_x.sum(axis=0)
-                g["wx"] += p["emb"][inputs].T @ d_x
-                np.add.at(g["emb"], inputs, d_x @ p["wx"].T)
-            norm = np.sqrt(sum(float((x ** 2).sum()) for x in g.values()))
-            scale = min(1.0, shape.clip * len(kept) * lanes / max(norm, 1e-9))
+            for t in range(n - 1, -1, -1):
+                old, update, reset, d = olds[t], gates[t, :, :h], gates[t, :, h:], back[t]
+                d += carry
+                carry = d * update
+                d_x[t, :, 2 * h:] = carry * (1 - new[t] ** 2)
+                through = d_x[t, :, 2 * h:] @ p["wh"][:, 2 * h:].T
+                d_x[t, :, :h] = carry * (new[t] - states[t])
+                d_x[t, :, h:2 * h] = through * kept[t] * (1 - reset)
+                through *= reset
+                carry -= d
+                through -= carry
+                carry = d_x[t, :, :2 * h] @ p["wh"][:, :2 * h].T
+                carry += through
+                carry[begun[t]] = 0
+            inputs, d = inputs.reshape(-1), d_x[:n].reshape(-1, 3 * h)
+            g["wh"][:, :2 * h] = olds[:n].reshape(-1, h).T @ d[:, :2 * h]
+            g["wh"][:, 2 * h:] = kept[:n].reshape(-1, h).T @ d[:, 2 * h:]
+            g["b"] = d.sum(axis=0)
+            g["wx"] = p["emb"][inputs].T @ d
+            order = _sorted(inputs)
+            begins = np.flatnonzero(np.diff(inputs[order], prepend=-1))
+            g["emb"][inputs[order[begins]]] = np.add.reduceat((d @ p["wx"].T)[order], begins, axis=0)
+            norm = np.sqrt(sum(float(np.vdot(x, x)) for x in g.values()))
+            scale = min(1.0, shape.clip * n * lanes / max(norm, 1e-9))
             for k, x in g.items():
-                x *= scale / (len(kept) * lanes)
+                x *= scale / (n * lanes)
                 squares[k] += x ** 2
                 p[k] -= shape.rate * x / np.sqrt(squares[k])
 
 
-def _groups(states: list[np.ndarray], most: int) -> list[list[int]]:
-    out, size = [], most
-    for i, s in enumerate(states):
-        if size + len(s) > most:
-            out.append([])
-            size = 0
-        out[-1].append(i)
-        size += len(s)
+def _chosen(weights: np.ndarray, bias: np.ndarray, state: np.ndarray, choice: np.ndarray, sloped: bool
+            ) -> tuple[np.ndarray, np.ndarray | None]:
+    """Natural log of the softmax of each row's choice and, if ``sloped``, its gradient by choice and row."""
+    rows = np.arange(len(choice))
+    logits = weights.T @ state.T
+    logits += bias[:, None]
+    logits -= logits.max(axis=0)
+    picked = logits[choice, rows]
+    np.exp(logits, out=logits)
+    total = logits.sum(axis=0)
+    if sloped:
+        logits *= 1 / total
+        logits[choice, rows] -= 1
+    return picked - np.log(total), logits if sloped else None
+
+
+def _sorted(values: np.ndarray) -> np.ndarray:
+    """The stable order of whole numbers from 0 on; numbers of 16 bits are sorted by radix."""
+    small = values.max(initial=0) < 1 << 16
+    return np.argsort(values.astype(np.uint16) if small else values, kind="stable")
+
+
+def _put_back(rows: np.ndarray, order: np.ndarray) -> np.ndarray:
+    out = np.empty_like(rows)
+    out[order] = rows
     return out
