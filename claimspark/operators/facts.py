@@ -69,7 +69,9 @@ def build_fact(
     fact = lookup_join(fact, dim_date.select(F.col("date_key").alias("incident_date_key"), "full_date"),
                        [("_incident_date", "full_date")], how, profile=profiles.get("date"),
                        bounded=True)
-    keyed = dense_key(fact, "claim_key", list(claim_order))
+    # Numbering moves and writes every column it is given: those of the joins stay behind.
+    kept = [c for c in FACT_CLAIMS.fieldNames() if c in fact.columns]
+    keyed = dense_key(fact.select(*{c: None for c in (*kept, *claim_order)}), "claim_key", list(claim_order))
     return conform(keyed, FACT_CLAIMS)
 
 
@@ -109,7 +111,8 @@ def claims_flat(staged: DataFrame, tie_breaker: str = "claim_id", **key_options)
     The date alone ties; ``tie_breaker`` makes the numbering deterministic.
     ``key_options`` go to ``dense_key``.
     """
-    keyed = dense_key(staged, "claim_key", ["incident_date", tie_breaker], **key_options)
+    columns = {c: None for c in (*FLAT_COLUMNS[1:], tie_breaker)}
+    keyed = dense_key(staged.select(*columns), "claim_key", ["incident_date", tie_breaker], **key_options)
     return keyed.select(*FLAT_COLUMNS)
 
 

@@ -57,7 +57,8 @@ def build_history(
         .withColumn("is_current", F.col("valid_to").isNull())
     )
     key_order = ["valid_from", natural_key] + ([seq_col] if seq_col else [])
-    keyed = dense_key(versions, key_col, key_order)
+    kept = [c for c in DIM_POLICYHOLDER.fieldNames() if c in versions.columns]
+    keyed = dense_key(versions.select(*{c: None for c in (*kept, *key_order)}), key_col, key_order)
     return conform(keyed, "dim_policyholder")
 
 

@@ -47,7 +47,7 @@ def main() -> None:
     print("Only joins, exchanges, aggregates, windows, sorts and scans are kept.\n")
     print("## 1. How each star table is built\n")
     print("Built lazily here so the whole plan shows.  The registered queries build each table once,")
-    print("write it, and scan it (section 2).  A keyed table starts from the checkpoints of `dense_key`; its")
+    print("write it, and scan it (section 2).  A keyed table starts from the written ranges of `dense_key`; its")
     print("only single partition holds one row per range, in the running sum of the offsets.  What is keyed")
     print("is shown before it.\n")
     lazy = star_module.Star(spark, sf, materialize=False)

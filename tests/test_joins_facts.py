@@ -30,6 +30,24 @@ def test_lookup_join_guard_and_null_safe(spark):
         J.lookup_join(fact, nulls, ["k"], null_safe=True)  # ... unless NULLs match each other
 
 
+def test_numbering_gets_only_the_columns_kept(spark, monkeypatch):
+    from claimspark.operators import scd2
+    from claimspark.plans.star import Star
+    from tests.conftest import SF_SMALL
+
+    given = {}
+    for module in (Fc, scd2):
+        def numbered(df, key_col, *args, real=module.dense_key, **kwargs):
+            given[key_col] = set(df.columns)
+            return real(df, key_col, *args, **kwargs)
+        monkeypatch.setattr(module, "dense_key", numbered)
+    star = Star(spark, SF_SMALL)
+    assert star.fact().count() > 0
+    assert not given["claim_key"] & {"auto_make", "auto_model", "auto_year", "policyholder_id", "valid_from", "valid_to"}
+    assert {"incident_date", "policy_number", "claim_id", "policy_key", "incident_date_key"} <= given["claim_key"]
+    assert not given["policyholder_key"] & {"_opens", "snapshot_date"}
+
+
 def test_point_in_time_boundaries(spark):
     d = lambda m, day=1: dt.date(2024, m, day)
     dim = spark.createDataFrame(

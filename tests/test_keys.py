@@ -100,3 +100,20 @@ def test_dense_key_evaluates_its_input_once(spark):
 
 def test_dense_key_of_nothing(spark):
     assert dense_key(spark.range(0), "k", ["id"]).collect() == []
+
+
+def test_dense_key_reads_columns_not_whole_rows(spark):
+    df = spark.range(0, 50).select("id", F.lit("x").alias("a b"), F.lit("y").alias("ID.2"))
+    keyed = dense_key(df, "k", ["id"], ranges=3)
+    assert keyed.columns == ["id", "a b", "ID.2", "k"] and keyed.where("`a b` = 'x' and k = id + 1").count() == 50
+    plan = keyed.select("k")._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "ExistingRDD" not in plan
+
+
+def test_first_by_sends_an_order_column_once(spark):
+    df = spark.createDataFrame([(1, 2, "b"), (1, 1, "a"), (1, 1, "c"), (2, None, "d"), (None, 5, "e")], "k int, o int, v string")
+    first = first_by(df, ["k"], [Asc("o", nulls_last=True)])
+    assert sorted(map(tuple, first.collect()), key=str) == [(1, 1, "a"), (2, None, "d"), (None, 5, "e")]
+    plan = first._jdf.queryExecution().optimizedPlan().toString()
+    assert "_ord0" in plan and "struct(o, " not in plan and "_row, struct(v, v" in plan
+    assert sorted(map(tuple, first_by(df.select("k", "o"), ["k"], ["o"], last=True).collect()), key=str) == [(1, 2), (2, None), (None, 5)]
