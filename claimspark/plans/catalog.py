@@ -813,7 +813,8 @@ SELECT CAST(ROW_NUMBER() OVER (ORDER BY incident_date, claim_id) AS BIGINT) AS c
        incident_date, incident_type, total_claim_amount, injury_claim, property_claim, vehicle_claim, fraud_reported
 FROM claims WHERE total_claim_amount IS NOT NULL""")
 def q_flat(spark, sf):
-    return Fc.claims_flat(Fc.stage_claims(star_for(spark, sf).claims, keep=("claim_id",)))
+    # The star's claims are a written table: a second scan of some columns is less than another copy.
+    return Fc.claims_flat(Fc.stage_claims(star_for(spark, sf).claims, keep=("claim_id",)), evaluated=True)
 
 
 @register("claims_flat_ranged", """

@@ -87,3 +87,28 @@ def test_process_notes_isolates_failures(spark):
     assert got[3].injury_mentioned is True
     assert got[2].status == "call_failed" and "unavailable" in got[2].error
     assert got[1].status == "ok" and got[1].error is None   # same batch as nothing failing
+
+
+def test_audit_counts_nulls_without_the_values(spark):
+    df = spark.createDataFrame([(1, 10, None), (1, 11, "a"), (None, 12, "b"), (2, None, "c")], "k int, v int, w string")
+    out = V.audit(df, "t", unique=[["k"]], not_null=["k", "v", "w"])
+    assert {(r.check, r.target): r.failures for r in out.collect()} == {
+        ("unique", "t.k"): 2, ("not_null", "t.k"): 1, ("not_null", "t.v"): 1, ("not_null", "t.w"): 1}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "cast(v" not in plan and "isnotnull(v" in plan
+    assert V.audit(df.limit(0), "t", not_null=["v"]).first().failures == 0
+
+
+def test_flat_mart_of_the_star_is_not_copied_before_numbering(spark, monkeypatch):
+    from claimspark.operators import facts, keys
+    from claimspark.plans import catalog
+    from tests.conftest import SF_SMALL
+
+    names, given = [], []
+    real_written, real_key = keys._written, facts.dense_key
+    monkeypatch.setattr(keys, "_written", lambda df, name: (names.append(name), real_written(df, name))[1])
+    monkeypatch.setattr(facts, "dense_key", lambda df, *a, **k: (given.append(df.columns), real_key(df, *a, **k))[1])
+    catalog.star_for(spark, SF_SMALL).claims
+    flat = catalog.q_flat(spark, SF_SMALL)
+    assert names == ["ranges"] and "collision_type" not in given[0]
+    assert flat.columns == list(facts.FLAT_COLUMNS)
