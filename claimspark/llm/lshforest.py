@@ -15,10 +15,11 @@ Texts with equal sets are one node from the start.
    they spread over tasks.
 3. Candidates with similar signatures form rough groups, as connected
    components.  A crowded region whose nodes are then in several groups is
-   compared whole after all: its nodes are dealt into blocks and every pair of
-   blocks meets in a task, which compares signatures across groups.  So nodes
-   that share ``depth`` values are always compared or in one group, however
-   many others hold the passage that the values come from.
+   compared across groups after all: its nodes are dealt into blocks, and
+   those outside its largest group meet every block.  So nodes that share
+   ``depth`` values are always compared or in one group, however many others
+   hold the passage that the values come from, and the nodes of a group are
+   not compared again with each other.
 4. Inside the rough groups full shingle sets are compared.  A large group is
    dealt into blocks of bounded size and compared inside them first; only
    nodes that this leaves outside the group's largest component meet all of
@@ -56,8 +57,8 @@ MISS = 2e-5
 REGION = 64
 #: Nodes in a block of a large rough group.
 BLOCK = 128
-#: A crowded region is dealt into so many blocks, of at least BLOCK and at most CROWD_BLOCK nodes.
-CROWD_BLOCKS, CROWD_BLOCK = 16, 4096
+#: A crowded region is dealt into so many blocks, of at least LEAST_CROWD and at most CROWD_BLOCK nodes.
+CROWD_BLOCKS, LEAST_CROWD, CROWD_BLOCK = 16, 1024, 4096
 
 
 def agreement(percent: int) -> float:
@@ -255,8 +256,10 @@ def candidate_links(nodes: DataFrame, agree: float, depth: int = DEPTH) -> DataF
     found = [part.sortWithinPartitions(*by).select("key", "signature", "tree").mapInArrow(run, "a binary, b binary") for part in wanted]
     if not crowded:
         return found[0].distinct()
-    near = written(found[0].unionByName(found[1]).distinct(), "near-links")
-    return near.unionByName(crowd_links(large, components(near), agree, depth)).distinct()
+    rough = components(found[0].unionByName(found[1]))
+    # What hangs together already is named by its smallest node.
+    known = rough.where("node <> label").select(F.col("label").alias("a"), F.col("node").alias("b"))
+    return known.unionByName(crowd_links(large, rough, agree, depth)).distinct()
 
 
 def _signed(table: pa.Table) -> np.ndarray:
@@ -307,35 +310,49 @@ def similar_across(signed: np.ndarray, group: np.ndarray, first_block: np.ndarra
     return root
 
 
-def crowd_links(crowded: DataFrame, rough: DataFrame, agree: float, depth: int = DEPTH) -> DataFrame:
-    """(a, b): links between keys of one crowded region but of different groups in ``rough``.
+def dealt_crowds(crowded: DataFrame, rough: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(key, signature, group, tree, prefix, low, high, first): units of the nodes of a crowded region to be compared, those
+    that are ``first`` with the others.
 
-    ``crowded`` is (key, signature, tree, label, n) with the number of nodes of the region.  Blocks of one region
-    meet pair by pair; a task sends on a spanning forest.
+    ``crowded`` is (key, signature, tree, label, n) with the number of nodes of the region.  The nodes outside a region's
+    largest group in ``rough`` visit every block of the region, the others stay in theirs; a region of one group is left out.
     """
     of_key = rough.select(F.col("node").alias("key"), F.col("label").alias("group"))
     members = written(crowded.join(of_key, "key", "left").select(
         "key", "signature", "tree", F.substring("label", 1, 2 * depth).alias("prefix"), "n",
         F.coalesce("group", "key").alias("group")), "crowds")
-    mixed = (members.groupBy("tree", "prefix").agg(F.min("group").alias("least"), F.max("group").alias("most"))
-             .where("least < most").select("tree", "prefix"))
-    size = F.least(F.greatest(F.col("n") / CROWD_BLOCKS, F.lit(BLOCK)), F.lit(CROWD_BLOCK))
-    dealt = (members.join(mixed, ["tree", "prefix"]).withColumn("blocks", F.ceil(F.col("n") / size).cast("int"))
-             .withColumn("mine", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("key", "signature", "group", "mine", "tree", "prefix",
-                     F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high")))
+    sizes = members.groupBy("tree", "prefix", "group").agg(F.count(F.lit(1)).alias("own"))
+    mixed = (sizes.groupBy("tree", "prefix").agg(F.max(F.struct("own", "group")).alias("bulk"), F.sum("own").alias("all"))
+             .where("bulk.own < all")
+             .select("tree", "prefix", F.col("bulk.group").alias("bulk"), (F.col("all") - F.col("bulk.own")).alias("outside")))
+    size = F.least(F.greatest(F.col("n") / CROWD_BLOCKS, F.lit(LEAST_CROWD)), F.lit(CROWD_BLOCK))
+    open_ = (members.join(mixed, ["tree", "prefix"]).withColumn("blocks", F.ceil(F.col("n") / size).cast("int"))
+             .withColumn("visits", F.ceil(F.col("outside") / size).cast("int")))
+
+    def dealt_to(count: str, salt: int):
+        return F.pmod(F.xxhash64("key", F.lit(salt)), F.col(count)).cast("int")
+
+    here = open_.withColumn("low", dealt_to("blocks", 0)).withColumn("high", F.explode(F.sequence(F.lit(0), F.col("visits") - 1)))
+    visitors = (open_.where(F.col("group") != F.col("bulk")).withColumn("high", dealt_to("visits", 1))
+                .withColumn("low", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
+    names = ["key", "signature", "group", "tree", "prefix", "low", "high"]
+    return here.select(*names, F.lit(True).alias("first")).unionByName(visitors.select(*names, F.lit(False).alias("first")))
 
+
+def crowd_links(crowded: DataFrame, rough: DataFrame, agree: float, depth: int = DEPTH) -> DataFrame:
+    """(a, b): links between keys of one crowded region but of different groups in ``rough``; a task sends on a spanning
+    forest."""
     def compare(table: pa.Table) -> pa.Table:
         signed = np.frombuffer(b"".join(table["signature"].to_pylist()), ">u2").reshape(len(table), -1).astype(np.uint16)
         group = np.unique(np.array(table["group"].to_pylist(), dtype=object), return_inverse=True)[1]
         keys = table["key"].to_pylist()
-        root = similar_across(signed, group, np.asarray(table["mine"]) == np.asarray(table["low"]), agree)
-        linked = np.flatnonzero(root != np.arange(len(root))).tolist()
+        root = similar_across(signed, group, table["first"].to_numpy(), agree).tolist()
+        linked = [i for i, r in enumerate(root) if keys[r] != keys[i]]
         return pa.table({"a": pa.array([keys[root[i]] for i in linked], pa.binary()),
                          "b": pa.array([keys[i] for i in linked], pa.binary())})
 
-    return dealt.groupBy("tree", "prefix", "low", "high").applyInArrow(lambda t: compare(t), "a binary, b binary")
+    return dealt_crowds(crowded, rough, depth).groupBy("tree", "prefix", "low", "high").applyInArrow(
+        lambda t: compare(t), "a binary, b binary")
 
 
 def true_links(sets: list[np.ndarray], first_block: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimspark.llm import arrowtext, automaton, grulm, lshforest, mixcoder, packing, repeats, vafile, wordlm
+from claimspark.llm import components as connected
 from claimspark.llm.components import components
 
 
@@ -194,6 +195,60 @@ def test_components_of_a_long_chain(spark):
     assert {found[f"{i:03d}"] for i in range(61)} == {"000"} and found["901"] == found["900"] == "900"
 
 
+@pytest.mark.parametrize("few", [0, 30, 10_000])
+def test_links_of_closely_linked_nodes_are_gone_after_a_round(spark, monkeypatch, few):
+    rng = random.Random(few)
+    names = [f"{i:04d}" for i in range(400)]
+    # Three groups whose nodes have 16 links each, and a path.
+    groups = [names[s:s + 100] for s in (0, 100, 200)]
+    rows = [(x, rng.choice(g)) for g in groups for x in g for _ in range(16)] + list(zip(names[300:], names[301:], strict=False))
+    written, linked = lshforest.written, []
+
+    def noted(df, name):
+        out = written(df, name)
+        if name == "links":
+            linked.append(out.count())
+        return out
+
+    monkeypatch.setattr(connected, "written", noted)
+    monkeypatch.setattr(connected, "FEW", few)
+    found = components(spark.createDataFrame(rows, "a string, b string")).collect()
+    assert len(found) == 400 and all(label == f"{int(node) // 100 * 100:04d}" for node, label in found)
+    # Before, every round joined all links again.
+    assert sum(linked) < 1.5 * linked[0]
+
+
+def crowd(rng, n, outsiders):
+    """Nodes alike in the first half of each stretch; all but ``outsiders`` are near copies, and the last is near the first outsider."""
+    shape = (n, lshforest.TREES, lshforest.STRETCH)
+    values = np.broadcast_to(rng.integers(0, 1 << 16, shape[1:]), shape).copy()
+    values[:, :, 7] = np.where(rng.random(shape[:2]) < 0.5, values[:, :, 7], rng.integers(0, 1 << 16, shape[:2]))
+    values[n - outsiders:, :, 4:] = rng.integers(0, 1 << 16, (outsiders, lshforest.TREES, 4))
+    values[-1, :, 4:7] = values[n - outsiders, :, 4:7]
+    return values.reshape(n, -1)
+
+
+def test_nodes_of_one_group_do_not_meet_again_in_a_crowd(spark, monkeypatch):
+    monkeypatch.setattr(lshforest, "LEAST_CROWD", 8)
+    n, outsiders = 200, 9
+    values = crowd(np.random.default_rng(4), n, outsiders)
+    agree = (values[:, None] == values).mean(axis=2) >= 0.69
+    bulk = n - outsiders
+    assert agree[:bulk, :bulk].all() and not agree[:bulk, bulk:].any()
+    assert {(a, b) for a, b in zip(*np.nonzero(agree[bulk:, bulk:]), strict=True) if a < b} == {(0, outsiders - 1)}
+    rows = [(bytearray(b"%03d" % i), bytearray(v.astype(">u2").tobytes()), 0, bytearray(v[:8].astype(">u2").tobytes()), n)
+            for i, v in enumerate(values)]
+    crowded = spark.createDataFrame(rows, "key binary, signature binary, tree int, label binary, n long")
+    rough = crowded.where(F.col("key") < F.lit(b"%03d" % bulk)).select(F.col("key").alias("node"), F.lit(b"000").alias("label"))
+    # 16 blocks; before, every node came to each of them.
+    assert lshforest.dealt_crowds(crowded, rough).count() <= n + 16 * outsiders
+    assert {tuple(sorted(map(int, map(bytes, x)))) for x in lshforest.crowd_links(crowded, rough, 0.69).collect()} == {(bulk, n - 1)}
+    # A group that is no more in one piece is linked to one again.
+    torn = rough.withColumn("label", F.when(F.col("node") < F.lit(b"120"), F.lit(b"000")).otherwise(F.lit(b"120")))
+    found = dict(components(lshforest.crowd_links(crowded, torn, 0.69).unionByName(torn.toDF("a", "b"))).collect())
+    assert {bytes(v) for k, v in found.items() if int(bytes(k)) < bulk} == {b"000"}
+
+
 def test_words_are_cut_at_the_six_ascii_white_spaces_only():
     import pyarrow as pa
 
