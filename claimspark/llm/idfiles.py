@@ -28,9 +28,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from claimspark.llm.arrowtext import text_slices
 from claimspark.llm.mixcoder import decode_blocks, encode_blocks
-from claimspark.llm.wordbpe import TEXT_BYTES, word_tokenizer
+from claimspark.llm.wordbpe import encoded
 
 BLOCK = 4096
 #: Blocks coded together: about so many, at most half as many again, which bounds a task's memory.
@@ -89,16 +88,14 @@ def _encoded(batches: Iterator[pa.RecordBatch], vocabulary: Callable[[], str], e
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)],
                                              names=names)
 
-    for batch in batches:
-        for piece in text_slices(batch, "text", TEXT_BYTES):
-            ids, offsets = word_tokenizer(vocabulary()).encode(piece.column("text"), end_id)
-            counts = np.diff(offsets).tolist()
-            owners += [(d, row + i, n) for i, (d, n) in enumerate(zip(piece.column("doc_id").to_pylist(), counts,
-                                                                      strict=True))]
-            row += len(counts)
-            held = np.concatenate((held, ids))
-            if len(held) >= 2 * block * LANES:
-                yield from cut(last=False)
+    for piece, ids, offsets in encoded(batches, vocabulary, end_id):
+        counts = np.diff(offsets).tolist()
+        owners += [(d, row + i, n) for i, (d, n) in enumerate(zip(piece.column("doc_id").to_pylist(), counts,
+                                                                  strict=True))]
+        row += len(counts)
+        held = np.concatenate((held, ids))
+        if len(held) >= 2 * block * LANES:
+            yield from cut(last=False)
     yield from cut(last=True)
 
 

@@ -31,9 +31,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimspark.llm.arrowtext import text_slices
+from claimspark.llm.arrowtext import resting
 from claimspark.llm.store import written
-from claimspark.llm.wordbpe import TEXT_BYTES, word_tokenizer
+from claimspark.llm.wordbpe import encoded
 
 #: Lengths tried as the second of three, for each first length.
 SECOND_LENGTHS = 24
@@ -50,21 +50,19 @@ def tokenized(docs: DataFrame, vocabulary: Callable[[], str], window: int, end_i
     schema = "doc_id long, n_tokens long, window_crcs array<long>, tail_crc long, tail binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in text_slices(batch, "text", TEXT_BYTES):
-                ids, offsets = word_tokenizer(vocabulary()).encode(piece.column("text"), end_id)
-                crcs, tail_crcs, tails = [], [], []
-                for start, end in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-                    cut = end - (end - start) % window
-                    crcs.append([crc_of(ids[i:i + window]) for i in range(start, cut, window)])
-                    tail_crcs.append(crc_of(ids[cut:end]))
-                    tails.append(ids[cut:end].astype("<u2").tobytes())
-                yield pa.RecordBatch.from_arrays(
-                    [piece.column("doc_id"), pa.array(np.diff(offsets)), pa.array(crcs, pa.list_(pa.int64())),
-                     pa.array(tail_crcs, pa.int64()), pa.array(tails, pa.binary())],
-                    names=["doc_id", "n_tokens", "window_crcs", "tail_crc", "tail"])
-
-    made = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+        for piece, ids, offsets in encoded(batches, vocabulary, end_id):
+            crcs, tail_crcs, tails = [], [], []
+            for start, end in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+                cut = end - (end - start) % window
+                crcs.append([crc_of(ids[i:i + window]) for i in range(start, cut, window)])
+                tail_crcs.append(crc_of(ids[cut:end]))
+                tails.append(ids[cut:end].astype("<u2").tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [piece.column("doc_id"), pa.array(np.diff(offsets)), pa.array(crcs, pa.list_(pa.int64())),
+                 pa.array(tail_crcs, pa.int64()), pa.array(tails, pa.binary())],
+                names=["doc_id", "n_tokens", "window_crcs", "tail_crc", "tail"])
+
+    made = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(resting(run), schema)
     return written(made.select("*", F.spark_partition_id().alias("part"),
                                F.monotonically_increasing_id().alias("seq")), "tokens")
 

@@ -4,16 +4,17 @@ from __future__ import annotations
 
 import os
 from array import array
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 
-from claimspark.llm.arrowtext import Remembered, ragged_take, word_codes
+from claimspark.llm.arrowtext import Remembered, ragged_take, text_slices, word_codes
 from claimspark.llm.bpe import byte_characters
 
-#: Texts tokenised together.
-TEXT_BYTES = 6 << 20
+#: Texts tokenised together: arrays of one number an id, of which several live at once, stay small.
+TEXT_BYTES = 1 << 20
 #: Words, and pre-tokens, remembered by one Python worker.
 CACHE_WORDS = 200_000
 #: The tokenizer's own cut of a word into pre-tokens (fixed by its file).
@@ -88,3 +89,11 @@ class WordTokenizer:
 def word_tokenizer(path: str) -> WordTokenizer:
     """One tokenizer for each file and Python worker.  Ids must be below 65536."""
     return WordTokenizer(path)
+
+
+def encoded(batches: Iterator[pa.RecordBatch], vocabulary: Callable[[], str],
+            end_id: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """(rows, their ids, offsets) of a task's batches, ``TEXT_BYTES`` of ``text`` at a time."""
+    for batch in batches:
+        for piece in text_slices(batch, "text", TEXT_BYTES):
+            yield piece, *word_tokenizer(vocabulary()).encode(piece.column("text"), end_id)

@@ -2,15 +2,18 @@
 
 import random
 import re
+import tracemalloc
 import uuid
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from claimspark.llm import arrowtext, automaton, grulm, lshforest, mixcoder, packing, repeats, vafile, wordlm
+from claimspark.llm import arrowtext, automaton, grulm, lshforest, mixcoder, packing, repeats, vafile, wordbpe, wordlm
 from claimspark.llm import components as connected
 from claimspark.llm.components import components
+from claimspark.llm.queries import public_file
 
 
 def test_blocks_of_ids_round_trip_in_any_company():
@@ -361,3 +364,26 @@ def test_a_score_beyond_64_bits_is_no_wrong_number(spark):
     vectors = vafile.integer_vectors(spark.createDataFrame(rows, "i long, v array<double>"), "i", "v", 256)
     with pytest.raises(Exception, match="int too big|OverflowError|too large"):
         vafile.top_k(vectors, vectors.where("id = 50"), k=1).collect()
+
+
+def test_tokenising_a_large_batch_holds_the_arrays_of_a_slice_only():
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(1, 6))) for _ in range(500)]
+    texts = [" ".join(rng.choices(words, k=600)) for _ in range(3000)] + [None, "", "last"]
+    batch = pa.record_batch({"doc_id": pa.array(range(len(texts))), "text": pa.array(texts)})
+    vocabulary = public_file("word_bpe_49k.json")
+    tokenizer = wordbpe.word_tokenizer(vocabulary())
+    whole, offsets = tokenizer.encode(batch.column("text"), 1)
+    tracemalloc.start()
+    try:
+        docs, ids, counts = [], [], []
+        for piece, some, ends in wordbpe.encoded(iter([batch]), vocabulary, 1):
+            docs += piece.column("doc_id").to_pylist()
+            ids.append(some)
+            counts.append(np.diff(ends))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert docs == list(range(len(texts)))
+    assert (np.concatenate(ids) == whole).all() and (np.concatenate(counts) == np.diff(offsets)).all()
+    assert peak - whole.nbytes < 5 * batch.column("text").nbytes, peak
