@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from claimspark.llm.arrowtext import resting
 from claimspark.llm.store import written
-from claimspark.llm.wordbpe import encoded
+from claimspark.llm.wordbpe import TEXT_BYTES, encoded
 
 #: Lengths tried as the second of three, for each first length.
 SECOND_LENGTHS = 24
@@ -45,12 +45,12 @@ def crc_of(ids: np.ndarray) -> int:
 
 
 def tokenized(docs: DataFrame, vocabulary: Callable[[], str], window: int, end_id: int, id_col: str = "doc_id",
-              text_col: str = "text") -> DataFrame:
+              text_col: str = "text", text_bytes: int = TEXT_BYTES) -> DataFrame:
     """Written table of (doc_id, part, seq, n_tokens, window_crcs, tail_crc, tail): tail as 16-bit ids."""
     schema = "doc_id long, n_tokens long, window_crcs array<long>, tail_crc long, tail binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece, ids, offsets in encoded(batches, vocabulary, end_id):
+        for piece, ids, offsets in encoded(batches, vocabulary, end_id, text_bytes):
             crcs, tail_crcs, tails = [], [], []
             for start, end in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
                 cut = end - (end - start) % window

@@ -13,8 +13,8 @@ import pyarrow as pa
 from claimspark.llm.arrowtext import Remembered, ragged_take, text_slices, word_codes
 from claimspark.llm.bpe import byte_characters
 
-#: Texts tokenised together: arrays of one number an id, of which several live at once, stay small.
-TEXT_BYTES = 1 << 20
+#: Texts tokenised together, unless memory is short: fewer repeat more of their words and cost more time.
+TEXT_BYTES = 6 << 20
 #: Words, and pre-tokens, remembered by one Python worker.
 CACHE_WORDS = 200_000
 #: The tokenizer's own cut of a word into pre-tokens (fixed by its file).
@@ -92,8 +92,8 @@ def word_tokenizer(path: str) -> WordTokenizer:
 
 
 def encoded(batches: Iterator[pa.RecordBatch], vocabulary: Callable[[], str],
-            end_id: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """(rows, their ids, offsets) of a task's batches, ``TEXT_BYTES`` of ``text`` at a time."""
+            end_id: int, text_bytes: int = TEXT_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """(rows, their ids, offsets) of a task's batches, ``text_bytes`` of ``text`` at a time."""
     for batch in batches:
-        for piece in text_slices(batch, "text", TEXT_BYTES):
+        for piece in text_slices(batch, "text", text_bytes):
             yield piece, *word_tokenizer(vocabulary()).encode(piece.column("text"), end_id)

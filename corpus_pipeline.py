@@ -21,6 +21,8 @@ from claimspark.session import package_on_workers
 #: than this.  Half of the least share of held-out labelled texts of that length (0.10).
 MIN_KNOWN_SHARE, ENOUGH_WORDS = 0.05, 30
 WINDOW, END_ID = 2048, 1
+#: Texts tokenised together: few, as workers and executors still hold what earlier stages left.
+PACKED_BYTES = 1 << 20
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,7 +64,8 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents' token ids in sequences of at most ``WINDOW``."""
-    tokens = packing.tokenized(docs, public_file("word_bpe_49k.json"), window=WINDOW, end_id=END_ID)
+    tokens = packing.tokenized(docs, public_file("word_bpe_49k.json"), window=WINDOW, end_id=END_ID,
+                               text_bytes=PACKED_BYTES)
     return packing.pack(tokens, window=WINDOW)
 
 

@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from claimspark.llm import arrowtext, automaton, grulm, lshforest, mixcoder, packing, repeats, vafile, wordbpe, wordlm
 from claimspark.llm import components as connected
 from claimspark.llm.components import components
@@ -377,7 +378,7 @@ def test_tokenising_a_large_batch_holds_the_arrays_of_a_slice_only():
     tracemalloc.start()
     try:
         docs, ids, counts = [], [], []
-        for piece, some, ends in wordbpe.encoded(iter([batch]), vocabulary, 1):
+        for piece, some, ends in wordbpe.encoded(iter([batch]), vocabulary, 1, corpus_pipeline.PACKED_BYTES):
             docs += piece.column("doc_id").to_pylist()
             ids.append(some)
             counts.append(np.diff(ends))
