@@ -16,8 +16,13 @@ from dataclasses import dataclass, field
 import numpy as np
 
 OTHER, END = 0, 1
-#: Rows of one softmax, and least tokens whose probabilities are worked out together when texts are scored.
-BLOCK, SCORED_ROWS = 2048, 1 << 14
+#: Rows of one softmax (so many stay in cache), and least tokens whose probabilities are worked out together when texts
+#: are scored.
+BLOCK, SCORED_ROWS = 512, 1 << 14
+#: Texts that step together when they are scored.
+SCORED_LANES = 512
+#: Sums of a softmax beyond this, or below its inverse, are taken again with shifted logits.
+FAR = 1e20
 
 
 @dataclass(frozen=True)
@@ -84,31 +89,40 @@ class Gru:
         return Gru(self.shape, self.n_words, out)
 
     def _step(self, x: np.ndarray, state: np.ndarray, out: tuple[np.ndarray, ...]) -> None:
-        """One step; ``out`` takes the gates (update, reset), the kept part of the state, its proposal and the new state."""
+        """One step; ``out`` takes the gates (update, reset), the kept part of the state, its proposal and the new state.
+
+        Lanes are columns here, so that each gate is one stretch of memory.
+        """
         (gates, kept, new, after), h, wh = out, self.shape.hidden, self.params["wh"]
-        np.matmul(state, wh[:, :2 * h], out=gates)
-        gates += x[:, :2 * h]
-        gates *= 0.5
-        np.tanh(gates, out=gates)
+        np.matmul(wh[:, :2 * h].T, state, out=gates)
+        gates += x[:2 * h]
+        np.negative(gates, out=gates)
+        np.exp(gates, out=gates)
         gates += 1
-        gates *= 0.5
-        np.multiply(gates[:, h:], state, out=kept)
-        np.matmul(kept, wh[:, 2 * h:], out=new)
-        new += x[:, 2 * h:]
+        np.divide(1, gates, out=gates)
+        np.multiply(gates[h:], state, out=kept)
+        np.matmul(wh[:, 2 * h:].T, kept, out=new)
+        new += x[2 * h:]
         np.tanh(new, out=new)
         np.subtract(new, state, out=after)
-        after *= gates[:, :h]
+        after *= gates[:h]
         after += state
 
+    def _inputs(self, words: np.ndarray | slice) -> np.ndarray:
+        """What each of these words (columns) adds to the gates and the proposal."""
+        table = self.params["wx"].T @ self.params["emb"][words].T
+        table += self.params["b"][:, None]
+        return table
+
     def _buffers(self, *size: int) -> tuple[np.ndarray, ...]:
-        h = self.shape.hidden
-        return tuple(np.empty((*size, width), np.float32) for width in (2 * h, h, h, h))
+        h, (*windows, lanes) = self.shape.hidden, size
+        return tuple(np.empty((*windows, width, lanes), np.float32) for width in (2 * h, h, h, h))
 
     def _log_probability(self, state: np.ndarray, token: np.ndarray, slopes: dict | None = None
                          ) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log of each token's probability after its state; with ``slopes`` also the states' gradient.
 
-        Rows are taken class by class, so each class's members are one product for all its rows.
+        Rows are taken class by class, so each class's members are one product for its rows of a block.
         """
         p = self.params
         order = _sorted(self.class_of(token))
@@ -116,57 +130,80 @@ class Gru:
         of_class, member = self.class_of(token), self.member_of(token)
         out = np.empty(len(token))
         back = np.empty_like(state) if slopes is not None else None
-        for lo in range(0, len(token), BLOCK):
-            rows = slice(lo, lo + BLOCK)
-            out[rows], g = _chosen(p["wc"], p["bc"], state[rows], of_class[rows], slopes is not None)
+        # The classes of one token come first; of the others each is one run of rows, cut where blocks end.
+        words = int(np.searchsorted(of_class, 2))
+        cuts = np.concatenate((np.searchsorted(of_class, np.arange(2, self.n_classes)), np.arange(0, len(token), BLOCK)))
+        cuts = np.unique(cuts[(cuts >= words) & (cuts < len(token))])
+        classes, ends = of_class[cuts].tolist(), [*cuts[1:].tolist(), len(token)]
+        blocks = np.searchsorted(cuts, np.arange(0, len(token) + BLOCK, BLOCK)).tolist()
+        for i, lo in enumerate(range(0, len(token), BLOCK)):
+            hi = min(lo + BLOCK, len(token))
+            logits = state[lo:hi] @ p["wc"]
+            logits += p["bc"]
+            out[lo:hi], g = _chosen(logits, of_class[lo:hi], slopes is not None)
+            if slopes is not None:
+                np.matmul(g, p["wc"].T, out=back[lo:hi])
+                slopes["wc"] += state[lo:hi].T @ g
+                slopes["bc"] += g.sum(axis=0)
+            some = slice(blocks[i], blocks[i + 1]) if lo >= words else slice(0, blocks[i + 1])
+            runs = list(zip(classes[some], map(slice, cuts[some].tolist(), ends[some]), strict=True))
+            if not runs:
+                continue
+            lo = runs[0][1].start
+            logits = np.empty((hi - lo, self.shape.class_size), np.float32)
+            for c, rows in runs:
+                own = logits[rows.start - lo:rows.stop - lo]
+                np.matmul(state[rows], p["ww"][c], out=own)
+                own += p["bw"][c]
+            value, g = _chosen(logits, member[lo:hi], slopes is not None)
+            out[lo:hi] += value
             if slopes is not None:
-                back[rows] = (p["wc"] @ g).T
-                slopes["wc"] += (g @ state[rows]).T
-                slopes["bc"] += g.sum(axis=1)
-        ends = np.searchsorted(of_class, np.arange(2, self.n_classes + 1))
-        for c in range(2, self.n_classes):
-            for lo in range(ends[c - 2], ends[c - 1], BLOCK):
-                rows = slice(lo, min(lo + BLOCK, ends[c - 1]))
-                value, g = _chosen(p["ww"][c], p["bw"][c], state[rows], member[rows], slopes is not None)
-                out[rows] += value
-                if slopes is not None:
-                    back[rows] += (p["ww"][c] @ g).T
-                    slopes["ww"][c] += (g @ state[rows]).T
-                    slopes["bw"][c] += g.sum(axis=1)
+                slopes["bw"][classes[some]] += np.add.reduceat(g, cuts[some] - lo, axis=0)
+                for c, rows in runs:
+                    own = g[rows.start - lo:rows.stop - lo]
+                    back[rows] += own @ p["ww"][c].T
+                    slopes["ww"][c] += state[rows].T @ own
         return _put_back(out, order), back if back is None else _put_back(back, order)
 
+    @np.errstate(over="ignore")
     def score(self, tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Natural-log likelihood of each text (its tokens end with the end token).
 
-        Texts are lanes that step together, longest first; the state stays
-        with the lane until its text ends.  Probabilities are worked out for
-        ``SCORED_ROWS`` or more tokens at a time.
+        Texts are lanes that step together, longest first, ``SCORED_LANES`` at
+        a time; the state stays with the lane until its text ends.
+        Probabilities are worked out for ``SCORED_ROWS`` or more tokens at a time.
         """
-        p, h = self.params, self.shape.hidden
-        table = p["emb"] @ p["wx"] + p["b"]
-        sizes = np.diff(offsets)
+        sizes, table = np.diff(offsets), self._inputs(slice(None))
         order = np.argsort(-sizes, kind="stable")
-        sizes, begins = sizes[order], offsets[:-1][order]
         out = np.zeros(len(sizes))
-        state = np.zeros((len(sizes), h), np.float32)
-        before = np.full(len(sizes), END)
-        buffers = self._buffers(len(sizes))
-        held, rows = [], 0
-        for t in range(int(sizes.max(initial=0))):
-            n = int(np.searchsorted(-sizes, -t, side="left"))
-            self._step(table[before[:n]], state[:n], tuple(b[:n] for b in buffers))
-            state[:n] = buffers[-1][:n]
-            before[:n] = tokens[begins[:n] + t]
-            held.append((state[:n].copy(), before[:n].copy(), np.arange(n)))
+        for lo in range(0, len(order), SCORED_LANES):
+            some = order[lo:lo + SCORED_LANES]
+            out[some] = self._score_lanes(table, tokens, offsets[:-1][some], sizes[some])
+        return out
+
+    def _score_lanes(self, table: np.ndarray, tokens: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        lanes, h = len(sizes), self.shape.hidden
+        out = np.zeros(lanes)
+        state, before = np.zeros((h, lanes), np.float32), np.full(lanes, END)
+        alive = np.searchsorted(-sizes, -np.arange(int(sizes.max(initial=0))), side="left").tolist()
+        states = np.empty((SCORED_ROWS + lanes, h), np.float32)
+        targets, owners = np.empty(len(states), np.int64), np.empty(len(states), np.int64)
+        every, rows, buffers = np.arange(lanes), 0, ()
+        for t, n in enumerate(alive):
+            if not buffers or n < buffers[-1].shape[1]:
+                state, before, buffers = state[:, :n].copy(), before[:n], self._buffers(n)
+            self._step(table.take(before, axis=1), state, buffers)
+            state, buffers = buffers[-1], (*buffers[:-1], state)
+            before = tokens[begins[:n] + t]
+            states[rows:rows + n], targets[rows:rows + n], owners[rows:rows + n] = state.T, before, every[:n]
             rows += n
-            if rows >= SCORED_ROWS or t == sizes[0] - 1:
-                states, targets, owners = (np.concatenate(x) for x in zip(*held, strict=True))
-                out += np.bincount(owners, weights=self._log_probability(states, targets)[0], minlength=len(out))
-                held, rows = [], 0
-        back = np.empty(len(out))
-        back[order] = out
-        return back
+            if rows >= SCORED_ROWS or t == len(alive) - 1:
+                out += np.bincount(owners[:rows], weights=self._log_probability(states[:rows], targets[:rows])[0],
+                                   minlength=lanes)
+                rows = 0
+        return out
 
+    @np.errstate(over="ignore")
     def train(self, tokens: np.ndarray, offsets: np.ndarray) -> None:
         """One pass over texts laid end to end in lanes, a window at a time, by Adagrad.
 
@@ -182,68 +219,93 @@ class Gru:
         first[offsets[:-1]] = True
         first = np.resize(first[:-1], (lanes, steps))
         squares = {k: np.full(v.shape, 1e-6, np.float32) for k, v in p.items()}
+        g = {k: np.empty_like(v) for k, v in p.items()}
         gates, kept, new, states = self._buffers(shape.window, lanes)
-        olds, d_x = np.empty_like(states), np.empty((shape.window, lanes, 3 * h), np.float32)
-        state, before = np.zeros((lanes, h), np.float32), np.full(lanes, END)
+        olds, d_x = np.empty_like(states), np.empty((shape.window, 3 * h, lanes), np.float32)
+        state, before, through = np.zeros((h, lanes), np.float32), np.full(lanes, END), np.empty((h, lanes), np.float32)
         for start in range(0, steps, shape.window):
             n = min(steps - start, shape.window)
             after, begun = line[:, start:start + n].T, first[:, start:start + n].T
-            inputs = np.where(begun, END, np.concatenate((before[None], after[:-1])))
-            table = p["emb"] @ p["wx"] + p["b"]
+            inputs, going = np.where(begun, END, np.concatenate((before[None], after[:-1]))), (~begun).astype(np.float32)
+            # The words that are read, and the place of each token's among them.
+            flat = inputs.reshape(-1)
+            order = _sorted(flat)
+            begins = np.flatnonzero(np.diff(flat[order], prepend=-1))
+            read = flat[order[begins]]
+            place = _put_back(np.repeat(np.arange(len(read)), np.diff(begins, append=len(flat))), order).reshape(n, lanes)
+            x = self._inputs(read)
             for t in range(n):
-                olds[t] = state
-                olds[t][begun[t]] = 0
-                self._step(table[inputs[t]], olds[t], (gates[t], kept[t], new[t], states[t]))
+                np.multiply(state, going[t], out=olds[t])
+                self._step(x.take(place[t], axis=1), olds[t], (gates[t], kept[t], new[t], states[t]))
                 state = states[t]
             state, before = state.copy(), after[-1]
-            g = {k: np.zeros_like(v) for k, v in p.items()}
-            _, back = self._log_probability(states[:n].reshape(-1, h), after.reshape(-1), g)
-            back = back.reshape(n, lanes, h)
-            carry = np.zeros((lanes, h), np.float32)
+            for k in ("wc", "bc", "ww", "bw"):
+                g[k].fill(0)
+            _, back = self._log_probability(_rows(states[:n]), after.reshape(-1), g)
+            back = np.ascontiguousarray(back.reshape(n, lanes, h).swapaxes(1, 2))
+            carry = np.zeros((h, lanes), np.float32)
             for t in range(n - 1, -1, -1):
-                old, update, reset, d = olds[t], gates[t, :, :h], gates[t, :, h:], back[t]
+                update, reset, d = gates[t, :h], gates[t, h:], back[t]
+                d_update, d_reset, d_new = d_x[t, :h], d_x[t, h:2 * h], d_x[t, 2 * h:]
                 d += carry
-                carry = d * update
-                d_x[t, :, 2 * h:] = carry * (1 - new[t] ** 2)
-                through = d_x[t, :, 2 * h:] @ p["wh"][:, 2 * h:].T
-                d_x[t, :, :h] = carry * (new[t] - states[t])
-                d_x[t, :, h:2 * h] = through * kept[t] * (1 - reset)
+                np.multiply(d, update, out=carry)
+                np.multiply(new[t], new[t], out=d_new)
+                np.subtract(1, d_new, out=d_new)
+                d_new *= carry
+                np.matmul(p["wh"][:, 2 * h:], d_new, out=through)
+                np.subtract(new[t], states[t], out=d_update)
+                d_update *= carry
+                np.subtract(1, reset, out=d_reset)
+                d_reset *= kept[t]
+                d_reset *= through
                 through *= reset
-                carry -= d
-                through -= carry
-                carry = d_x[t, :, :2 * h] @ p["wh"][:, :2 * h].T
+                d -= carry
+                through += d
+                np.matmul(p["wh"][:, :2 * h], d_x[t, :2 * h], out=carry)
                 carry += through
-                carry[begun[t]] = 0
-            inputs, d = inputs.reshape(-1), d_x[:n].reshape(-1, 3 * h)
-            g["wh"][:, :2 * h] = olds[:n].reshape(-1, h).T @ d[:, :2 * h]
-            g["wh"][:, 2 * h:] = kept[:n].reshape(-1, h).T @ d[:, 2 * h:]
-            g["b"] = d.sum(axis=0)
-            g["wx"] = p["emb"][inputs].T @ d
-            order = _sorted(inputs)
-            begins = np.flatnonzero(np.diff(inputs[order], prepend=-1))
-            g["emb"][inputs[order[begins]]] = np.add.reduceat((d @ p["wx"].T)[order], begins, axis=0)
+                carry *= going[t]
+            d = d_x[:n]
+            g["wh"][:, :2 * h] = np.matmul(olds[:n], d[:, :2 * h].swapaxes(1, 2)).sum(axis=0)
+            g["wh"][:, 2 * h:] = np.matmul(kept[:n], d[:, 2 * h:].swapaxes(1, 2)).sum(axis=0)
+            of_word = np.add.reduceat(_rows(d)[order], begins, axis=0)
+            g["b"] = of_word.sum(axis=0)
+            g["wx"] = p["emb"][read].T @ of_word
+            # Only words that were read have a slope.
+            g["emb"] = of_word @ p["wx"].T
             norm = np.sqrt(sum(float(np.vdot(x, x)) for x in g.values()))
             scale = min(1.0, shape.clip * n * lanes / max(norm, 1e-9))
             for k, x in g.items():
                 x *= scale / (n * lanes)
-                squares[k] += x ** 2
-                p[k] -= shape.rate * x / np.sqrt(squares[k])
-
-
-def _chosen(weights: np.ndarray, bias: np.ndarray, state: np.ndarray, choice: np.ndarray, sloped: bool
-            ) -> tuple[np.ndarray, np.ndarray | None]:
-    """Natural log of the softmax of each row's choice and, if ``sloped``, its gradient by choice and row."""
+                at = read if k == "emb" else slice(None)
+                square = squares[k][at]
+                square += x * x
+                x *= shape.rate
+                x /= np.sqrt(square)
+                p[k][at] -= x
+                if k == "emb":
+                    squares[k][at] = square
+
+
+def _chosen(logits: np.ndarray, choice: np.ndarray, sloped: bool) -> tuple[np.ndarray, np.ndarray | None]:
+    """Natural log of the softmax of each row's choice and, if ``sloped``, its gradient by row and choice."""
     rows = np.arange(len(choice))
-    logits = weights.T @ state.T
-    logits += bias[:, None]
-    logits -= logits.max(axis=0)
-    picked = logits[choice, rows]
-    np.exp(logits, out=logits)
-    total = logits.sum(axis=0)
+    picked = logits[rows, choice]
+    ones = np.ones(logits.shape[1], np.float32)
+    parts = np.exp(logits)
+    total = parts @ ones
+    if not (total.min() > FAR ** -1 and total.max() < FAR):  # shifted where powers are too large or too small
+        logits = logits - logits.max(axis=1)[:, None]
+        picked, parts = logits[rows, choice], np.exp(logits)
+        total = parts @ ones
     if sloped:
-        logits *= 1 / total
-        logits[choice, rows] -= 1
-    return picked - np.log(total), logits if sloped else None
+        parts *= (1 / total)[:, None]
+        parts[rows, choice] -= 1
+    return picked - np.log(total), parts if sloped else None
+
+
+def _rows(columns: np.ndarray) -> np.ndarray:
+    """Columns of each step as rows, step by step."""
+    return columns.swapaxes(1, 2).reshape(-1, columns.shape[1])
 
 
 def _sorted(values: np.ndarray) -> np.ndarray:

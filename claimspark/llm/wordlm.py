@@ -34,17 +34,18 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimspark.llm.arrowtext import Remembered, text_slices, word_codes
+from claimspark.llm.arrowtext import text_slices, utf8_bytes, word_codes
 from claimspark.llm.grulm import END, OTHER, Gru, Shape
 from claimspark.llm.store import written
 
 FLUSH_BYTES = 12 << 20
 BUCKET_BYTES = 16 << 20
+#: Tokens whose texts are scored together: the more, the fewer steps in which few long texts are left.
+SCORED_TOKENS = 6 << 20
 
 
 @dataclass(frozen=True)
@@ -55,9 +56,6 @@ class Settings:
     together: int = 16
 
 
-_hashes = Remembered(lambda words: [xxhash.xxh3_64_intdigest(w) for w in words], 200_000)
-
-
 def _flushes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Table]]:
     held, size, number = [], 0, 0
     for batch in batches:
@@ -71,24 +69,56 @@ def _flushes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Table]
         yield f"{TaskContext.get().partitionId()}-{number}", pa.Table.from_batches(held)
 
 
-def _words(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
+def _words(table: pa.Table) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
     """(code of each word, offsets of texts, distinct words, whether each text is a training text)."""
     codes, offsets, words = word_codes(pc.ascii_lower(table["text"].combine_chunks()))
-    return codes, offsets, words.to_pylist(), np.asarray(table["train"])
+    return codes, offsets, words, np.asarray(table["train"])
+
+
+#: What a byte counts in its word's hash, by its place.
+_WEIGHTS = np.random.default_rng(3).integers(1 << 63, size=64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _hashes(words: pa.Array) -> np.ndarray:
+    """A hash of each word, the same in every task."""
+    data, offsets = utf8_bytes(words)
+    size = np.diff(offsets)
+    weights = _WEIGHTS[(np.arange(len(data)) - np.repeat(offsets[:-1], size)) & 63]
+    out, filled = size.astype(np.uint64), np.flatnonzero(size)
+    if len(filled):
+        out[filled] += np.add.reduceat(weights * (data.astype(np.uint64) + np.uint64(1)), offsets[filled])
+    out ^= out >> np.uint64(32)
+    out *= np.uint64(0xD6E8FEB86659FD93)
+    return out ^ (out >> np.uint64(32))
 
 
-def _by_bucket(words: list[str], chosen: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Chosen words by bucket of their hash."""
-    h = np.array(_hashes([words[i] for i in chosen.tolist()]), dtype=np.uint64)
-    bucket = (h % np.uint64(buckets)).astype(np.int64)
+def _by_bucket(words: pa.Array, chosen: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray, bytes]]:
+    """Chosen words by bucket of their hash: the bucket, which words, and the words themselves."""
+    if not len(chosen):
+        return
+    taken = words.take(pa.array(chosen))
+    bucket = (_hashes(taken) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
-    begin = np.flatnonzero(np.diff(bucket[order])) + 1
-    for group in np.split(order, begin) if len(order) else []:
-        yield int(bucket[group[0]]), chosen[group]
+    begin = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+    joined = _joined(taken.take(pa.array(order)), np.append(begin, len(order)))
+    for b, group, own in zip(bucket[order[begin]].tolist(), np.split(chosen[order], begin[1:]), joined, strict=True):
+        yield b, group, own
 
 
-def _joined(words: list[str], some: np.ndarray) -> bytes:
-    return " ".join([words[i] for i in some.tolist()]).encode()
+def _joined(words: pa.Array, offsets: np.ndarray) -> list[bytes]:
+    """The words of each stretch, a space between them."""
+    lists = pa.LargeListArray.from_arrays(pa.array(offsets.astype(np.int64)), words.cast(pa.large_string()))
+    return pc.binary_join(lists, pa.scalar(" ", pa.large_string())).cast(pa.large_binary()).to_pylist()
+
+
+def _most(count: np.ndarray, words: pa.Array, most: int) -> np.ndarray:
+    """The most frequent words, of equally frequent ones the first by code points."""
+    if len(count) <= most:
+        return np.arange(len(count))
+    least = np.partition(count, len(count) - most)[len(count) - most]
+    more, equal = np.flatnonzero(count > least), np.flatnonzero(count == least)
+    first = np.asarray(pc.array_sort_indices(words.take(pa.array(equal))))[:most - len(more)]
+    return np.concatenate((more, equal[first]))
 
 
 def _merged_words(blobs: list[bytes]) -> tuple[np.ndarray, pa.Array]:
@@ -136,8 +166,8 @@ def corpus_counts(docs: DataFrame, buckets: int, vocabulary: int) -> Counts:
             codes, offsets, words, train = _words(table)
             of_train = np.repeat(train, np.diff(offsets))
             count = np.bincount(codes[of_train], minlength=len(words))
-            rows = [(b, _joined(words, some), count[some].astype("<u4").tobytes())
-                    for b, some in _by_bucket(words, np.flatnonzero(count), buckets)]
+            rows = [(b, own, count[some].astype("<u4").tobytes())
+                    for b, some, own in _by_bucket(words, np.flatnonzero(count), buckets)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary()))],
                 names=["bucket", "words", "counts"])
@@ -145,13 +175,12 @@ def corpus_counts(docs: DataFrame, buckets: int, vocabulary: int) -> Counts:
     def gather(table: pa.Table) -> pa.Table:
         codes, words = _merged_words(table["words"].to_pylist())
         count = np.bincount(codes, weights=_binary("<u4", table["counts"].to_pylist()), minlength=len(words))
-        names = np.array(words.to_pylist(), dtype=object)
-        best = np.lexsort((names, -count))[:vocabulary]
-        return pa.table({"words": pa.array([_joined(names, best)], pa.binary()),
+        best = _most(count, words, vocabulary)
+        return pa.table({"words": pa.array(_joined(words.take(pa.array(best)), np.array([0, len(best)])), pa.binary()),
                          "counts": pa.array([count[best].astype("<i8").tobytes()], pa.binary()),
                          "sizes": pa.array([np.bincount(_size(count[best]), minlength=SIZES).astype("<i8").tobytes()],
                                            pa.binary()),
-                         "n": pa.array([int(count.sum())], pa.int64()), "types": pa.array([len(names)], pa.int64()),
+                         "n": pa.array([int(count.sum())], pa.int64()), "types": pa.array([len(words)], pa.int64()),
                          "part": pa.array([table["bucket"][0].as_py() % SUMMED], pa.int32())})
 
     def summed(table: pa.Table) -> pa.Table:
@@ -191,7 +220,7 @@ def rare_words(docs: DataFrame, counts: Counts, buckets: int) -> DataFrame:
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for flush, table in _flushes(batches):
             codes, offsets, words, train = _words(table)
-            rare = np.array([w not in vocabulary and w != "" for w in words], dtype=bool)
+            rare = (_model_tokens(words, vocabulary) == OTHER) & np.asarray(pc.not_equal(words, ""))
             text = np.repeat(np.arange(len(train)), np.diff(offsets))
             count = np.bincount(codes[train[text]], minlength=len(words)) if len(codes) else np.zeros(0, np.int64)
             held = rare[codes] if len(codes) else np.zeros(0, bool)
@@ -200,10 +229,10 @@ def rare_words(docs: DataFrame, counts: Counts, buckets: int) -> DataFrame:
             starts = np.searchsorted(of_word, np.arange(len(words) + 1))
             rows = [(0, zlib.crc32(flush.encode()) % buckets, flush, np.asarray(table["mark"]).astype("<i8").tobytes(),
                      None, None, None, None)]
-            for bucket, some in _by_bucket(words, np.flatnonzero(rare), buckets):
+            for bucket, some, own in _by_bucket(words, np.flatnonzero(rare), buckets):
                 size = starts[some + 1] - starts[some]
                 at = np.repeat(starts[some] - np.cumsum(size) + size, size) + np.arange(size.sum())
-                rows.append((1, bucket, flush, _joined(words, some), count[some].astype("<u4").tobytes(),
+                rows.append((1, bucket, flush, own, count[some].astype("<u4").tobytes(),
                              size.astype("<u4").tobytes(), doc[at].astype("<u4").tobytes(),
                              times[at].astype("<u4").tobytes()))
             kinds = (pa.int32(), pa.int32(), pa.string(), *[pa.binary()] * 5)
@@ -247,10 +276,16 @@ def rare_words(docs: DataFrame, counts: Counts, buckets: int) -> DataFrame:
     return sums.groupBy("mark").agg(F.max("rare_log10").alias("rare_log10"), F.max("rare_known").alias("rare_known"))
 
 
+def _model_tokens(words: pa.Array, vocabulary: dict[str, int]) -> np.ndarray:
+    """The model's token of each word."""
+    place = pc.fill_null(pc.index_in(words, value_set=pa.array(vocabulary, words.type)), -1)
+    return np.append(np.fromiter(vocabulary.values(), np.int64, len(vocabulary)), OTHER)[np.asarray(place)]
+
+
 def _tokens(texts: pa.Array, vocabulary: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
     """(the model's tokens of all texts, offsets)."""
     codes, offsets, words = word_codes(pc.ascii_lower(texts))
-    token = np.array([vocabulary.get(w, OTHER) for w in words.to_pylist()], dtype=np.int64)
+    token = _model_tokens(words, vocabulary)
     ends = offsets[1:] + np.arange(len(offsets) - 1)
     out = np.full(len(codes) + len(offsets) - 1, END, dtype=np.int64)
     inside = np.ones(len(out), dtype=bool)
@@ -310,16 +345,31 @@ def model_scores(docs: DataFrame, counts: Counts, model: Gru) -> DataFrame:
     value = np.log10(np.array([0, counts.texts, *counts.word_counts], dtype=np.float64) + 0.5)
     value[OTHER] = 0.0
 
+    small = np.min_scalar_type(len(value) - 1)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for _, table in _flushes(batches):
             tokens, offsets = _tokens(table["text"].combine_chunks(), vocabulary)
-            row = np.repeat(np.arange(len(table)), np.diff(offsets))
-            yield pa.RecordBatch.from_arrays(
-                [*[table[n].combine_chunks() for n in ("doc_id", "mark", "held_out")], pa.array(np.diff(offsets)),
-                 pa.array(np.bincount(row, weights=tokens == OTHER, minlength=len(table)).astype(np.int64)),
-                 pa.array(np.bincount(row, weights=value[tokens], minlength=len(table))),
-                 pa.array(model.score(tokens, offsets) / np.log(10))],
-                names=["doc_id", "mark", "held_out", "n_tokens", "n_other", "frequent_log10", "model_log10"])
+            held.append((table.drop_columns(["text"]), tokens.astype(small), np.diff(offsets)))
+            size += len(tokens)
+            if size >= SCORED_TOKENS:
+                yield scored(held)
+                held, size = [], 0
+        if held:
+            yield scored(held)
+
+    def scored(held: list) -> pa.RecordBatch:
+        table, tokens, sizes = (f([h[i] for h in held]) for i, f in enumerate((pa.concat_tables, np.concatenate, np.concatenate)))
+        offsets = np.concatenate(([0], np.cumsum(sizes)))
+        row = np.repeat(np.arange(len(table)), sizes)
+        other = np.bincount(row, weights=tokens == OTHER, minlength=len(table)).astype(np.int64)
+        frequent = np.bincount(row, weights=value[tokens], minlength=len(table))
+        del row
+        return pa.RecordBatch.from_arrays(
+            [*[table[n].combine_chunks() for n in ("doc_id", "mark", "held_out")], pa.array(sizes), pa.array(other),
+             pa.array(frequent), pa.array(model.score(tokens, offsets) / np.log(10))],
+            names=["doc_id", "mark", "held_out", "n_tokens", "n_other", "frequent_log10", "model_log10"])
 
     return docs.select("doc_id", "mark", "held_out", "text").mapInArrow(
         run, "doc_id long, mark long, held_out boolean, n_tokens long, n_other long, frequent_log10 double, "

@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,3 +131,43 @@ def test_whole_scores_match_a_plain_loop(spark, monkeypatch):
     want = sorted(zip([i for i, _ in rows], expected.tolist(), strict=True), key=key)
     assert [i for i, _ in got] == [i for i, _ in want]
     assert [s for _, s in got] == pytest.approx([s for _, s in want], abs=1e-3)
+
+
+def test_texts_scored_together_a_few_lanes_at_a_time_match_a_plain_loop(monkeypatch):
+    monkeypatch.setattr(grulm, "SCORED_LANES", 3)
+    texts = made_texts(20, 4) + [[grulm.END]]
+    model = started(texts)
+    params = {k: v.astype(np.float64) for k, v in model.params.items()}
+    tokens, offsets = laid(texts)
+    assert model.score(tokens.astype(np.uint8), offsets) == pytest.approx(plain_log_probability(model, params, texts), abs=1e-3)
+
+
+def test_softmax_of_very_large_and_very_small_logits():
+    logits = np.array([[1000, 998, -1000], [-1000, -1001, -999], [0, 1, 2]], np.float32)
+    choice = np.array([1, 2, 0])
+    with np.errstate(over="ignore"):
+        found, slope = grulm._chosen(logits.copy(), choice, True)
+    wide = logits.astype(np.float64) - logits.max(axis=1)[:, None]
+    share = np.exp(wide) / np.exp(wide).sum(axis=1)[:, None]
+    assert found == pytest.approx(np.log(share[np.arange(3), choice]), abs=1e-4)
+    assert slope == pytest.approx(share - np.eye(3)[choice], abs=1e-5)
+
+
+def test_words_go_to_buckets_and_tokens_without_a_loop_over_them():
+    rng = random.Random(5)
+    words = ["", "ä", "a" * 70, "a" * 71, *{"".join(rng.choices("abcé", k=rng.randint(1, 6))) for _ in range(300)}]
+    array, chosen = pa.array(words, pa.large_string()), np.arange(1, len(words), 2)
+    groups = list(wordlm._by_bucket(array, chosen, 7))
+    assert sorted(i for _, some, _ in groups for i in some) == chosen.tolist() and len({b for b, _, _ in groups}) == len(groups) > 3
+    assert all(own == " ".join(words[i] for i in some).encode() for _, some, own in groups)
+    assert list(wordlm._by_bucket(array, chosen[:0], 7)) == []
+    shuffled = rng.sample(words, len(words))
+    again = wordlm._hashes(pa.array(shuffled, pa.large_string()))
+    assert dict(zip(words, wordlm._hashes(array))) == dict(zip(shuffled, again)) and len(set(again)) == len(words)
+    vocabulary = {w: i + 2 for i, w in enumerate(words[5:50])}
+    assert wordlm._model_tokens(array, vocabulary).tolist() == [vocabulary.get(w, grulm.OTHER) for w in words]
+    assert wordlm._model_tokens(array, {}).tolist() == [grulm.OTHER] * len(words)
+    count = np.array([rng.randint(1, 4) for _ in words])
+    for most in (1, 40, len(words), 999):
+        best = sorted(range(len(words)), key=lambda i: (-count[i], words[i]))[:most]
+        assert sorted(wordlm._most(count, array, most).tolist()) == sorted(best)
